@@ -36,7 +36,7 @@ ORACLES: dict[str, str] = {
     "op1_line_dedup": r"""
         WITH line AS (
             SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-                   unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS at
+                   unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos
             FROM documents),
         keyed AS (
             SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
@@ -48,7 +48,7 @@ ORACLES: dict[str, str] = {
         judged AS (
             SELECT k.*, coalesce(k.doc_id < r.first_doc, false) AS dropped FROM keyed k LEFT JOIN repeated r USING (key))
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT dropped), '')) AS kept_sha256
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
         FROM judged GROUP BY doc_id
     """,
     "op9_mixing": r"""
