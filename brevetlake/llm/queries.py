@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, simhash
+from . import decontaminate, html_main, langid, line_dedup, mixing, secrets, simhash, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,19 +17,56 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    leaks = decontaminate.find_leaks(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    items = F.sha2(F.array_join("items", ","), 256)
+    return leaks.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), items.alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.compare_with_edits(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = url_filter.fit(url_filter.labelled_urls())
+    judged = url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), model)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op7_html_main(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_main.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    found = secrets.find_secrets(docs, secrets.train(docs))
+    listed = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.array_join(F.transform(F.filter("spans", lambda s: s["kind"] != "markov"), listed), ",")
+    return found.select("doc_id", *(count(k).alias(f"n_{k}") for k in secrets.KINDS[:3]), F.sha2(base, 256).alias("base_sha256"), F.array_join(F.transform("spans", listed), ",").alias("spans"))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = langid.with_fold(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    profiles = langid.learn(docs.where("not held_out"))
+    return langid.predict(docs.select("doc_id", "held_out", "text"), profiles).select("doc_id", "held_out", "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
+    "op6_url_filter": op6_url_filter,
+    "op7_html_main": op7_html_main,
+    "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
+    "op10_langid": op10_langid,
 }
 
 ORACLES: dict[str, str] = {
