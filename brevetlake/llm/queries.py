@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_main, langid, line_dedup, minhash, mixing, secrets, simhash, url_filter
+from . import decontaminate, html_main, langid, line_dedup, minhash, mixing, secrets, simhash, suffix_dedup, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.dedup_substrings(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep_bytes=False)
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
@@ -64,6 +68,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_minhash": op3_minhash,
     "op4_decontaminate": op4_decontaminate,
     "op5_simhash": op5_simhash,
