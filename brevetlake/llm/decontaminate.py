@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
@@ -142,10 +142,14 @@ def blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Bloc
         yield Block([(r[0], r[1]) for r in part.collect()], window)
 
 
+def row_hash() -> Column:
+    """By which a document's rows are known, with or without a doc_id."""
+    return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, row, n_words, n_hit, items (sorted), longest (words of the longest match) of every row of `docs`; `row` is the hash of doc_id and text."""
-    text = F.coalesce("text", F.lit(""))
-    whole = docs.select("doc_id", F.xxhash64("doc_id", text).alias("row"), text.alias("text"))
+    whole = docs.select("doc_id", row_hash().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     passes = [matches(whole, b) for b in blocks(benchmark, window, block_bytes)]
     found = passes[0]
     if len(passes) > 1:

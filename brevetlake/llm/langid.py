@@ -152,10 +152,10 @@ def classify(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, ranks: in
     return np.where(n > 0, best, -1), np.where(n > 0, np.clip(score, 0, 1), 0.0)
 
 
-def predict(docs: DataFrame, profiles: dict[str, list[int]], ranks: int = RANKS) -> DataFrame:
-    """`docs`, which has a text, with lang_pred and score in place of the text."""
+def predict(docs: DataFrame, profiles: dict[str, list[int]], ranks: int = RANKS, keep_text: bool = False) -> DataFrame:
+    """`docs`, which has a text, with lang_pred and score; without the text, unless it is to be kept."""
     langs = sorted(profiles)
-    rest = [c for c in docs.columns if c != "text"]
+    rest = [c for c in docs.columns if keep_text or c != "text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.full((len(langs), 1 << _GRAM_BITS), ranks, np.int16)
@@ -168,7 +168,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], ranks: int = RANKS)
                 best[a:b], score[a:b] = classify(data, offsets, table, ranks)
             yield pa.record_batch([*(batch.column(c) for c in rest), pa.array(names[best], pa.string()), pa.array(score)], [*rest, "lang_pred", "score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in rest)
     return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
 
 

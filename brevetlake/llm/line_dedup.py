@@ -20,8 +20,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .store import partitions
-
 #: ASCII white space, stripped at both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -33,9 +31,9 @@ def line_key(line: Column) -> Column:
     return F.translate(F.trim(line, F.lit(BLANKS)), _UPPER, _LOWER)
 
 
-def _documents(docs: DataFrame) -> DataFrame:
+def _documents(docs: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"))
+    return docs.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"), *carry)
 
 
 def occurrences(docs: DataFrame, min_chars: int) -> DataFrame:
@@ -68,10 +66,10 @@ def dropped_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) ->
     return words.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("dropped"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """doc_id, text_hash, n_lines, n_dropped, kept_text of every row of `docs`."""
+def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_lines, n_dropped, kept_text and the columns `carry` of every row of `docs`."""
     bitmaps = dropped_bitmaps(docs, min_chars, min_docs).withColumnsRenamed({"doc_id": "b_id", "text_hash": "b_hash"})
-    whole = _documents(docs)
+    whole = _documents(docs, carry)
     joined = whole.join(bitmaps, whole.doc_id.eqNullSafe(F.col("b_id")) & (whole.text_hash == F.col("b_hash")), "left")
     # The words that are not stored are zero: a dense array, so that a line finds its word in one step.
     stored = F.map_from_entries("dropped")
@@ -83,11 +81,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
         bits = F.coalesce(F.get("words", F.floor(at / WORD).cast("int")), F.lit(0).cast("long"))
         return F.getbit(bits, (at % WORD).cast("int")) == 0
 
-    joined = joined.select("doc_id", "text_hash", "text", F.when(F.col("dropped").isNotNull(), dense).alias("words"))
+    joined = joined.select("doc_id", "text", *carry, F.when(F.col("dropped").isNotNull(), dense).alias("words"))
     n_dropped = F.coalesce(F.aggregate("words", F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w)), F.lit(0).cast("long"))
     return joined.select(
         "doc_id",
-        "text_hash",
+        *carry,
         F.size(lines).cast("long").alias("n_lines"),
         n_dropped.alias("n_dropped"),
         F.when(F.col("words").isNull(), F.col("text")).otherwise(F.array_join(F.filter(lines, kept), "\n")).alias("kept_text"),
