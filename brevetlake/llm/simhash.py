@@ -21,6 +21,8 @@ from .store import cut
 BITS = 128
 #: Ids are looked up in buckets of this many values, on three levels.
 ID_BUCKET = 1024
+#: Stands for a missing doc_id.
+NO_ID = -(1 << 63)
 _LANES = 0x0000000100000001
 
 
@@ -133,39 +135,40 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
     The edited text has the last third of the code points replaced by as many from the start of the next document.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
+    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     # Repeated rows share `row`; of several texts with one doc_id the smallest `row` is the document's.
-    whole = docs.select("doc_id", text.alias("text"), F.xxhash64("doc_id", text).alias("row"))
-    rows = cut(whole.select("doc_id", "row", F.length("text").cast("long").alias("n_chars")))
-    following = cut(next_ids(rows))
-    top = following.agg(F.max("doc_id").alias("next_id"))
-    # for_id asks for the first n code points of doc_id.
-    asking = rows.groupBy(F.col("doc_id").alias("for_id")).agg(F.max(F.floor(F.col("n_chars") / 3)).cast("int").alias("n"))
-    chosen = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min("row").alias("row"))
-    links = following.select(F.col("doc_id").alias("for_id"), "next_id").unionByName(top.select(F.lit(None).cast(rows.schema["doc_id"].dataType).alias("for_id"), "next_id"))
-    asked = cut(asking.join(links, asking.for_id.eqNullSafe(links.for_id), "left").select(asking.for_id, "n", "next_id").join(chosen.select(F.col("doc_id").alias("next_id"), F.col("row").alias("next_row")), "next_id"))
-
-    dealt = whole.repartition("doc_id")
-    found = dealt.join(asked, (dealt.doc_id == asked.next_id) & (dealt.row == asked.next_row))
-    heads = found.select(F.col("for_id").alias("head_for"), F.expr("substring(text, 1, n)").alias("head"))
-    heads = heads.groupBy("head_for").agg(F.min("head").alias("head"))
+    whole = docs.select(key.alias("key"), text.alias("text"), F.xxhash64("doc_id", text).alias("row"))
+    rows = cut(whole.select("key", "row", F.length("text").cast("long").alias("n_chars")))
+    following = cut(next_ids(rows.where(F.col("key") != NO_ID).select(F.col("key").alias("doc_id"))))
+    top = following.agg(F.max("doc_id").alias("next_key"))
+    # for_key asks for the first n code points of next_key.
+    asking = rows.groupBy(F.col("key").alias("for_key")).agg(F.max(F.floor(F.col("n_chars") / 3)).cast("int").alias("n"))
+    chosen = rows.groupBy(F.col("key").alias("next_key")).agg(F.min("row").alias("next_row"))
+    links = following.select(F.col("doc_id").alias("for_key"), F.col("next_id").alias("next_key")).unionByName(top.select(F.lit(NO_ID).alias("for_key"), "next_key"))
+    asked = cut(asking.join(links, "for_key").join(chosen, "next_key"))
+
+    # Text is dealt out once, by a key that is never null, and read for both joins.
+    dealt = whole.repartition("key")
+    found = dealt.join(asked, (dealt.key == asked.next_key) & (dealt.row - asked.next_row == 0))
+    heads = found.select(F.col("for_key").alias("head_for"), F.expr("substring(text, 1, n)").alias("head"))
     n_chars = F.length("text").cast("long")
     kept = F.substring(F.col("text"), F.lit(1), (n_chars - F.floor(n_chars / 3)).cast("int"))
     replaced = F.substring(F.coalesce("head", F.lit("")), F.lit(1), F.floor(n_chars / 3).cast("int"))
-    both = dealt.join(heads, dealt.doc_id.eqNullSafe(F.col("head_for")), "left")
-    both = both.select("doc_id", "row", n_chars.alias("n_chars"), "text", F.concat(kept, replaced).alias("edited"))
-    both = both.select("doc_id", "row", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.explode(F.array(F.struct(F.lit(False).alias("is_edited"), "text"), F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text")))).alias("one"))
-    both = both.select("doc_id", "row", "n_chars", "edited_sha256", "one.is_edited", "one.text")
-    prints = fingerprints(both, ["doc_id", "row", "n_chars", "edited_sha256", "is_edited"], "text")
+    both = dealt.join(heads, dealt.key == F.col("head_for"), "left")
+    both = both.select("key", "row", n_chars.alias("n_chars"), "text", F.concat(kept, replaced).alias("edited"))
+    both = both.select("key", "row", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.explode(F.array(F.struct(F.lit(False).alias("is_edited"), "text"), F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text")))).alias("one"))
+    both = both.select("key", "row", "n_chars", "edited_sha256", "one.is_edited", "one.text")
+    prints = fingerprints(both, ["key", "row", "n_chars", "edited_sha256", "is_edited"], "text")
     own = lambda edited, c: F.max(F.when(F.col("is_edited") == edited, F.col(c)))
-    prints = prints.groupBy("doc_id", "row", "n_chars", "edited_sha256").agg(own(False, "f0").alias("f0"), own(False, "f1").alias("f1"), own(True, "f0").alias("e0"), own(True, "f1").alias("e1"))
+    prints = prints.groupBy("key", "row", "n_chars", "edited_sha256").agg(own(False, "f0").alias("f0"), own(False, "f1").alias("f1"), own(True, "f0").alias("e0"), own(True, "f1").alias("e1"))
     prints = cut(prints)
 
-    next_print = prints.select(F.col("doc_id").alias("next_id"), F.col("row").alias("next_row"), F.col("f0").alias("n0"), F.col("f1").alias("n1"))
-    follows = asked.select(F.col("for_id"), "next_id", "next_row").join(next_print, ["next_id", "next_row"]).select("for_id", "n0", "n1")
-    result = prints.join(follows, prints.doc_id.eqNullSafe(follows.for_id), "left")
+    next_print = prints.select(F.col("key").alias("next_key"), F.col("row").alias("next_row"), F.col("f0").alias("n0"), F.col("f1").alias("n1"))
+    follows = asked.join(next_print, ["next_key", "next_row"]).select(F.col("for_key").alias("key"), "n0", "n1").distinct()
+    result = prints.join(follows, "key", "left")
     # Repeated rows come back as often as they were there.
-    copies = rows.groupBy("doc_id", "row").agg(F.count(F.lit(1)).cast("int").alias("copies")).where("copies > 1").withColumnsRenamed({"doc_id": "c_id", "row": "c_row"})
-    result = result.join(copies, result.doc_id.eqNullSafe(copies.c_id) & (result.row == copies.c_row), "left")
-    result = result.withColumn("copy", F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1)))))
+    copies = rows.groupBy("key", "row").agg(F.count(F.lit(1)).cast("int").alias("copies")).where("copies > 1")
+    result = result.join(copies, ["key", "row"], "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1)))))
     f, e, n = ((F.col(f"{x}0"), F.col(f"{x}1")) for x in "fen")
-    return result.select("doc_id", "n_chars", "edited_sha256", as_hex(*f).alias("fingerprint"), as_hex(*e).alias("edited_fingerprint"), likeness(f, e).alias("near_edited"), F.coalesce(likeness(f, n), F.lit(1.0)).alias("near_next"))
+    doc_id = F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id")
+    return result.select(doc_id, "n_chars", "edited_sha256", as_hex(*f).alias("fingerprint"), as_hex(*e).alias("edited_fingerprint"), likeness(f, e).alias("near_edited"), F.coalesce(likeness(f, n), F.lit(1.0)).alias("near_next"))
