@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .store import cut
+
 #: ASCII white space, stripped at both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -56,7 +58,8 @@ def repeated_keys(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
 def dropped_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """(doc_id, text_hash, dropped): for each document that loses lines, the words of its bitmap that are not zero, as array<struct<word, bits>>."""
     docs = _documents(docs)
-    repeats = repeated_keys(docs, min_chars, min_docs)
+    # Written, so that the join has a plain exchange on either side and a hot key is split like any skewed join.
+    repeats = cut(repeated_keys(docs, min_chars, min_docs))
     found = occurrences(docs, min_chars).join(repeats, ["h1", "h2"]).where(F.col("doc_id") < F.col("first_doc"))
     word = F.floor(F.col("position") / WORD).cast("int")
     bit = F.expr(f"shiftleft(1L, cast(position % {WORD} as int))")
