@@ -1,49 +1,6 @@
 """Every query of the library by name, and the SQL that checks it."""
 
-from __future__ import annotations
+from . import queries_domain, queries_relational, queries_text  # noqa: F401  (they register their queries)
+from .registry import ORACLES, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-Query = Callable[[SparkSession, str], DataFrame]
-
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under `name`, with the SQL that gives the same rows."""
-
-    def register(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql:
-            ORACLES[name] = sql
-        return f
-
-    return register
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-@query(
-    "q_scope_closure",
-    """
-    WITH a AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus IN ('F', 'O') AND year(o_orderdate) > 1992),
-         p AS (SELECT c_custkey FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_regionkey = 3),
-         f AS (SELECT DISTINCT o_custkey FROM a WHERE o_custkey IN (SELECT c_custkey FROM p)
-               AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linenumber > 0))
-    SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey IN (SELECT o_custkey FROM f)
-    """,
-)
-def scope_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, persons = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    nations, roles = table(spark, sf_dir, "nation"), table(spark, sf_dir, "lineitem")
-    scoped = orders.where(F.col("o_orderstatus").isin("F", "O") & (F.year("o_orderdate") > 1992))
-    people = persons.join(nations.where("n_regionkey = 3"), persons.c_nationkey == nations.n_nationkey, "left_semi")
-    applied = scoped.join(roles.where("l_linenumber > 0"), scoped.o_orderkey == roles.l_orderkey, "left_semi")
-    families = applied.join(people, applied.o_custkey == people.c_custkey, "left_semi").select("o_custkey").distinct()
-    return orders.join(families, "o_custkey", "left_semi").select("o_orderkey", "o_custkey", "o_orderstatus")
+__all__ = ["ORACLES", "QUERIES"]
