@@ -36,8 +36,8 @@ from .store import cut
 WINDOW, GRAM = 200, 40
 #: Window starts that are looked at together.
 SLICE = 1 << 21
-#: Different runs of a bucket that are compared in one task; runs a shard counts for, above; different runs up to which shards are used.
-SMALL_BUCKET, SHARD, LARGE_BUCKET = 512, 128, 8192
+#: Different runs of a bucket that are compared in one task; above, runs for each shard, and shards at most; different runs up to which shards are used.
+SMALL_BUCKET, SHARD, SHARDS, LARGE_BUCKET = 512, 256, 64, 1 << 16
 
 _GRAM_BYTES, _SPAN_BYTES = scan.byte_values(21), scan.byte_values(22)
 _U = np.uint64
@@ -132,54 +132,56 @@ def pieces(asked: DataFrame, window: int, large: bool) -> DataFrame:
 
 
 def repeated_windows(rows: DataFrame, window: int) -> DataFrame:
-    """key, start, n: the windows of single runs that another run of the bucket has, too, neighbours put together."""
+    """key, start, n (null), places: for single runs, the offsets of the windows that another run of the bucket has, too."""
 
     def compare(table: pa.Table) -> pa.Table:
         keys, starts, single = (table.column(c).to_pylist() for c in ("key", "start", "single"))
         bodies, places = table.column("body").to_pylist(), table.column("places").to_pylist()
         names = [np.frombuffer(b, _U) if p else window_names(b, window) for b, p in zip(bodies, places, strict=True)]
-        offsets = [np.frombuffer(p, np.int32) if p else np.arange(len(x)) for p, x in zip(places, names, strict=True)]
-        row = np.repeat(np.arange(len(names)), [len(x) for x in names])
-        every, at = np.concatenate(names), np.concatenate(offsets)
+        offsets = [np.frombuffer(p, np.int32) if p else np.arange(len(x), dtype=np.int32) for p, x in zip(places, names, strict=True)]
+        ends = np.cumsum([len(x) for x in names])
+        every = np.concatenate(names)
         order = np.argsort(every, kind="stable")
         same = every[order][1:] == every[order][:-1]
         twice = np.zeros(len(every), bool)
         twice[order[1:][same]] = True
         twice[order[:-1][same]] = True
-        twice &= np.array(single, bool)[row]
-        hit = np.flatnonzero(twice)
-        row, at = row[hit], at[hit]
-        first = np.ones(len(hit), bool)
-        first[1:] = (row[1:] != row[:-1]) | (at[1:] != at[:-1] + 1)
-        begin = np.flatnonzero(first)
-        n = np.diff(np.append(begin, len(hit)))
-        return pa.table([pa.array([keys[k] for k in row[begin].tolist()], pa.int64()), pa.array([starts[k] + a for k, a in zip(row[begin].tolist(), at[begin].tolist(), strict=True)], pa.int64()), pa.array(n.astype(np.int32))], ["key", "start", "n"])
+        found = [(k, s, None, at[hit].tobytes()) for k, s, one, at, hit in zip(keys, starts, single, offsets, np.split(twice, ends[:-1]), strict=True) if one and hit.any()]
+        columns = list(zip(*found, strict=True)) or [(), (), (), ()]
+        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["key", "start", "n", "places"])
 
-    return rows.groupBy("bucket", "shard").applyInArrow(compare, "key long, start long, n int")
+    return rows.groupBy("bucket", "shard").applyInArrow(compare, "key long, start long, n int, places binary")
 
 
 def remove(docs: DataFrame, window: int, keep_bytes: bool) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (bytes) of every row of `docs` (doc_id, text, spans: starts and numbers of repeated windows)."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (bytes) of every row of `docs` (doc_id, text, spans: of repeated windows the start and number, or the start and each offset)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             spans = batch.column("spans")
-            first, until = spans.offsets.to_numpy(), spans.values
-            lows, ns = until.field("start").to_numpy(), until.field("n").to_numpy()
+            first, entries = spans.offsets.to_numpy(), spans.values
+            starts, numbers = entries.field("start").to_numpy(), entries.field("n").fill_null(0).to_numpy()
+            single = entries.field("places")
+            alone = np.flatnonzero(single.is_valid().to_numpy(zero_copy_only=False))
             valid = spans.is_valid().to_pylist()
             n_bytes, n_removed, n_spans, kept = [], [], [], []
             for k, text in enumerate(scan.as_text(batch.column("text"))):
                 body = text.as_buffer().to_pybytes()
                 n_bytes.append(len(body))
-                low = lows[first[k] : first[k + 1]] if valid[k] else lows[:0]
-                if not len(low):
+                a, b = (first[k], first[k + 1]) if valid[k] else (0, 0)
+                if a == b:
                     n_removed.append(0)
                     n_spans.append(0)
                     kept.append(body)
                     continue
                 edge = np.zeros(len(body) + 1, np.int32)
-                np.add.at(edge, low, 1)
-                np.add.at(edge, low + ns[first[k] : first[k + 1]] + window - 1, -1)
+                low, n = starts[a:b], numbers[a:b]
+                np.add.at(edge, low[n > 0], 1)
+                np.add.at(edge, (low + n)[n > 0] + window - 1, -1)
+                for j in alone[np.searchsorted(alone, a) : np.searchsorted(alone, b)]:
+                    at = starts[j] + np.frombuffer(single[j].as_py(), np.int32)
+                    edge[at] += 1
+                    edge[at + window] -= 1
                 gone = np.cumsum(edge[:-1]) > 0
                 n_removed.append(int(gone.sum()))
                 n_spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
@@ -209,10 +211,10 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sm
     place = F.col("start") * 65536 + F.col("n")
     counted = found.groupBy("bucket", "span").agg(F.count(F.lit(1)).alias("held"), F.max("key").alias("key"), F.max_by(place, F.col("key")).alias("place"))
     counted = cut(counted)
-    complete = found.join(counted.where("held > 1").select("bucket", "span"), ["bucket", "span"]).select("key", "start", "n")
+    complete = found.join(counted.where("held > 1").select("bucket", "span"), ["bucket", "span"]).select("key", "start", "n", F.lit(None).cast("binary").alias("places"))
     # 3. Buckets where a run that occurs once meets others.
     open_ = counted.groupBy("bucket").agg(F.count(F.lit(1)).alias("different"), F.max((F.col("held") == 1).cast("int")).alias("single")).where("different > 1 and single = 1")
-    shards = F.when(F.col("different") <= small, 1).when(F.col("different") <= large, F.ceil(F.col("different") / SHARD)).otherwise(0)
+    shards = F.when(F.col("different") <= small, 1).when(F.col("different") <= large, F.least(F.ceil(F.col("different") / SHARD), F.lit(SHARDS))).otherwise(0)
     open_ = cut(open_.select("bucket", shards.cast("int").alias("shards")))
     wanted = counted.join(open_, "bucket")
     start = F.shiftright("place", 16)
@@ -225,6 +227,6 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sm
     if not open_.where("shards = 0").isEmpty():
         rows = pieces(asked, window, True)
         twice = cut(rows.groupBy("bucket", "shard").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("bucket", "shard"))
-        spans = spans.unionByName(rows.where("single").join(twice, ["bucket", "shard"]).select("key", "start", F.lit(1).alias("n")))
-    spans = spans.groupBy(F.col("key").alias("of")).agg(F.collect_list(F.struct("start", "n")).alias("spans"))
+        spans = spans.unionByName(rows.where("single").join(twice, ["bucket", "shard"]).select("key", "start", F.lit(1).alias("n"), F.lit(None).cast("binary").alias("places")))
+    spans = spans.groupBy(F.col("key").alias("of")).agg(F.collect_list(F.struct("start", "n", "places")).alias("spans"))
     return remove(dealt.join(spans, dealt.key == F.col("of"), "left").select("doc_id", "text", "spans"), window, keep_bytes)
