@@ -102,10 +102,13 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS, ranks: int = RANKS) ->
     About `train_docs` documents of each label are used, chosen by the hash of doc_id; sums and ranks are Spark's.
     """
     labelled = docs.where("lang is not null")
-    shares = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n_docs"))
-    sample = labelled.select("doc_id", "lang", "text").join(shares, "lang")
+    # One row for each label comes to the driver; text is filtered where it is read.
+    sizes = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.count(F.lit(1))).collect()}
+    if not sizes:
+        return {}
+    share = F.element_at(F.create_map(*[F.lit(x) for lang in sorted(sizes) for x in (lang, train_docs / sizes[lang])]), F.col("lang"))
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) / float(1 << 30)
-    sample = sample.where(draw * F.col("n_docs") < train_docs).select("lang", "text")
+    sample = labelled.where(draw < share).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,8 +124,7 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS, ranks: int = RANKS) ->
     sums = sample.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
     try:
         # Bounded: `ranks` rows for each label come to the driver.
-        langs = sorted(r[0] for r in sums.select("lang").distinct().collect())
-        return {lang: [r[0] for r in sums.where(F.col("lang") == lang).orderBy(F.col("n").desc(), "gram").limit(ranks).select("gram").collect()] for lang in langs}
+        return {lang: [r[0] for r in sums.where(F.col("lang") == lang).orderBy(F.col("n").desc(), "gram").limit(ranks).select("gram").collect()] for lang in sorted(sizes)}
     finally:
         sums.unpersist()
 
