@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from itertools import groupby
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -19,17 +21,28 @@ class Rule(NamedTuple):
 
 
 def repair(c: Column, rules: Sequence[Rule]) -> Column:
-    """The text after all rules.  A rule's input stands in its expression once, so many rules make a long expression, not an exponential one."""
+    """The text after all rules.
 
-    def step(x: Column, rule: Rule) -> Column:
-        return F.regexp_replace(x, rule.pattern, rule.to) if rule.regex else F.replace(x, F.lit(rule.pattern), F.lit(rule.to))
+    A rule's input stands in its expression once; conditional rules that follow each other are one fold over an array, as
+    nested conditions would double the expression with each rule.
+    """
+    for conditional, run in groupby(rules, key=lambda r: r.when is not None):
+        c = _fold(c, list(run)) if conditional else reduce(_plain, run, c)
+    return c
 
-    def where_found(rule: Rule):
-        return lambda x: F.when(x.rlike(rule.when), step(x, rule)).otherwise(x)
 
-    for rule in rules:
-        c = F.transform(F.array(c), where_found(rule))[0] if rule.when else step(c, rule)
-    return c
+def _plain(c: Column, rule: Rule) -> Column:
+    return F.regexp_replace(c, rule.pattern, rule.to) if rule.regex else F.replace(c, F.lit(rule.pattern), F.lit(rule.to))
+
+
+def _fold(c: Column, rules: Sequence[Rule]) -> Column:
+    table = F.array(*(F.struct(F.lit(r.pattern).alias("pattern"), F.lit(r.to).alias("to"), F.lit(r.regex).alias("regex"), F.lit(r.when).alias("when")) for r in rules))
+
+    def step(text: Column, r: Column) -> Column:
+        new = F.when(r["regex"], F.regexp_replace(text, r["pattern"], r["to"])).otherwise(F.replace(text, r["pattern"], r["to"]))
+        return F.when(F.rlike(text, r["when"]), new).otherwise(text)
+
+    return F.aggregate(table, c, step)
 
 
 def misread(letters: str) -> list[Rule]:

@@ -246,13 +246,13 @@ _GREEK |= {"\\" + n: unicodedata.lookup(f"GREEK CAPITAL LETTER {'LAMDA' if n ==
 _GREEK |= {r"\times": "×", r"\gg": "≫", r"\ll": "≪", r"\pm": "±", r"\leq": "≤", r"\geq": "≥", r"\cdot": "·", r"\to": "→"}
 
 
+def _signs(t: str) -> str:
+    return re.sub(r"[{}]", "", re.sub(r"\\[A-Za-z]+", lambda m: _GREEK.get(m[0], ""), t)) if "\\" in t else t
+
+
 def plain_formula(t: str) -> str:
     """Formulas without their markup: names of letters and signs become the signs, braces and other commands go."""
-    t = re.sub(r"\$(.*?)\$", r"\1", t)
-    if "\\" in t:
-        t = re.sub(r"\\[A-Za-z]+", lambda m: _GREEK.get(m[0], ""), t)
-        t = re.sub(r"[{}]", "", t)
-    return t
+    return _signs(re.sub(r"\$(.*?)\$", lambda m: _signs(m[1]), t))
 
 
 def scientific_text(t: str) -> str:
