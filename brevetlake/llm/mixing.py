@@ -61,7 +61,7 @@ def targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float
     ranked = ranked.withColumn("target", F.least("limit", F.coalesce(level * F.col("weight"), F.col("limit"))))
     up_to = F.sum("target").over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, 0))
     ranked = ranked.withColumn("total", F.sum("target").over(everything)).withColumn("up_to", up_to)
-    edge = lambda x: F.floor(F.lit(RING) * x / F.col("total")).cast("long")
+    edge = lambda x: F.coalesce(F.floor(F.try_divide(F.lit(float(RING)) * x, F.col("total"))).cast("long"), F.lit(0).cast("long"))
     return ranked.select("source", "number", "weight", "source_size", "target", "total", edge(F.col("up_to") - F.col("target")).alias("low"), edge(F.col("up_to")).alias("high"))
 
 
