@@ -35,3 +35,8 @@ def cut(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+
+def partitions(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions, for exchanges that want a number."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
