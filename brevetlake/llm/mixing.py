@@ -28,7 +28,7 @@ SLOTS_A_SOURCE, BLOCK_TOKENS = 1024, 4096
 #: Hexadecimal digits of the shuffle that make a bucket: 4096 buckets for each source.
 BUCKET_DIGITS = 3
 #: Slots ranked together.
-SLOT_RUN = 4096
+SLOT_RUN = 512
 #: Cells of the ring, by which slots find their source.
 CELLS = 4096
 
