@@ -1,6 +1,6 @@
 """Removal of documents that hold passages of a benchmark, by suffix arrays of the training text.
 
-Each batch of documents is a shard.  Its words become numbers of the benchmark's vocabulary; only positions from where
+Some megabytes of documents are a shard.  Its words become numbers of the benchmark's vocabulary; only positions from where
 enough such words follow can match, and these are sorted by the words that follow: the shard's suffix array, to the depth of
 a window.  Every suffix of every benchmark item is looked up in it by binary search, which gives all places of the
 window; neighbouring places join to the longest verbatim matches.
@@ -25,8 +25,8 @@ from . import scan
 
 #: Words of a window.
 WINDOW = 10
-#: Bytes of benchmark text in one block.
-BLOCK_BYTES = 8 << 20
+#: Bytes of benchmark text in one block, and of training text in one shard.
+BLOCK_BYTES, SHARD_BYTES = 8 << 20, 8 << 20
 
 
 class Block:
@@ -112,7 +112,7 @@ def matches(docs: DataFrame, block: Block) -> DataFrame:
     """doc_id, row, n_words and matches (longest verbatim ones: item_id, first word, words) of every row of `docs` (doc_id, row, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in scan.shards(batches, "text", SHARD_BYTES):
             n_words, doc, first, which = find(batch.column("text"), block)
             item, place, length = block.item[which], block.place[which], block.length[which]
             # Windows that continue each other, in the document and in the item, make one match.

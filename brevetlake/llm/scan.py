@@ -79,6 +79,18 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         row = end
 
 
+def shards(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
+    """The batches in parts with at most `limit` bytes of a text column, one row at least."""
+    for batch in batches:
+        ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_numpy()
+        row = 0
+        while row < batch.num_rows:
+            before = ends[row - 1] if row else 0
+            end = max(row + 1, int(np.searchsorted(ends, before + limit, side="right")))
+            yield batch.slice(row, end - row)
+            row = end
+
+
 def word_table(is_word) -> np.ndarray:
     """256 entries: 0 for a separator, else the byte with A-Z lower-cased."""
     table = np.zeros(256, np.uint8)
