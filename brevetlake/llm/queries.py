@@ -98,6 +98,47 @@ ORACLES: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT dropped), '')) AS kept_sha256
         FROM judged GROUP BY doc_id
     """,
+    "op3_minhash": r"""
+        WITH RECURSIVE lowered AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+            FROM documents),
+        shingle AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 5 THEN list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))
+                                                WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS s
+            FROM lowered),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+        near AS (
+            SELECT a, b FROM common c JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c.n >= 85 * (x.n + y.n - c.n)),
+        links AS (SELECT a, b FROM near UNION ALL SELECT b, a FROM near),
+        reached AS (
+            SELECT a AS id, a AS other FROM links UNION SELECT r.id, l.b FROM reached r JOIN links l ON l.a = r.other),
+        component AS (SELECT id, min(other) AS component_id FROM reached GROUP BY id)
+        SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, d.doc_id) AS component_id, coalesce(component_id, d.doc_id) = d.doc_id AS kept
+        FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN component c ON c.id = d.doc_id
+    """,
+    "op4_decontaminate": r"""
+        WITH text AS (
+            SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark),
+        lowered AS (
+            SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+            FROM text),
+        item AS (SELECT id AS item_id, words, least(len(words), 10) AS width FROM lowered WHERE side = 'b' AND len(words) > 0),
+        part AS (
+            SELECT DISTINCT item_id, width, unnest(list_transform(range(1, len(words) - width + 2), lambda i: array_to_string(words[i:i + width - 1], ' '))) AS s FROM item),
+        width AS (SELECT DISTINCT width FROM part),
+        place AS (
+            SELECT id AS doc_id, width, words, unnest(range(1, len(words) - width + 2)) AS i FROM lowered, width WHERE side = 'd'),
+        found AS (
+            SELECT p.doc_id, p.i, p.width, q.item_id FROM place p JOIN part q ON q.width = p.width AND q.s = array_to_string(p.words[p.i:p.i + p.width - 1], ' ')),
+        hit AS (SELECT doc_id, count(DISTINCT w) AS n FROM (SELECT doc_id, unnest(range(i, i + width)) AS w FROM found) GROUP BY doc_id),
+        items AS (
+            SELECT doc_id, count(DISTINCT item_id) AS n, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS list FROM found GROUP BY doc_id)
+        SELECT id AS doc_id, len(words)::BIGINT AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(i.n, 0) AS n_items,
+               sha256(coalesce(list, '')) AS items_sha256, coalesce(h.n, 0) > 0 AS contaminated
+        FROM lowered LEFT JOIN hit h ON h.doc_id = id LEFT JOIN items i ON i.doc_id = id WHERE side = 'd'
+    """,
     "op9_mixing": r"""
         WITH sized AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,

@@ -13,6 +13,9 @@ of rows that repeat a doc_id the one with the smallest hash counts as that docum
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,37 +99,57 @@ def next_ids(ids: DataFrame) -> DataFrame:
     return found.select("doc_id", F.coalesce("next", F.lit(top)).alias("next_id"))
 
 
-def near_fingerprints(prints: DataFrame, radius: int = 3) -> DataFrame:
+def _masked(f0: Column, f1: Column, ranges: list[tuple[int, int]]) -> list[Column]:
+    """The bits of the ranges, all others 0: bits 0 to 63 are those of f0, from the lowest, the rest those of f1."""
+    out = []
+    for word, start in ((f0, 0), (f1, 64)):
+        mask = 0
+        for low, high in ranges:
+            a, b = max(low, start) - start, min(high, start + 64) - start
+            if a < b:
+                mask |= ((1 << (b - a)) - 1) << a
+        if mask:
+            out.append(word.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long")))
+    return out
+
+
+def near_fingerprints(prints: DataFrame, radius: int = 3, crowded: int = 1000) -> DataFrame:
     """a0, a1, b0, b1, distance: all pairs of different fingerprints (f0, f1) at most `radius` bits apart.
 
-    The 128 bits are cut into radius + 1 blocks; two fingerprints within the radius agree on one block at least.  Each block
-    is a table keyed by its bits.  `prints` is made distinct first, so copies of a text are one row; a pair is kept
-    only in the table of the first block on which it agrees.
+    The 128 bits are cut into radius + 1 blocks; two fingerprints within the radius agree on one block at least, so each block is
+    a table keyed by its bits.  `prints` is made distinct first, so copies of a text are one row; a pair is kept only in the
+    table of the first block on which it agrees.
+
+    A bucket with more than `crowded` fingerprints is not compared as it is: the other bits are cut into twice `radius` pieces, of
+    which a pair agrees on half at least, and each choice of half of the pieces is a table of its own.
     """
-    prints = prints.select("f0", "f1").distinct()
+    prints = cut(prints.select("f0", "f1").distinct())
     edges = [BITS * k // (radius + 1) for k in range(radius + 2)]
-
-    def block(k: int, f0: Column, f1: Column) -> Column:
-        low, high = edges[k], edges[k + 1]
-        parts = []
-        for word, start in ((f0, 0), (f1, 64)):
-            a, b = max(low, start), min(high, start + 64)
-            if a < b:
-                mask = (((1 << (b - a)) - 1) << (a - start)) & 0xFFFFFFFFFFFFFFFF
-                parts.append(word.bitwiseAND(F.lit(mask - (1 << 64) if mask >> 63 else mask).cast("long")))
-        return F.xxhash64(F.lit(k), *parts)
-
-    def side(name: str) -> DataFrame:
-        keys = F.array(*[block(k, F.col("f0"), F.col("f1")) for k in range(radius + 1)])
-        rows = prints.select(F.col("f0").alias(f"{name}0"), F.col("f1").alias(f"{name}1"), keys.alias(f"{name}_keys"))
-        return rows.select("*", F.posexplode(f"{name}_keys").alias(f"{name}_k", "key"))
-
-    a, b = side("a"), side("b")
-    pairs = a.join(b.withColumnRenamed("b_k", "k2"), "key").where("a0 < b0 or (a0 = b0 and a1 < b1)")
-    agree = F.array_position(F.zip_with("a_keys", "b_keys", lambda x, y: x == y), True)
-    distance = F.bit_count(F.col("a0").bitwiseXOR(F.col("b0"))) + F.bit_count(F.col("a1").bitwiseXOR(F.col("b1")))
-    pairs = pairs.withColumn("distance", distance.cast("int")).where((F.col("distance") <= radius) & (agree == F.col("a_k") + 1))
-    return pairs.select("a0", "a1", "b0", "b1", "distance")
+    blocks = list(zip(edges[:-1], edges[1:], strict=True))
+    f0, f1 = F.col("f0"), F.col("f1")
+    tables = F.array(*(F.struct(F.lit(k).alias("k"), F.xxhash64(F.lit(k), *_masked(f0, f1, [r])).alias("key")) for k, r in enumerate(blocks)))
+    rows = prints.select("f0", "f1", F.inline(tables))
+    sizes = cut(rows.groupBy("k", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
+    rows = cut(rows.join(sizes, ["k", "key"]))
+
+    def finer(k: int) -> Column:
+        rest = [x for j, (low, high) in enumerate(blocks) if j != k for x in range(low, high)]
+        pieces = [[(x, x + 1) for x in rest[len(rest) * j // (2 * radius) : len(rest) * (j + 1) // (2 * radius)]] for j in range(2 * radius)]
+        return F.array(*(F.xxhash64("key", F.lit(n), *_masked(f0, f1, [r for j in choice for r in pieces[j]])) for n, choice in enumerate(combinations(range(2 * radius), radius))))
+
+    keys = F.when(F.col("size") <= crowded, F.array("key"))
+    for k in range(radius + 1):
+        keys = keys.when(F.col("k") == k, finer(k)) if radius else keys
+    dealt = rows.select("k", "f0", "f1", F.explode(keys.otherwise(F.array("key"))).alias("key"))
+    side = lambda n: dealt.select("k", "key", F.col("f0").alias(f"{n}0"), F.col("f1").alias(f"{n}1"))
+    pairs = side("a").join(side("b"), ["k", "key"]).where("a0 < b0 or (a0 = b0 and a1 < b1)")
+    x0, x1 = F.col("a0").bitwiseXOR(F.col("b0")), F.col("a1").bitwiseXOR(F.col("b1"))
+    pairs = pairs.withColumn("distance", (F.bit_count(x0) + F.bit_count(x1)).cast("int")).where(F.col("distance") <= radius)
+    agrees = [reduce(lambda p, q: p & q, (m == 0 for m in _masked(x0, x1, [r]))) for r in blocks]
+    first = F.lit(None).cast("int")
+    for k in reversed(range(radius + 1)):
+        first = F.when(agrees[k], k).otherwise(first)
+    return pairs.where(first == F.col("k")).select("a0", "a1", "b0", "b1", "distance").distinct()
 
 
 def compare_with_edits(docs: DataFrame) -> DataFrame:

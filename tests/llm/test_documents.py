@@ -159,13 +159,14 @@ def test_next_ids_over_gaps(spark):
     assert found == dict(zip(ids, [ids[-1], *ids[:-1]], strict=True))
 
 
-def test_near_fingerprints(spark):
+@pytest.mark.parametrize("crowded", [1000, 1])
+def test_near_fingerprints(spark, crowded):
     rng = random.Random(4)
     base = [rng.getrandbits(128) for _ in range(40)]
     prints = list(dict.fromkeys(base + [b ^ sum(1 << k for k in rng.sample(range(128), rng.randrange(1, 6))) for b in base for _ in range(3)]))
     signed = lambda x: x - (1 << 64) if x >> 63 else x
     halves = {(signed(p >> 64), signed(p & (1 << 64) - 1)): p for p in prints}
-    df = simhash.near_fingerprints(spark.createDataFrame(list(halves) * 2, "f0 long, f1 long"), 3)
+    df = simhash.near_fingerprints(spark.createDataFrame(list(halves) * 2, "f0 long, f1 long"), 3, crowded)
     found = sorted((*sorted((halves[r.a0, r.a1], halves[r.b0, r.b1])), r.distance) for r in df.collect())
     want = sorted((*sorted((p, q)), (p ^ q).bit_count()) for i, p in enumerate(prints) for q in prints[:i] if (p ^ q).bit_count() <= 3)
     assert found == want
