@@ -75,3 +75,10 @@ ratio_column, token_sort_column, token_set_column = _batch(ratio), _batch(token_
 def distance(a: Column, b: Column, most: int | None = None) -> Column:
     """Edit distance; -1 beyond `most`."""
     return F.levenshtein(a, b) if most is None else F.levenshtein(a, b, most)
+
+
+@F.pandas_udf(T.StructType([T.StructField("first", T.StringType()), T.StructField("second", T.StringType()), T.StructField("common", T.BooleanType())]))
+def without_common_column(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+    """Both names without the words that they share but for a slip, and whether they share any."""
+    rows = [(None, None, None) if x is None or y is None else without_common_words(x, y) for x, y in zip(a, b, strict=True)]
+    return pd.DataFrame(rows, columns=["first", "second", "common"])

@@ -60,4 +60,4 @@ LOOKALIKES = [Rule(a, b, when="[A-Za-z]") for a, b in zip("АВЕКМНОРСТ
 
 def is_latin(c: Column) -> Column:
     """Only Latin letters, digits, punctuation, spaces and marks."""
-    return F.length(F.regexp_replace(c, r"[\p{IsLatin}\p{N}\p{P}\p{S}\p{Z}\p{M}]", "")) == 0
+    return F.length(F.regexp_replace(c, r"[\p{IsLatin}\p{N}\p{P}\p{S}\p{Z}\p{M}\s]", "")) == 0

@@ -70,3 +70,27 @@ def nested_publications(rows: DataFrame, keys: Sequence[str], work: Sequence[str
     first = work[0]
     works = rows.groupBy(*keys, first).agg(*(F.min_by(c, F.struct(*[F.coalesce(F.col(x).cast("string"), F.lit("")) for x in work])).alias(c) for c in work[1:]), F.array_sort(F.collect_set(F.struct(*author))).alias("authors"))
     return works.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*work, "authors"))).alias("publications"))
+
+
+def years_to_rows(df: DataFrame, ids: Sequence[str], stem: str, name: str, default: str) -> DataFrame:
+    """One row for each column that is named by the stem and a year; a missing value is that of the column `default`."""
+    columns = [c for c in df.columns if c.startswith(stem) and c[len(stem) :].isdigit()]
+    long_ = df.select(*ids, F.col(default).alias("__default"), *columns).unpivot([*ids, "__default"], columns, "__column", name)
+    value = F.when(F.col(name).isNull() | (F.col(name) == ""), F.col("__default")).otherwise(F.col(name))
+    return long_.select(*ids, F.regexp_extract("__column", r"(\d+)$", 1).cast("int").alias("year"), value.alias(name))
+
+
+def flatten_records(df: DataFrame, column: str, schema: str, path: Sequence[str], meta: Sequence[str]) -> DataFrame:
+    """Records of a list inside a JSON text, each with some of the outer fields; a text that doesn't parse has none."""
+    parsed = F.from_json(F.col(column), schema)
+    inner = parsed
+    for part in path:
+        inner = inner[part]
+    rest = [c for c in df.columns if c != column]
+    return df.select(*rest, *(parsed[m].alias(m) for m in meta), F.inline(inner))
+
+
+def split_rows(df: DataFrame, key: str, share: float, salt: str = "") -> tuple[DataFrame, DataFrame]:
+    """Two parts by the digest of a key: about `share` of the rows, and the rest.  The same on any cluster and at any size."""
+    place = F.conv(F.substring(F.md5(F.concat(F.lit(salt), F.col(key).cast("string")).cast("binary")), 1, 8), 16, 10).cast("long")
+    return df.where(place < int(share * (1 << 32))), df.where(place >= int(share * (1 << 32)))

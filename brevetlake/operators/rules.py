@@ -29,3 +29,19 @@ def apply_rules(df: DataFrame, key: str, rules: DataFrame, columns: Sequence[str
         fixed = F.when(F.col(f"__{c}.value") == "", F.lit(None)).otherwise(F.col(f"__{c}.value"))
         out = out.withColumn(c, F.when(F.col(f"__{c}").isNotNull(), fixed).otherwise(F.col(c)))
     return out.select(*df.columns)
+
+
+def consistent_types(df: DataFrame) -> DataFrame:
+    """Category, group, sex and registry number made to agree with the type: persons (pp) have fixed ones and no number; organisations (pm) without a group of their own have fixed ones and no sex."""
+    person = F.col("type") == "pp"
+    plain = (F.col("type") == "pm") & (F.coalesce(F.col("esri"), F.lit("AUTRE")) == "AUTRE")
+    wrong = (F.col("type") == "pm") & (F.col("category_libelle") == "Personne physique")
+    nothing = F.lit(None).cast("string")
+    return df.withColumns(
+        {
+            "category_libelle": F.when(person, "Personne physique").when(plain, "Personne morale").when(wrong, nothing).otherwise(F.col("category_libelle")),
+            "esri": F.when(person | plain, "AUTRE").otherwise(F.col("esri")),
+            "sexe": F.when(plain, nothing).otherwise(F.col("sexe")),
+            "siren": F.when(person, nothing).otherwise(F.col("siren")),
+        }
+    )

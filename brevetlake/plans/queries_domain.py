@@ -61,9 +61,9 @@ def propagate_unique(t: Tables) -> DataFrame:
 @query(
     "q_cascade",
     """
-    WITH s AS (SELECT o_custkey, o_orderstatus, o_orderpriority, o_orderkey FROM orders WHERE o_orderkey % 2 = 0),
-         r AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 2 = 1),
-         a AS (SELECT r.o_orderkey, max(s.o_orderkey) AS match FROM r JOIN s USING (o_custkey, o_orderstatus, o_orderpriority) GROUP BY 1 HAVING count(DISTINCT s.o_orderkey) = 1),
+    WITH s AS (SELECT o_custkey, year(o_orderdate) AS o_orderyear, o_orderpriority, o_orderkey FROM orders WHERE o_orderstatus <> 'P'),
+         r AS (SELECT o_orderkey, o_custkey, year(o_orderdate) AS o_orderyear, o_orderpriority FROM orders WHERE o_orderstatus = 'P'),
+         a AS (SELECT r.o_orderkey, max(s.o_orderkey) AS match FROM r JOIN s USING (o_custkey, o_orderyear, o_orderpriority) GROUP BY 1 HAVING count(DISTINCT s.o_orderkey) = 1),
          r2 AS (SELECT * FROM r WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a)),
          b AS (SELECT r2.o_orderkey, max(s.o_orderkey) AS match FROM r2 JOIN s USING (o_custkey, o_orderpriority) GROUP BY 1 HAVING count(DISTINCT s.o_orderkey) = 1),
          r3 AS (SELECT * FROM r2 WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b)),
@@ -72,10 +72,11 @@ def propagate_unique(t: Tables) -> DataFrame:
     """,
 )
 def cascade(t: Tables) -> DataFrame:
-    solved = t.orders.where("o_orderkey % 2 = 0").select("o_custkey", "o_orderstatus", "o_orderpriority", F.col("o_orderkey").alias("match"))
-    rows = t.orders.where("o_orderkey % 2 = 1").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    year = F.year("o_orderdate").alias("o_orderyear")
+    solved = t.orders.where("o_orderstatus <> 'P'").select("o_custkey", year, "o_orderpriority", F.col("o_orderkey").alias("match"))
+    rows = t.orders.where("o_orderstatus = 'P'").select("o_orderkey", "o_custkey", year, "o_orderpriority")
     by = lambda *on: lambda rest: rest.join(solved.select(*on, "match"), list(on)).select("o_orderkey", "match")
-    return gates.cascade(rows, ["o_orderkey"], "match", [("all", by("o_custkey", "o_orderstatus", "o_orderpriority")), ("priority", by("o_custkey", "o_orderpriority")), ("customer", by("o_custkey"))])
+    return gates.cascade(rows, ["o_orderkey"], "match", [("all", by("o_custkey", "o_orderyear", "o_orderpriority")), ("priority", by("o_custkey", "o_orderpriority")), ("customer", by("o_custkey"))])
 
 
 @query(
@@ -303,3 +304,95 @@ def classify(t: Tables) -> DataFrame:
     model = participants.classifier(rows, "label", ["person_name"])
     known = rows.where("label = 0").select("person_name", F.lit("pm").alias("type"))
     return participants.classify(rows.drop("label"), model, known, ["person_name"])
+
+
+@query(
+    "q_type_rules",
+    """
+    SELECT c_custkey, CASE WHEN t = 'pp' THEN 'Personne physique' WHEN coalesce(e, 'AUTRE') = 'AUTRE' THEN 'Personne morale' WHEN c = 'Personne physique' THEN NULL ELSE c END AS category_libelle,
+           CASE WHEN t = 'pp' OR coalesce(e, 'AUTRE') = 'AUTRE' THEN 'AUTRE' ELSE e END AS esri, CASE WHEN t = 'pm' AND coalesce(e, 'AUTRE') = 'AUTRE' THEN NULL ELSE 'F' END AS sexe,
+           CASE WHEN t = 'pp' THEN NULL ELSE '552100554' END AS siren
+    FROM (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN 'pp' ELSE 'pm' END AS t, CASE c_custkey % 3 WHEN 0 THEN 'AUTRE' WHEN 1 THEN 'EPST' END AS e,
+                 CASE WHEN c_custkey % 5 = 0 THEN 'Personne physique' ELSE c_mktsegment END AS c FROM customer)
+    """,
+)
+def type_rules(t: Tables) -> DataFrame:
+    key = F.col("c_custkey")
+    rows = t.customer.select("c_custkey", F.when(key % 2 == 0, "pp").otherwise("pm").alias("type"), F.when(key % 3 == 0, "AUTRE").when(key % 3 == 1, "EPST").alias("esri"), F.when(key % 5 == 0, "Personne physique").otherwise(F.col("c_mktsegment")).alias("category_libelle"), F.lit("F").alias("sexe"), F.lit("552100554").alias("siren"))
+    return rule_table.consistent_types(rows).drop("type")
+
+
+@query(
+    "q_latin_names",
+    """
+    WITH r AS (SELECT l_orderkey AS app, l_linenumber AS pos, l_orderkey % 500 AS fam, CASE WHEN l_returnflag = 'R' THEN 'Иван' ELSE 'A' || (l_suppkey % 2) END AS name, l_returnflag <> 'R' AS latin FROM lineitem),
+         h AS (SELECT fam, app, max(pos) AS p FROM r GROUP BY ALL), e AS (SELECT fam FROM h GROUP BY fam HAVING count(DISTINCT p) = 1),
+         d AS (SELECT fam, pos, max(name) AS donor FROM r WHERE latin AND fam IN (SELECT fam FROM e) GROUP BY ALL HAVING count(DISTINCT name) = 1)
+    SELECT app, pos, name FROM r LEFT JOIN d USING (fam, pos)
+    """.replace("GROUP BY ALL HAVING count(DISTINCT name) = 1", "GROUP BY fam, pos HAVING count(DISTINCT name) = 1"),
+)
+def latin_names(t: Tables) -> DataFrame:
+    """Names in another script share no initial with their Latin donor, so they stay as they are."""
+    rows = t.lineitem.select(F.col("l_orderkey").alias("app"), F.col("l_linenumber").alias("pos"), (F.col("l_orderkey") % 500).alias("fam"), F.when(F.col("l_returnflag") == "R", "Иван").otherwise(F.concat(F.lit("A"), (F.col("l_suppkey") % 2).cast("string"))).alias("name"), (F.col("l_returnflag") != "R").alias("latin"))
+    return participants.latin_names(rows, "fam", "app", ["pos"], "name", "latin").select("app", "pos", "name")
+
+
+@query("q_final_participants", "SELECT c_custkey::VARCHAR AS key_appln_nr_person, CASE WHEN c_mktsegment = 'BUILDING' THEN 'ORG ' || c_custkey WHEN c_acctbal < 0 THEN c_mktsegment ELSE c_name END AS name_corrected FROM customer")
+def final_participants(t: Tables) -> DataFrame:
+    key = F.col("c_custkey")
+    text_key = key.cast("string").alias("key_appln_nr_person")
+    latin = t.customer.select(text_key, F.col("c_name").alias("name_source"), F.lit(None).cast("string").alias("name_corrected"))
+    found = t.customer.where("c_mktsegment = 'BUILDING'").select(text_key, F.concat(F.lit("ORG "), key.cast("string")).alias("name_corrected"))
+    persons = t.customer.where("c_mktsegment <> 'BUILDING' and c_acctbal < 0").select(text_key, F.col("c_mktsegment").alias("name_corrected"))
+    return participants.final_participants(latin, found, persons).select("key_appln_nr_person", "name_corrected")
+
+
+@query("q_external_ids", "SELECT p_partkey::VARCHAR AS key_appln_nr_person, unnest(['siren', 'siret', 'siret']) AS id_type, unnest([p_brand, p_type, p_name]) AS id_value FROM part")
+def external_ids(t: Tables) -> DataFrame:
+    nothing = F.lit(None).cast("string")
+    rows = t.part.select(F.col("p_partkey").cast("string").alias("key_appln_nr_person"), F.col("p_brand").alias("siren"), F.concat(F.lit("('"), "p_type", F.lit("', '"), "p_name", F.lit("')")).alias("siret"), nothing.alias("id_paysage"), F.lit("").alias("idref"), nothing.alias("grid"), nothing.alias("ror"))
+    return participants.external_ids(rows)
+
+
+@query(
+    "q_publication_enrichment",
+    """
+    SELECT '10.1/' || p_partkey AS doi, CASE WHEN p_size < 25 THEN p_name ELSE 'cited ' || p_type END AS title, CASE WHEN p_size < 25 THEN 'journal-article' ELSE 'book' END AS type,
+           CASE WHEN p_size < 25 THEN 2019 ELSE 2017 END::INT AS year, CASE WHEN p_size < 25 THEN p_brand END AS author_name,
+           CASE WHEN p_size < 25 AND p_size % 10 < 5 THEN 'id' || (p_size % 10) END AS id_paysage
+    FROM part
+    """,
+)
+def publication_enrichment(t: Tables) -> DataFrame:
+    doi = F.concat(F.lit("10.1/"), F.col("p_partkey").cast("string")).alias("doi")
+    author = F.struct(F.col("p_brand").alias("name"), F.lit(None).cast("string").alias("orcid"), F.array(F.concat(F.lit("r"), (F.col("p_size") % 10).cast("string"))).alias("rors"))
+    dump = t.part.where("p_size < 25").select(doi, F.col("p_name").alias("title"), F.lit("article").alias("type"), F.lit("2019-05-01").alias("publication_date"), F.array(author).alias("authors"))
+    cited = t.part.select(doi, F.lit("B").alias("npl_type"), F.concat(F.lit("cited "), "p_type").alias("npl_title1"), F.lit("20170000").alias("npl_publn_date"))
+    digits = t.spark.range(10)
+    # Institutions 0 to 4 have one inside id, the others two.
+    places = digits.select(F.concat(F.lit("r"), F.col("id").cast("string")).alias("ror"), F.explode(F.when(F.col("id") < 5, F.array(F.concat(F.lit("id"), F.col("id").cast("string")))).otherwise(F.array(F.lit("x"), F.lit("y")))).alias("id"))
+    people = t.spark.createDataFrame([], "orcid string, idref string")
+    return publications.enrich(cited, dump, places, people).select("doi", "title", "type", "year", "author_name", "id_paysage")
+
+
+@query(
+    "q_family_documents",
+    """
+    WITH o AS (SELECT o_custkey AS docdb_family_id, count(DISTINCT o_orderkey) AS n, min(strftime(o_orderdate, '%Y-%m-%d')) AS first FROM orders GROUP BY 1),
+         p AS (SELECT o_custkey AS docdb_family_id, count(DISTINCT l_suppkey) FILTER (WHERE l_linenumber <= 2) AS applicants, count(DISTINCT l_suppkey) FILTER (WHERE l_linenumber > 2) AS inventors
+               FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1)
+    SELECT 'patent' || o.docdb_family_id AS id, left(first, 4)::INT AS year, n::INT AS patents, coalesce(applicants, 0)::INT AS applicants, coalesce(inventors, 0)::INT AS inventors
+    FROM o LEFT JOIN p USING (docdb_family_id) WHERE left(first, 4)::INT >= 1995
+    """,
+)
+def family_documents(t: Tables) -> DataFrame:
+    family = F.col("o_custkey").alias("docdb_family_id")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    found = t.orders.groupBy(family).agg(F.min(day).alias("earliest_filing_date"))
+    applications = t.orders.select(family, F.col("o_orderkey").alias("appln_id"), F.lit("EP").alias("appln_auth"), day.alias("appln_filing_date"), F.lit(0).alias("ispriority"), F.lit("EP").alias("publn_auth"), F.col("o_orderkey").cast("string").alias("first_publn_nr"), F.lit("A1").alias("first_publn_kind"))
+    nothing = F.lit(None).cast("string")
+    roles = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    rows = roles.select(family, F.col("l_suppkey").cast("string").alias("name_corrected"), F.lit("pp").alias("type"), F.lit("FR").alias("country_corrected"), F.when(F.col("l_linenumber") <= 2, 1).otherwise(0).alias("applt_seq_nr"), F.when(F.col("l_linenumber") > 2, 1).otherwise(0).alias("invt_seq_nr"), *(nothing.alias(c) for c in export.IDS))
+    empty = lambda schema: t.spark.createDataFrame([], f"docdb_family_id long, {schema}")
+    docs = export.documents(found, applications, rows, empty("level string, code string, libelle string"), empty("doi string, title string, type string, year int"), since=1995)
+    return docs.select("id", "year", *(F.size(c).alias(c) for c in ("patents", "applicants", "inventors")))

@@ -251,15 +251,14 @@ def collect_lists(t: Tables) -> DataFrame:
 @query(
     "q_equal_maxima",
     """
-    WITH h AS (SELECT l_suppkey % 40 AS family, l_orderkey, max(l_linenumber) AS a, max(l_quantity) AS b FROM lineitem WHERE l_orderkey < 400 GROUP BY ALL)
-    SELECT family FROM h GROUP BY family HAVING count(DISTINCT (a, b)) = 1
+    WITH h AS (SELECT l_orderkey, l_suppkey, max(l_linenumber) AS a, max(l_tax) AS b FROM lineitem GROUP BY ALL)
+    SELECT l_orderkey FROM h GROUP BY l_orderkey HAVING count(DISTINCT (a, b)) = 1
     """,
 )
 def equal_maxima(t: Tables) -> DataFrame:
     from .participants import equal_position_families
 
-    rows = t.lineitem.where("l_orderkey < 400").withColumn("family", F.col("l_suppkey") % 40)
-    return equal_position_families(rows, "family", "l_orderkey", ["l_linenumber", "l_quantity"])
+    return equal_position_families(t.lineitem, "l_orderkey", "l_suppkey", ["l_linenumber", "l_tax"])
 
 
 @query(
@@ -498,3 +497,96 @@ def event_windows(t: Tables) -> DataFrame:
     from ..streaming.events import windowed_counts
 
     return windowed_counts(t.events).withColumn("total", F.round("total", 4))
+
+
+@query(
+    "q_dimension_join",
+    """
+    SELECT c_custkey, coalesce(n_name, 'unknown') AS n_name, r_name FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey < 20) ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey
+    """,
+)
+def dimension_join(t: Tables) -> DataFrame:
+    """Tables of a fixed size, as nations are; Spark broadcasts them where their size allows it."""
+    n, r = t.nation.where("n_nationkey < 20"), t.region
+    out = t.customer.join(n, F.col("c_nationkey") == n.n_nationkey, "left").join(r, n.n_regionkey == r.r_regionkey, "left")
+    return out.select("c_custkey", F.coalesce("n_name", F.lit("unknown")).alias("n_name"), "r_name")
+
+
+@query(
+    "q_year_registry",
+    """
+    SELECT o_orderkey, 'Y' || (s_suppkey % 7) || '_' || year(o_orderdate) AS registry_id FROM orders JOIN supplier ON s_suppkey = o_custkey % 100 WHERE year(o_orderdate) BETWEEN 1996 AND 1998
+    """,
+)
+def year_registry(t: Tables) -> DataFrame:
+    """Registry ids by number and year, from a table with a column for each year; 1997 is missing for all and falls back."""
+    of = lambda y: F.concat(F.lit("Y"), (F.col("s_suppkey") % 7).cast("string"), F.lit(f"_{y}")).alias(f"id_{y}")
+    wide = t.supplier.select("s_suppkey", of(1996), F.lit("").alias("id_1997"), of(1998), F.concat(F.lit("Y"), (F.col("s_suppkey") % 7).cast("string"), F.lit("_1997")).alias("own"))
+    registry = reshape.years_to_rows(wide, ["s_suppkey"], "id_", "registry_id", "own")
+    rows = t.orders.select("o_orderkey", (F.col("o_custkey") % 100).alias("s_suppkey"), F.year("o_orderdate").alias("year"))
+    return rows.join(registry, ["s_suppkey", "year"]).select("o_orderkey", "registry_id")
+
+
+@query("q_flatten_json", "SELECT event_id, event_type AS source, user_id::VARCHAR AS name, 1::INT AS rank FROM events UNION ALL SELECT event_id, event_type, 'other', 2 FROM events")
+def flatten_json(t: Tables) -> DataFrame:
+    hit = lambda name, rank: F.struct(name.alias("name"), F.lit(rank).alias("rank"))
+    text = F.to_json(F.struct(F.col("event_type").alias("source"), F.struct(F.array(hit(F.col("user_id").cast("string"), 1), hit(F.lit("other"), 2)).alias("hits")).alias("result")))
+    rows = t.events.select("event_id", text.alias("body"))
+    return reshape.flatten_records(rows, "body", "source string, result struct<hits: array<struct<name: string, rank: int>>>", ["result", "hits"], ["source"])
+
+
+@query(
+    "q_train_split",
+    "SELECT part, count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM (SELECT o_orderkey, CASE WHEN ('0x' || substr(md5(o_orderkey::VARCHAR), 1, 8))::BIGINT < 3221225472 THEN 'train' ELSE 'test' END AS part FROM orders) GROUP BY part",
+)
+def train_split(t: Tables) -> DataFrame:
+    train, test = reshape.split_rows(t.orders.select("o_orderkey"), "o_orderkey", 0.75)
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return both.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("o_orderkey").alias("keys"))
+
+
+@query(
+    "q_cache_missing",
+    "SELECT DISTINCT o_custkey AS k FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)",
+)
+def cache_missing(t: Tables) -> DataFrame:
+    from ..sources.tables import missing
+
+    return missing(t.orders.select(F.col("o_custkey").alias("k")), t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("k")), ["k"])
+
+
+@query(
+    "q_snapshot_lookup",
+    "SELECT o_orderkey, c_name, c_name IS NOT NULL AS found FROM orders LEFT JOIN (SELECT * FROM customer WHERE c_acctbal > 0) ON o_custkey = c_custkey",
+)
+def snapshot_lookup(t: Tables) -> DataFrame:
+    from ..sources.tables import lookup
+
+    answers = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    return lookup(t.orders.select("o_orderkey", "o_custkey"), answers, ["o_custkey"]).select("o_orderkey", "c_name", "found")
+
+
+@query(
+    "q_distinct_rows",
+    "SELECT DISTINCT l_returnflag, l_linestatus, l_linenumber FROM lineitem",
+)
+def distinct_rows(t: Tables) -> DataFrame:
+    return t.lineitem.select("l_returnflag", "l_linestatus", "l_linenumber").distinct()
+
+
+@query(
+    "q_contains",
+    "SELECT p_partkey, contains(lower(p_type), 'eco') AS has, starts_with(p_name, 'red') AS starts, ends_with(p_name, 'bolt') AS ends FROM part WHERE p_name LIKE '%t%'",
+)
+def contains(t: Tables) -> DataFrame:
+    name = F.col("p_name")
+    return t.part.where(name.contains("t")).select("p_partkey", F.lower("p_type").contains("eco").alias("has"), name.startswith("red").alias("starts"), name.endswith("bolt").alias("ends"))
+
+
+@query(
+    "q_set_in_cells",
+    "SELECT p_partkey, len(list_intersect(list_distinct(string_split(p_name, '')), list_distinct(string_split(lower(p_type), ''))))::INT AS common FROM part",
+)
+def set_in_cells(t: Tables) -> DataFrame:
+    letters = lambda c: F.array_distinct(F.split(c, ""))
+    return t.part.select("p_partkey", F.size(F.array_intersect(letters(F.col("p_name")), letters(F.lower("p_type")))).alias("common"))

@@ -10,7 +10,7 @@ from ..operators import gates
 from . import families
 from .registry import Tables, query
 
-_LINES = "(SELECT doc_id, string_split(text, chr(10))[1] AS line FROM documents)"
+_TEXTS = "(SELECT doc_id, text AS line FROM documents)"
 _PUNCTUATION = r"""translate({}, '!"#$%&''()*+,-./:;<=>?@[\]^_`{{|}}~', repeat(' ', 32))"""
 
 
@@ -18,18 +18,18 @@ def _sql_depunct(c: str) -> str:
     return f"regexp_replace(regexp_replace({_PUNCTUATION.format(c)}, '\\s{{2,}}', ' ', 'g'), '^\\s+|\\s+$', '', 'g')"
 
 
-def _lines(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", F.get(F.split("text", "\n"), 0).alias("line"))
+def _texts(t: Tables) -> DataFrame:
+    return t.documents.select("doc_id", F.col("text").alias("line"))
 
 
-@query("q_depunct", f"SELECT doc_id, {_sql_depunct('line')} AS clean FROM {_LINES}")
+@query("q_depunct", f"SELECT doc_id, {_sql_depunct('line')} AS clean FROM {_TEXTS}")
 def depunct(t: Tables) -> DataFrame:
-    return _lines(t).select("doc_id", text.without_punctuation(F.col("line")).alias("clean"))
+    return _texts(t).select("doc_id", text.without_punctuation(F.col("line")).alias("clean"))
 
 
-@query("q_clean_name", f"SELECT doc_id, {_sql_depunct('strip_accents(lower(line))')} AS clean FROM {_LINES}")
+@query("q_clean_name", f"SELECT doc_id, {_sql_depunct('strip_accents(lower(line))')} AS clean FROM {_TEXTS}")
 def clean_name(t: Tables) -> DataFrame:
-    return _lines(t).select("doc_id", text.clean_name(F.col("line")).alias("clean"))
+    return _texts(t).select("doc_id", text.clean_name(F.col("line")).alias("clean"))
 
 
 @query("q_without_words", "SELECT p_partkey, trim(regexp_replace(p_name, '^(small|large) ', '')) AS name FROM part")
@@ -57,11 +57,11 @@ def initials(t: Tables) -> DataFrame:
     f"""
     SELECT doc_id, len(list_filter(string_split(line, ' '), lambda w: length(w) = 1)) > 0 AS has_initial,
            len(string_split(line, ',')) > 2 OR len(string_split(line, ';')) > 2 OR len(string_split(line, '/')) > 2 OR len(string_split(line, ',,')) > 2 AS several
-    FROM {_LINES}
+    FROM {_TEXTS}
     """,
 )
 def has_initial(t: Tables) -> DataFrame:
-    return _lines(t).select("doc_id", text.has_initial(F.col("line")).alias("has_initial"), text.has_several_names(F.col("line")).alias("several"))
+    return _texts(t).select("doc_id", text.has_initial(F.col("line")).alias("has_initial"), text.has_several_names(F.col("line")).alias("several"))
 
 
 _ADDRESS = "((c_custkey % 90)::VARCHAR || ' rue ' || lower(c_mktsegment) || ' bp 12 ' || lpad((c_custkey % 95000 + 1000)::VARCHAR, 5, '0') || ' Paris cedex 0' || (c_custkey % 9)::VARCHAR || ' fr')"
@@ -127,7 +127,7 @@ def siren(t: Tables) -> DataFrame:
     return t.customer.select("c_custkey", text.valid_siren(value).alias("siren"))
 
 
-_NPL = "('see DOI: 10.' || (1000 + doc_id)::VARCHAR || '/AbC.' || doc_id::VARCHAR || ' and 10.5555/x' || (doc_id % 7)::VARCHAR || ' ' || substr(text, 1, 20))"
+_NPL = "('see DOI: 10.' || (1000 + doc_id)::VARCHAR || '/AbC.' || doc_id::VARCHAR || ' and 10.5555/x' || (doc_id % 7)::VARCHAR || ' ' || text)"
 
 
 @query(
@@ -136,7 +136,7 @@ _NPL = "('see DOI: 10.' || (1000 + doc_id)::VARCHAR || '/AbC.' || doc_id::VARCHA
 )
 def doi_extract_clean(t: Tables) -> DataFrame:
     key = F.col("doc_id")
-    npl = F.concat(F.lit("see DOI: 10."), (1000 + key).cast("string"), F.lit("/AbC."), key.cast("string"), F.lit(" and 10.5555/x"), (key % 7).cast("string"), F.lit(" "), F.substring("text", 1, 20))
+    npl = F.concat(F.lit("see DOI: 10."), (1000 + key).cast("string"), F.lit("/AbC."), key.cast("string"), F.lit(" and 10.5555/x"), (key % 7).cast("string"), F.lit(" "), "text")
     return t.documents.select("doc_id", F.array_join(F.array_sort(text.dois(npl)), " ").alias("dois"))
 
 
@@ -179,21 +179,21 @@ def tuple_items(t: Tables) -> DataFrame:
     return t.part.select("p_partkey", F.array_join(text.tuple_items(printed), "|").alias("items"))
 
 
-@query("q_to_ascii", f"SELECT doc_id, lower(regexp_replace(strip_accents(replace(line, 'ß', 'ss')), '[^\\x00-\\x7F]', '', 'g')) AS ascii FROM {_LINES}")
+@query("q_to_ascii", f"SELECT doc_id, lower(regexp_replace(strip_accents(replace(line, 'ß', 'ss')), '[^\\x00-\\x7F]', '', 'g')) AS ascii FROM {_TEXTS}")
 def to_ascii(t: Tables) -> DataFrame:
-    return _lines(t).select("doc_id", text.to_ascii(F.col("line")).alias("ascii"))
+    return _texts(t).select("doc_id", text.to_ascii(F.col("line")).alias("ascii"))
 
 
-@query("q_mojibake", f"SELECT doc_id, line FROM {_LINES}")
+@query("q_mojibake", f"SELECT doc_id, line FROM {_TEXTS}")
 def mojibake(t: Tables) -> DataFrame:
-    """Lines spoilt by a wrong decoding are the lines themselves again, once repaired."""
+    """Texts spoilt by a wrong decoding are the texts themselves again, once repaired."""
     spoilt = F.decode(F.encode("line", "UTF-8"), "ISO-8859-1")
-    return _lines(t).select("doc_id", rules.repair(spoilt, rules.misread(rules.ACCENTED + "íóúáãõÍÓÚÁÃÕ")).alias("line"))
+    return _texts(t).select("doc_id", rules.repair(spoilt, rules.misread(rules.ACCENTED + "íóúáãõÍÓÚÁÃÕ")).alias("line"))
 
 
-@query("q_is_latin", f"SELECT doc_id, TRUE AS is_latin FROM {_LINES}")
+@query("q_is_latin", f"SELECT doc_id, TRUE AS is_latin FROM {_TEXTS}")
 def is_latin(t: Tables) -> DataFrame:
-    return _lines(t).select("doc_id", rules.is_latin(rules.repair(F.col("line"), rules.LOOKALIKES)).alias("is_latin"))
+    return _texts(t).select("doc_id", rules.is_latin(rules.repair(F.col("line"), rules.LOOKALIKES)).alias("is_latin"))
 
 
 @query("q_title_case", "SELECT p_partkey, array_to_string(list_transform(string_split(p_name, ' '), lambda w: upper(w[1:1]) || w[2:]), ' ') AS name FROM part")
@@ -308,3 +308,14 @@ def pref_text(t: Tables) -> DataFrame:
     office = F.element_at(F.array(*map(F.lit, ("WO", "EP", "FR", "US"))), (key % 4 + 1).cast("int"))
     rows = t.documents.select((key % 300).alias("family"), "lang", F.when(key % 11 != 0, F.col("text")).alias("text"), F.lpad((key % 28 + 1).cast("string"), 2, "0").alias("date"), office.alias("office"))
     return families.preferred_texts(rows, "family", "lang", "text", "date", "office", "title")
+
+
+@query("q_common_words")
+def common_words(t: Tables) -> DataFrame:
+    pair = fuzzy.without_common_column(F.col("p_name"), F.concat(F.lit("new "), "p_name"))
+    return t.part.select("p_partkey", pair.alias("p")).select("p_partkey", "p.first", "p.second", "p.common")
+
+
+@query("q_repaired_encoding", f"SELECT doc_id, regexp_replace(line, '[\\n\\t]', '', 'g') AS line FROM {_TEXTS}")
+def repaired_encoding(t: Tables) -> DataFrame:
+    return _texts(t).select("doc_id", text.repaired_encoding(F.decode(F.encode("line", "UTF-8"), "ISO-8859-1")).alias("line"))
