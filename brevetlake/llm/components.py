@@ -11,23 +11,22 @@ from .store import cut
 def components(links: DataFrame) -> DataFrame:
     """id, component (the smallest id that links reach) of every id in `links` (a, b) that is not a smallest one itself.
 
-    Large-star and small-star steps alternate until nothing changes: links become stars around the smallest ids.  Each step
-    is a join with one minimum for each id, written before, so a star with very many links is split like any skewed join.
+    Large-star and small-star steps alternate until the links are stars around the smallest ids.  The minimum for each id is
+    written before it is joined, so a star with very many links is split like any skewed join.
     """
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    before = _state(edges)
-    while before[0]:
+    while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = cut(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        least = cut(large.groupBy("u").agg(F.min("v").alias("m")))
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
         edges = cut(small.select("e.u", "e.v").where("u <> v").distinct())
-        if (after := _state(edges)) == before:
-            break
-        before = after
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _stars(edges: DataFrame) -> bool:
+    """Whether every id has one link to a smaller one, or links to larger ones only."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")), F.struct(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up")))).alias("e"))
+    ids = ends.groupBy("e.x").agg(F.sum("e.down").alias("down"), F.max("e.up").alias("up"))
+    return not ids.agg(F.max((F.col("down") + F.col("up") > 1) & (F.col("down") > 0))).first()[0]

@@ -60,7 +60,7 @@ def sketches(docs: DataFrame) -> DataFrame:
     """doc_id, n (size of the set), h1, h2 (hash of the set) and sketch of every row of `docs`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in scan.shards(batches):
             n, h1, h2, bottom = [], [], [], []
             for s in shingle_sets(batch.column("text")):
                 n.append(len(s))
@@ -77,7 +77,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
     """doc_id, n and set (8 bytes a hash) of every row of `docs`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in scan.shards(batches):
             sets = list(shingle_sets(batch.column("text")))
             yield pa.record_batch([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "n", "set"])
 
@@ -185,8 +185,8 @@ def forest(links: np.ndarray, left: list, right: list) -> list[tuple]:
     return [(x, root(x)) for x in label if root(x) != x]
 
 
-def long_list_links(members: DataFrame, sets: DataFrame, links: DataFrame) -> DataFrame:
-    """Links (a, b) that, with `links`, join all that is near within the long lists of `members` (value, id)."""
+def long_list_links(members: DataFrame, sets: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`links` (a, b) with more, so that they join all that is near within the long lists of `members` (value, id); and their components."""
     kind = members.schema["id"].dataType
 
     def compare(table: pa.Table) -> pa.Table:
@@ -201,26 +201,27 @@ def long_list_links(members: DataFrame, sets: DataFrame, links: DataFrame) -> Da
         t = table.schema.field("id").type
         return pa.table([pa.array([x for x, _ in found], t), pa.array([y for _, y in found], t)], ["a", "b"])
 
-    rest = cut(members.withColumn("waits", F.lit(True)))  # value, id, waits: whether it must still be a pivot
+    joined = components(links)
     round_ = 0
-    while not rest.where("waits").isEmpty():
-        size = rest.groupBy("value").agg(F.ceil(F.count(F.lit(1)) / CHUNK).alias("chunks"), F.ceil(F.sum(F.col("waits").cast("int")) / CHUNK).alias("turns"))
-        size = cut(size.where("turns > 0"))
+    while True:
+        # All members are in `rest` until they have been pivots.  Those outside a list's largest component must still be pivots.
+        rest = members.select("value", "id") if not round_ else rest.where("not chosen").select("value", "id")
+        rest = cut(rest.join(joined, "id", "left").select("value", "id", F.coalesce("component", "id").alias("component")))
+        sizes = rest.groupBy("value", "component").agg(F.count(F.lit(1)).alias("size"))
+        lists = sizes.groupBy("value").agg(F.max(F.struct("size", "component")).alias("main"), F.sum("size").alias("size"))
+        lists = lists.select("value", F.col("main.component").alias("main"), F.ceil(F.col("size") / CHUNK).alias("chunks"), F.ceil((F.col("size") - F.col("main.size")) / CHUNK).alias("turns"))
+        lists = cut(lists.where("turns > 0"))
+        if lists.isEmpty():
+            return links, joined
         draw = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), n)
-        rest = cut(rest.join(size, "value").select("value", "id", "waits", "chunks", (F.col("waits") & (draw(round_, F.col("turns")) == 0)).alias("chosen")))
+        chosen = (F.col("component") != F.col("main")) & (draw(round_, F.col("turns")) == 0)
+        rest = cut(rest.join(lists, "value").select("value", "id", "chunks", chosen.alias("chosen")))
         as_member = rest.select("value", draw(-1, F.col("chunks")).alias("chunk"), "id", F.lit(False).alias("pivot"))
         as_pivot = rest.where("chosen").select("value", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "id", F.lit(True).alias("pivot"))
         rows = as_member.unionByName(as_pivot).join(sets.select(F.col("doc_id").alias("id"), "set"), "id").select("value", "chunk", "id", "pivot", "set")
         links = cut(links.unionByName(rows.groupBy("value", "chunk").applyInArrow(compare, f"a {kind.simpleString()}, b {kind.simpleString()}")))
-        # Pivots are done.  Those outside the list's largest component wait.
         joined = components(links)
-        rest = rest.where("not chosen").select("value", "id")
-        rest = cut(rest.join(joined, "id", "left").select("value", "id", F.coalesce("component", "id").alias("component")))
-        main = rest.groupBy("value", "component").agg(F.count(F.lit(1)).alias("size"))
-        main = cut(main.groupBy("value").agg(F.max(F.struct("size", "component"))["component"].alias("main")))
-        rest = cut(rest.join(main, "value").select("value", "id", (F.col("component") != F.col("main")).alias("waits")))
         round_ += 1
-    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -245,8 +246,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     if not shared_ids.isEmpty():
         of = signed.join(shared_ids, "doc_id").join(classes.select("h1", "h2", "n", "id"), ["h1", "h2", "n"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
         links = cut(links.unionByName(of.where("a <> b").distinct()))
-    links = long_list_links(long_, sets, links)
-    joined = components(links)
+    _, joined = long_list_links(long_, sets, links)
     members = cut(classes.join(joined, "id", "left").select("h1", "h2", "n", F.coalesce("component", "id").alias("component")))
     c = members.withColumnsRenamed({"h1": "c1", "h2": "c2", "n": "cn"})
     found = signed.join(c, (signed.h1 == c.c1) & (signed.h2 == c.c2) & (signed.n == c.cn), "left")
