@@ -22,11 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
+from .store import small_batches
 
 #: Words of a window.
 WINDOW = 10
-#: Bytes of benchmark text in one block, and of training text in one shard.
-BLOCK_BYTES, SHARD_BYTES = 8 << 20, 8 << 20
+#: Bytes of benchmark text in one block.
+BLOCK_BYTES = 8 << 20
 
 
 class Block:
@@ -112,7 +113,7 @@ def matches(docs: DataFrame, block: Block) -> DataFrame:
     """doc_id, row, n_words and matches (longest verbatim ones: item_id, first word, words) of every row of `docs` (doc_id, row, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in scan.shards(batches, "text", SHARD_BYTES):
+        for batch in scan.shards(batches):
             n_words, doc, first, which = find(batch.column("text"), block)
             item, place, length = block.item[which], block.place[which], block.length[which]
             # Windows that continue each other, in the document and in the item, make one match.
@@ -129,7 +130,7 @@ def matches(docs: DataFrame, block: Block) -> DataFrame:
             yield pa.record_batch([batch.column("doc_id"), batch.column("row"), pa.array(n_words), pa.array(found, kind)], ["doc_id", "row", "n_words", "matches"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, row long, n_words long, matches array<struct<item_id: string, first: int, words: int>>")
+    return small_batches(docs).mapInArrow(run, f"doc_id {kind}, row long, n_words long, matches array<struct<item_id: string, first: int, words: int>>")
 
 
 def blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Block]:

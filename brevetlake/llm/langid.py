@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
+from .store import small_batches
 
 #: Ranks of a profile, which is also the distance of an n-gram that a profile lacks.
 RANKS = 400
 #: Labelled documents of each language that profiles are learned from, about (a documented bound on training only).
 TRAIN_DOCS = 1500
-#: Documents of a chunk, so that their number fits in a key.
-CHUNK_ROWS = 4096
+#: Documents of a chunk, so that their number fits in a key, and its bytes.
+CHUNK_ROWS, CHUNK_BYTES = 4096, 1 << 18
 UNKNOWN = "und"
 
 _GRAM_BITS = 19
@@ -86,6 +87,22 @@ def gram_counts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return keys >> _GRAM_BITS, keys & ((1 << _GRAM_BITS) - 1), counts
 
 
+def counts_of_chunk(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """`gram_counts`; a very long document is cut at spaces, which n-grams never cross, and its parts are summed up."""
+    if len(offsets) > 2 or len(data) <= 2 * CHUNK_BYTES:
+        return gram_counts(data, offsets)
+    sums, start = np.zeros(1 << _GRAM_BITS, np.int64), 0
+    spaces = np.flatnonzero(data <= 0x20)
+    while start < len(data):
+        k = np.searchsorted(spaces, start + CHUNK_BYTES)
+        end = int(spaces[k]) + 1 if k < len(spaces) else len(data)
+        _, gram, n = gram_counts(data[start:end], np.array([0, end - start]))
+        sums[gram] += n
+        start = end
+    found = np.flatnonzero(sums)
+    return np.zeros(len(found), np.int64), found, sums[found]
+
+
 def top_ranks(doc: np.ndarray, gram: np.ndarray, count: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Document, n-gram and rank (from 0) of the `n` most frequent n-grams of each document; ties by n-gram."""
     order = np.lexsort((gram, -count, doc))
@@ -114,14 +131,14 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS, ranks: int = RANKS) ->
         for batch in batches:
             langs = np.array(batch.column(0).to_pylist(), object)
             for a, b, data, offsets in chunks(batch.column(1)):
-                doc, gram, n = gram_counts(data, offsets)
+                doc, gram, n = counts_of_chunk(data, offsets)
                 for lang in sorted(set(langs[a:b])):
                     of = langs[a:b][doc] == lang
                     sums = np.bincount(gram[of], n[of], 1 << _GRAM_BITS).astype(np.int64)
                     found = np.flatnonzero(sums)
                     yield pa.record_batch([pa.array([lang] * len(found), pa.string()), pa.array(found.astype(np.int32)), pa.array(sums[found])], ["lang", "gram", "n"])
 
-    sums = sample.mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
+    sums = small_batches(sample).mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
     try:
         # Bounded: `ranks` rows for each label come to the driver.
         return {lang: [r[0] for r in sums.where(F.col("lang") == lang).orderBy(F.col("n").desc(), "gram").limit(ranks).select("gram").collect()] for lang in sorted(sizes)}
@@ -131,14 +148,14 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS, ranks: int = RANKS) ->
 
 def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     for start in range(0, len(column), CHUNK_ROWS):
-        for a, b, data, offsets in scan.chunks(column.slice(start, CHUNK_ROWS)):
+        for a, b, data, offsets in scan.chunks(column.slice(start, CHUNK_ROWS), CHUNK_BYTES):
             yield start + a, start + b, data, offsets
 
 
 def classify(data: np.ndarray, offsets: np.ndarray, table: np.ndarray, ranks: int) -> tuple[np.ndarray, np.ndarray]:
     """Number of the nearest profile (-1 without letters) and score of each document of a chunk."""
     n_docs = len(offsets) - 1
-    doc, gram, rank = top_ranks(*gram_counts(data, offsets), ranks)
+    doc, gram, rank = top_ranks(*counts_of_chunk(data, offsets), ranks)
     n = np.bincount(doc, minlength=n_docs)
     if not len(table):
         return np.full(n_docs, -1), np.zeros(n_docs)
@@ -171,7 +188,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[int]], ranks: int = RANKS,
             yield pa.record_batch([*(batch.column(c) for c in rest), pa.array(names[best], pa.string()), pa.array(score)], [*rest, "lang_pred", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name in rest)
-    return docs.mapInArrow(run, f"{schema}, lang_pred string, score double")
+    return small_batches(docs).mapInArrow(run, f"{schema}, lang_pred string, score double")
 
 
 def with_fold(docs: DataFrame, folds: int = 5) -> DataFrame:

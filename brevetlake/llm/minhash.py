@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import scan
 from .components import components
-from .store import cut
+from .store import cut, small_batches
 
 #: Words of a shingle.
 SHINGLE = 5
@@ -70,7 +70,7 @@ def sketches(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(bottom, pa.list_(pa.int64()))], ["doc_id", "n", "h1", "h2", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, h1 long, h2 long, sketch array<long>")
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, n long, h1 long, h2 long, sketch array<long>")
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
@@ -82,7 +82,7 @@ def full_sets(docs: DataFrame) -> DataFrame:
             yield pa.record_batch([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["doc_id", "n", "set"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n long, set binary")
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, n long, set binary")
 
 
 def prefixes(classes: DataFrame) -> DataFrame:
@@ -143,7 +143,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
     kind = pairs.schema["a"].dataType.simpleString()
-    return joined.mapInArrow(run, f"a {kind}, b {kind}")
+    return small_batches(joined).mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:

@@ -13,6 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 CHUNK_BYTES = 1 << 20
+#: Bytes of text in one part of a batch.
+SHARD_BYTES = 8 << 20
 
 _U = np.uint64
 _POWER = _U(0x9E3779B97F4A7C15)
@@ -79,8 +81,8 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         row = end
 
 
-def shards(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """The batches in parts with at most `limit` bytes of a text column, one row at least."""
+def shards(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SHARD_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches in parts with at most `limit` bytes of a text column, one row at least, so that what is gathered for a part stays small."""
     for batch in batches:
         ends = pc.cumulative_sum(pc.fill_null(pc.binary_length(batch.column(column)), 0).cast(pa.int64())).to_numpy()
         row = 0
@@ -127,7 +129,16 @@ _BYTES = byte_values(11)
 
 
 def word_hashes(mapped: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return span_hash(prefix_sums(_BYTES[mapped]), start, end)
+    """Hash of each word, some bytes of a long text at a time."""
+    out = np.empty(len(start), np.uint64)
+    first = 0
+    while first < len(start):
+        last = max(first + 1, int(np.searchsorted(end, start[first] + CHUNK_BYTES, side="right")))
+        base = start[first]
+        sums = prefix_sums(_BYTES[mapped[base : end[last - 1]]])
+        out[first:last] = span_hash(sums, start[first:last] - base, end[first:last] - base)
+        first = last
+    return out
 
 
 _PLACES = byte_values(12)[:64]

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
+from .store import small_batches
 
 KINDS = ("assign", "access", "hex", "markov")
 #: On lower-cased bytes, as letters count in either case.
@@ -71,11 +72,10 @@ class Models:
             return np.where(smooth > 0, np.log(counts / counts.sum(1, keepdims=True)), 0.0)
 
     def score(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Mean ratio of the pairs of characters of each token."""
-        pairs = np.zeros(len(data) + 1)
-        np.cumsum(self.ratio[data[:-1], data[1:]], out=pairs[1 : len(data)], dtype=float)
-        pairs[len(data) :] = pairs[len(data) - 1]
-        return (pairs[end - 1] - pairs[start]) / (end - start - 1)
+        """Mean ratio of the pairs of characters of each token (of two characters at least)."""
+        n = end - start - 1
+        at = np.repeat(start - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        return np.add.reduceat(self.ratio[data[at], data[at + 1]], np.concatenate([[0], np.cumsum(n)[:-1]])) / n
 
 
 def random_samples(n: int = 4000, seed: int = 5) -> list[str]:
@@ -116,6 +116,14 @@ def separated(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     return out, offsets + np.arange(n_docs + 1)
 
 
+def code_points(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Code points between two places, for each pair of places."""
+    places = np.unique(np.concatenate([[0], start, end]))
+    firsts = np.append((data & 0xC0) != 0x80, False)
+    before = np.concatenate([[0], np.cumsum(np.add.reduceat(firsts, places, dtype=np.int64))])
+    return before[np.searchsorted(places, end)] - before[np.searchsorted(places, start)]
+
+
 def spans(data: np.ndarray, models: Models, threshold: float) -> list[tuple[int, int, int]]:
     """Start, kind and end, in bytes, of all spans of a separated chunk, in order."""
     raw = data.tobytes()
@@ -123,16 +131,18 @@ def spans(data: np.ndarray, models: Models, threshold: float) -> list[tuple[int,
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(raw) if m.end() - m.start() >= MIN_ACCESS]
     start, end = runs(_HEX[data], MIN_HEX)
     found += [(s, 2, e) for s, e in zip(start.tolist(), end.tolist(), strict=True)]
-    covered = np.zeros(len(data) + 1, np.int32)
-    for s, _, e in found:
-        covered[s] += 1
-        covered[e] -= 1
-    covered = np.concatenate([[0], np.cumsum(np.cumsum(covered[:-1]) > 0)])
     start, end = runs(_TOKEN[data], MIN_TOKEN)
+    if len(start) and found:
+        # A token that a pattern has touched is left to the pattern.
+        base = np.array(sorted((s, e) for s, _, e in found))
+        reach = np.concatenate([[0], np.maximum.accumulate(base[:, 1])])
+        free = reach[np.searchsorted(base[:, 0], end, side="left")] <= start
+        start, end = start[free], end[free]
+    if len(start):
+        bounds = np.stack([start, end], 1).ravel()
+        has_digit = np.logical_or.reduceat(np.append(_IS_DIGIT[data], False), bounds)[::2]
+        start, end = start[has_digit], end[has_digit]
     if len(start):
-        digits = np.concatenate([[0], np.cumsum(_IS_DIGIT[data])])
-        keep = (covered[end] == covered[start]) & (digits[end] > digits[start])
-        start, end = start[keep], end[keep]
         keep = models.score(data, start, end) > threshold
         found += [(s, 3, e) for s, e in zip(start[keep].tolist(), end[keep].tolist(), strict=True)]
     return sorted(found)
@@ -152,11 +162,10 @@ def find_secrets(docs: DataFrame, models: Models, threshold: float = THRESHOLD)
                     continue
                 at = np.array(found)
                 doc = np.searchsorted(starts, at[:, 0], side="right") - 1
-                points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
-                first, last = points[at[:, 0]] - points[starts[doc]], points[at[:, 2]] - points[starts[doc]]
+                first, last = code_points(data, starts[doc], at[:, 0]), code_points(data, starts[doc], at[:, 2])
                 for d, k, s, e in zip(doc.tolist(), at[:, 1].tolist(), first.tolist(), last.tolist(), strict=True):
                     out[a + d].append({"kind": KINDS[k], "start": s, "end": e})
             yield pa.record_batch([batch.column("doc_id"), pa.array(out, kind)], ["doc_id", "spans"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, spans array<struct<kind: string, start: int, end: int>>")
+    return small_batches(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, spans array<struct<kind: string, start: int, end: int>>")

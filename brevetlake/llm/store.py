@@ -37,6 +37,14 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """`df`, for a Python stage whose rows hold whole texts: from now on the session sends at most `rows` of them in one Arrow batch, on either side of the pipe."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(df.sparkSession.conf.get(key)) <= rows:
+        df.sparkSession.conf.set(key, str(rows))
+    return df
+
+
 def partitions(spark: SparkSession) -> int:
     """The session's number of shuffle partitions, for exchanges that want a number."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

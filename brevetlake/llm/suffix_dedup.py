@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
-from .store import cut
+from .store import cut, small_batches
 
 #: Bytes of a window, and of the q-gram that names its bucket.
 WINDOW, GRAM = 200, 40
@@ -81,13 +81,13 @@ def runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
     """bucket, span, key, start, n of every run of `docs` (key, text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in scan.shards(batches):
             keys = batch.column("key").to_numpy()
             for a, _, data, offsets in scan.chunks(batch.column("text")):
                 for bucket, span, doc, start, n in find_runs(data, offsets, window, gram):
                     yield pa.record_batch([pa.array(bucket), pa.array(span), pa.array(keys[a + doc]), pa.array(start.astype(np.int64)), pa.array(n.astype(np.int32))], ["bucket", "span", "key", "start", "n"])
 
-    return docs.select("key", "text").mapInArrow(run, "bucket long, span long, key long, start long, n int")
+    return small_batches(docs.select("key", "text")).mapInArrow(run, "bucket long, span long, key long, start long, n int")
 
 
 def window_names(body: bytes, window: int) -> np.ndarray:
@@ -103,7 +103,7 @@ def pieces(asked: DataFrame, window: int, large: bool) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in scan.shards(batches):
             keys = batch.column("key").to_pylist()
             for key, text, wanted in zip(keys, scan.as_text(batch.column("text")), batch.column("runs").to_pylist(), strict=True):
                 body = text.as_buffer().to_pybytes()
@@ -128,7 +128,7 @@ def pieces(asked: DataFrame, window: int, large: bool) -> DataFrame:
                     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary())
                     yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["bucket", "shard", "key", "start", "single", "body", "places"])
 
-    return asked.mapInArrow(run, "bucket long, shard long, key long, start long, single boolean, body binary, places binary")
+    return small_batches(asked).mapInArrow(run, "bucket long, shard long, key long, start long, single boolean, body binary, places binary")
 
 
 def repeated_windows(rows: DataFrame, window: int) -> DataFrame:
@@ -153,13 +153,21 @@ def repeated_windows(rows: DataFrame, window: int) -> DataFrame:
     return rows.groupBy("bucket", "shard").applyInArrow(compare, "key long, start long, n int, places binary")
 
 
+def merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs that intervals cover; those that touch are one run."""
+    order = np.argsort(low, kind="stable")
+    low, reach = low[order], np.maximum.accumulate(high[order])
+    new = np.concatenate([[True], low[1:] > reach[:-1]])
+    return low[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(low) - 1)]
+
+
 def remove(docs: DataFrame, window: int, keep_bytes: bool) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept (bytes) of every row of `docs` (doc_id, text, spans: of repeated windows the start and number, or the start and each offset)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in scan.shards(batches):
             spans = batch.column("spans")
-            first, entries = spans.offsets.to_numpy(), spans.values
+            first, entries = spans.offsets.to_numpy(), spans.values  # offsets count from the start of `values`, also in a part of a batch
             starts, numbers = entries.field("start").to_numpy(), entries.field("n").fill_null(0).to_numpy()
             single = entries.field("places")
             alone = np.flatnonzero(single.is_valid().to_numpy(zero_copy_only=False))
@@ -174,18 +182,17 @@ def remove(docs: DataFrame, window: int, keep_bytes: bool) -> DataFrame:
                     n_spans.append(0)
                     kept.append(body)
                     continue
-                edge = np.zeros(len(body) + 1, np.int32)
                 low, n = starts[a:b], numbers[a:b]
-                np.add.at(edge, low[n > 0], 1)
-                np.add.at(edge, (low + n)[n > 0] + window - 1, -1)
+                lows, highs = [low[n > 0]], [(low + n)[n > 0] + window - 1]
                 for j in alone[np.searchsorted(alone, a) : np.searchsorted(alone, b)]:
                     at = starts[j] + np.frombuffer(single[j].as_py(), np.int32)
-                    edge[at] += 1
-                    edge[at + window] -= 1
-                gone = np.cumsum(edge[:-1]) > 0
-                n_removed.append(int(gone.sum()))
-                n_spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
-                kept.append(np.frombuffer(body, np.uint8)[~gone].tobytes())
+                    lows.append(at)
+                    highs.append(at + window)
+                gone = merged(np.concatenate(lows), np.concatenate(highs))
+                n_removed.append(int((gone[1] - gone[0]).sum()))
+                n_spans.append(len(gone[0]))
+                edges = [0, *np.stack(gone, 1).ravel().tolist(), len(body)]
+                kept.append(b"".join(body[x:y] for x, y in zip(edges[::2], edges[1::2], strict=True)))
             columns = {"doc_id": batch.column("doc_id"), "n_bytes": pa.array(n_bytes, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64())}
             columns["kept_sha256"] = pa.array([hashlib.sha256(x).hexdigest() for x in kept], pa.string())
             if keep_bytes:
@@ -193,7 +200,7 @@ def remove(docs: DataFrame, window: int, keep_bytes: bool) -> DataFrame:
             yield pa.RecordBatch.from_pydict(columns)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes)
+    return small_batches(docs).mapInArrow(run, f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_bytes)
 
 
 def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, small: int = SMALL_BUCKET, large: int = LARGE_BUCKET, keep_bytes: bool = True) -> DataFrame:

@@ -71,8 +71,9 @@ def test_line_dedup_of_many_lines(spark):
 
 def test_line_dedup_of_rows_without_id(spark):
     line = "a line of more than twenty letters"
-    df = line_dedup.dedup_lines(frame(spark, [(None, line), (None, line), (1, line), (2, line), (2, line)]))
-    assert sorted((r.doc_id or 0, r.n_dropped) for r in df.collect()) == [(0, 0), (0, 0), (1, 1), (2, 0), (2, 0)]
+    of = lambda rows: sorted((r.doc_id or 0, r.n_dropped) for r in line_dedup.dedup_lines(frame(spark, rows)).collect())
+    assert of([(None, line), (None, line), (1, line), (2, line), (2, line)]) == [(0, 0), (0, 0), (1, 0), (2, 0), (2, 0)]
+    assert of([(None, line), (1, line), (2, line), (2, line), (3, line)]) == [(0, 0), (1, 1), (2, 1), (2, 1), (3, 0)]
 
 
 @pytest.mark.parametrize(("small", "large"), [(512, 1 << 16), (2, 1 << 16), (2, 4)])
