@@ -131,26 +131,91 @@ def pieces(asked: DataFrame, window: int, large: bool) -> DataFrame:
     return small_batches(asked).mapInArrow(run, "bucket long, shard long, key long, start long, single boolean, body binary, places binary")
 
 
+def binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values one after the other, and where each starts and the last ends."""
+    column = column.cast(pa.large_binary())
+    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1] if len(column) else np.zeros(1, np.int64)
+    data = column.buffers()[2]
+    whole = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return whole[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def flat_ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """first, first + 1, ... (n of them) for each entry, one after the other."""
+    return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+
+
+def hits(rows: pa.Table, window: int) -> pa.RecordBatch:
+    """Of whole groups, in order: for each single row the offsets of the windows that another row of its group has, too."""
+    rows = rows.combine_chunks().to_batches()[0]
+    bucket, shard = rows.column("bucket").to_numpy(), rows.column("shard").to_numpy()
+    group = np.cumsum(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (shard[1:] != shard[:-1])]))
+    places, at_places = binary(rows.column("places"))
+    listed = np.diff(at_places) > 0
+    names, offsets, owners = [], [], []
+    # Rows with bytes: all their windows.
+    which = np.flatnonzero(~listed)
+    data, at = binary(rows.column("body").take(pa.array(which)))
+    n = np.diff(at) - window + 1
+    if len(which):
+        start = flat_ranges(at[:-1], n)
+        names.append(scan.span_hash(scan.prefix_sums(_SPAN_BYTES[data]), start, start + window))
+        offsets.append(flat_ranges(np.zeros(len(n), np.int64), n))
+        owners.append(np.repeat(which, n))
+    # Rows with the windows of a shard.
+    which = np.flatnonzero(listed)
+    if len(which):
+        data, at = binary(rows.column("body").take(pa.array(which)))
+        names.append(np.frombuffer(data.tobytes(), _U))
+        offsets.append(np.frombuffer(places.tobytes(), np.int32).astype(np.int64))
+        owners.append(np.repeat(which, np.diff(at) // 8))
+    names, offsets, owners = np.concatenate(names), np.concatenate(offsets), np.concatenate(owners)
+    # Names of different groups are told apart by mixing in the number of the group.
+    names = scan.mix(names + group[owners].astype(_U) * _U(0x9E3779B97F4A7C15))
+    order = np.argsort(names, kind="stable")
+    same = names[order][1:] == names[order][:-1]
+    twice = np.zeros(len(names), bool)
+    twice[order[1:][same]] = True
+    twice[order[:-1][same]] = True
+    twice &= rows.column("single").to_numpy(zero_copy_only=False)[owners]
+    found = np.flatnonzero(twice)
+    found = found[np.argsort(owners[found], kind="stable")]
+    mine, first, counts = np.unique(owners[found], return_index=True, return_counts=True)
+    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * 4
+    packed = pa.Array.from_buffers(pa.binary(), len(mine), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(offsets[found].astype(np.int32))])
+    picked = rows.take(pa.array(mine))
+    return pa.record_batch([picked.column("key"), picked.column("start"), pa.nulls(len(mine), pa.int32()), packed], ["key", "start", "n", "places"])
+
+
 def repeated_windows(rows: DataFrame, window: int) -> DataFrame:
-    """key, start, n (null), places: for single runs, the offsets of the windows that another run of the bucket has, too."""
-
-    def compare(table: pa.Table) -> pa.Table:
-        keys, starts, single = (table.column(c).to_pylist() for c in ("key", "start", "single"))
-        bodies, places = table.column("body").to_pylist(), table.column("places").to_pylist()
-        names = [np.frombuffer(b, _U) if p else window_names(b, window) for b, p in zip(bodies, places, strict=True)]
-        offsets = [np.frombuffer(p, np.int32) if p else np.arange(len(x), dtype=np.int32) for p, x in zip(places, names, strict=True)]
-        ends = np.cumsum([len(x) for x in names])
-        every = np.concatenate(names)
-        order = np.argsort(every, kind="stable")
-        same = every[order][1:] == every[order][:-1]
-        twice = np.zeros(len(every), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
-        found = [(k, s, None, at[hit].tobytes()) for k, s, one, at, hit in zip(keys, starts, single, offsets, np.split(twice, ends[:-1]), strict=True) if one and hit.any()]
-        columns = list(zip(*found, strict=True)) or [(), (), (), ()]
-        return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["key", "start", "n", "places"])
-
-    return rows.groupBy("bucket", "shard").applyInArrow(compare, "key long, start long, n int, places binary")
+    """key, start, n (null), places: for single runs, the offsets of the windows that another run of the bucket has, too.
+
+    The rows of a bucket and shard come one after the other; groups are taken as they end, many at once.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        last = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bucket, shard = batch.column("bucket").to_numpy(), batch.column("shard").to_numpy()
+            ends = np.flatnonzero((bucket[1:] != bucket[:-1]) | (shard[1:] != shard[:-1])) + 1
+            if last is not None and last != (bucket[0], shard[0]):
+                ends = np.concatenate([[0], ends])
+            if len(ends):
+                whole = [*waiting, batch.slice(0, int(ends[-1]))]
+                if sum(b.num_rows for b in whole):
+                    yield hits(pa.Table.from_batches(whole), window)
+                waiting = []
+                batch = batch.slice(int(ends[-1]))
+            waiting.append(batch)
+            last = (bucket[-1], shard[-1])
+        if sum(b.num_rows for b in waiting):
+            yield hits(pa.Table.from_batches(waiting), window)
+
+    dealt = rows.repartition("bucket", "shard").sortWithinPartitions("bucket", "shard")
+    return dealt.mapInArrow(run, "key long, start long, n int, places binary")
 
 
 def merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
