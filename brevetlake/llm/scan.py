@@ -6,15 +6,27 @@ by ``CHUNK_BYTES`` (one longer document makes a chunk of its own), so memory doe
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 19
 #: Bytes of text in one part of a batch.
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 4 << 20
+
+
+def _return_memory() -> None:
+    """Large arrays go back to the system when they are freed, so that an idle worker is small: no pool of Arrow's, and a fixed threshold for mapped blocks where the C library has one."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
+    if mallopt is not None:
+        mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+
+
+_return_memory()
 
 _U = np.uint64
 _POWER = _U(0x9E3779B97F4A7C15)
