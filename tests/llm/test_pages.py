@@ -88,6 +88,23 @@ def test_repeated_runs_go_where_no_article_is_declared(spark):
     assert html_main.extract(pages.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("shard_pages", [1000, 8, 1])
+def test_repeats_are_counted_over_the_whole_host(spark, shard_pages):
+    """A notice, and a short one, on three of 64 pages go, those on two stay, and so do those on pages of several hosts, whatever the shards."""
+    rows = []
+    for k in range(64):
+        notes = "".join(f"<p>{t}</p>" for t, on in (("Our winter sale starts on Monday", (1, 30, 60)), ("Buy now", (2, 31, 61)), ("Two pages only say this", (3, 32)), ("Stay tuned", (4, 33))) if k in on)
+        rows.append((k, "http://one.org/", f"{notes}<p>own{k} words{k} of{k} page{k} here{k}</p>"))
+    rows += [(100 + k, f"http://h{k}.org/", "<p>Two pages only say this</p><p>Stay tuned</p>") for k in range(3)]
+    rows += [(3, "http://one.org/", "<p>Two pages only say this</p>")] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    own = lambda k: f"own{k} words{k} of{k} page{k} here{k}"
+    want = [(k, "\n\n".join(["Two pages only say this"] * (k in (3, 32)) + ["Stay tuned"] * (k in (4, 33)) + [own(k)])) for k in range(64)]
+    want += [(100 + k, "Two pages only say this\n\nStay tuned") for k in range(3)] + [(3, "Two pages only say this")] * 2
+    found = [(r.page_id, r.text) for r in html_main.extract(pages, shard_pages=shard_pages).collect()]
+    assert sorted(found) == sorted(want)
+
+
 @pytest.mark.parametrize("copies", [1, 2])
 def test_repeated_rows_are_one_page(spark, copies):
     pages = spark.createDataFrame([(1, "http://h.org/", "<p>only these few words stand here</p>")] * copies, "page_id long, url string, html string")
