@@ -1,8 +1,8 @@
 """Secret scans: patterns of known kinds, and character Markov models for random strings of any other.
 
 Two first-order models, one of random strings and one of ordinary identifiers, are trained from labelled samples.  A
-token whose log-likelihood ratio for each character exceeds a threshold is reported as `markov`, unless a pattern has
-found a part of it before.
+token of 12 characters or more, with digits or without, whose log-likelihood ratio for each character exceeds a
+threshold is reported as `markov`, unless a pattern has found a part of it before.
 
 Defined cases: a null text is the empty text; repeated rows are scanned alike; a match never crosses documents.  Offsets
 count code points, the end is exclusive.
@@ -26,8 +26,8 @@ KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = re.compile(rb"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([a-z0-9+/_.=-]+)""")
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
-#: Characters that a token has for the models at least, and the mean log-likelihood ratio that reports it.
-MIN_TOKEN, THRESHOLD = 20, 1.0
+#: Characters that a token has for the models at least, as the shortest kind of the patterns, and the mean log-likelihood ratio that reports it.
+MIN_TOKEN, THRESHOLD = MIN_ASSIGN, 1.0
 #: Distinct words of the corpus that the model of ordinary identifiers is trained on at most, and documents they come from, about (documented bounds on training only).
 TRAIN_WORDS, TRAIN_DOCS = 20_000, 500
 
@@ -41,7 +41,6 @@ def _mask(chars: str) -> np.ndarray:
 _DIGITS, _LOWERS = "0123456789", "abcdefghijklmnopqrstuvwxyz"
 _HEX = _mask(_DIGITS + "abcdef")
 _TOKEN = _mask(_DIGITS + _LOWERS + _LOWERS.upper() + "+/_=-")
-_IS_DIGIT = _mask(_DIGITS)
 
 
 def runs(mask: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
@@ -86,14 +85,16 @@ def random_samples(n: int = 4000, seed: int = 5) -> list[str]:
 
 
 def ordinary_samples(words: list[str], seed: int = 6) -> list[str]:
-    """Words, and the identifiers they make: capitalised, in capitals, joined, numbered, and as parts of a path."""
+    """Words, and the identifiers they make: capitalised, in capitals, joined, numbered, and as parts of a path; numbers, dates and numbers in groups."""
     rng = np.random.default_rng(seed)
     words = sorted(set(words)) or ["value"]
     out = list(words)
     for k, w in enumerate(words):
         a, b = (words[j] for j in rng.integers(0, len(words), 2))
         out += [w.capitalize(), w.upper(), (f"{w}_{a}", f"{w}-{a}-{b}", w + a.capitalize() + b.capitalize(), f"{w}{k % 1000}", f"/{w}/{a}/{b}", f"{a}={w}")[k % 6], "=" * 8, "-" * 8, "_" * 8]
-    out += [str(1000 + 37 * k) for k in range(len(words) // 4)]
+    for k in range(len(words) // 4):
+        date = f"{1900 + k % 150}-{1 + k % 12:02}-{1 + k % 31:02}"
+        out += [str(1000 + 37 * k), (date, f"{date}T{k % 24:02}", f"978-{k % 10}-{10 + k % 90}-{100_003 * k % 1_000_000:06}-{k % 7}", date.replace("-", "/"))[k % 4]]
     return out
 
 
@@ -138,10 +139,6 @@ def spans(data: np.ndarray, models: Models, threshold: float) -> list[tuple[int,
         reach = np.concatenate([[0], np.maximum.accumulate(base[:, 1])])
         free = reach[np.searchsorted(base[:, 0], end, side="left")] <= start
         start, end = start[free], end[free]
-    if len(start):
-        bounds = np.stack([start, end], 1).ravel()
-        has_digit = np.logical_or.reduceat(np.append(_IS_DIGIT[data], False), bounds)[::2]
-        start, end = start[has_digit], end[has_digit]
     if len(start):
         keep = models.score(data, start, end) > threshold
         found += [(s, 3, e) for s, e in zip(start[keep].tolist(), end[keep].tolist(), strict=True)]

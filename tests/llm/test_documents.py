@@ -194,6 +194,14 @@ def test_markov_models_find_other_secrets(spark):
     assert found == {1: [("markov", 4, 30)], 2: [], 3: []}
 
 
+def test_markov_models_find_short_secrets_and_those_without_digits(spark):
+    models = secrets.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    rows = [(1, "use gZqXvRkLwTjYbNcMfPxJ here"), (2, "use xR7kQz2Lw9Vb here"), (3, "use xR7kQz2Lw9V here")]
+    rows += [(4, "internationalisation /people/great/where another-number-name SomeOrdinaryName"), (5, "978-3-16-148410-0 2026-01-15T12 2026/01/15/2026 123456789012 --------------------")]
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in secrets.find_secrets(frame(spark, rows), models).collect()}
+    assert found == {1: [("markov", 4, 24)], 2: [("markov", 4, 16)], 3: [], 4: [], 5: []}
+
+
 def test_language_id(spark):
     samples = {"xx": "abra kadabra ", "yy": "schnell zwischen ", "zz": "éñó íúç "}
     rows = [(k, samples[lang] * 3, lang) for k, lang in enumerate(list(samples) * 20)] + [(900, None, "xx"), (901, "123 !?", "yy"), (902, "", None), (903, "ABRA", None)]
