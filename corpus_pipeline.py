@@ -14,9 +14,9 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: those without a text or without letters go."""
+    """Documents with a language: those without a text or without letters go. Where no document is labelled, one empty profile takes all that have letters."""
     docs = docs.select(*COLUMNS)
-    profiles = langid.learn(docs.where("lang is not null"))
+    profiles = langid.learn(docs.where("lang is not null")) or {"unlabelled": []}
     return langid.predict(docs, profiles, keep_text=True).where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
 
 

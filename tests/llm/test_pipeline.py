@@ -42,6 +42,12 @@ def test_empty_corpus(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
 
 
+def test_unlabelled_corpus(spark):
+    rows = [(1, "some words"), (2, "é"), (3, "123 !?"), (4, ""), (5, None)]
+    docs = spark.createDataFrame([(d, t, None, "src", len(t or "")) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    assert {(r.doc_id, r.text, r.lang) for r in corpus_pipeline.keep_languages(spark, docs, "").collect()} == {(1, "some words", None), (2, "é", None)}
+
+
 def test_held_out_accuracy(spark):
     docs = langid.with_fold(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     profiles = langid.learn(docs.where("not held_out"))
