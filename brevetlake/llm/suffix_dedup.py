@@ -1,6 +1,6 @@
-"""Removal of long byte strings that occur more than once, by bucket-pointer refinement.
+"""Removal of long byte strings that occur more than once, by minimizer buckets and counts of window hashes (not bucket-pointer refinement).
 
-Which 200-byte windows start at more than one place is decided by refining buckets of places:
+Which 200-byte windows start at more than one place is decided by buckets of places, up to collisions of 64-bit hashes:
 
 1.  A window belongs to the bucket of its smallest q-gram (by hash, the leftmost of equal ones); equal windows have it at the
     same offset, so a window can only equal windows of its own bucket.  Neighbouring windows with the same place of
@@ -8,7 +8,7 @@ Which 200-byte windows start at more than one place is decided by refining bucke
 2.  Runs of the other buckets are refined by an identifier of all the bytes that they span.  Where two runs agree, all
     their windows repeat; inside a passage that is copied, that is every run.
 3.  What is left are runs at the ends of copied passages.  One run for each identifier, with its bytes, meets the others
-    of its bucket, and is refined to single windows: by the identifiers of the windows at each later offset.  A bucket
+    of its bucket, and is cut into single windows, whose 64-bit hashes of all their bytes are counted.  A bucket
     with many different runs is refined in shards of the windows' identifiers, and a very large one by counting the
     identifiers over all tasks.
 
