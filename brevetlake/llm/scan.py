@@ -7,6 +7,7 @@ by ``CHUNK_BYTES`` (one longer document makes a chunk of its own), so memory doe
 from __future__ import annotations
 
 import ctypes
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,17 +17,18 @@ import pyarrow.compute as pc
 CHUNK_BYTES = 1 << 19
 #: Bytes of text in one part of a batch.
 SHARD_BYTES = 4 << 20
+#: Stands for a byte between words: one that UTF-8 never has.
+SEPARATOR = 0xFF
 
 
-def _return_memory() -> None:
-    """Large arrays go back to the system when they are freed, so that an idle worker is small: no pool of Arrow's, and a fixed threshold for mapped blocks where the C library has one."""
-    pa.set_memory_pool(pa.system_memory_pool())
-    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
-    if mallopt is not None:
-        mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+pa.set_memory_pool(pa.system_memory_pool())
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
 
 
-_return_memory()
+def return_memory() -> None:
+    """What has been freed goes back to the system, where the C library can do that: an idle worker is small."""
+    if _trim is not None:
+        _trim(0)
 
 _U = np.uint64
 _POWER = _U(0x9E3779B97F4A7C15)
@@ -103,11 +105,12 @@ def shards(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int =
             end = max(row + 1, int(np.searchsorted(ends, before + limit, side="right")))
             yield batch.slice(row, end - row)
             row = end
+    return_memory()
 
 
 def word_table(is_word) -> np.ndarray:
-    """256 entries: 0 for a separator, else the byte with A-Z lower-cased."""
-    table = np.zeros(256, np.uint8)
+    """256 entries: `SEPARATOR` for a byte between words, else the byte with A-Z lower-cased."""
+    table = np.full(256, SEPARATOR, np.uint8)
     for b in range(256):
         low = b + 32 if 0x41 <= b <= 0x5A else b
         if is_word(low):
@@ -115,8 +118,8 @@ def word_table(is_word) -> np.ndarray:
     return table
 
 
-#: Words of anything but ASCII white space.
-SPACED = word_table(lambda b: b != 0x20 and not 0x09 <= b <= 0x0D and b != 0)
+#: Words of anything but ASCII white space, U+0000 included.
+SPACED = word_table(lambda b: b != 0x20 and not 0x09 <= b <= 0x0D)
 #: Words of ASCII letters and digits and of everything beyond ASCII.
 ALNUM = word_table(lambda b: 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80)
 
@@ -126,7 +129,7 @@ def word_spans(mapped: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     if not len(mapped):
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = mapped != 0
+    inside = mapped != SEPARATOR
     first = np.zeros(len(mapped) + 1, bool)
     first[offsets[:-1]] = True
     starts = inside.copy()
@@ -137,11 +140,17 @@ def word_spans(mapped: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return start, end, np.searchsorted(offsets, start, side="right") - 1
 
 
+#: Bytes of a word up to which its hash is a sum of powers.
+LONG_WORD = 64
 _BYTES = byte_values(11)
 
 
 def word_hashes(mapped: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of each word, some bytes of a long text at a time."""
+    """Hash of each word, some bytes of a long text at a time.
+
+    Sums of powers modulo 2 to the power of 64 are weak on long patterned strings (Thue-Morse words), so a word longer than
+    `LONG_WORD` bytes has a digest of its bytes.
+    """
     out = np.empty(len(start), np.uint64)
     first = 0
     while first < len(start):
@@ -150,6 +159,8 @@ def word_hashes(mapped: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.nd
         sums = prefix_sums(_BYTES[mapped[base : end[last - 1]]])
         out[first:last] = span_hash(sums, start[first:last] - base, end[first:last] - base)
         first = last
+    for k in np.flatnonzero(end - start > LONG_WORD).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(mapped[start[k] : end[k]].tobytes(), digest_size=8).digest(), "little")
     return out
 
 

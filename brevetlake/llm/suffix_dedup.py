@@ -1,19 +1,22 @@
-"""Removal of long byte strings that occur more than once, by minimizer buckets and counts of window hashes (not bucket-pointer refinement).
+"""Removal of long byte strings that occur more than once, by bucket-pointer refinement of sampled q-gram buckets.
 
-Which 200-byte windows start at more than one place is decided by buckets of places, up to collisions of 64-bit hashes:
+Which 200-byte windows start at more than one place is decided in buckets of places:
 
-1.  A window belongs to the bucket of its smallest q-gram (by hash, the leftmost of equal ones); equal windows have it at the
-    same offset, so a window can only equal windows of its own bucket.  Neighbouring windows with the same place of
-    that q-gram are one run.  Buckets with one run are final: nothing in them repeats.
-2.  Runs of the other buckets are refined by an identifier of all the bytes that they span.  Where two runs agree, all
+1.  The initial buckets are those of 40-grams.  Not every place is sorted: a window is in the bucket of its smallest
+    40-gram (by hash, the leftmost of equal ones).  Equal windows have it at the same offset, so a window can only equal windows
+    of its own bucket.  Neighbouring windows with the same place of that gram are one run; buckets with one run are final.
+2.  Runs of the other buckets are told apart by an identifier of all the bytes that they span.  Where two runs agree, all
     their windows repeat; inside a passage that is copied, that is every run.
 3.  What is left are runs at the ends of copied passages.  One run for each identifier, with its bytes, meets the others
-    of its bucket, and is cut into single windows, whose 64-bit hashes of all their bytes are counted.  A bucket
-    with many different runs is refined in shards of the windows' identifiers, and a very large one by counting the
-    identifiers over all tasks.
+    of its bucket, and bucket-pointer refinement (`refined`) finds the windows that repeat: places are sorted by their first
+    eight bytes, each bucket is then sorted by the bucket pointers at a later offset, the new pointers serve the next
+    round at twice the offset, and buckets of one place are done.  No hash is involved in that.
+    A bucket with many different runs is refined in shards, and a very large one over all tasks: there a window's identifier
+    is made of those of the 40-grams at offsets 0, 40, 80 and so on, which are counted.
 
-So only places go through the sorts, one for about 80 bytes of text, and text itself moves once.  Counts are combined
-before each exchange, and joins have a plain exchange on either side, which lets hot buckets be split.
+So only places go through the exchanges, one for about 80 bytes of text, and text is scanned once and moves once.  Counts
+are combined before each exchange.  Joins have a plain exchange on either side, which lets hot buckets be split; runs that make
+a thousandth of all are found without an exchange.
 
 Defined cases: a null text is empty; texts shorter than a window stay whole.  Rows that share a doc_id are told apart by
 their text; equal rows repeat each other like any two documents.  An empty table gives an empty result.
@@ -34,14 +37,19 @@ from .store import cut, small_batches
 
 #: Bytes of a window, and of the q-gram that names its bucket.
 WINDOW, GRAM = 200, 40
+#: Bytes of the q-grams that bucket-pointer refinement starts from: one machine word.
+FIRST_GRAM = 8
 #: Window starts that are looked at together.
 SLICE = 1 << 21
 #: Different runs of a bucket that are compared in one task; above, runs for each shard, and shards at most; different runs up to which shards are used.
 SMALL_BUCKET, SHARD, SHARDS, LARGE_BUCKET = 512, 256, 64, 1 << 16
+#: A run that occurs in more than one of so many places is hot.
+HOT_SHARE = 1000
 
 _GRAM_BYTES, _SPAN_BYTES = scan.byte_values(21), scan.byte_values(22)
 _U = np.uint64
 _PLACE = _U(0xFFFFFF)
+_OFFSETS, _PLACES = scan.byte_values(23), scan.byte_values(24)
 
 
 def smallest(keys: np.ndarray, width: int) -> np.ndarray:
@@ -55,25 +63,35 @@ def smallest(keys: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(onward[:n], up_to[width - 1 : width - 1 + n])
 
 
+def gram_names(part: np.ndarray, gram: int) -> np.ndarray:
+    """The identifier of the q-gram at each place."""
+    sums, n = scan.prefix_sums(_GRAM_BYTES[part]), len(part) - gram + 1
+    return scan.mix((sums[gram:] - sums[:-gram]) * scan.powers(n, inverse=True) + _U(gram))
+
+
 def find_runs(data: np.ndarray, offsets: np.ndarray, window: int, gram: int) -> Iterator[tuple[np.ndarray, ...]]:
     """Bucket, identifier of the spanned bytes, document, start in the document and number of windows of each run of a chunk."""
     for first in range(0, max(0, len(data) - window + 1), SLICE):
         part = data[first : first + SLICE + window - 1]
         n = len(part) - window + 1
-        grams = scan.prefix_sums(_GRAM_BYTES[part])
-        at = np.arange(len(part) - gram + 1)
-        names = scan.span_hash(grams, at, at + gram)
-        place = (smallest((names & ~_PLACE) | at.astype(_U), window - gram + 1) & _PLACE).astype(np.int64)
-        start = np.arange(n)
-        doc = np.searchsorted(offsets, start + first, side="right") - 1
-        whole = start + first + window <= offsets[doc + 1]
+        names = gram_names(part, gram)
+        place = (smallest((names & ~_PLACE) | np.arange(len(names), dtype=_U), window - gram + 1) & _PLACE).astype(np.int32)
+        # Windows that a document's end cuts are no windows; runs end there, and where the place of the smallest gram changes.
+        cuts = np.clip(np.stack([offsets[1:] - window + 1, offsets[1:]], 1) - first, 0, n)
+        cuts[:, 0] = np.maximum(cuts[:, 0], np.clip(offsets[:-1] - first, 0, n))
+        edge = np.zeros(n + 1, np.int32)
+        np.add.at(edge, cuts[:, 0], 1)
+        np.add.at(edge, cuts[:, 1], -1)
+        whole = np.cumsum(edge[:-1]) == 0
         new = np.ones(n, bool)
-        new[1:] = (place[1:] != place[:-1]) | (doc[1:] != doc[:-1])
+        new[1:] = (place[1:] != place[:-1]) | ~whole[:-1]
+        own = offsets[:-1] - first
+        new[own[(own >= 0) & (own < n)]] = True
         starts = np.flatnonzero(new & whole)
         ends = np.flatnonzero(np.append(new | ~whole, True))
         ends = ends[np.searchsorted(ends, starts, side="right")]
         spans = scan.span_hash(scan.prefix_sums(_SPAN_BYTES[part]), starts, ends + window - 1)
-        of = doc[starts]
+        of = np.searchsorted(offsets, starts + first, side="right") - 1
         yield names[place[starts]].view(np.int64), spans.view(np.int64), of, starts + first - offsets[of], ends - starts
 
 
@@ -90,13 +108,17 @@ def runs(docs: DataFrame, window: int, gram: int) -> DataFrame:
     return small_batches(docs.select("key", "text")).mapInArrow(run, "bucket long, span long, key long, start long, n int")
 
 
-def window_names(body: bytes, window: int) -> np.ndarray:
-    data = np.frombuffer(body, np.uint8)
-    at = np.arange(len(data) - window + 1)
-    return scan.span_hash(scan.prefix_sums(_SPAN_BYTES[data]), at, at + window)
+def window_names(body: bytes, window: int, gram: int) -> np.ndarray:
+    """The identifier of each window of a run: of the identifiers of its q-grams at the offsets 0, gram, 2 * gram and so on, and at its end."""
+    names = gram_names(np.frombuffer(body, np.uint8), gram)
+    n = len(body) - window + 1
+    total = np.zeros(n, _U)
+    for k, offset in enumerate([*range(0, window - gram, gram), window - gram]):
+        total += names[offset : offset + n] * _OFFSETS[k]
+    return scan.mix(total)
 
 
-def pieces(asked: DataFrame, window: int, large: bool) -> DataFrame:
+def pieces(asked: DataFrame, window: int, gram: int, large: bool) -> DataFrame:
     """Of `asked` (key, text, runs: what is asked of the document), the bytes of each run; of runs in buckets with shards, its windows in each shard.
 
     With `large`, the windows of runs in large buckets instead, one row each.
@@ -115,7 +137,7 @@ def pieces(asked: DataFrame, window: int, large: bool) -> DataFrame:
                     if r["shards"] == 1:
                         out.append((r["bucket"], 0, key, r["start"], r["single"], own, b""))
                         continue
-                    names = window_names(own, window)
+                    names = window_names(own, window, gram)
                     if large:
                         out += [(r["bucket"], name, key, r["start"] + k, r["single"], b"", b"") for k, name in enumerate(names.view(np.int64).tolist())]
                         continue
@@ -145,6 +167,48 @@ def flat_ranges(first: np.ndarray, n: np.ndarray) -> np.ndarray:
     return np.repeat(first - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
 
 
+def refined(data: np.ndarray, bounds: np.ndarray, group: np.ndarray, window: int) -> np.ndarray:
+    """Places of all windows in the byte strings that `bounds` separate which another place of the same group repeats, by bucket-pointer refinement.
+
+    A bucket's pointer is where it starts in the order of all places.  Sorted by the pointers at `depth` bytes further on, it falls
+    apart into buckets of places that share twice as many bytes; buckets of one place, and places with too few
+    bytes left, take no part any more.
+    """
+    depth = min(FIRST_GRAM, window)
+    left = np.repeat(bounds[1:], np.diff(bounds)) - np.arange(len(data))
+    at = np.flatnonzero(left >= depth)
+    value = np.zeros(len(at), _U)
+    for k in range(depth):
+        value = (value << _U(8)) | data[at + k]
+    value ^= scan.mix(np.repeat(group, np.diff(bounds))[at].astype(_U) * _PLACES[0] + _PLACES[1])
+    pointer = np.zeros(len(data), np.int64)
+    at, key = _split(at, value, np.zeros(len(at), np.int64), pointer)
+    while depth < window:
+        step = min(depth, window - depth)
+        deep = np.flatnonzero(left[at] >= depth + step)
+        at = at[deep]
+        # In order of the old pointers, so that a bucket's places stay together.
+        key = pointer[at] * (len(data) + 1) + pointer[at + step]
+        at, key = _split(at, key, pointer[at], pointer)
+        depth += step
+    return at
+
+
+def _split(at: np.ndarray, key: np.ndarray, old: np.ndarray, pointer: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorts the places `at` by `key`, sets their new pointers (the old ones and the rank of the new bucket within the old one), and returns those in buckets of two or more, with their keys."""
+    if not len(at):
+        return at, key
+    order = np.argsort(key)
+    at, key, old = at[order], key[order], old[order]
+    rank = np.arange(len(at))
+    opens = np.concatenate([[True], key[1:] != key[:-1]])
+    bucket = np.maximum.accumulate(np.where(opens, rank, 0))
+    outer = np.maximum.accumulate(np.where(np.concatenate([[True], old[1:] != old[:-1]]), rank, 0))
+    pointer[at] = old + bucket - outer
+    shared = ~(opens & np.append(opens[1:], True))
+    return at[shared], key[shared]
+
+
 def hits(rows: pa.Table, window: int) -> pa.RecordBatch:
     """Of whole groups, in order: for each single row the offsets of the windows that another row of its group has, too."""
     rows = rows.combine_chunks().to_batches()[0]
@@ -152,37 +216,31 @@ def hits(rows: pa.Table, window: int) -> pa.RecordBatch:
     group = np.cumsum(np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (shard[1:] != shard[:-1])]))
     places, at_places = binary(rows.column("places"))
     listed = np.diff(at_places) > 0
-    names, offsets, owners = [], [], []
-    # Rows with bytes: all their windows.
+    offsets, owners = [], []
+    # Rows with bytes.
     which = np.flatnonzero(~listed)
-    data, at = binary(rows.column("body").take(pa.array(which)))
-    n = np.diff(at) - window + 1
     if len(which):
-        start = flat_ranges(at[:-1], n)
-        names.append(scan.span_hash(scan.prefix_sums(_SPAN_BYTES[data]), start, start + window))
-        offsets.append(flat_ranges(np.zeros(len(n), np.int64), n))
-        owners.append(np.repeat(which, n))
-    # Rows with the windows of a shard.
+        data, at = binary(rows.column("body").take(pa.array(which)))
+        found = refined(data, at, group[which], window)
+        owner = np.searchsorted(at, found, side="right") - 1
+        offsets.append(found - at[owner])
+        owners.append(which[owner])
+    # Rows with the identifiers of a shard's windows; those of different groups are told apart by mixing in the number of the group.
     which = np.flatnonzero(listed)
     if len(which):
         data, at = binary(rows.column("body").take(pa.array(which)))
-        names.append(np.frombuffer(data.tobytes(), _U))
-        offsets.append(np.frombuffer(places.tobytes(), np.int32).astype(np.int64))
-        owners.append(np.repeat(which, np.diff(at) // 8))
-    names, offsets, owners = np.concatenate(names), np.concatenate(offsets), np.concatenate(owners)
-    # Names of different groups are told apart by mixing in the number of the group.
-    names = scan.mix(names + group[owners].astype(_U) * _U(0x9E3779B97F4A7C15))
-    order = np.argsort(names, kind="stable")
-    same = names[order][1:] == names[order][:-1]
-    twice = np.zeros(len(names), bool)
-    twice[order[1:][same]] = True
-    twice[order[:-1][same]] = True
-    twice &= rows.column("single").to_numpy(zero_copy_only=False)[owners]
-    found = np.flatnonzero(twice)
-    found = found[np.argsort(owners[found], kind="stable")]
-    mine, first, counts = np.unique(owners[found], return_index=True, return_counts=True)
+        owner = np.repeat(which, np.diff(at) // 8)
+        names = scan.mix(np.frombuffer(data.tobytes(), _U) + group[owner].astype(_U) * _PLACES[2])
+        found, _ = _split(np.arange(len(names)), names, np.zeros(len(names), np.int64), np.zeros(len(names), np.int64))
+        offsets.append(np.frombuffer(places.tobytes(), np.int32).astype(np.int64)[found])
+        owners.append(owner[found])
+    offsets, owners = np.concatenate(offsets), np.concatenate(owners)
+    asked = rows.column("single").to_numpy(zero_copy_only=False)[owners]
+    offsets, owners = offsets[asked], owners[asked]
+    order = np.argsort(owners, kind="stable")
+    mine, counts = np.unique(owners, return_counts=True)
     ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32) * 4
-    packed = pa.Array.from_buffers(pa.binary(), len(mine), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(offsets[found].astype(np.int32))])
+    packed = pa.Array.from_buffers(pa.binary(), len(mine), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(offsets[order].astype(np.int32))])
     picked = rows.take(pa.array(mine))
     return pa.record_batch([picked.column("key"), picked.column("start"), pa.nulls(len(mine), pa.int32()), packed], ["key", "start", "n", "places"])
 
@@ -275,7 +333,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sm
     # doc_id is the key if it is one.
     key = F.col("doc_id").cast("long") if ids.isEmpty() else F.xxhash64("doc_id", text)
     whole = docs.select(F.coalesce(key, F.lit(0).cast("long")).alias("key"), "doc_id", text.alias("text"))
-    every = runs(whole, window, gram)
+    every = cut(runs(whole, window, gram))
     # 1. Buckets with more than one run.
     buckets = cut(every.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("bucket"))
     found = cut(every.join(buckets, "bucket"))
@@ -283,7 +341,13 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sm
     place = F.col("start") * 65536 + F.col("n")
     counted = found.groupBy("bucket", "span").agg(F.count(F.lit(1)).alias("held"), F.max("key").alias("key"), F.max_by(place, F.col("key")).alias("place"))
     counted = cut(counted)
-    complete = found.join(counted.where("held > 1").select("bucket", "span"), ["bucket", "span"]).select("key", "start", "n", F.lit(None).cast("binary").alias("places"))
+    # Runs that make a thousandth of all, a thousand of them at most, go to every task; all others are joined.
+    total = counted.agg(F.sum("held")).first()[0] or 0
+    twice = counted.where("held > 1").select("bucket", "span", (F.col("held") * HOT_SHARE > total).alias("hot"))
+    hot = F.broadcast(twice.where("hot").select("bucket", "span"))
+    rare = twice.where("not hot").select("bucket", "span")
+    complete = found.join(hot, ["bucket", "span"], "left_semi").unionByName(found.join(hot, ["bucket", "span"], "left_anti").join(rare, ["bucket", "span"]))
+    complete = complete.select("key", "start", "n", F.lit(None).cast("binary").alias("places"))
     # 3. Buckets where a run that occurs once meets others.
     open_ = counted.groupBy("bucket").agg(F.count(F.lit(1)).alias("different"), F.max((F.col("held") == 1).cast("int")).alias("single")).where("different > 1 and single = 1")
     shards = F.when(F.col("different") <= small, 1).when(F.col("different") <= large, F.least(F.ceil(F.col("different") / SHARD), F.lit(SHARDS))).otherwise(0)
@@ -295,9 +359,9 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sm
 
     dealt = whole.repartition("key")
     asked = dealt.join(wanted, dealt.key == F.col("of")).select("key", "doc_id", "text", "runs")
-    spans = complete.unionByName(repeated_windows(pieces(asked, window, False), window))
+    spans = complete.unionByName(repeated_windows(pieces(asked, window, gram, False), window))
     if not open_.where("shards = 0").isEmpty():
-        rows = pieces(asked, window, True)
+        rows = pieces(asked, window, gram, True)
         twice = cut(rows.groupBy("bucket", "shard").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("bucket", "shard"))
         spans = spans.unionByName(rows.where("single").join(twice, ["bucket", "shard"]).select("key", "start", F.lit(1).alias("n"), F.lit(None).cast("binary").alias("places")))
     spans = spans.groupBy(F.col("key").alias("of")).agg(F.collect_list(F.struct("start", "n", "places")).alias("spans"))
