@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .store import cut
+from .store import cut, discard
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -17,11 +17,13 @@ def components(links: DataFrame) -> DataFrame:
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     while not _stars(edges):
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = cut(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        first = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = cut(both.where("v > u").join(first, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
-        edges = cut(small.select("e.u", "e.v").where("u <> v").distinct())
+        after = cut(small.select("e.u", "e.v").where("u <> v").distinct())
+        discard(edges, first, large)
+        edges = after
     return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
 
 

@@ -1,16 +1,20 @@
 """Near-duplicate documents by bottom-k sketches.
 
 A document is the set of its 5-word shingles; one hash function orders them, and the smallest hashes are its sketch.
-Documents with equal sets are one class from the start.  Inverted lists of the classes' retained values give the
-candidates: of two sketches that must overlap in `OVERLAP` values, the rarest values of either share one, so a class
-stands in the lists of its rarest values only, and a passage that many documents hold makes no long list by itself.  The
-sketch of the union estimates the similarity of a candidate pair; pairs well below are dropped, the others
-are confirmed on the full sets.
+Documents with equal sets are one class from the start.
 
-Long lists, as a large group of near copies makes them, are not expanded to pairs.  Blocks of their members, the pivots, are
-compared with all members on the full sets, chunk by chunk; each task returns a spanning forest of the links it found.  Then
-only members outside the list's largest component can still have links that matter, so they are the next pivots, until one
-component is left.  All links between different components are found that way.
+*No link is lost.*  Of two near sets of n and m shingles, either lacks at most n - need(n) of the other's, where need(n) is 85 % of n,
+rounded up.  So sketches of n - need(n) + t values share the t smallest common hashes.  A class may leave the t - 1 most
+frequent values of its sketch aside (for the smaller t that a near set can have), and still stands in the inverted list of a value that both keep:
+the lists hold the rarest values only, and a passage that many documents hold makes no list.  A value that one class holds makes none, either.
+
+*Lists are not expanded to pairs.*  Every class is compared with the smallest id in two of its lists, on the full sets.
+That joins most copies; only lists that still hold different components matter from there on.  In a short one,
+pairs from different components go through the union of their sketches, which shows how many values they differ in
+at least, and those that can be near are confirmed on the full sets.  The members of long ones get lists anew, from their full
+sets and with the frequencies among themselves: a class with more than 15 % of its own stands in none, so documents that share
+a template cost no comparison.  What is long then is compared block by block: pivots, four times as many in each round, with all
+members, each task returning a spanning forest, until each list is one component or all have been pivots.
 
 Defined cases: a null text, or one without words, has an empty set, is linked with nothing and kept.  Rows that share a
 doc_id are one document with the links of all of them.  Rows without a doc_id are linked with nothing and kept.
@@ -22,25 +26,33 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
 from .components import components
-from .store import cut, small_batches
+from .store import cut, discard, small_batches
 
 #: Words of a shingle.
 SHINGLE = 5
 #: Two sets are near at 100 * intersection >= SIMILAR * union.
 SIMILAR = 85
-#: Values of a sketch, those that sketches of near sets share (fewer have a probability of about 1e-5), and the estimate below which a pair is dropped (likewise).
-SKETCH, OVERLAP, LEAST_ESTIMATE = 32, 18, 0.55
-#: Up to this size the sketch of a set, and of any near set, is the whole set.
-WHOLE = SKETCH * SIMILAR // 100
-#: Members of a list that is compared pair by pair in one task, and pivots and members of a chunk of a longer one, about.
+#: Values that the sketches of near sets share: a tenth of the set, so many at least.
+SHARED = 24
+#: Members of a list that are compared pair by pair, and pivots and members of a chunk of a longer one, about.
 SHORT_LIST, CHUNK = 64, 512
 
 
+def need(n):
+    """Shingles that a set of n has in common with any near one, at least: for numbers, and for columns."""
+    return F.floor((n * SIMILAR + 99) / 100) if isinstance(n, Column) else -(-n * SIMILAR // 100)
+
+
+def shared(n):
+    """Values that the sketches of a set of n and of a near set that is no smaller share, at least."""
+    return F.least(need(n), F.greatest(F.floor(n / 10), F.lit(SHARED))) if isinstance(n, Column) else min(need(n), max(n // 10, SHARED))
+
+
 def shingle_sets(text: pa.Array) -> Iterator[np.ndarray]:
     """The set of each document: sorted 64-bit hashes of its shingles; with fewer words, of the whole sequence."""
     for a, b, data, offsets in scan.chunks(text):
@@ -66,7 +78,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 n.append(len(s))
                 h1.append(s.sum(dtype=np.uint64).astype(np.int64))
                 h2.append(scan.mix(s).sum(dtype=np.uint64).astype(np.int64))
-                bottom.append(s[:SKETCH].astype(np.int64))
+                bottom.append(s[: len(s) - need(len(s)) + shared(len(s))].view(np.int64))
             yield pa.record_batch([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(bottom, pa.list_(pa.int64()))], ["doc_id", "n", "h1", "h2", "sketch"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -85,53 +97,68 @@ def full_sets(docs: DataFrame) -> DataFrame:
     return small_batches(docs.select("doc_id", "text")).mapInArrow(run, f"doc_id {kind}, n long, set binary")
 
 
-def prefixes(classes: DataFrame) -> DataFrame:
-    """id and prefix of each class that shares a value of its prefix: the rarest values of its sketch, rarest first."""
-    values = classes.select("id", "n", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
-    shared = cut(values.groupBy("value").agg(F.count(F.lit(1)).alias("held")).where("held > 1"))
-    found = values.join(shared, "value").groupBy("id", "n", "k").agg(F.sort_array(F.collect_list(F.struct("held", "value"))).alias("shared"))
-    overlap = F.when(F.col("n") <= WHOLE, F.ceil(F.col("n") * SIMILAR / 100)).otherwise(OVERLAP)
-    # Values that no other class holds come first and stand in no list.
-    length = F.col("k") - overlap + 1 - (F.col("k") - F.size("shared"))
-    found = found.withColumn("length", length.cast("int")).where("length > 0")
-    return found.select("id", F.transform(F.slice("shared", F.lit(1), F.col("length")), lambda x: x["value"]).alias("prefix"))
-
-
-def estimate(a: np.ndarray, b: np.ndarray) -> float:
-    """Similarity by the sketch of the union: the share of its values that both sketches hold."""
-    union = np.union1d(a, b)[:SKETCH]
-    return float(np.isin(union, a, assume_unique=True)[np.isin(union, b, assume_unique=True)].sum() / max(1, len(union)))
+def values_of(sets: DataFrame) -> DataFrame:
+    """id, h1 (tells classes with one id apart), n and value: a row for each hash of `sets` (doc_id, n, set)."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, body in enumerate(batch.column("set")):
+                hashes = np.frombuffer(body.as_py(), np.uint64)
+                row = pa.repeat(batch.column("doc_id")[k], len(hashes))
+                same = pa.repeat(pa.scalar(int(hashes.sum(dtype=np.uint64).astype(np.int64))), len(hashes))
+                yield pa.record_batch([row, same, pa.repeat(batch.column("n")[k], len(hashes)), pa.array(hashes.view(np.int64))], ["id", "h1", "n", "value"])
 
-def candidates(lists: DataFrame) -> DataFrame:
-    """a, b: pairs of `lists` (value, id, n, prefix, sketch) whose first common value is that of the list, near by size and estimate."""
+    kind = sets.schema["doc_id"].dataType.simpleString()
+    return small_batches(sets.where("n > 0").select("doc_id", "n", "set")).mapInArrow(run, f"id {kind}, h1 long, n long, value long")
 
-    def run(table: pa.Table) -> pa.Table:
-        value = table.column("value")[0].as_py()
-        ids, n = table.column("id").to_pylist(), table.column("n").to_pylist()
-        prefix = [dict.fromkeys(x) for x in table.column("prefix").to_pylist()]
-        sketch = [np.array(x, np.int64).view(np.uint64) for x in table.column("sketch").to_pylist()]
-        a, b = [], []
-        for i in range(len(ids)):
-            for j in range(i):
-                if min(n[i], n[j]) * 100 >= SIMILAR * max(n[i], n[j]) and next(v for v in prefix[i] if v in prefix[j]) == value and ids[i] != ids[j] and estimate(sketch[i], sketch[j]) >= LEAST_ESTIMATE:
-                    a.append(max(ids[i], ids[j]))
-                    b.append(min(ids[i], ids[j]))
-        kind = table.schema.field("id").type
-        return pa.table([pa.array(a, kind), pa.array(b, kind)], ["a", "b"])
 
-    kind = lists.schema["id"].dataType.simpleString()
-    return lists.groupBy("value").applyInArrow(run, f"a {kind}, b {kind}")
+def prefixes(values: DataFrame, aside: Column) -> DataFrame:
+    """id and prefix: the values of a class (id, h1, n, value) that other classes hold, too, rarest first, without the `aside` most frequent of its values."""
+    held = cut(values.groupBy("value").agg(F.count(F.lit(1)).alias("held")).where("held > 1"))
+    found = values.join(held, "value").groupBy("id", "h1", "n").agg(F.sort_array(F.collect_set(F.struct("held", "value"))).alias("shared"))
+    length = F.greatest(F.size("shared") - aside, F.lit(0)).cast("int")
+    found = found.where(length > 0)
+    return found.select("id", F.transform(F.slice("shared", F.lit(1), length), lambda x: x["value"]).alias("prefix"))
 
 
 def near(n_both, n_a, n_b):
     return 100 * n_both >= SIMILAR * (n_a + n_b - n_both)
 
 
+def can_be_near(a: np.ndarray, b: np.ndarray, n_a: int, n_b: int) -> bool:
+    """Whether sets of n_a and n_b hashes with the sketches a and b can be near.
+
+    Up to the smaller of the two sketches' ends all of the union is known, and so is what either set has alone there.
+    """
+    ends = [s[-1] for s, n in ((a, n_a), (b, n_b)) if len(s) < n]
+    if ends:
+        a, b = a[: np.searchsorted(a, min(ends), "right")], b[: np.searchsorted(b, min(ends), "right")]
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    only_a, only_b = len(a) - both, len(b) - both
+    return 100 * min(n_a - only_a, n_b - only_b) >= SIMILAR * max(n_a + only_b, n_b + only_a)
+
+
+def estimated(pairs: DataFrame, drawn: DataFrame) -> DataFrame:
+    """The pairs (a, b) that can be near by the union of their sketches (`drawn`: id, n, sketch)."""
+    side = lambda x: drawn.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
+    joined = pairs.join(side("a"), "a").join(side("b"), "b")
+    joined = joined.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILAR).select("a", "b", "n_a", "n_b", "s_a", "s_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sketch = [[s.values.to_numpy().view(np.uint64) for s in batch.column(c)] for c in ("s_a", "s_b")]
+            keep = list(map(can_be_near, *sketch, batch.column("n_a").to_pylist(), batch.column("n_b").to_pylist()))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    kind = pairs.schema["a"].dataType.simpleString()
+    return small_batches(joined).mapInArrow(run, f"a {kind}, b {kind}").distinct()
+
+
 def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) that are near on the full sets."""
-    left = sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a"))
-    right = sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b"))
+    left = sets.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("set").alias("set_a"))
+    right = sets.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("set").alias("set_b"))
+    joined = pairs.join(left, "a").join(right, "b").where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * SIMILAR)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -141,9 +168,22 @@ def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 keep.append(near(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y)))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
     kind = pairs.schema["a"].dataType.simpleString()
-    return small_batches(joined).mapInArrow(run, f"a {kind}, b {kind}")
+    return small_batches(joined.select("a", "b", "set_a", "set_b")).mapInArrow(run, f"a {kind}, b {kind}")
+
+
+def open_lists(listed: DataFrame, joined: DataFrame) -> DataFrame:
+    """value, id, component and size of the list, of the lists in `listed` (value, id) that hold more than one component."""
+    placed = listed.join(joined, "id", "left").select("value", "id", F.coalesce("component", "id").alias("component"))
+    lists = placed.groupBy("value").agg(F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return cut(placed.join(lists.where("low <> high").select("value", "size"), "value"))
+
+
+def pairs_across(lists: DataFrame) -> DataFrame:
+    """a, b: the pairs from different components in the short ones of `lists`."""
+    short = lists.where(F.col("size") <= SHORT_LIST)
+    side = lambda x: short.select("value", F.col("id").alias(x), F.col("component").alias(f"of_{x}"))
+    return side("a").join(side("b"), "value").where("a > b and of_a <> of_b").select("a", "b").distinct()
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -185,8 +225,8 @@ def forest(links: np.ndarray, left: list, right: list) -> list[tuple]:
     return [(x, root(x)) for x in label if root(x) != x]
 
 
-def long_list_links(members: DataFrame, sets: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """`links` (a, b) with more, so that they join all that is near within the long lists of `members` (value, id); and their components."""
+def compare_blocks(members: DataFrame, sets: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`links` (a, b) with more, so that they join all that is near within the lists of `members` (value, id); and their components."""
     kind = members.schema["id"].dataType
 
     def compare(table: pa.Table) -> pa.Table:
@@ -202,51 +242,64 @@ def long_list_links(members: DataFrame, sets: DataFrame, links: DataFrame) -> tu
         return pa.table([pa.array([x for x, _ in found], t), pa.array([y for _, y in found], t)], ["a", "b"])
 
     joined = components(links)
-    round_ = 0
+    rest, round_ = members, 0
     while True:
         # All members are in `rest` until they have been pivots.  Those outside a list's largest component must still be pivots.
-        rest = members.select("value", "id") if not round_ else rest.where("not chosen").select("value", "id")
-        rest = cut(rest.join(joined, "id", "left").select("value", "id", F.coalesce("component", "id").alias("component")))
+        rest = cut(rest.select("value", "id").join(joined, "id", "left").select("value", "id", F.coalesce("component", "id").alias("component")))
         sizes = rest.groupBy("value", "component").agg(F.count(F.lit(1)).alias("size"))
         lists = sizes.groupBy("value").agg(F.max(F.struct("size", "component")).alias("main"), F.sum("size").alias("size"))
         lists = lists.select("value", F.col("main.component").alias("main"), F.ceil(F.col("size") / CHUNK).alias("chunks"), F.ceil((F.col("size") - F.col("main.size")) / CHUNK).alias("turns"))
         lists = cut(lists.where("turns > 0"))
         if lists.isEmpty():
             return links, joined
+        # Four times as many pivots in each round, in blocks of their own, so that the number of rounds is a logarithm.
         draw = lambda salt, n: F.pmod(F.xxhash64("id", F.lit(salt)), n)
-        chosen = (F.col("component") != F.col("main")) & (draw(round_, F.col("turns")) == 0)
-        rest = cut(rest.join(lists, "value").select("value", "id", "chunks", chosen.alias("chosen")))
-        as_member = rest.select("value", draw(-1, F.col("chunks")).alias("chunk"), "id", F.lit(False).alias("pivot"))
-        as_pivot = rest.where("chosen").select("value", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), "id", F.lit(True).alias("pivot"))
-        rows = as_member.unionByName(as_pivot).join(sets.select(F.col("doc_id").alias("id"), "set"), "id").select("value", "chunk", "id", "pivot", "set")
-        links = cut(links.unionByName(rows.groupBy("value", "chunk").applyInArrow(compare, f"a {kind.simpleString()}, b {kind.simpleString()}")))
+        turn = draw(round_, F.col("turns"))
+        chosen = (F.col("component") != F.col("main")) & (turn < 4**round_)
+        rest = cut(rest.join(lists, "value").select("value", "id", "chunks", turn.alias("turn"), F.least("turns", F.lit(4**round_)).alias("blocks"), chosen.alias("chosen")))
+        as_member = rest.select("value", draw(-1, F.col("chunks")).alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "id", F.lit(False).alias("pivot"))
+        as_pivot = rest.where("chosen").select("value", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.col("turn").alias("block"), "id", F.lit(True).alias("pivot"))
+        rows = as_member.unionByName(as_pivot).join(sets.select(F.col("doc_id").alias("id"), "set"), "id").select("value", "chunk", "block", "id", "pivot", "set")
+        links = cut(links.unionByName(rows.groupBy("value", "chunk", "block").applyInArrow(compare, f"a {kind.simpleString()}, b {kind.simpleString()}")))
         joined = components(links)
-        round_ += 1
+        rest, round_ = rest.where("not chosen"), round_ + 1
+
+
+def link_classes(drawn: DataFrame, docs: DataFrame, links: DataFrame) -> DataFrame:
+    """id, component of the classes of `drawn` (id, h1, n, sketch) that links join, `links` (a, b) among them."""
+    values = drawn.select("id", "h1", "n", F.explode("sketch").alias("value"))
+    heads = cut(prefixes(values, shared(need(F.col("n"))) - 1))
+    listed = cut(heads.select(F.explode("prefix").alias("value"), "id").distinct())
+    sets = cut(full_sets(docs.join(heads.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi")).dropDuplicates(["doc_id", "set"]))
+    # The rarest and the most frequent value of each, and the smallest id in their lists.
+    least = listed.groupBy("value").agg(F.min("id").alias("b"))
+    stars = heads.select(F.col("id").alias("a"), F.explode(F.array_distinct(F.array(F.element_at("prefix", 1), F.element_at("prefix", -1)))).alias("value"))
+    stars = stars.join(least, "value").where("a <> b").select("a", "b").distinct()
+    links = cut(links.unionByName(confirmed(estimated(stars, drawn), sets)))
+    lists = open_lists(listed, components(links))
+    links = cut(links.unionByName(confirmed(estimated(pairs_across(lists), drawn), sets)))
+    long_ = cut(lists.where(F.col("size") > SHORT_LIST).select(F.col("id").alias("doc_id")).distinct())
+    discard(lists, listed, heads)
+    if long_.isEmpty():
+        return components(links)
+    members = sets.join(long_, "doc_id", "left_semi")
+    listed = prefixes(values_of(members), need(F.col("n")) - 1).select(F.explode("prefix").alias("value"), "id").distinct()
+    lists = open_lists(listed, components(links))
+    links = cut(links.unionByName(confirmed(estimated(pairs_across(lists), drawn), sets)))
+    return compare_blocks(lists.where(F.col("size") > SHORT_LIST).select("value", "id"), sets, links)[1]
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept of every row of `docs`."""
     docs = docs.select("doc_id", "text")
     signed = cut(sketches(docs))
-    classes = signed.where("n > 0 and doc_id is not null").groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "sketch")).alias("first"))
-    classes = cut(classes.select("h1", "h2", "n", F.col("first.doc_id").alias("id"), F.col("first.sketch").alias("sketch")))
-    heads = cut(prefixes(classes))
-    listed = heads.select(F.explode("prefix").alias("value"), "id")
-    sizes = cut(listed.groupBy("value").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
-    listed = cut(listed.join(sizes, "value"))
-    short = listed.where(F.col("size") <= SHORT_LIST).select("value", "id")
-    rows = short.join(heads, "id").join(classes.select("id", "n", "sketch"), "id").select("value", "id", "n", "prefix", "sketch")
-    pairs = cut(candidates(rows).distinct())
-    long_ = listed.where(F.col("size") > SHORT_LIST).select("value", "id").distinct()
-    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).unionByName(long_.select(F.col("id").alias("doc_id"))).distinct())
-    sets = cut(full_sets(docs.join(ids, "doc_id", "left_semi")).dropDuplicates())
-    links = cut(confirmed(pairs, sets))
+    known = signed.where("n > 0 and doc_id is not null")
+    classes = cut(known.groupBy("h1", "h2", "n").agg(F.min("doc_id").alias("id")))
+    drawn = cut(known.join(classes, ["h1", "h2", "n"]).where("doc_id = id").select("id", "h1", "n", "sketch"))
     # Rows of one doc_id with different sets are one document already: classes share its id.
-    shared_ids = signed.where("n > 0 and doc_id is not null").select("doc_id", "h1", "h2", "n").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id")
-    if not shared_ids.isEmpty():
-        of = signed.join(shared_ids, "doc_id").join(classes.select("h1", "h2", "n", "id"), ["h1", "h2", "n"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
-        links = cut(links.unionByName(of.where("a <> b").distinct()))
-    _, joined = long_list_links(long_, sets, links)
+    repeated = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id")
+    of = known.select("doc_id", "h1", "h2", "n").join(repeated, "doc_id").join(classes, ["h1", "h2", "n"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
+    joined = link_classes(drawn, docs, cut(of.where("a <> b").distinct()))
     members = cut(classes.join(joined, "id", "left").select("h1", "h2", "n", F.coalesce("component", "id").alias("component")))
     c = members.withColumnsRenamed({"h1": "c1", "h2": "c2", "n": "cn"})
     found = signed.join(c, (signed.h1 == c.c1) & (signed.h2 == c.c2) & (signed.n == c.cn), "left")

@@ -12,19 +12,25 @@ _own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The application's folder under spark.checkpoint.dir; where that is unset (tests), one in a temporary folder."""
+    """The application's folder under spark.checkpoint.dir; where that is unset, in local mode only, one in a temporary folder."""
     app = spark.sparkContext.applicationId
     if app not in _own:
         root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+        if not root and spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         _own[app] = f"{root or tempfile.mkdtemp(prefix='shared-')}/cut-{app}-{uuid.uuid4().hex[:8]}"
         atexit.register(_remove, spark, _own[app])
     return _own[app]
 
 
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def _remove(spark: SparkSession, folder: str) -> None:
     try:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)
     except Exception:  # the session may have ended before
         pass
 
@@ -33,8 +39,15 @@ def cut(df: DataFrame) -> DataFrame:
     """`df` written as a table in the shared folder and read again: its lineage ends there, so a lost executor costs no recomputation of what came before."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that `cut` has written and that nothing reads any more."""
+    for df in tables:
+        _delete(df.sparkSession, df._cut_path)
 
 
 def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:

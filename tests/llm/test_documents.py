@@ -100,6 +100,52 @@ def test_near_duplicates_in_long_lists(spark, rows, monkeypatch):
     assert got(minhash.near_duplicates(frame(spark, rows)), "n_shingles", "component_id", "kept") == brute.near_dedup(rows)
 
 
+def template_rows(share, n, seed=6):
+    """Texts of 100 words of which `share` are one template's, in front."""
+    rng = random.Random(seed)
+    base = [f"t{k}" for k in range(share)]
+    return [(d, " ".join(base + [f"own{d}x{k}" for k in range(100 - share)])) for d in range(n)] + [(n + d, words(rng, 40)) for d in range(5)]
+
+
+@pytest.mark.parametrize("share", [65, 84, 90])
+def test_near_duplicates_that_share_a_template(spark, share):
+    """Long lists without a link, with one by the full sets' frequencies, and with ones that must be compared."""
+    rows = template_rows(share, 150)
+    rows += [(500 + d, t.replace(" t7 ", " edited ")) for d, t in rows[:3]] + [(600, " ".join(f"t{k}" for k in range(share)))]
+    assert got(minhash.near_duplicates(frame(spark, rows)), "n_shingles", "component_id", "kept") == brute.near_dedup(rows)
+
+
+def test_no_comparison_of_documents_that_share_a_template(spark, monkeypatch):
+    rounds = []
+    compare = minhash.compare_blocks
+    monkeypatch.setattr(minhash, "compare_blocks", lambda members, *rest: (rounds.append(members.count()), compare(members, *rest))[1])
+    minhash.near_duplicates(frame(spark, template_rows(65, 300))).collect()
+    assert not any(rounds)
+
+
+def test_near_duplicates_at_the_border(spark):
+    """Pairs of sets just above and just below 85 %, at many sizes: none is lost, none is added."""
+    rows = []
+    for k, n in enumerate([*range(5, 60), 101, 240, 700]):
+        own = [f"a{k}x{j}" for j in range(n + 4)]
+        for i, edits in enumerate((0, n * 3 // 20, n * 3 // 20 + 1, n * 2 // 25)):
+            rows.append((10 * k + i, " ".join(own[: n + 4 - edits] + [f"b{k}x{i}x{j}" for j in range(edits if i < 3 else edits)])))
+            rows.append((10 * k + i + 5, " ".join(own[edits:])))
+    rows = list(dict(rows).items())
+    assert got(minhash.near_duplicates(frame(spark, rows)), "n_shingles", "component_id", "kept") == brute.near_dedup(rows)
+
+
+def test_words_with_nul_and_patterned_words(spark):
+    rows = [(1, "a\x00b c d e f"), (2, "a b c d e f"), (3, "a\x00b c d e f g"), (4, "\x00"), (5, "\x00 \x00")]
+    bits = "".join("ab"[k.bit_count() % 2] for k in range(4096))
+    for d, n in enumerate((64, 128, 1024, 4096)):
+        rows += [(10 + 2 * d, bits[:n]), (11 + 2 * d, bits[:n].translate(str.maketrans("ab", "ba")))]
+    assert got(minhash.near_duplicates(frame(spark, rows)), "n_shingles", "component_id", "kept") == brute.near_dedup(rows)
+    items = [(1, bits[:1024]), (2, bits[:64]), (3, "x")]
+    leaks = decontaminate.find_leaks(frame(spark, rows), frame(spark, items).withColumnRenamed("doc_id", "item_id"))
+    assert {r.doc_id: r.n_hit for r in leaks.collect()} == {d: v[1] for d, v in brute.decontaminate(rows, items).items()}
+
+
 def test_near_duplicates_of_repeated_ids(spark):
     a, b = "a b c d e f g h", "q r s t u v w x"
     df = minhash.near_duplicates(frame(spark, [(5, a), (5, b), (7, b), (9, a), (None, a)]))
