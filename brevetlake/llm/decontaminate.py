@@ -1,15 +1,18 @@
 """Removal of documents that hold passages of a benchmark, by suffix arrays of the training text.
 
-Some megabytes of documents are a shard.  Its words become numbers of the benchmark's vocabulary; only positions from where
-enough such words follow can match, and these are sorted by the words that follow: the shard's suffix array, to the depth of
-a window.  Every suffix of every benchmark item is looked up in it by binary search, which gives all places of the
+A suffix of the training text is cut to a window of words.  Those that can match stand, sorted, in shards dealt out by the hash
+of their words: the shards' suffix arrays.  Every suffix of every benchmark item is dealt out alike and looked up in
+the one shard that can hold it, by a merge of both sorted sides in place of a binary search for each, which gives all places of the
 window; neighbouring places join to the longest verbatim matches.
 
-The benchmark comes to the tasks in blocks of bounded size, each in a pass of its own; what passes find is merged by
-document.  So neither side has to fit in memory.
+The corpus is scanned once.  Which of its suffixes can match is told by a Bloom filter of the benchmark's windows, whose size has a
+fixed bound (`FILTER_BITS`); what it lets pass wrongly finds no partner in its shard.  The benchmark itself is a distributed
+table, too: its windows are distinct before they meet the corpus, and which items hold them is joined to what was found, by
+sets of items, so a prompt that thousands of items share is one window for each of its words.
 
 Defined cases: a null or empty text has no words and is clean; an item without words matches nothing; repeated
-items count by their id; repeated documents are judged alike; an empty benchmark leaves all documents clean.
+items count by their id; an item without an id makes hits, but is in no list of items; repeated documents are judged
+alike; an empty benchmark leaves all documents clean.
 """
 
 from __future__ import annotations
@@ -22,158 +25,178 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
-from .store import small_batches
+from .store import cut, small_batches
 
 #: Words of a window.
 WINDOW = 10
-#: Bytes of benchmark text in one block.
-BLOCK_BYTES = 8 << 20
-
-
-class Block:
-    """Suffixes of some benchmark items, each cut to a window, as keys that sort like the words."""
-
-    def __init__(self, items: list[tuple[str, str]], window: int):
-        ids = [i for i, _ in items]
-        text = pa.array([t for _, t in items], pa.large_string())
-        words, owners = [], []
-        for a, _, data, offsets in scan.chunks(text):
-            mapped = scan.ALNUM[data]
-            start, end, doc = scan.word_spans(mapped, offsets)
-            words.append(scan.word_hashes(mapped, start, end))
-            owners.append(doc + a)
-        words, owner = np.concatenate([*words, np.zeros(0, np.uint64)]), np.concatenate([*owners, np.zeros(0, np.int64)])
-        self.vocabulary = np.unique(words)
-        self.window = window
-        code = np.searchsorted(self.vocabulary, words).astype(np.int64) + 1
-        left = np.zeros(len(words), np.int64)
-        if len(words):
-            last = np.append(np.flatnonzero(owner[1:] != owner[:-1]), len(owner) - 1)
-            left = last[np.searchsorted(last, np.arange(len(owner)))] - np.arange(len(owner)) + 1
-        first = np.concatenate([[True], owner[1:] != owner[:-1]]) if len(words) else np.zeros(0, bool)
-        # All windows of an item; of an item shorter than a window the one suffix that is all of it.
-        self.at = np.flatnonzero((left >= window) | first)
-        self.length = np.minimum(left[self.at], window)
-        self.ids = ids
-        self.item = owner[self.at]
-        self.place = self.at - (np.flatnonzero(first)[np.searchsorted(np.flatnonzero(first), self.at, side="right") - 1] if len(words) else 0)
-        self.low = suffix_keys(code, self.at, self.length, window, 0)
-        self.high = suffix_keys(code, self.at, self.length, window, 0xFFFFFFFF)
-        self.shortest = int(self.length.min()) if len(self.at) else window
-
-
-def suffix_keys(code: np.ndarray, at: np.ndarray, length: np.ndarray, window: int, pad: int) -> np.ndarray:
-    """The `length` words from each place as a byte string that sorts like them, filled up with `pad`."""
-    padded = np.append(code, np.zeros(window, np.int64))
-    rows = padded[at[:, None] + np.arange(window)]
-    rows = np.where(np.arange(window) < length[:, None], rows, pad).astype(">u4")
-    return np.ascontiguousarray(rows).view(f"S{4 * window}").ravel()
-
-
-def find(batch_text: pa.Array, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of each document of a batch, and the places where windows occur: document, first word, number of the window."""
-    window, n_docs = block.window, len(batch_text)
-    n_words = np.zeros(n_docs, np.int64)
-    codes, docs = [], []
-    for a, b, data, offsets in scan.chunks(batch_text):
+#: Bits of the filter for each window, rounded up to a power of two; the most bits in all (16 MB), and the fewest; bits that a window sets.
+BITS_A_WINDOW, FILTER_BITS, LEAST_BITS, PROBES = 32, 1 << 27, 1 << 16, 4
+
+_U = np.uint64
+_PLACES = scan.byte_values(31)
+
+
+def words_of(text: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First row, row after the last, hashes of the words and row of each word, chunk by chunk."""
+    for a, b, data, offsets in scan.chunks(text):
         mapped = scan.ALNUM[data]
         start, end, doc = scan.word_spans(mapped, offsets)
-        n_words[a:b] = np.bincount(doc, minlength=b - a)
-        if not len(block.vocabulary):
-            continue
-        words = scan.word_hashes(mapped, start, end)
-        code = np.searchsorted(block.vocabulary, words)
-        code[code == len(block.vocabulary)] = 0
-        codes.append(np.where(block.vocabulary[code] == words, code + 1, 0).astype(np.uint32))
-        docs.append((doc + a).astype(np.int32))
-    none = np.zeros(0, np.int64)
-    if not codes:
-        return n_words, none, none, none
-    code, doc = np.concatenate(codes), np.concatenate(docs)
-    # How many known words of the same document follow from each place, itself included.
-    n = len(code)
-    stop = np.flatnonzero(np.concatenate([(code[1:] == 0) | (doc[1:] != doc[:-1]), [True]])) if n else none
-    run = np.where(code > 0, stop[np.searchsorted(stop, np.arange(n))] - np.arange(n) + 1, 0) if n else none
-    suffixes = np.flatnonzero(run >= block.shortest)
-    if not len(suffixes):
-        return n_words, none, none, none
-    keys = suffix_keys(code, suffixes, np.minimum(run[suffixes], window), window, 0)
-    order = np.argsort(keys, kind="stable")
-    array = keys[order]
-    low, high = np.searchsorted(array, block.low, "left"), np.searchsorted(array, block.high, "right")
-    counts = high - low
-    which = np.repeat(np.arange(len(counts)), counts)
-    inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-    place = suffixes[order[low[which] + inside]]
-    first = np.searchsorted(doc, doc[place], "left")
-    return n_words, doc[place].astype(np.int64), place - first, which
-
-
-def matches(docs: DataFrame, block: Block) -> DataFrame:
-    """doc_id, row, n_words and matches (longest verbatim ones: item_id, first word, words) of every row of `docs` (doc_id, row, text)."""
+        yield a, b, scan.word_hashes(mapped, start, end), doc + a
+
+
+def words_left(owner: np.ndarray) -> np.ndarray:
+    """How many words of the same row follow from each place, itself included."""
+    n = len(owner)
+    last = np.append(np.flatnonzero(owner[1:] != owner[:-1]), n - 1) if n else owner
+    return last[np.searchsorted(last, np.arange(n))] - np.arange(n) + 1
+
+
+def suffixes(words: np.ndarray, widths: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """For each width, the hash of that many words from each place on."""
+    total = np.zeros(len(words), _U)
+    for k in range(min(max(widths, default=0), len(words))):
+        total[: len(words) - k] += words[k:] * _PLACES[k]
+        if k + 1 in widths:
+            yield k + 1, scan.mix(total + _U(k + 1))
+
+
+def keys(words: np.ndarray, at: np.ndarray, width: int) -> pa.Array:
+    """The hashes of the `width` words from each place, as bytes that sort like them."""
+    rows = words[at[:, None] + np.arange(width)].astype(">u8")
+    return pa.Array.from_buffers(pa.binary(8 * width), len(at), [None, pa.py_buffer(rows.tobytes())]).cast(pa.binary())
+
+
+def items_windows(benchmark: DataFrame, window: int) -> DataFrame:
+    """h, width, key, item_id and place of every suffix of every item, cut to a window."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in scan.shards(batches):
-            n_words, doc, first, which = find(batch.column("text"), block)
-            item, place, length = block.item[which], block.place[which], block.length[which]
-            # Windows that continue each other, in the document and in the item, make one match.
-            order = np.lexsort((first, place - first, item, doc))
-            doc, first, item, place, length = doc[order], first[order], item[order], place[order], length[order]
-            new = np.ones(len(doc), bool)
-            new[1:] = (doc[1:] != doc[:-1]) | (item[1:] != item[:-1]) | (place[1:] - first[1:] != place[:-1] - first[:-1]) | (first[1:] != first[:-1] + 1)
-            starts = np.flatnonzero(new)
-            last = np.append(starts[1:], len(doc))[: len(starts)] - 1
-            found = [[] for _ in range(batch.num_rows)]
-            for d, i, f, n in zip(doc[starts].tolist(), item[starts].tolist(), first[starts].tolist(), (first[last] + length[last] - first[starts]).tolist(), strict=True):
-                found[d].append({"item_id": block.ids[i], "first": f, "words": n})
-            kind = pa.list_(pa.struct([("item_id", pa.string()), ("first", pa.int32()), ("words", pa.int32())]))
-            yield pa.record_batch([batch.column("doc_id"), batch.column("row"), pa.array(n_words), pa.array(found, kind)], ["doc_id", "row", "n_words", "matches"])
-
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return small_batches(docs).mapInArrow(run, f"doc_id {kind}, row long, n_words long, matches array<struct<item_id: string, first: int, words: int>>")
+            for _, _, words, owner in words_of(batch.column("text")):
+                left = words_left(owner)
+                first = np.concatenate([[True], owner[1:] != owner[:-1]])[: len(owner)]
+                start = np.flatnonzero(first)
+                place = np.arange(len(owner)) - np.repeat(start, np.diff(np.append(start, len(owner))))
+                # All windows of an item; of a shorter one the suffix that is all of it.
+                widths = sorted({window, *left[first & (left < window)].tolist()})
+                for width, h in suffixes(words, widths):
+                    at = np.flatnonzero(left >= window if width == window else first & (left == width))
+                    if len(at):
+                        columns = [pa.array(h[at].view(np.int64)), pa.array(np.full(len(at), width, np.int32)), keys(words, at, width), batch.column("item_id").take(pa.array(owner[at])), pa.array(place[at].astype(np.int32))]
+                        yield pa.record_batch(columns, ["h", "width", "key", "item_id", "place"])
+
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    return small_batches(items).mapInArrow(run, "h long, width int, key binary, item_id string, place int")
+
+
+def bloom(windows: DataFrame, n: int) -> np.ndarray:
+    """The filter of `windows` (h) as 64-bit words; at most `FILTER_BITS` bits come to the driver."""
+    bits = LEAST_BITS
+    while bits < min(FILTER_BITS, n * BITS_A_WINDOW):
+        bits *= 2
+    low, high = F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned("h", 32)
+    probe = windows.select(F.explode(F.array(*((low + high * k).bitwiseAND(F.lit(bits - 1)) for k in range(PROBES)))).alias("at"))
+    words = probe.groupBy(F.shiftright("at", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")).toArrow()
+    out = np.zeros(bits // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out.view(_U)
+
+
+def passes(bloom_words: np.ndarray, h: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """The places of `at` whose hash the filter may hold."""
+    low, high, mask = h & _U(0xFFFFFFFF), h >> _U(32), _U(len(bloom_words) * 64 - 1)
+    for k in range(PROBES):
+        bit = (low[at] + high[at] * _U(k)) & mask
+        at = at[(bloom_words[bit >> _U(6)] >> (bit & _U(63))) & _U(1) == 1]
+    return at
+
+
+def suspects(docs: DataFrame, bloom_words: np.ndarray, widths: list[int]) -> DataFrame:
+    """doc_id, row, n_words and spots (h, width, first, key) of every row of `docs` (doc_id, row, text): its suffixes that may be windows."""
+    shared = docs.sparkSession.sparkContext.broadcast(bloom_words)
+    spot = pa.struct([("h", pa.int64()), ("width", pa.int32()), ("first", pa.int32()), ("key", pa.binary())])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shared.value
+        for batch in scan.shards(batches):
+            n_words = np.zeros(batch.num_rows, np.int64)
+            found: list[tuple] = []
+            for a, b, words, owner in words_of(batch.column("text")):
+                n_words[a:b] = np.bincount(owner - a, minlength=b - a)
+                starts = np.concatenate([[0], np.cumsum(n_words[a:b])])
+                left = words_left(owner)
+                for width, h in suffixes(words, widths):
+                    at = passes(bits, h, np.flatnonzero(left >= width))
+                    if len(at):
+                        found.append((owner[at], h[at].view(np.int64), np.full(len(at), width, np.int32), (at - starts[owner[at] - a]).astype(np.int32), keys(words, at, width)))
+            if found:
+                row, h, width, first = (np.concatenate([f[k] for f in found]) for k in range(4))
+                order = np.argsort(row, kind="stable")
+                key = pa.concat_arrays([f[4] for f in found]).take(pa.array(order))
+                spots = pa.StructArray.from_arrays([pa.array(h[order]), pa.array(width[order]), pa.array(first[order]), key], fields=list(spot))
+                ends = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=batch.num_rows))])
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), spots)
+            else:
+                lists = pa.array([[]] * batch.num_rows, pa.list_(spot))
+            yield pa.record_batch([batch.column("doc_id"), batch.column("row"), pa.array(n_words), lists], ["doc_id", "row", "n_words", "spots"])
 
-def blocks(benchmark: DataFrame, window: int, block_bytes: int) -> Iterator[Block]:
-    items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n = max(1, -(-size // block_bytes))
-    for k in range(n):
-        part = items if n == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        # Bounded: block_bytes of text, about, come to the driver.
-        yield Block([(r[0], r[1]) for r in part.collect()], window)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return small_batches(docs).mapInArrow(run, f"doc_id {kind}, row long, n_words long, spots array<struct<h: long, width: int, first: int, key: binary>>")
 
 
-def row_hash() -> Column:
-    """By which a document's rows are known, with or without a doc_id."""
-    return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+def joined_matches(hits: DataFrame) -> DataFrame:
+    """row, n_hit and matches of `hits` (row, places: first, width, item_id and place of one item that holds the window).
 
+    A match is a longest run of windows that continue each other, in the document and in the item: item_id, place, first (word of the document), words.
+    """
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, row, n_words, n_hit, items (sorted), longest (words of the longest match) of every row of `docs`; `row` is the hash of doc_id and text."""
-    whole = docs.select("doc_id", row_hash().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
-    passes = [matches(whole, b) for b in blocks(benchmark, window, block_bytes)]
-    found = passes[0]
-    if len(passes) > 1:
-        # Each pass returns every row; repeated rows are put together and come back as often as they were there.
-        for other in passes[1:]:
-            found = found.unionByName(other)
-        found = found.groupBy("doc_id", "row").agg(F.max("n_words").alias("n_words"), F.flatten(F.collect_list("matches")).alias("matches"), (F.count(F.lit(1)) / len(passes)).cast("int").alias("copies"))
-        found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copies", "copy")
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("item_id", pa.string()), ("place", pa.int32()), ("first", pa.int32()), ("words", pa.int32())]))
         for batch in batches:
-            n_hit, items, longest = [], [], []
-            for places in batch.column("matches").to_pylist():
-                hit, until = 0, 0
-                for first, end in sorted((m["first"], m["first"] + m["words"]) for m in places):
+            n_hit, matches = [], []
+            for places in batch.column("places").to_pylist():
+                hit, until, open_, runs = 0, 0, {}, []
+                for p in sorted(places, key=lambda p: (p["first"], p["width"])):
+                    first, end = p["first"], p["first"] + p["width"]
                     hit += max(0, end - max(first, until))
                     until = max(until, end)
+                    line = (p["item_id"], p["place"] - first)
+                    if (run := open_.get(line)) and run["first"] + run["words"] == end - 1:
+                        run["words"] += 1
+                    else:
+                        open_[line] = {"item_id": p["item_id"], "place": p["place"], "first": first, "words": p["width"]}
+                        runs.append(open_[line])
                 n_hit.append(hit)
-                items.append(sorted({m["item_id"] for m in places}))
-                longest.append(max((m["words"] for m in places), default=0))
-            yield pa.record_batch([batch.column("doc_id"), batch.column("row"), batch.column("n_words"), pa.array(n_hit, pa.int64()), pa.array(items, pa.list_(pa.string())), pa.array(longest, pa.int64())], ["doc_id", "row", "n_words", "n_hit", "items", "longest"])
+                matches.append(runs)
+            yield pa.record_batch([batch.column("row"), pa.array(n_hit, pa.int64()), pa.array(matches, kind)], ["row", "n_hit", "matches"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return found.mapInArrow(digest, f"doc_id {kind}, row long, n_words long, n_hit long, items array<string>, longest long")
+    return small_batches(hits).mapInArrow(run, "row long, n_hit long, matches array<struct<item_id: string, place: int, first: int, words: int>>")
 
 
+def row_hash() -> Column:
+    """By which a document's rows are known, with or without a doc_id."""
+    return F.xxhash64("doc_id", F.coalesce("text", F.lit("")))
+
+
+def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, row, n_words, n_hit, items (sorted), matches, longest (words of the longest match) of every row of `docs`; `row` is the hash of doc_id and text."""
+    whole = docs.select("doc_id", row_hash().alias("row"), F.coalesce("text", F.lit("")).alias("text"))
+    name = ["h", "width", "key"]
+    held = cut(items_windows(benchmark, window))
+    # The set of a window's items is known by sums over them, which are combined before the exchange.
+    set_id = F.xxhash64(F.count("item_id"), F.sum(F.shiftright(F.xxhash64("item_id"), 24)), F.sum(F.shiftright(F.xxhash64(F.lit("item"), F.col("item_id")), 24)))
+    windows = cut(held.distinct().groupBy(*name).agg(set_id.alias("set"), F.min(F.struct("item_id", "place")).alias("at")))
+    # One row comes to the driver.
+    n, widths = windows.agg(F.count(F.lit(1)), F.collect_set("width")).first()
+    scanned = cut(suspects(whole, bloom(windows, n), sorted(widths)))
+    spots = scanned.select("row", F.inline("spots")).join(windows, name).select("row", "first", "width", "set", "at.item_id", "at.place")
+    spots = cut(spots.distinct())
+    hits = joined_matches(spots.groupBy("row").agg(F.collect_list(F.struct("first", "width", "item_id", "place")).alias("places")))
+    # The items of each set: of one of its windows.
+    shown = windows.groupBy("set").agg(F.min(F.struct(*name)).alias("w")).select("set", "w.*")
+    members = held.where("item_id is not null").join(shown, name).select("set", "item_id").distinct()
+    items = spots.select("row", "set").distinct().join(members, "set").groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    found = hits.join(items, "row", "left").withColumnRenamed("row", "of_row")
+    out = scanned.select("doc_id", "row", "n_words").join(found, scanned.row == found.of_row, "left")
+    longest = F.coalesce(F.array_max(F.transform("matches", lambda m: m["words"])), F.lit(0))
+    none = F.array().cast("array<string>")
+    return out.select("doc_id", "row", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"), F.coalesce("items", none).alias("items"), F.coalesce("matches", F.array()).alias("matches"), longest.cast("long").alias("longest"))

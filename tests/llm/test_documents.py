@@ -172,11 +172,32 @@ def test_components(spark):
 BENCHMARK = [(1, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12"), (2, "W10 w11, w12"), (3, None), (4, "..."), (20, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10")]
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 16])
-def test_decontamination(spark, rows, block_bytes):
+@pytest.mark.parametrize("bits", [1 << 27, 64])
+def test_decontamination(spark, rows, bits, monkeypatch):
+    """With a filter of the windows, and with one that is too small to keep anything out."""
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", bits)
+    monkeypatch.setattr(decontaminate, "LEAST_BITS", 64)
     rows = [*rows, (9001, "x " + BENCHMARK[0][1] + " y"), (9002, "w10-w11 W12"), (9003, "w2 w3 w4 w5 w6 w7 w8 w9 w10 w11"), (9004, "w1 w2 w3 w4 w5 w6 w7 w8 w9"), (9005, "w12 w10")]
     items = BENCHMARK + [(100 + k, " ".join((t or "").split()[:14])) for k, (_, t) in enumerate(rows[:40])]
-    leaks = decontaminate.find_leaks(frame(spark, rows), frame(spark, items).withColumnRenamed("doc_id", "item_id"), block_bytes=block_bytes)
+    leaks = decontaminate.find_leaks(frame(spark, rows), frame(spark, items).withColumnRenamed("doc_id", "item_id"))
+    df = leaks.withColumn("sha", F.sha2(F.array_join("items", ","), 256))
+    assert got(df, "n_words", "n_hit", F.size("items"), "sha", F.col("n_hit") > 0) == brute.decontaminate(rows, items)
+
+
+def test_matches_of_decontamination(spark):
+    items = [(1, "a b c d e f g h i j k l m n"), (2, "x y"), (None, "q r s t u v w x1 y1 z1 q1"), (3, "zz c d e f g h i j k l")]
+    rows = [(1, "0 B c d e f g h i j k l 1 x y 2 a b"), (2, "q r s t u v w x1 y1 z1 q1"), (3, None)]
+    found = {r.doc_id: (r.n_hit, r["items"], [tuple(m) for m in r.matches], r.longest) for r in decontaminate.find_leaks(frame(spark, rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found[1] == (13, ["1", "2", "3"], [("1", 1, 1, 11), ("2", 0, 13, 2)], 11)
+    assert found[2] == (11, [], [(None, 0, 0, 11)], 11)
+    assert found[3] == (0, [], [], 0)
+
+
+def test_decontamination_of_a_prompt_that_all_items_share(spark):
+    prompt = " ".join(f"p{k}" for k in range(30))
+    items = [(k, f"{prompt} answer{k} " + " ".join(f"own{k}x{j}" for j in range(k % 15))) for k in range(400)]
+    rows = [(1, f"x {prompt} y"), (2, items[7][1]), (3, " ".join(prompt.split()[:9])), (4, f"{prompt} answer3")]
+    leaks = decontaminate.find_leaks(frame(spark, rows), frame(spark, items).withColumnRenamed("doc_id", "item_id"))
     df = leaks.withColumn("sha", F.sha2(F.array_join("items", ","), 256))
     assert got(df, "n_words", "n_hit", F.size("items"), "sha", F.col("n_hit") > 0) == brute.decontaminate(rows, items)
 
