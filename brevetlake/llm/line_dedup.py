@@ -80,10 +80,10 @@ def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, carry:
     bitmaps = dropped_bitmaps(docs, min_chars, min_docs).withColumnsRenamed({"doc_id": "b_id", "text_hash": "b_hash"})
     whole = _documents(docs, carry)
     joined = whole.join(bitmaps, whole.doc_id.eqNullSafe(F.col("b_id")) & (whole.text_hash == F.col("b_hash")), "left")
-    # The words that are not stored are zero: a dense array, so that a line finds its word in one step.
-    stored = F.map_from_entries("dropped")
-    last = F.element_at("dropped", -1)["word"]
-    dense = F.transform(F.sequence(F.lit(0), last), lambda w: F.coalesce(F.element_at(stored, w), F.lit(0).cast("long")))
+    # The words that are not stored are zero: a dense array, made in one pass over the stored ones, so that a line finds its word in one step.
+    stored = F.col("dropped")
+    zeros = lambda k, w: F.array_repeat(F.lit(0).cast("long"), w["word"] - F.coalesce(F.get(stored, k - 1)["word"], F.lit(-1)) - 1)
+    dense = F.flatten(F.transform(stored, lambda w, k: F.concat(zeros(k, w), F.array(w["bits"]))))
     lines = F.split("text", "\n", -1)
 
     def kept(line: Column, at: Column) -> Column:

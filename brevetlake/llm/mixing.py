@@ -1,12 +1,15 @@
 """Mixing of sources to target weights by a low-discrepancy schedule.
 
 Slots of the mix follow the golden-ratio sequence: slot t has the point t * phi modulo 1, and the point falls in the part
-of one source on the line of cumulative targets.  A source's slots, ranked, take the equal-token blocks of its
-shuffled documents one after the other, a second time round once all are taken.  So any stretch of the schedule holds
-the sources in their proportions, and a source is off its target by a few blocks at most.
+of one source on the line of cumulative targets.  A source's slots are ranked, and the slot of rank r takes the r-th
+equal-token block of its shuffled documents, which come a second time round once all are taken.  So any stretch of the
+schedule holds the sources in their proportions.  The last block of a source ends where its target is reached; where a
+source has got a few slots less than it needs, which a small source can, the rest follow at the end of the schedule.  So each
+source takes its target, whatever its size.
 
 Everything is distributed: ranks of slots and token offsets of documents are running sums over buckets of bounded
-size, joined to the running sums of the buckets.  A source with a third of all rows is spread over its buckets.
+size, joined to the running sums of the buckets, and blocks meet their slots by source and rank.  A source with a third of all
+rows is spread over its buckets and blocks.  Only what has one row for each source is in one task.
 
 Only DataFrame functions run here; there is no Python on the executors.
 
@@ -85,9 +88,18 @@ def schedule(goals: DataFrame, total: float, block: int) -> DataFrame:
     return ranked.join(runs, ["number", "run"]).select("slot", "number", (F.col("before") + F.col("at") - 1).alias("rank"))
 
 
-def blocks_taken(goals: DataFrame, total: float, block: int) -> DataFrame:
-    """number, n_blocks: how many blocks the schedule draws from each source."""
-    return schedule(goals, total, block).groupBy("number").agg(F.count(F.lit(1)).alias("n_blocks"))
+def complete_schedule(goals: DataFrame, total: float, block: int) -> DataFrame:
+    """`schedule` with as many slots for each source as its target (`want` tokens) has blocks."""
+    drawn = schedule(goals, total, block)
+    needed = goals.select("number", F.ceil(F.col("want") / block).alias("needed"))
+    counts = needed.join(drawn.groupBy("number").agg(F.count(F.lit(1)).alias("n")), "number", "left")
+    short = counts.select("number", "needed", F.coalesce("n", F.lit(0).cast("long")).alias("n")).where("needed > n")
+    # One row for each source that is short of slots.
+    before = F.sum(F.col("needed") - F.col("n")).over(Window.orderBy("number").rowsBetween(Window.unboundedPreceding, -1))
+    short = short.withColumn("before", F.coalesce(before, F.lit(0).cast("long")))
+    late = short.select("number", "n", "before", F.explode(F.sequence("n", F.col("needed") - 1)).alias("rank"))
+    late = late.select((F.lit(int(-(-total // block))) + F.col("before") + F.col("rank") - F.col("n")).alias("slot"), "number", "rank")
+    return drawn.join(needed, "number").where("rank < needed").select("slot", "number", "rank").unionByName(late)
 
 
 def offsets(sized: DataFrame) -> DataFrame:
@@ -104,25 +116,33 @@ def offsets(sized: DataFrame) -> DataFrame:
     return joined.select("doc_id", "source", "size", (F.col("before") + F.col("inside")).alias("offset"))
 
 
+def pieces(placed: DataFrame, slots: DataFrame, block: int, most: int) -> DataFrame:
+    """slot, number, offset, doc_id, first and words: which words of which document (number of its source, offset) each slot takes.
+
+    `placed` has doc_id, number, offset, size, source_size and want; it comes `most` times round.
+    """
+    start = lambda k: F.col("offset") + k * F.col("source_size")
+    rounds = F.array(*(F.struct(start(k).alias("start"), F.least(start(k) + F.col("size"), "want").alias("end")) for k in range(most)))
+    taken = placed.select("doc_id", "number", "offset", F.inline(rounds)).where("start < end")
+    taken = taken.withColumn("rank", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("end") - 1) / block))))
+    low, high = F.greatest("start", F.col("rank") * block), F.least("end", (F.col("rank") + 1) * block)
+    return taken.join(slots, ["number", "rank"]).select("slot", "number", "offset", "doc_id", (low - F.col("start")).alias("first"), (high - low).alias("words"))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, n_blocks and offset of every row of `docs`."""
+    """doc_id, source, size, source_size, target, taken, first_slot (the first that takes words of it) and offset of every row of `docs`."""
     sized = cut(sizes(docs))
-    goals = targets(sized, weights, share, most)
+    goals = targets(sized, weights, share, most).withColumn("want", F.least(F.floor("target"), most * F.col("source_size")))
+    goals = cut(goals)
     # One row comes to the driver: the total of the targets and the number of sources.
     total, n_sources = goals.agg(F.max("total"), F.count(F.lit(1))).first()
     total = float(total or 0)
     block = block_tokens(total, n_sources)
-    plan = goals.join(blocks_taken(goals, total, block), "number", "left")
-    plan = plan.select(F.col("source").alias("s"), "source_size", "target", F.coalesce("n_blocks", F.lit(0).cast("long")).alias("n_blocks"))
-    stream = F.least(F.col("n_blocks") * block, most * F.col("source_size"))
+    plan = goals.select(F.col("source").alias("s"), "number", "source_size", "target", "want")
     placed = offsets(sized)
-    joined = placed.join(plan, placed.source.eqNullSafe(F.col("s")))
-
-    def overlap(epoch: int) -> Column:
-        left = stream - epoch * F.col("source_size") - F.col("offset")
-        return F.greatest(F.lit(0).cast("long"), F.least(left, F.col("size")))
-
-    taken = overlap(0)
-    for epoch in range(1, most):
-        taken = taken + overlap(epoch)
-    return joined.select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), "n_blocks", "offset")
+    placed = cut(placed.join(plan, placed.source.eqNullSafe(F.col("s"))).drop("s"))
+    # A document with words is known by its source and offset.
+    drawn = pieces(placed.where("size > 0"), complete_schedule(goals, total, block), block, most)
+    drawn = drawn.groupBy(F.col("number").alias("of"), F.col("offset").alias("at")).agg(F.sum("words").alias("taken"), F.min("slot").alias("first_slot"))
+    joined = placed.join(drawn, (placed.number == drawn.of) & (placed["offset"] == drawn["at"]) & (placed["size"] > 0), "left")
+    return joined.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), "first_slot", "offset")

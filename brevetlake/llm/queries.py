@@ -57,7 +57,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(spark.read.parquet(f"{sf_dir}/documents.parquet"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -169,18 +169,27 @@ ORACLES: dict[str, str] = {
                    greatest(1, least(4096, floor(total / (1024 * (SELECT count(*) FROM edges)))))::BIGINT AS block
             FROM edges),
         slots AS (
-            SELECT ((slot % 2147483648) * 1327217885) % 2147483648 AS point
+            SELECT slot, ((slot % 2147483648) * 1327217885) % 2147483648 AS point
             FROM range(CAST((SELECT ceil(max(total) / max(block)) FROM parts) AS BIGINT)) AS t(slot)),
-        drawn AS (SELECT number, count(*) AS n FROM slots, parts WHERE low <= point AND point < high GROUP BY number),
+        drawn AS (
+            SELECT number, slot, row_number() OVER (PARTITION BY number ORDER BY slot) - 1 AS rank
+            FROM slots, parts WHERE low <= point AND point < high),
         plan AS (
-            SELECT p.source, p.source_size, p.target, least(coalesce(n, 0) * block, 2 * p.source_size) AS stream
-            FROM parts p LEFT JOIN drawn USING (number)),
+            SELECT p.*, least(floor(target)::BIGINT, 2 * p.source_size) AS want,
+                   (SELECT count(*) FROM drawn d WHERE d.number = p.number) AS n, (SELECT count(*) FROM slots) AS n_slots
+            FROM parts p),
+        needs AS (SELECT *, greatest(0, ceil(want / block)::BIGINT - n) AS missing FROM plan),
+        late AS (SELECT *, n_slots + coalesce(sum(missing) OVER (ORDER BY number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) - n AS first_late FROM needs),
         placed AS (
             SELECT *, coalesce(sum(size) OVER (PARTITION BY source ORDER BY place, doc_id, size
                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-            FROM sized)
-        SELECT d.doc_id, d.size::BIGINT AS size, p.source_size, p.target,
-               (greatest(0, least(stream - before, size)) + greatest(0, least(stream - p.source_size - before, size)))::BIGINT AS taken
-        FROM placed d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
+            FROM sized),
+        mixed AS (
+            SELECT d.doc_id, d.size, p.source_size, p.target, p.number, n, first_late, (before // block)::BIGINT AS rank,
+                   greatest(0, least(want - before, size)) + greatest(0, least(want - p.source_size - before, size)) AS taken
+            FROM placed d JOIN late p ON d.source IS NOT DISTINCT FROM p.source)
+        SELECT m.doc_id, m.size::BIGINT AS size, m.source_size, m.target, m.taken::BIGINT AS taken,
+               CASE WHEN m.taken > 0 THEN coalesce(d.slot, (m.first_late + m.rank)::BIGINT) END AS first_slot
+        FROM mixed m LEFT JOIN drawn d ON d.number = m.number AND d.rank = m.rank
     """,
 }
