@@ -13,7 +13,8 @@ def as_midnight(c: Column) -> Column:
 
 
 def year_of(c: Column) -> Column:
-    return F.substring(c.cast("string"), 1, 4).cast("int")
+    """The first four characters as a year; null where they are no number."""
+    return F.substring(c.cast("string"), 1, 4).try_cast("int")
 
 
 def compact_date(c: Column) -> Column:
@@ -36,8 +37,11 @@ def valid_year_or_day(c: Column) -> Column:
 
 
 def yes_no(c: Column, yes: str = "oui", no: str = "non") -> Column:
-    return F.when(c.cast("int") == 1, yes).when(c.cast("int") == 0, no)
+    """yes for 1, no for 0, and null for anything else, also for a text that is no number."""
+    n = c.try_cast("int")
+    return F.when(n == 1, yes).when(n == 0, no)
 
 
 def id_text(c: Column) -> Column:
-    return F.when(c == 0, "").otherwise(c.cast("string"))
+    """An id as text; 0, as number or text, is the empty text."""
+    return F.when(c.try_cast("double") == 0, "").otherwise(c.cast("string"))

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.tables import written
 from .nulls import count_distinct_with_null, group_known
 
 
@@ -23,6 +24,14 @@ def propagate_unique(df: DataFrame, keys: Sequence[str], var: str, null_counts:
     return df.join(known, list(keys), "left").withColumn(var, F.coalesce(F.col(var), F.col("__known"))).select(*df.columns)
 
 
+def propagate_unique_together(df: DataFrame, keys: Sequence[str], variables: Sequence[str]) -> DataFrame:
+    """`propagate_unique` of several variables, each on its own, with one aggregate and one join."""
+    one = [F.when(F.min(v) == F.max(v), F.max(v)).alias(f"__known_{k}") for k, v in enumerate(variables)]
+    known = group_known(df, *keys).agg(*one)
+    filled = {v: F.coalesce(F.col(v), F.col(f"__known_{k}")) for k, v in enumerate(variables)}
+    return df.join(known, list(keys), "left").withColumns(filled).select(*df.columns)
+
+
 def most_frequent(df: DataFrame, keys: Sequence[str], var: str, order: Column) -> DataFrame:
     """keys and the most frequent value of `var`; of equally frequent ones the first seen by `order`.  The empty text competes, null doesn't."""
     counts = df.where(F.col(var).isNotNull()).groupBy(*keys, var).agg(F.count(F.lit(1)).alias("__n"), F.min(order).alias("__first"))
@@ -68,11 +77,12 @@ def cascade(rows: DataFrame, keys: Sequence[str], value: str, rungs: Sequence[tu
     """keys, value and `rung` of all rows that a rung identifies.
 
     A rung turns the rows left over into candidates (keys, value); keys with exactly one different value are identified, and
-    the next rung sees the others only.  The rungs' results are disjoint by key, so they are simply put together.
+    the next rung sees the others only.  The rungs' results are disjoint by key, so they are simply put together.  Each result is
+    written, as all later rungs and the whole read it.
     """
     found, rest = None, rows
     for name, rung in rungs:
-        matched = unique_values(rung(rest), keys, value).select(*keys, value).withColumn("rung", F.lit(name))
+        matched = written(unique_values(rung(rest), keys, value).select(*keys, value).withColumn("rung", F.lit(name)))
         found = matched if found is None else found.unionByName(matched)
         rest = rest.join(matched, list(keys), "left_anti")
     return found

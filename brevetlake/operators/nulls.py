@@ -37,11 +37,11 @@ def non_members(df: DataFrame, keys: DataFrame, on: Sequence[str]) -> DataFrame:
 
 
 def members_of_either(df: DataFrame, first: tuple[str, DataFrame], second: tuple[str, DataFrame]) -> DataFrame:
-    """Rows of which one of two keys is in its set, each once.  A set is (column of `df`, one-column table)."""
+    """Rows of which one of two keys is in its set, each once; null is a member of a set that holds null.  A set is (column of `df`, one-column table)."""
     marked = df
     for k, (column, keys) in enumerate((first, second)):
         found = keys.select(F.col(keys.columns[0]).alias(f"__key{k}")).distinct().withColumn(f"__in{k}", F.lit(True))
-        marked = marked.join(found, marked[column] == found[f"__key{k}"], "left")
+        marked = marked.join(found, marked[column].eqNullSafe(found[f"__key{k}"]), "left")
     return marked.where("__in0 or __in1").select(*df.columns)
 
 

@@ -21,7 +21,8 @@ GREEN = ("Y02A", "Y02B", "Y02C", "Y02D", "Y02E", "Y02P", "Y02T", "Y02W", "Y04S")
 def split_roles(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Applicants and inventors; an organisation with a registry id that is an inventor only counts as applicant."""
     ids = F.coalesce(*(F.when(F.col(c) != "", F.col(c)) for c in IDS))
-    moved = (F.col("type") == "pm") & ids.isNotNull() & (F.coalesce(F.col("applt_seq_nr"), F.lit(0)) == 0)
+    # Unknown facts move nobody, so every row is on one side at least if it has a position.
+    moved = F.coalesce(F.col("type") == "pm", F.lit(False)) & ids.isNotNull() & (F.coalesce(F.col("applt_seq_nr"), F.lit(0)) == 0)
     applicants = rows.where((F.col("applt_seq_nr") > 0) | moved)
     return applicants, rows.where(F.col("invt_seq_nr") > 0).where(~moved)
 

@@ -8,18 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators.gates import cascade, keep_best, propagate_unique, single_candidate
+from ..operators.gates import cascade, keep_best, propagate_unique_together, single_candidate
+from ..sources.tables import written
 
 # Thresholds of a geocoder's answers.
 LEAST_SCORE, CITY_SCORE, ADDRESS_SCORE = 0.5, 0.9, 0.4
-
-
-def register_candidates(rows: DataFrame, register: DataFrame, on: Sequence[str], name: str, register_name: str, keys: Sequence[str]) -> DataFrame:
-    """keys, siren and distance: register entries of the same publication whose name is equal, or that stand at the same place, or are the nearest by name."""
-    pairs = rows.join(register, list(on))
-    bare = lambda c: text.letters_only(text.to_ascii(F.col(c)))
-    pairs = pairs.withColumn("distance", F.levenshtein(bare(name), bare(register_name)))
-    return keep_best(pairs, keys, F.col("distance"))
+#: What is known of a place.
+PLACE = ("city_code", "city", "dep_id", "dep_name", "region")
+#: Letters that a name may differ in from the nearest one of the register.
+NEAR_NAME = 3
 
 
 def same_house(a: Column, b: Column) -> Column:
@@ -29,26 +26,46 @@ def same_house(a: Column, b: Column) -> Column:
 
 
 def identify(rows: DataFrame, keys: Sequence[str], register: DataFrame, gazette: DataFrame, solved: DataFrame, family: str) -> DataFrame:
-    """key, siren, rung: in turn by the register (publication and nearest name), by family members in the register, by name and address solved before, by the gazette's equal name, by the name alone solved before."""
-    name = F.lower(F.col("name_corrected"))
-
-    def by_register(rest: DataFrame) -> DataFrame:
-        return register_candidates(rest.select(*keys, "publn", "name_corrected"), register.select("publn", "nom", "siren"), ["publn"], "name_corrected", "nom", keys).where("distance <= 3")
-
-    def by_family(rest: DataFrame) -> DataFrame:
-        pairs = rest.select(*keys, family, "name_corrected").join(register.select(family, "nom", "siren"), family)
-        return pairs.where(F.levenshtein(text.to_ascii(F.col("name_corrected")), text.to_ascii(F.col("nom"))) == 0)
-
-    def by_address(rest: DataFrame) -> DataFrame:
-        return rest.select(*keys, "name_corrected", "address").join(solved.select("name_corrected", "address", "siren"), ["name_corrected", "address"])
-
-    def by_gazette(rest: DataFrame) -> DataFrame:
-        return rest.select(*keys, name.alias("__name")).join(gazette.select(F.lower("nom").alias("__name"), "siren"), "__name")
-
-    def by_name(rest: DataFrame) -> DataFrame:
-        return rest.select(*keys, "name_corrected").join(solved.select("name_corrected", "siren"), "name_corrected")
-
-    return cascade(rows, keys, "siren", [("register", by_register), ("family", by_family), ("address", by_address), ("gazette", by_gazette), ("name", by_name)])
+    """key, siren, rung: what the first rung finds that knows just one number.
+
+    In turn: the register's entries of the same publication with the equal name or the same sequence number; those with both; the
+    nearest name there; family members in the register with the equal name; what was solved before by name and
+    address, or by name, city and a house number in common; the gazette's entries by name and postcode, and by name; the name alone
+    solved before.  Names are compared by their letters.  A column that a table lacks makes the rungs that need it find nothing.
+    """
+    def with_columns(df: DataFrame, *names: str) -> DataFrame:
+        return df.select(*(F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in names))
+
+    letters = lambda c: text.letters_only(text.to_ascii(F.col(c)))
+    plain = rows.withColumn("__name", letters("name_corrected"))
+    # Transcribed once, and written, as every rung reads them.
+    asked = with_columns(plain, *keys, "publn", "sequence", family, "name_corrected", "__name", "address", "house", "city", "postcode").transform(written)
+    entries = with_columns(register.withColumn("__entry", letters("nom")), "publn", "sequence", family, "__entry", "siren").transform(written)
+    notices = with_columns(gazette.withColumn("__name", letters("nom")), "__name", "postcode", "siren").transform(written)
+
+    def at_publication(rest: DataFrame) -> DataFrame:
+        pairs = rest.select(*keys, "publn", "__name", F.col("sequence").alias("__sequence")).join(entries.drop(family), "publn")
+        return pairs.withColumns({"distance": F.levenshtein("__name", "__entry"), "same_place": F.coalesce(F.col("sequence").cast("string") == F.col("__sequence").cast("string"), F.lit(False))})
+
+    def solved_by(*on: str):
+        return lambda rest: rest.select(*keys, *on).join(with_columns(solved, *on, "siren"), list(on))
+
+    def at_house(rest: DataFrame) -> DataFrame:
+        pairs = rest.select(*keys, "name_corrected", "city", F.col("house").alias("__house")).join(with_columns(solved, "name_corrected", "city", "house", "siren"), ["name_corrected", "city"])
+        return pairs.where(same_house(F.col("house"), F.col("__house")))
+
+    rungs = [
+        ("register", lambda rest: at_publication(rest).where("distance = 0 or same_place")),
+        ("register_both", lambda rest: at_publication(rest).where("distance = 0 and same_place")),
+        ("register_nearest", lambda rest: keep_best(at_publication(rest), keys, F.col("distance")).where(F.col("distance") <= NEAR_NAME)),
+        ("family", lambda rest: rest.select(*keys, family, "__name").join(entries, family).where(F.col("__name") == F.col("__entry"))),
+        ("address", solved_by("name_corrected", "address")),
+        ("house", at_house),
+        ("gazette_postcode", lambda rest: rest.select(*keys, "__name", "postcode").join(notices, ["__name", "postcode"])),
+        ("gazette", lambda rest: rest.select(*keys, "__name").join(notices.drop("postcode"), "__name")),
+        ("name", solved_by("name_corrected")),
+    ]
+    return cascade(asked, keys, "siren", rungs)
 
 
 def geocode(rows: DataFrame, snapshot: DataFrame, keys: Sequence[str], districts: DataFrame, family: str) -> DataFrame:
@@ -62,8 +79,18 @@ def geocode(rows: DataFrame, snapshot: DataFrame, keys: Sequence[str], districts
     one = one.withColumns({"dep_id": text.department_id(F.get(parts, 0)), "dep_name": F.get(parts, 1), "region": F.get(parts, 2)}).drop("context")
     out = rows.join(one, list(keys), "left")
     for by in ("siren", "name_corrected"):
-        for var in ("city_code", "city", "dep_id", "dep_name", "region"):
-            out = propagate_unique(out, [family, by], var)
+        out = propagate_unique_together(out, [family, by], PLACE)
+    return out
+
+
+def registry_fallback(rows: DataFrame, registry: DataFrame, family: str, columns: Sequence[str] = PLACE, home: Sequence[str] = ("FR", "")) -> DataFrame:
+    """Rows of the home country that geocoding has left without a commune take the one that the registry of organisations (id_paysage and `columns`) names for their id, if it names one; then the family's other rows of the same number or name do, where that is unique."""
+    one = registry.where("id_paysage is not null and id_paysage <> ''").groupBy("id_paysage").agg(F.count_distinct("city_code").alias("__n"), *(F.max_by(F.col(c), F.struct(*columns)).alias(f"__{c}") for c in columns)).where("__n = 1").drop("__n")
+    out = rows.join(one, "id_paysage", "left")
+    here = F.coalesce(F.col("country_corrected"), F.lit("")).isin(*home) & F.col("city_code").isNull()
+    out = out.withColumns({c: F.when(here, F.col(f"__{c}")).otherwise(F.col(c)) for c in columns}).select(*rows.columns)
+    for by in ("siren", "name_corrected"):
+        out = propagate_unique_together(out, [family, by], columns)
     return out
 
 

@@ -26,9 +26,9 @@ def participations(applications: DataFrame, person_appln: DataFrame, person: Dat
 
 
 def carry_over(rows: DataFrame, history: DataFrame, keys: Sequence[str], columns: Sequence[str] = HISTORY) -> DataFrame:
-    """What the edition before knew about the same participation."""
+    """What the edition before knew about the same participation; of several rows the first by all their values, known ones first."""
     kept = [c for c in columns if c in history.columns and c not in keys]
-    return rows.drop(*(c for c in kept if c in rows.columns)).join(history.select(*keys, *kept).dropDuplicates(list(keys)), list(keys), "left")
+    return rows.drop(*(c for c in kept if c in rows.columns)).join(pick_first(history.select(*keys, *kept), keys, *(F.col(c).asc_nulls_last() for c in kept or keys)), list(keys), "left")
 
 
 def copy_within_family(rows: DataFrame, family: str, position: Sequence[str], value: str, authority: str = "appln_auth", donors: Sequence[str] = ("FR", "EP")) -> DataFrame:

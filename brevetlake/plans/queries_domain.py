@@ -236,6 +236,103 @@ def geocode_gate(t: Tables) -> DataFrame:
     return gates.unique_values(best, ["c_custkey"], "city_code")
 
 
+def _identify_sql() -> str:
+    """Rung by rung: candidates of the rows left over, those with one number, and the rows that are left then."""
+    pairs = "(SELECT r.k, e.siren, levenshtein(r.n, e.n) AS distance, coalesce(e.sequence = r.sequence, false) AS same FROM {r} r JOIN entry e USING (publn))"
+    rungs = [
+        ("register", f"SELECT k, siren FROM {pairs} WHERE distance = 0 OR same"),
+        ("register_both", f"SELECT k, siren FROM {pairs} WHERE distance = 0 AND same"),
+        ("register_nearest", f"SELECT k, siren FROM (SELECT *, min(distance) OVER (PARTITION BY k) AS least FROM {pairs}) WHERE distance = least AND distance <= 3"),
+        ("family", "SELECT r.k, e.siren FROM {r} r JOIN entry e ON e.fam = r.fam AND e.n = r.n"),
+        ("address", "SELECT r.k, s.siren FROM {r} r JOIN solved s USING (name, address)"),
+        ("house", "SELECT r.k, s.siren FROM {r} r JOIN solved s USING (name, city) WHERE r.house BETWEEN s.a AND s.a + 4 AND (r.house - s.a) % 2 = 0"),
+        ("gazette_postcode", "SELECT r.k, g.siren FROM {r} r JOIN notice g ON g.n = r.n AND g.postcode = r.postcode"),
+        ("gazette", "SELECT r.k, g.siren FROM {r} r JOIN notice g ON g.n = r.n"),
+        ("name", "SELECT r.k, s.siren FROM {r} r JOIN solved s USING (name)"),
+    ]
+    steps = []
+    for i, (_, candidates) in enumerate(rungs):
+        steps.append(f"m{i} AS (SELECT k, max(siren) AS siren FROM ({candidates.format(r=f'r{i}')}) GROUP BY k HAVING count(DISTINCT siren) = 1)")
+        steps.append(f"r{i + 1} AS (SELECT * FROM r{i} WHERE k NOT IN (SELECT k FROM m{i}))")
+    letters = "regexp_replace(lower(p_type), '[^a-z]', '', 'g') AS n"
+    return f"""
+    WITH r0 AS (SELECT p_partkey AS k, 'P' || p_partkey % 199 AS publn, p_partkey % 3 AS sequence, p_partkey % 50 AS fam, p_type AS name, {letters}, 'A' || p_partkey % 31 AS address, p_size AS house, 'C' || p_partkey % 7 AS city, 'Z' || p_partkey % 11 AS postcode FROM part WHERE p_partkey % 2 = 0),
+         entry AS (SELECT 'P' || p_partkey % 199 AS publn, p_size % 9 AS sequence, p_partkey % 50 AS fam, {letters}, 'R' || p_partkey % 97 AS siren FROM part WHERE p_partkey % 2 = 1),
+         notice AS (SELECT {letters}, 'Z' || p_partkey % 11 AS postcode, 'G' || p_partkey AS siren FROM part WHERE p_partkey % 5 = 1),
+         solved AS (SELECT p_type AS name, 'A' || p_partkey % 31 AS address, p_size AS a, 'C' || p_partkey % 7 AS city, 'S' || p_partkey AS siren FROM part WHERE p_partkey % 7 = 3),
+         {", ".join(steps)}
+    """ + " UNION ALL ".join(f"SELECT k AS p_partkey, siren, '{name}' AS rung FROM m{i}" for i, (name, _) in enumerate(rungs))
+
+
+@query("q_identify", _identify_sql())
+def identify(t: Tables) -> DataFrame:
+    """All rungs: parts as participants, as entries of a register, as notices of a gazette, and as those solved before."""
+    key = F.col("p_partkey")
+    tag = lambda letter, n: F.concat(F.lit(letter), (key % n).cast("string"))
+    rows = t.part.where("p_partkey % 2 = 0").select("p_partkey", tag("P", 199).alias("publn"), (key % 3).alias("sequence"), (key % 50).alias("fam"), F.col("p_type").alias("name_corrected"), tag("A", 31).alias("address"), F.col("p_size").cast("string").alias("house"), tag("C", 7).alias("city"), tag("Z", 11).alias("postcode"))
+    register = t.part.where("p_partkey % 2 = 1").select(tag("P", 199).alias("publn"), (F.col("p_size") % 9).alias("sequence"), (key % 50).alias("fam"), F.lower("p_type").alias("nom"), tag("R", 97).alias("siren"))
+    gazette = t.part.where("p_partkey % 5 = 1").select(F.concat(F.lit("- "), "p_type").alias("nom"), tag("Z", 11).alias("postcode"), F.concat(F.lit("G"), key.cast("string")).alias("siren"))
+    house = F.concat(F.col("p_size").cast("string"), F.lit(" - "), (F.col("p_size") + 4).cast("string"))
+    solved = t.part.where("p_partkey % 7 = 3").select(F.col("p_type").alias("name_corrected"), tag("A", 31).alias("address"), house.alias("house"), tag("C", 7).alias("city"), F.concat(F.lit("S"), key.cast("string")).alias("siren"))
+    return identification.identify(rows, ["p_partkey"], register, gazette, solved, "fam")
+
+
+_PLACE = identification.PLACE
+
+
+def _spread_sql(source: str, by: str, name: str) -> str:
+    """`name`: rows of `source` whose missing places are those that their family's rows with the same `by` know alone."""
+    known = ", ".join(f"CASE WHEN count(DISTINCT {c}) = 1 THEN max({c}) END AS {c}" for c in _PLACE)
+    filled = ", ".join(f"coalesce(r.{c}, k.{c}) AS {c}" for c in _PLACE)
+    return f"{name} AS (SELECT r.* EXCLUDE ({', '.join(_PLACE)}), {filled} FROM {source} r LEFT JOIN (SELECT fam, {by}, {known} FROM {source} WHERE {by} IS NOT NULL GROUP BY fam, {by}) k ON k.fam = r.fam AND k.{by} = r.{by})"
+
+
+@query(
+    "q_geocode",
+    f"""
+    WITH r AS (SELECT c_custkey, c_custkey % 40 AS fam, CASE WHEN c_custkey % 4 > 0 THEN 'S' || c_custkey % 60 END AS siren, 'N' || c_custkey % 90 AS name, CASE WHEN c_custkey % 3 > 0 THEN 'A' || c_custkey % 50 END AS address FROM customer),
+         s AS (SELECT 'A' || p_partkey % 60 AS address, p_size / 50.0 AS score, 'C' || p_partkey % 25 AS city_code, 'city ' || p_partkey % 25 AS city, 'Z' || p_partkey % 25 AS post_code, (p_partkey % 25) AS d FROM part),
+         a AS (SELECT * FROM r JOIN s USING (address) WHERE score >= 0.5),
+         b AS (SELECT * FROM a QUALIFY score = max(score) OVER (PARTITION BY c_custkey)),
+         one AS (SELECT c_custkey, max(city_code) AS city_code, max(city) AS city, max(post_code) AS post_code, max(d) AS d FROM b GROUP BY 1 HAVING count(DISTINCT city_code) = 1),
+         placed AS (SELECT c_custkey, CASE WHEN d < 5 THEN 'D' || d ELSE city_code END AS city_code, CASE WHEN d < 5 THEN 'district ' || d ELSE city END AS city, 'D' || lpad(d::VARCHAR, 3, '0') AS dep_id, 'dep ' || d AS dep_name, 'region ' || d AS region FROM one),
+         g AS (SELECT r.*, {", ".join(_PLACE)} FROM r LEFT JOIN placed USING (c_custkey)),
+         {_spread_sql("g", "siren", "g1")}, {_spread_sql("g1", "name", "g2")}
+    SELECT c_custkey, {", ".join(_PLACE)} FROM g2
+    """,
+)
+def geocode(t: Tables) -> DataFrame:
+    key, part = F.col("c_custkey"), F.col("p_partkey") % 25
+    tag = lambda letter, c: F.concat(F.lit(letter), c.cast("string"))
+    rows = t.customer.select("c_custkey", (key % 40).alias("fam"), F.when(key % 4 > 0, tag("S", key % 60)).alias("siren"), tag("N", key % 90).alias("name_corrected"), F.when(key % 3 > 0, tag("A", key % 50)).alias("address"))
+    context = F.concat(part.cast("string"), F.lit(", "), tag("dep ", part), F.lit(", "), tag("region ", part))
+    snapshot = t.part.select(tag("A", F.col("p_partkey") % 60).alias("input_address"), (F.col("p_size") / 50.0).alias("score"), tag("C", part).alias("city_code"), tag("city ", part).alias("city"), tag("Z", part).alias("post_code"), context.alias("context"))
+    number = F.col("id")
+    districts = t.spark.range(5).select(tag("Z", number).alias("post_code"), tag("D", number).alias("city_code"), tag("district ", number).alias("city"))
+    return identification.geocode(rows, snapshot, ["c_custkey"], districts, "fam").select("c_custkey", *_PLACE)
+
+
+@query(
+    "q_registry_fallback",
+    f"""
+    WITH r AS (SELECT c_custkey, c_custkey % 40 AS fam, CASE WHEN c_custkey % 4 > 0 THEN 'S' || c_custkey % 60 END AS siren, 'N' || c_custkey % 90 AS name, 'I' || c_custkey % 50 AS id_paysage, CASE c_custkey % 3 WHEN 0 THEN 'FR' WHEN 1 THEN 'US' END AS country,
+                      {", ".join(f"CASE WHEN c_custkey % 5 = 0 THEN 'known' END AS {c}" for c in _PLACE)} FROM customer),
+         k AS (SELECT 'I' || s_suppkey % 50 AS id_paysage, 'K' || s_nationkey AS place FROM supplier),
+         one AS (SELECT id_paysage, max(place) AS place FROM k GROUP BY 1 HAVING count(DISTINCT place) = 1),
+         g AS (SELECT c_custkey, fam, siren, name, {", ".join(f"CASE WHEN city_code IS NULL AND coalesce(country, '') IN ('FR', '') THEN place ELSE {c} END AS {c}" for c in _PLACE)} FROM r LEFT JOIN one USING (id_paysage)),
+         {_spread_sql("g", "siren", "g1")}, {_spread_sql("g1", "name", "g2")}
+    SELECT c_custkey, {", ".join(_PLACE)} FROM g2
+    """,
+)
+def registry_fallback(t: Tables) -> DataFrame:
+    key = F.col("c_custkey")
+    tag = lambda letter, c: F.concat(F.lit(letter), c.cast("string"))
+    country = F.when(key % 3 == 0, "FR").when(key % 3 == 1, "US")
+    rows = t.customer.select("c_custkey", (key % 40).alias("fam"), F.when(key % 4 > 0, tag("S", key % 60)).alias("siren"), tag("N", key % 90).alias("name_corrected"), tag("I", key % 50).alias("id_paysage"), country.alias("country_corrected"), *(F.when(key % 5 == 0, "known").alias(c) for c in _PLACE))
+    registry = t.supplier.select(tag("I", F.col("s_suppkey") % 50).alias("id_paysage"), *(tag("K", F.col("s_nationkey")).alias(c) for c in _PLACE))
+    return identification.registry_fallback(rows, registry, "fam").select("c_custkey", *_PLACE)
+
+
 @query(
     "q_choose_threshold",
     """
@@ -252,14 +349,16 @@ def choose_threshold(t: Tables) -> DataFrame:
 @query(
     "q_exact_person",
     """
-    WITH c AS (SELECT o_custkey, o_orderkey, o_orderstatus FROM orders WHERE o_totalprice > 250000),
+    WITH c AS (SELECT o_custkey, o_orderkey, o_orderpriority[3:] AS asked, CASE o_orderstatus WHEN 'P' THEN 'other' ELSE o_orderpriority[3:] END AS answered FROM orders WHERE o_totalprice > 250000),
          one AS (SELECT o_custkey FROM c GROUP BY 1 HAVING count(*) = 1)
-    SELECT o_custkey, o_orderkey FROM c WHERE o_custkey IN (SELECT o_custkey FROM one) AND o_orderstatus <> 'P'
+    SELECT o_custkey, o_orderkey FROM c WHERE o_custkey IN (SELECT o_custkey FROM one) AND asked = answered
     """,
 )
 def exact_person(t: Tables) -> DataFrame:
-    candidates = t.orders.where("o_totalprice > 250000").select("o_custkey", "o_orderkey", F.lit("Jean-Pierre O'Neil").alias("asked"), F.when(F.col("o_orderstatus") == "P", "Jean Oneil").otherwise("ONEIL, Pierre Jean").alias("answered"))
-    candidates = candidates.withColumn("answered", F.regexp_replace("answered", "ONEIL", "O NEIL"))
+    """Answers write the name in capitals, with its words in another order and with an accent; or they are another name."""
+    name = F.substring("o_orderpriority", 3, 20)
+    answered = F.when(F.col("o_orderstatus") == "P", "Jean Neil").otherwise(F.concat(F.lit("O NEIL, "), F.translate(F.upper(name), "E", "É"), F.lit(" Jean")))
+    candidates = t.orders.where("o_totalprice > 250000").select("o_custkey", "o_orderkey", F.concat(F.lit("Jean "), name, F.lit(" O'Neil")).alias("asked"), answered.alias("answered"))
     return identification.exact_person(candidates, ["o_custkey"], "asked", "answered").select("o_custkey", "o_orderkey")
 
 
@@ -325,15 +424,16 @@ def type_rules(t: Tables) -> DataFrame:
 @query(
     "q_latin_names",
     """
-    WITH r AS (SELECT l_orderkey AS app, l_linenumber AS pos, l_orderkey % 500 AS fam, CASE WHEN l_returnflag = 'R' THEN 'Иван' ELSE 'A' || (l_suppkey % 2) END AS name, l_returnflag <> 'R' AS latin FROM lineitem),
-         h AS (SELECT fam, app, max(pos) AS p FROM r GROUP BY ALL), e AS (SELECT fam FROM h GROUP BY fam HAVING count(DISTINCT p) = 1),
-         d AS (SELECT fam, pos, max(name) AS donor FROM r WHERE latin AND fam IN (SELECT fam FROM e) GROUP BY ALL HAVING count(DISTINCT name) = 1)
-    SELECT app, pos, name FROM r LEFT JOIN d USING (fam, pos)
-    """.replace("GROUP BY ALL HAVING count(DISTINCT name) = 1", "GROUP BY fam, pos HAVING count(DISTINCT name) = 1"),
+    WITH r AS (SELECT l_orderkey AS app, l_linenumber AS pos, l_orderkey % 500 AS fam, CASE WHEN l_returnflag = 'R' THEN 'Élan' WHEN l_linestatus = 'F' THEN 'Eve' ELSE 'Ann' END AS name, l_returnflag <> 'R' AS latin FROM lineitem WHERE l_orderkey % 3 = 0),
+         h AS (SELECT fam, app, max(pos) AS p FROM r GROUP BY fam, app), e AS (SELECT fam FROM h GROUP BY fam HAVING count(DISTINCT p) = 1),
+         d AS (SELECT fam, pos, max(name) AS donor FROM r WHERE latin AND fam IN (SELECT fam FROM e) GROUP BY fam, pos HAVING count(DISTINCT name) = 1)
+    SELECT app, pos, CASE WHEN NOT latin AND donor = 'Eve' THEN donor ELSE name END AS name FROM r LEFT JOIN d USING (fam, pos)
+    """,
 )
 def latin_names(t: Tables) -> DataFrame:
-    """Names in another script share no initial with their Latin donor, so they stay as they are."""
-    rows = t.lineitem.select(F.col("l_orderkey").alias("app"), F.col("l_linenumber").alias("pos"), (F.col("l_orderkey") % 500).alias("fam"), F.when(F.col("l_returnflag") == "R", "Иван").otherwise(F.concat(F.lit("A"), (F.col("l_suppkey") % 2).cast("string"))).alias("name"), (F.col("l_returnflag") != "R").alias("latin"))
+    """A name that is marked as another script's takes the Latin one at its position where both begin alike, as Élan and Eve do, but not Élan and Ann."""
+    name = F.when(F.col("l_returnflag") == "R", "Élan").when(F.col("l_linestatus") == "F", "Eve").otherwise("Ann")
+    rows = t.lineitem.where("l_orderkey % 3 = 0").select(F.col("l_orderkey").alias("app"), F.col("l_linenumber").alias("pos"), (F.col("l_orderkey") % 500).alias("fam"), name.alias("name"), (F.col("l_returnflag") != "R").alias("latin"))
     return participants.latin_names(rows, "fam", "app", ["pos"], "name", "latin").select("app", "pos", "name")
 
 
@@ -379,7 +479,7 @@ def publication_enrichment(t: Tables) -> DataFrame:
     "q_family_documents",
     """
     WITH o AS (SELECT o_custkey AS docdb_family_id, count(DISTINCT o_orderkey) AS n, min(strftime(o_orderdate, '%Y-%m-%d')) AS first FROM orders GROUP BY 1),
-         p AS (SELECT o_custkey AS docdb_family_id, count(DISTINCT l_suppkey) FILTER (WHERE l_linenumber <= 2) AS applicants, count(DISTINCT l_suppkey) FILTER (WHERE l_linenumber > 2) AS inventors
+         p AS (SELECT o_custkey AS docdb_family_id, count(DISTINCT l_suppkey) FILTER (WHERE l_linenumber <= 2 OR l_linenumber = 4) AS applicants, count(DISTINCT l_suppkey) FILTER (WHERE l_linenumber > 2 AND l_linenumber <> 4) AS inventors
                FROM lineitem JOIN orders ON o_orderkey = l_orderkey GROUP BY 1)
     SELECT 'patent' || o.docdb_family_id AS id, left(first, 4)::INT AS year, n::INT AS patents, coalesce(applicants, 0)::INT AS applicants, coalesce(inventors, 0)::INT AS inventors
     FROM o LEFT JOIN p USING (docdb_family_id) WHERE left(first, 4)::INT >= 1995
@@ -392,7 +492,12 @@ def family_documents(t: Tables) -> DataFrame:
     applications = t.orders.select(family, F.col("o_orderkey").alias("appln_id"), F.lit("EP").alias("appln_auth"), day.alias("appln_filing_date"), F.lit(0).alias("ispriority"), F.lit("EP").alias("publn_auth"), F.col("o_orderkey").cast("string").alias("first_publn_nr"), F.lit("A1").alias("first_publn_kind"))
     nothing = F.lit(None).cast("string")
     roles = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    rows = roles.select(family, F.col("l_suppkey").cast("string").alias("name_corrected"), F.lit("pp").alias("type"), F.lit("FR").alias("country_corrected"), F.when(F.col("l_linenumber") <= 2, 1).otherwise(0).alias("applt_seq_nr"), F.when(F.col("l_linenumber") > 2, 1).otherwise(0).alias("invt_seq_nr"), *(nothing.alias(c) for c in export.IDS))
+    # Inventors of line 4 are organisations with an id; others with one have no known type.
+    line = F.col("l_linenumber")
+    kind = F.when(line == 4, "pm").when(line < 6, "pp")
+    ids = [F.when(line >= 4, "1").otherwise(nothing).alias("grid"), *(nothing.alias(c) for c in export.IDS if c != "grid")]
+    rows = roles.select(family, F.col("l_suppkey").cast("string").alias("name_corrected"), kind.alias("type"), F.lit("FR").alias("country_corrected"), F.when(line <= 2, 1).when(line != 5, 0).alias("applt_seq_nr"), F.when(line > 2, 1).otherwise(0).alias("invt_seq_nr"), *ids)
     empty = lambda schema: t.spark.createDataFrame([], f"docdb_family_id long, {schema}")
     docs = export.documents(found, applications, rows, empty("level string, code string, libelle string"), empty("doi string, title string, type string, year int"), since=1995)
-    return docs.select("id", "year", *(F.size(c).alias(c) for c in ("patents", "applicants", "inventors")))
+    of = lambda c: F.size(F.array_distinct(F.transform(c, lambda x: x["name"]))).alias(c)
+    return docs.select("id", "year", F.size("patents").alias("patents"), of("applicants"), of("inventors"))

@@ -48,14 +48,18 @@ def anti_remainder(t: Tables) -> DataFrame:
 @query(
     "q_or_membership",
     """
-    SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
+    WITH l AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <> 5 THEN l_partkey END AS l_partkey FROM lineitem)
+    SELECT l_orderkey, l_linenumber, l_partkey FROM l
     WHERE EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderpriority = '5-LOW' AND o_orderstatus = 'O')
-       OR EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_size < 5)
+       OR EXISTS (SELECT 1 FROM part WHERE p_partkey = l_partkey AND p_size < 5) OR l_partkey IS NULL
     """,
 )
 def or_membership(t: Tables) -> DataFrame:
+    """The second set holds null, and so do the rows' second keys."""
     first = t.orders.where("o_orderpriority = '5-LOW' and o_orderstatus = 'O'").select("o_orderkey")
-    return nulls.members_of_either(t.lineitem, ("l_orderkey", first), ("l_partkey", t.part.where("p_size < 5").select("p_partkey"))).select("l_orderkey", "l_linenumber", "l_partkey")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") != 5, F.col("l_partkey")).alias("l_partkey"))
+    second = t.part.where("p_size < 6").select(F.when(F.col("p_size") < 5, F.col("p_partkey")).alias("p_partkey"))
+    return nulls.members_of_either(rows, ("l_orderkey", first), ("l_partkey", second))
 
 
 @query(

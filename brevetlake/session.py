@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-#: UTC, so that timestamps do not depend on the machine; adaptive plans for skew and for partition sizes; no ANSI errors, as values that don't parse become null.
+#: UTC, so that timestamps do not depend on the machine; adaptive plans for skew and for partition sizes. Values that may not parse are cast with try_cast, whatever the ANSI setting.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +14,23 @@ from pyspark.sql import types as T
 from ..schemas import SOURCES
 
 
+def shared_path(spark: SparkSession) -> str:
+    """A new path below spark.checkpoint.dir, which driver and executors share; where that is unset, in local mode only, below a temporary folder."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if spark.sparkContext.master.partition("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = os.path.join(tempfile.gettempdir(), "tables")
+    return f"{root}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame) -> DataFrame:
+    """`df` as a table in the shared folder, read again: what several plans read is computed once, and lineage ends there."""
+    path = shared_path(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_delimited(spark: SparkSession, path: str | list[str], schema: T.StructType | str, sep: str = ",", header: bool = True) -> DataFrame:
     """All parts of a table under a folder, or one file, with a declared schema.  Columns that a query doesn't use are not parsed."""
     if isinstance(schema, str):
@@ -90,9 +110,17 @@ def write_delimited(df: DataFrame, path: str, sep: str = "|") -> None:
     df.write.mode("overwrite").option("sep", sep).option("header", True).option("escape", '"').csv(path)
 
 
-def write_documents(df: DataFrame, path: str, nulls: bool = True) -> None:
+def write_documents(df: DataFrame, path: str, nulls: bool = True, compression: str = "none") -> None:
     """One JSON document a line; null fields stay, if asked for."""
-    df.write.mode("overwrite").option("ignoreNullFields", not nulls).json(path)
+    df.write.mode("overwrite").option("ignoreNullFields", not nulls).option("compression", compression).json(path)
+
+
+def write_arrays(df: DataFrame, path: str, rows: int = 10_000) -> None:
+    """Texts that are one JSON array each, of about `rows` records; null fields stay."""
+    n = max(1, -(-df.count() // rows))
+    record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    parts = df.select(F.pmod(F.xxhash64(*df.columns), F.lit(n)).alias("part"), record.alias("record")).groupBy("part")
+    parts.agg(F.concat(F.lit("["), F.array_join(F.collect_list("record"), ","), F.lit("]")).alias("value")).select("value").write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), drop_zero_id: Column | None = None) -> None:

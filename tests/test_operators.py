@@ -24,6 +24,7 @@ def test_members_of_either_count_once(spark):
     a = spark.createDataFrame([(1, 9), (2, 8), (3, 7), (None, 9)], "x int, y int")
     keys = lambda *v: spark.createDataFrame([(i,) for i in v], "k int")
     assert rows(nulls.members_of_either(a, ("x", keys(1, 1, 2)), ("y", keys(9, 9)))) == [(1, 9), (2, 8), (None, 9)]
+    assert rows(nulls.members_of_either(a, ("x", keys(None, None)), ("y", keys(7)))) == [(3, 7), (None, 9)]
 
 
 def test_first_known_mixes_rows(spark):

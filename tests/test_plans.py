@@ -129,6 +129,38 @@ def test_identify(spark):
     assert rows(identification.identify(df, ["key"], register, gazette, solved, "fam")) == [("k1", "111", "register"), ("k2", "222", "family"), ("k3", "333", "gazette"), ("k4", "555", "name")]
 
 
+def test_rungs_of_the_register_and_of_houses(spark):
+    people = [("k1", "p1", 1, "Acmé"), ("k2", "p1", 2, "Beta"), ("k3", "p2", 1, "Gama"), ("k4", "p3", 1, "Delta"), ("k5", None, None, "Eta")]
+    df = spark.createDataFrame([(*p, 1, None, "3-7" if p[0] == "k5" else None, "Paris", "75001") for p in people], "key string, publn string, sequence int, name_corrected string, fam int, address string, house string, city string, postcode string")
+    # k1: equal name; k2: by name one number, by place another, both by a third entry; k3: the nearest; k4: two nearest.
+    register = spark.createDataFrame([("p1", "9", "ACME", "1"), ("p1", "7", "beta", "2"), ("p1", "2", "other", "3"), ("p1", "2", "BETA", "4"), ("p2", "5", "gamma", "5"), ("p2", "6", "omega", "6"), ("p3", "5", "delt", "7"), ("p3", "5", "elta", "8")], "publn string, sequence string, nom string, siren string").withColumn("fam", F.lit(9))
+    gazette = spark.createDataFrame([("Delta", "69001", "9"), ("Delta", "75001", "10")], "nom string, postcode string, siren string")
+    solved = spark.createDataFrame([("Eta", None, "5", "Paris", "11"), ("Eta", None, "4", "Paris", "12")], "name_corrected string, address string, house string, city string, siren string")
+    assert rows(identification.identify(df, ["key"], register, gazette, solved, "fam")) == [("k1", "1", "register"), ("k2", "4", "register_both"), ("k3", "5", "register_nearest"), ("k4", "10", "gazette_postcode"), ("k5", "11", "house")]
+
+
+def test_registry_fallback(spark):
+    df = spark.createDataFrame([("k1", 1, "s", "A", "i1", "FR", None), ("k2", 1, "s", "B", None, None, None), ("k3", 2, None, "A", "i1", "US", None), ("k4", 3, None, "C", "i2", "FR", None), ("k5", 4, None, "D", "i1", None, "known")], "key string, fam int, siren string, name_corrected string, id_paysage string, country_corrected string, city_code string")
+    registry = spark.createDataFrame([("i1", "75101"), ("i2", "1"), ("i2", "2"), (None, "3")], "id_paysage string, city_code string")
+    out = {r.key: r.city_code for r in identification.registry_fallback(df, registry, "fam", ["city_code"]).collect()}
+    assert out == {"k1": "75101", "k2": "75101", "k3": None, "k4": None, "k5": "known"}
+
+
+def test_unknown_types_lose_nobody(spark):
+    people = [("a", None, "1", 0, 1), ("b", "pm", "1", None, 1), ("c", None, None, None, 2), ("d", "pp", "1", 1, 1), ("e", None, "1", None, 3)]
+    df = spark.createDataFrame(people, "name string, type string, grid string, applt_seq_nr int, invt_seq_nr int")
+    for c in export.IDS[1:]:
+        df = df.withColumn(c, F.lit(None).cast("string"))
+    applicants, inventors = export.split_roles(df)
+    assert [r.name for r in applicants.orderBy("name").collect()] == ["b", "d"]
+    assert [r.name for r in inventors.orderBy("name").collect()] == ["a", "c", "d", "e"]
+
+
+def test_carry_over_takes_the_first_of_several_rows(spark):
+    history = spark.createDataFrame([("k", "b", "pm"), ("k", "a", None), ("k", "a", "pp"), ("k", None, "aa")], "key string, name_corrected string, type string")
+    assert rows(participants.carry_over(spark.createDataFrame([("k",), ("l",)], "key string"), history, ["key"])) == [("k", "a", "pp"), ("l", None, None)]
+
+
 def test_geocode(spark):
     df = spark.createDataFrame([("k1", 1, "1", "A", "paris"), ("k2", 1, "1", "A", None), ("k3", 2, None, "B", "two")], "key string, fam int, siren string, name_corrected string, address string")
     snapshot = spark.createDataFrame([("paris", 0.9, "75056", "Paris", "75001", "75, Paris, Ile"), ("two", 0.8, "1", "X", "1", "1, A, B"), ("two", 0.8, "2", "Y", "2", "2, A, B"), ("paris", 0.4, "9", "Z", "9", "9, z, z")], "input_address string, score double, city_code string, city string, post_code string, context string")

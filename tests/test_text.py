@@ -43,6 +43,11 @@ CASES = [
     (rules.is_latin, ["abc é 1!", "日本", ""], [True, False, True]),
     (dates.as_midnight, ["2015-01-01", "2015", None], ["2015-01-01T00:00:00", None, None]),
     (dates.compact_date, ["20150203", "20150000", "201502", "201500", "x"], ["2015-02-03", "2015", "2015-02", "2015", "x"]),
+    (dates.year_of, ["2015-01-01", "", "abcd", None, "20"], [2015, None, None, None, 20]),
+    (dates.yes_no, ["1", "0", "abc", "", None], ["oui", "non", None, None, None]),
+    (dates.id_text, ["0", "7", "abc", "", None, "0.0"], ["", "7", "abc", "", None, ""]),
+    (lambda c: F.array_join(text.house_range(c).cast("array<string>"), ","), ["12 99999999999", "2-2000000", "99999999999", "2-6 "], ["12", "2,2000000", "", "2,4,6"]),
+    (text.clean_doi, ["10.1016/j.ajpath. 2014.11.02 9", "10.1 0L 6/ J.SOLMAT.2017 .06.023", "10.1.1.75.1021", "https://onlinelibrary.wiley.com/doi/10.1/X", "10.5//a b", None], ["10.1016/j.ajpath.2014.11.029", "10.1016/j.solmat.2017.06.023", "10.5281/zenodo.40463", "10.1/x", "10.5/ab", None]),
     (dates.valid_year_or_day, ["2015", "20150230", "20150228", "x"], [True, False, True, False]),
 ]
 
