@@ -1,8 +1,9 @@
 """Secret scans: patterns of known kinds, and character Markov models for random strings of any other.
 
-Two first-order models, one of random strings and one of ordinary identifiers, are trained from labelled samples.  A
-token of 12 characters or more, with digits or without, whose log-likelihood ratio for each character exceeds a
-threshold is reported as `markov`, unless a pattern has found a part of it before.
+Two first-order models, one of random strings and one of ordinary identifiers, are trained from labelled samples: strings
+generated at random, and identifiers made of a list of words, to which come words that several documents of a bounded sample
+share, as no random string does.  What the patterns leave of a token, if it has 12 characters or more, is reported as
+`markov` where its log-likelihood ratio for each character exceeds a threshold.  Shorter strings hold too little to tell.
 
 Defined cases: a null text is the empty text; repeated rows are scanned alike; a match never crosses documents.  Offsets
 count code points, the end is exclusive.
@@ -30,6 +31,18 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 MIN_TOKEN, THRESHOLD = MIN_ASSIGN, 1.0
 #: Distinct words of the corpus that the model of ordinary identifiers is trained on at most, and documents they come from, about (documented bounds on training only).
 TRAIN_WORDS, TRAIN_DOCS = 20_000, 500
+#: Pairs that the characters' own frequencies count for behind each character.
+PRIOR = 5.0
+#: The labelled sample of ordinary identifiers is made of these words.
+IDENTIFIERS = """account action address amount answer archive array author balance batch before between billing block board border bottom branch bridge
+browser buffer build button cache calendar camera cancel capture catalog category change channel character charge check children client
+cloud cluster collection color column command comment common company complete component config connection contact container content context
+control convert copy country create credit currency current customer daily database date default delete delivery description design detail
+device digital direction discount display document domain download driver duration dynamic edition education element email employee engine
+entry error estimate event example exchange execute export extension factory feature field figure filter final first folder follow format
+forward frame function general global graph group handler header health height history holder image import index info input insert instance
+integer interface internal invoice iterator journal keyboard keyword label language layout length level library license limit link list
+local location logger machine manager market master member memory message method minimum mobile model module monitor month""".split()
 
 
 def _mask(chars: str) -> np.ndarray:
@@ -63,12 +76,13 @@ class Models:
         counts = np.bincount(data[:-1] * 256 + data[1:], minlength=1 << 16).reshape(256, 256).astype(float)
         counts[10] = 0
         counts[:, 10] = 0
-        used = np.flatnonzero(_TOKEN)
-        smooth = np.zeros((256, 256))
-        smooth[np.ix_(used, used)] = 0.1
-        counts = counts * (smooth > 0) + smooth
-        with np.errstate(divide="ignore", invalid="ignore"):
-            return np.where(smooth > 0, np.log(counts / counts.sum(1, keepdims=True)), 0.0)
+        # A pair is as likely as its frequency says, and PRIOR pairs more that follow the characters' own frequencies: a small sample doesn't make all pairs alike.
+        counts *= np.outer(_TOKEN, _TOKEN)
+        single = (counts.sum(0) + 0.5) * _TOKEN
+        single /= single.sum()
+        likely = (counts + PRIOR * single) / (counts.sum(1, keepdims=True) + PRIOR)
+        with np.errstate(divide="ignore"):
+            return np.where(np.outer(_TOKEN, _TOKEN), np.log(likely), 0.0)
 
     def score(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Mean ratio of the pairs of characters of each token (of two characters at least)."""
@@ -87,7 +101,7 @@ def random_samples(n: int = 4000, seed: int = 5) -> list[str]:
 def ordinary_samples(words: list[str], seed: int = 6) -> list[str]:
     """Words, and the identifiers they make: capitalised, in capitals, joined, numbered, and as parts of a path; numbers, dates and numbers in groups."""
     rng = np.random.default_rng(seed)
-    words = sorted(set(words)) or ["value"]
+    words = sorted({*words, *IDENTIFIERS})
     out = list(words)
     for k, w in enumerate(words):
         a, b = (words[j] for j in rng.integers(0, len(words), 2))
@@ -99,11 +113,12 @@ def ordinary_samples(words: list[str], seed: int = 6) -> list[str]:
 
 
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS) -> Models:
-    """Models from generated random strings and from words of a bounded sample of `docs`."""
+    """Models from the labelled samples, and from words that different texts of a bounded sample of `docs` share."""
     n = docs.count()
     draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.where(draw * n < train_docs).select(F.explode(F.split("text", "[^A-Za-z]+")).alias("word"))
-    words = sample.where("length(word) between 2 and 30").distinct().orderBy(F.xxhash64("word"), "word").limit(train_words)
+    sample = docs.where(draw * n < train_docs).select(F.xxhash64("text").alias("of"), F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("word"))
+    shared = sample.where("length(word) between 2 and 30").groupBy("word").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low <> high")
+    words = shared.select("word").orderBy(F.xxhash64("word"), "word").limit(train_words)
     return Models(random_samples(), ordinary_samples([r[0] for r in words.collect()]))
 
 
@@ -132,13 +147,11 @@ def spans(data: np.ndarray, models: Models, threshold: float) -> list[tuple[int,
     found += [(m.start(), 1, m.end()) for m in ACCESS.finditer(raw) if m.end() - m.start() >= MIN_ACCESS]
     start, end = runs(_HEX[data], MIN_HEX)
     found += [(s, 2, e) for s, e in zip(start.tolist(), end.tolist(), strict=True)]
-    start, end = runs(_TOKEN[data], MIN_TOKEN)
-    if len(start) and found:
-        # A token that a pattern has touched is left to the pattern.
-        base = np.array(sorted((s, e) for s, _, e in found))
-        reach = np.concatenate([[0], np.maximum.accumulate(base[:, 1])])
-        free = reach[np.searchsorted(base[:, 0], end, side="left")] <= start
-        start, end = start[free], end[free]
+    # What the patterns have found is theirs; the rest of a token is a token.
+    free = _TOKEN[data]
+    for s, _, e in found:
+        free[s:e] = False
+    start, end = runs(free, MIN_TOKEN)
     if len(start):
         keep = models.score(data, start, end) > threshold
         found += [(s, 3, e) for s, e in zip(start[keep].tolist(), end[keep].tolist(), strict=True)]
