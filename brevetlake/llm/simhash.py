@@ -1,4 +1,4 @@
-"""SimHash fingerprints, and the pairs of fingerprints within a Hamming radius.
+"""SimHash fingerprints, and a search for all fingerprints within a Hamming radius.
 
 Terms are pairs of neighbouring words, weighted by how often a document has them.  Each occurrence of a term votes
 with the bits of its 128-bit hash; a bit of the fingerprint is set where more than half of the votes are for it.  Votes are
@@ -14,7 +14,6 @@ of rows that repeat a doc_id the one with the smallest hash counts as that docum
 from __future__ import annotations
 
 from functools import reduce
-from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -113,49 +112,43 @@ def _masked(f0: Column, f1: Column, ranges: list[tuple[int, int]]) -> list[Colum
     return out
 
 
-def near_fingerprints(prints: DataFrame, radius: int = 3, crowded: int = 1000) -> DataFrame:
-    """a0, a1, b0, b1, distance: all pairs of different fingerprints (f0, f1) at most `radius` bits apart.
+def neighbours(prints: DataFrame, queries: DataFrame, radius: int = 3, chunk: int = 256) -> DataFrame:
+    """q0, q1, found (f0, f1, n, distance): all of `prints` (f0, f1) at most `radius` bits from each fingerprint of `queries` (f0, f1), itself included, and how many rows hold them.
 
     The 128 bits are cut into radius + 1 blocks; two fingerprints within the radius agree on one block at least, so each block is
-    a table keyed by its bits.  `prints` is made distinct first, so copies of a text are one row; a pair is kept only in the
-    table of the first block on which it agrees.
-
-    A bucket with more than `crowded` fingerprints is not compared as it is: the other bits are cut into twice `radius` pieces, of
-    which a pair agrees on half at least, and each choice of half of the pieces is a table of its own.
+    a table keyed by its bits.  `prints` are distinct first, so copies of a text are one row, and only buckets that a
+    query falls into are kept.  A bucket is cut into chunks of about `chunk` fingerprints, and a query meets chunks, not
+    fingerprints: what a query finds in a chunk is one row, so a crowded bucket makes no row for each pair.  A pair counts only in
+    the table of the first block on which it agrees.
     """
-    prints = cut(prints.select("f0", "f1").distinct())
     edges = [BITS * k // (radius + 1) for k in range(radius + 2)]
     blocks = list(zip(edges[:-1], edges[1:], strict=True))
     f0, f1 = F.col("f0"), F.col("f1")
-    tables = F.array(*(F.struct(F.lit(k).alias("k"), F.xxhash64(F.lit(k), *_masked(f0, f1, [r])).alias("key")) for k, r in enumerate(blocks)))
-    rows = prints.select("f0", "f1", F.inline(tables))
-    sizes = cut(rows.groupBy("k", "key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
-    rows = cut(rows.join(sizes, ["k", "key"]))
-
-    def finer(k: int) -> Column:
-        rest = [x for j, (low, high) in enumerate(blocks) if j != k for x in range(low, high)]
-        pieces = [[(x, x + 1) for x in rest[len(rest) * j // (2 * radius) : len(rest) * (j + 1) // (2 * radius)]] for j in range(2 * radius)]
-        return F.array(*(F.xxhash64("key", F.lit(n), *_masked(f0, f1, [r for j in choice for r in pieces[j]])) for n, choice in enumerate(combinations(range(2 * radius), radius))))
-
-    keys = F.when(F.col("size") <= crowded, F.array("key"))
-    for k in range(radius + 1):
-        keys = keys.when(F.col("k") == k, finer(k)) if radius else keys
-    dealt = rows.select("k", "f0", "f1", F.explode(keys.otherwise(F.array("key"))).alias("key"))
-    side = lambda n: dealt.select("k", "key", F.col("f0").alias(f"{n}0"), F.col("f1").alias(f"{n}1"))
-    pairs = side("a").join(side("b"), ["k", "key"]).where("a0 < b0 or (a0 = b0 and a1 < b1)")
-    x0, x1 = F.col("a0").bitwiseXOR(F.col("b0")), F.col("a1").bitwiseXOR(F.col("b1"))
-    pairs = pairs.withColumn("distance", (F.bit_count(x0) + F.bit_count(x1)).cast("int")).where(F.col("distance") <= radius)
-    agrees = [reduce(lambda p, q: p & q, (m == 0 for m in _masked(x0, x1, [r]))) for r in blocks]
-    first = F.lit(None).cast("int")
-    for k in reversed(range(radius + 1)):
-        first = F.when(agrees[k], k).otherwise(first)
-    return pairs.where(first == F.col("k")).select("a0", "a1", "b0", "b1", "distance").distinct()
-
-
-def compare_with_edits(docs: DataFrame) -> DataFrame:
-    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every row of `docs`.
-
-    The edited text has the last third of the code points replaced by as many from the start of the next document.
+    tables = F.inline(F.array(*(F.struct(F.lit(k).alias("k"), F.xxhash64(F.lit(k), *_masked(f0, f1, [r])).alias("key")) for k, r in enumerate(blocks))))
+    asked = cut(queries.select("f0", "f1").distinct().select(f0.alias("q0"), f1.alias("q1"), tables))
+    held = prints.groupBy("f0", "f1").agg(F.count(F.lit(1)).alias("n"))
+    members = cut(held.select("f0", "f1", "n", tables).join(asked.select("k", "key").distinct(), ["k", "key"], "left_semi"))
+    parts = members.groupBy("k", "key").agg(F.ceil(F.count(F.lit(1)) / chunk).alias("parts"))
+    chunks = members.join(parts, ["k", "key"]).groupBy("k", "key", F.pmod(F.xxhash64("f0", "f1"), F.col("parts")).alias("part"))
+    chunks = cut(chunks.agg(F.collect_list(F.struct("f0", "f1", "n")).alias("rows")))
+
+    def close(x: Column) -> Column:
+        x0, x1 = x["f0"].bitwiseXOR(F.col("q0")), x["f1"].bitwiseXOR(F.col("q1"))
+        apart = [reduce(lambda p, q: p | q, (m != 0 for m in _masked(x0, x1, [r]))) for r in blocks[:-1]]
+        near = F.bit_count(x0) + F.bit_count(x1) <= radius
+        return reduce(lambda p, q: p & q, ((F.col("k") <= j) | differs for j, differs in enumerate(apart)), near)
+
+    distance = lambda x: (F.bit_count(x["f0"].bitwiseXOR(F.col("q0"))) + F.bit_count(x["f1"].bitwiseXOR(F.col("q1")))).cast("int")
+    found = F.transform(F.filter("rows", close), lambda x: F.struct(x["f0"].alias("f0"), x["f1"].alias("f1"), x["n"].alias("n"), distance(x).alias("distance")))
+    return asked.join(chunks, ["k", "key"]).select("q0", "q1", found.alias("found")).where(F.size("found") > 0)
+
+
+def compare_with_edits(docs: DataFrame, radius: int = 3, query_every: int = 100) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_near of every row of `docs`.
+
+    The edited text has the last third of the code points replaced by as many from the start of the next document.  n_near is
+    the search's result: for documents whose doc_id `query_every` divides, how many other documents have a fingerprint within
+    `radius` bits (rows that are equal count once); null for the others.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
@@ -188,10 +181,14 @@ def compare_with_edits(docs: DataFrame) -> DataFrame:
 
     next_print = prints.select(F.col("key").alias("next_key"), F.col("row").alias("next_row"), F.col("f0").alias("n0"), F.col("f1").alias("n1"))
     follows = asked.join(next_print, ["next_key", "next_row"]).select(F.col("for_key").alias("key"), "n0", "n1").distinct()
-    result = prints.join(follows, "key", "left")
+    queries = prints.where((F.col("key") != NO_ID) & (F.col("key") % query_every == 0)).select("key", "row", "f0", "f1")
+    near = neighbours(prints, queries, radius).select("q0", "q1", F.aggregate("found", F.lit(0).cast("long"), lambda n, x: n + x["n"]).alias("n"))
+    near = near.groupBy("q0", "q1").agg((F.sum("n") - 1).alias("n_near"))
+    near = queries.join(near, (F.col("f0") == F.col("q0")) & (F.col("f1") == F.col("q1"))).select("key", "row", "n_near")
+    result = prints.join(follows, "key", "left").join(near, ["key", "row"], "left")
     # Repeated rows come back as often as they were there.
     copies = rows.groupBy("key", "row").agg(F.count(F.lit(1)).cast("int").alias("copies")).where("copies > 1")
     result = result.join(copies, ["key", "row"], "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1)))))
     f, e, n = ((F.col(f"{x}0"), F.col(f"{x}1")) for x in "fen")
     doc_id = F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id")
-    return result.select(doc_id, "n_chars", "edited_sha256", as_hex(*f).alias("fingerprint"), as_hex(*e).alias("edited_fingerprint"), likeness(f, e).alias("near_edited"), F.coalesce(likeness(f, n), F.lit(1.0)).alias("near_next"))
+    return result.select(doc_id, "n_chars", "edited_sha256", as_hex(*f).alias("fingerprint"), as_hex(*e).alias("edited_fingerprint"), likeness(f, e).alias("near_edited"), F.coalesce(likeness(f, n), F.lit(1.0)).alias("near_next"), "n_near")

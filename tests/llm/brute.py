@@ -6,6 +6,8 @@ import hashlib
 import re
 from collections import Counter, defaultdict
 
+import xxhash
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
@@ -103,6 +105,20 @@ def edited(docs):
     return out
 
 
+def simhash(text):
+    """128 bits, each the majority of the signed votes of all pairs of neighbouring words (of the word, where it is alone)."""
+    words = [w for w in re.split(r"[\x20\x09-\x0D]+", text or "") if w]
+    pairs = list(zip(words, words[1:], strict=False)) or [(w, "") for w in words]
+    votes = [0] * 128
+    for a, b in pairs:
+        first = xxhash.xxh64_intdigest(b.encode(), xxhash.xxh64_intdigest(a.encode(), 42))
+        second = xxhash.xxh64_intdigest((1).to_bytes(4, "little"), xxhash.xxh64_intdigest(first.to_bytes(8, "little"), 42))
+        for k in range(64):
+            votes[k] += 1 if first >> k & 1 else -1
+            votes[64 + k] += 1 if second >> k & 1 else -1
+    return sum(1 << k for k in range(64) if votes[k] > 0), sum(1 << k for k in range(64) if votes[64 + k] > 0)
+
+
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
 

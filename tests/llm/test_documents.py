@@ -212,17 +212,19 @@ def test_decontamination_of_a_prompt_that_all_items_share(spark):
 
 
 def test_simhash(spark, rows):
-    df = simhash.compare_with_edits(frame(spark, rows))
-    assert got(df, "n_chars", "edited_sha256") == {d: (n, brute.sha(t)) for d, (n, t) in brute.edited(rows).items()}
-    found = {r.doc_id: r for r in df.collect()}
-    by_text = {}
-    for d, t in rows:
-        assert by_text.setdefault(t or "", found[d].fingerprint) == found[d].fingerprint
+    """Texts, fingerprints, likeness and search against versions that share nothing with the operator."""
+    rows = [(d, t) for d, t in rows if len(t or "") < 50_000]
+    found = {r.doc_id: r for r in simhash.compare_with_edits(frame(spark, rows), query_every=3).collect()}
+    edits = brute.edited(rows)
+    assert {d: (r.n_chars, r.edited_sha256) for d, r in found.items()} == {d: (n, brute.sha(t)) for d, (n, t) in edits.items()}
+    as_hex = lambda halves: "%016x%016x" % halves
+    own, changed = {d: brute.simhash(t) for d, t in rows}, {d: brute.simhash(t) for d, (_, t) in edits.items()}
+    assert {d: (r.fingerprint, r.edited_fingerprint) for d, r in found.items()} == {d: (as_hex(own[d]), as_hex(changed[d])) for d in own}
+    apart = lambda a, b: (a[0] ^ b[0]).bit_count() + (a[1] ^ b[1]).bit_count()
     order = sorted(found, reverse=True)
-    bits = lambda a, b: 1 - (int(a, 16) ^ int(b, 16)).bit_count() / 128
     for d, after in zip(order, order[1:] + order[:1], strict=True):
-        assert found[d].near_next == bits(found[d].fingerprint, found[after].fingerprint)
-        assert found[d].near_edited == bits(found[d].fingerprint, found[d].edited_fingerprint)
+        assert (found[d].near_edited, found[d].near_next) == (1 - apart(own[d], changed[d]) / 128, 1 - apart(own[d], own[after]) / 128)
+        assert found[d].n_near == (sum(apart(own[d], x) <= 3 for x in own.values()) - 1 if d % 3 == 0 else None)
 
 
 def test_simhash_of_repeated_ids(spark):
@@ -236,16 +238,19 @@ def test_next_ids_over_gaps(spark):
     assert found == dict(zip(ids, [ids[-1], *ids[:-1]], strict=True))
 
 
-@pytest.mark.parametrize("crowded", [1000, 1])
-def test_near_fingerprints(spark, crowded):
+@pytest.mark.parametrize("radius", [0, 3, 7])
+@pytest.mark.parametrize("chunk", [256, 2])
+def test_neighbours(spark, radius, chunk):
     rng = random.Random(4)
     base = [rng.getrandbits(128) for _ in range(40)]
-    prints = list(dict.fromkeys(base + [b ^ sum(1 << k for k in rng.sample(range(128), rng.randrange(1, 6))) for b in base for _ in range(3)]))
+    prints = base + [b ^ sum(1 << k for k in rng.sample(range(128), rng.randrange(1, 9))) for b in base for _ in range(5)] + base[:7]
     signed = lambda x: x - (1 << 64) if x >> 63 else x
-    halves = {(signed(p >> 64), signed(p & (1 << 64) - 1)): p for p in prints}
-    df = simhash.near_fingerprints(spark.createDataFrame(list(halves) * 2, "f0 long, f1 long"), 3, crowded)
-    found = sorted((*sorted((halves[r.a0, r.a1], halves[r.b0, r.b1])), r.distance) for r in df.collect())
-    want = sorted((*sorted((p, q)), (p ^ q).bit_count()) for i, p in enumerate(prints) for q in prints[:i] if (p ^ q).bit_count() <= 3)
+    halves = lambda p: (signed(p >> 64), signed(p & (1 << 64) - 1))
+    table = spark.createDataFrame([halves(p) for p in prints], "f0 long, f1 long")
+    queries = prints[::3]
+    df = simhash.neighbours(table, spark.createDataFrame([halves(p) for p in queries], "f0 long, f1 long"), radius, chunk)
+    found = sorted((r.q0, r.q1, x.f0, x.f1, x.n, x.distance) for r in df.collect() for x in r.found)
+    want = sorted((*halves(q), *halves(p), prints.count(p), (p ^ q).bit_count()) for q in set(queries) for p in set(prints) if (p ^ q).bit_count() <= radius)
     assert found == want
 
 
