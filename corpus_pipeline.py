@@ -14,10 +14,14 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a language: those without a text or without letters go. Where no document is labelled, one empty profile takes all that have letters."""
+    """Documents with a language: those without a text or without letters go.  A document without a label takes the predicted one.
+
+    Where no document is labelled, there is nothing to predict: one empty profile takes all that have letters, and they stay without a label.
+    """
     docs = docs.select(*COLUMNS)
-    profiles = langid.learn(docs.where("lang is not null")) or {"unlabelled": []}
-    return langid.predict(docs, profiles, keep_text=True).where(F.col("lang_pred") != langid.UNKNOWN).select(*COLUMNS)
+    learned = langid.learn(docs.where("lang is not null"))
+    found = langid.predict(docs, learned or {"unlabelled": []}, keep_text=True).where(F.col("lang_pred") != langid.UNKNOWN)
+    return found.withColumn("lang", F.coalesce("lang", "lang_pred") if learned else F.col("lang")).select(*COLUMNS)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
