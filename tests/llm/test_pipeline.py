@@ -48,6 +48,14 @@ def test_unlabelled_corpus(spark):
     assert {(r.doc_id, r.text, r.lang) for r in corpus_pipeline.keep_languages(spark, docs, "").collect()} == {(1, "some words", None), (2, "é", None)}
 
 
+def test_missing_labels_are_predicted(spark):
+    samples = {"xx": "abra kadabra ", "yy": "schnell zwischen "}
+    rows = [(k, samples[lang] * 3, lang) for k, lang in enumerate(list(samples) * 20)] + [(100 + k, text, None) for k, text in enumerate(samples.values())] + [(200, "12 !", None), (201, None, "xx")]
+    docs = spark.createDataFrame([(d, t, lang, "src", len(t or "")) for d, t, lang in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r.doc_id: r.lang for r in corpus_pipeline.keep_languages(spark, docs, "").collect()}
+    assert found == {d: lang for d, _, lang in rows[:40]} | {100: "xx", 101: "yy"}
+
+
 def test_held_out_accuracy(spark):
     docs = langid.with_fold(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
     profiles = langid.learn(docs.where("not held_out"))
