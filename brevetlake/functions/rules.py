@@ -51,6 +51,59 @@ def misread(letters: str) -> list[Rule]:
     return sorted(rules, key=lambda r: (-len(r.pattern), r.pattern))
 
 
+def rules_of(table: Sequence[tuple[str, str]], regex: bool = False) -> list[Rule]:
+    """Rules in the order of a table of (wrong, right) texts, such as one of single names that a user keeps."""
+    return [Rule(a, b, regex) for a, b in table]
+
+
+# Spoilt words and signs in names, and what they are, in the order in which they are repaired.
+NAME_REPAIRS = (
+    ("FRAN\ufffdOIS", "FRANÇOIS"),
+    ("C\ufffdDRIC", "CÉDRIC"),
+    ("S\ufffdBASTIEN", "SÉBASTIEN"),
+    ("V\ufffdRONIQUE", "VÉRONIQUE"),
+    ("JER\ufffdME", "JÉRÔME"),
+    ("BENO\ufffdT", "BENOÎT"),
+    ("FR\ufffdD\ufffdRIC", "FRÉDÉRIC"),
+    ("UNIVERSIT\ufffd", "UNIVERSITÉ"),
+    ("SJ\ufffdDIN", "SJÖDIN"),
+    ("SANT\ufffd", "SANTÉ"),
+    ("[NSERM", "INSERM"),
+    ("L & RSQUO EN", "L'ENERGIE"),
+    ("L+ENERGIE", "L'ENERGIE"),
+    ("WALTER+ELIZA", "WALTER AND ELIZA"),
+    ("L/OREAL", "L'OREAL"),
+    ("1/1", ""),
+    ("(1/4)", ""),
+    ("|’alimentation", "l’alimentation"),
+    ("Mikl¢s", "Miklós"),
+    ("Soci§té", "Société"),
+    ("ChÃªne", "Chêne"),
+    ("Benoí®t", "Benoît"),
+    ("(INSERM°", "(INSERM)"),
+    ("(PARIS 6°", "(PARIS 6)"),
+    ("FRANA§OIS", "FRANÇOIS"),
+    ("Franí§ois", "François"),
+    ("SJ\\DIN", "SJÖDIN"),
+    ("STE]PHANE", "STÉPHANE"),
+    ("TECHNIGAZ_", "TECHNIGAZ"),
+    ("i′", "ì"),
+    ("e′", "é"),
+    ("a′", "à"),
+    ("A′", "À"),
+    ("é´", "é"),
+)
+# Letters that stand for a Latin one where they are the only foreign ones of a name.
+LONE_LETTERS = (("С", "C"), ("Σ", "Ç"), ("ё", "ë"), ("ς", "ç"), ("Ι", "I"), ("Χ", "X"), ("\u0650", ""), ("Ί", "Í"), ("\u064f", ""))
+
+
+def name_rules() -> list[Rule]:
+    """All repairs of names that are not single names: words and signs in order, angle brackets but for the one name that has them, lone foreign letters."""
+    lone = "".join(a for a, _ in LONE_LETTERS)
+    latin = rf"^[\p{{IsLatin}}\p{{N}}\p{{P}}\p{{S}}\p{{Z}}\s{lone}]*$"
+    return [*rules_of(NAME_REPAIRS), Rule("[<>]+", "", True, when=r"^(?!B<>COM$)"), *(Rule(a, b, when=latin) for a, b in LONE_LETTERS)]
+
+
 #: French and German letters in either case.
 ACCENTED = "àâäçéèêëîïôöùûüÿñÀÂÄÇÉÈÊËÎÏÔÖÙÛÜÑß"
 

@@ -389,7 +389,13 @@ def cluster_names(t: Tables) -> DataFrame:
     return cluster.cluster_names(rows, "family", "name", "row", persons=False)
 
 
-@query("q_nice_names")
+@query(
+    "q_nice_names",
+    """
+    WITH n AS (SELECT p_brand, p_type, arg_min(p_name, (CASE WHEN p_size % 2 = 1 THEN 99 WHEN regexp_matches(p_name, '(^| )[a-z0-9]( |$)') THEN 1 ELSE 0 END, length(p_name), p_name)) AS name FROM part GROUP BY p_brand, p_type)
+    SELECT p_brand, p_type, array_to_string(list_transform(string_split(name, ' '), lambda w: upper(w[1:1]) || lower(w[2:])), ' ') AS name_corrected FROM n
+    """,
+)
 def nice_names(t: Tables) -> DataFrame:
     rows = t.part.select("p_brand", "p_type", "p_name", F.when(F.col("p_size") % 2 == 0, "EP").otherwise("CN").alias("office"))
     return participants.nice_names(rows, "p_brand", "p_type", "p_name", "office")

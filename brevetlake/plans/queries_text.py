@@ -191,6 +191,20 @@ def mojibake(t: Tables) -> DataFrame:
     return _texts(t).select("doc_id", rules.repair(spoilt, rules.misread(rules.ACCENTED + "íóúáãõÍÓÚÁÃÕ")).alias("line"))
 
 
+@query(
+    "q_name_repairs",
+    """
+    SELECT c_custkey, CASE c_custkey % 6 WHEN 0 THEN 'FRANÇOIS ' || c_name WHEN 1 THEN 'UNIVERSITÉ L''ENERGIE ' || c_name WHEN 2 THEN 'B<>COM' WHEN 3 THEN 'a b' || c_name
+           WHEN 4 THEN 'ACÇ' || c_name ELSE 'ИСΣ' END AS name FROM customer
+    """,
+)
+def name_repairs(t: Tables) -> DataFrame:
+    key = F.col("c_custkey") % 6
+    spoilt = F.when(key == 0, F.concat(F.lit("FRAN\ufffdOIS "), "c_name")).when(key == 1, F.concat(F.lit("UNIVERSIT\ufffd L+ENERGIE "), "c_name")).when(key == 2, F.lit("B<>COM"))
+    spoilt = spoilt.when(key == 3, F.concat(F.lit("<a >>b"), "c_name")).when(key == 4, F.concat(F.lit("AСΣ"), "c_name")).otherwise("ИСΣ")
+    return t.customer.select("c_custkey", rules.repair(spoilt, rules.name_rules()).alias("name"))
+
+
 @query("q_is_latin", f"SELECT doc_id, TRUE AS is_latin FROM {_TEXTS}")
 def is_latin(t: Tables) -> DataFrame:
     return _texts(t).select("doc_id", rules.is_latin(rules.repair(F.col("line"), rules.LOOKALIKES)).alias("is_latin"))
@@ -282,7 +296,33 @@ def levenshtein_best(t: Tables) -> DataFrame:
     return gates.keep_best(pairs, ["p_name"], F.col("distance"))
 
 
-@query("q_fuzzy_ratios")
+def ratio_sql(a: str, b: str) -> str:
+    """Twice the longest common subsequence of two columns by their lengths, in percent: the sequence by one bit for each letter of `a`, as long as that has 120 at most."""
+    full = f"((1::HUGEINT << length({a})::INT) - 1)"
+    places = f"list_transform(range(length({a})), lambda i: CASE WHEN substr({a}, i::INT + 1, 1) = c THEN 1::HUGEINT << i::INT ELSE 0::HUGEINT END)"
+    letters = f"list_transform(string_split({b}, ''), lambda c: list_reduce({places}, lambda x, y: x | y))"
+    open_ = f"list_reduce({letters}, lambda s, m: ((s + (s & m)) | (s - (s & m))) & {full}, {full})"
+    return f"CASE WHEN {a} = '' OR {b} = '' THEN 0 ELSE round_even(200.0 * (length({a}) - bit_count({open_})) / (length({a}) + length({b})), 0)::INT END"
+
+
+def _tokens_sql(text: str) -> str:
+    return f"list_filter(string_split(regexp_replace(lower({text}), '[^a-z0-9]', ' ', 'g'), ' '), lambda w: w <> '')"
+
+
+@query(
+    "q_fuzzy_ratios",
+    f"""
+    WITH n AS (SELECT p_partkey, p_name AS a, array_to_string(list_reverse(string_split(p_name, ' ')), ' ') AS b, lower(p_type) AS kind FROM part),
+         t AS (SELECT *, array_to_string(list_sort({_tokens_sql("a")}), ' ') AS sorted_a, array_to_string(list_sort({_tokens_sql("b")}), ' ') AS sorted_b,
+                      list_distinct({_tokens_sql("a")}) AS x, list_distinct({_tokens_sql("b || ' ' || kind")}) AS y FROM n),
+         s AS (SELECT *, array_to_string(list_sort(list_filter(x, lambda w: list_contains(y, w))), ' ') AS common, array_to_string(list_sort(list_filter(x, lambda w: NOT list_contains(y, w))), ' ') AS only_x,
+                      array_to_string(list_sort(list_filter(y, lambda w: NOT list_contains(x, w))), ' ') AS only_y FROM t),
+         j AS (SELECT *, trim(common || ' ' || only_x) AS l, trim(common || ' ' || only_y) AS r FROM s)
+    SELECT p_partkey, {ratio_sql("a", "b")} AS ratio, {ratio_sql("sorted_a", "sorted_b")} AS token_sort,
+           greatest({ratio_sql("common", "l")}, {ratio_sql("common", "r")}, {ratio_sql("l", "r")}) AS token_set
+    FROM j
+    """,
+)
 def fuzzy_ratios(t: Tables) -> DataFrame:
     a, b = F.col("p_name"), F.concat_ws(" ", F.reverse(F.split("p_name", " ")))
     return t.part.select("p_partkey", fuzzy.ratio_column(a, b).alias("ratio"), fuzzy.token_sort_column(a, b).alias("token_sort"), fuzzy.token_set_column(a, F.concat(b, F.lit(" "), F.lower("p_type"))).alias("token_set"))
@@ -310,7 +350,18 @@ def pref_text(t: Tables) -> DataFrame:
     return families.preferred_texts(rows, "family", "lang", "text", "date", "office", "title")
 
 
-@query("q_common_words")
+@query(
+    "q_common_words",
+    f"""
+    WITH x AS (SELECT p_partkey, v, min(i) AS i FROM (SELECT p_partkey, unnest(string_split(p_name, ' ')) AS v, generate_subscripts(string_split(p_name, ' '), 1) AS i FROM part) GROUP BY p_partkey, v),
+         y AS (SELECT p_partkey, w, min(i) AS i FROM (SELECT p_partkey, unnest(string_split('new ' || p_name, ' ')) AS w, generate_subscripts(string_split('new ' || p_name, ' '), 1) AS i FROM part) GROUP BY p_partkey, w),
+         same AS (SELECT p_partkey, v, w FROM x JOIN y USING (p_partkey) WHERE length(v) >= 1 AND length(w) >= 1 AND {ratio_sql("w", "v")} > 95)
+    SELECT p_partkey, coalesce((SELECT string_agg(v, ' ' ORDER BY i) FROM x WHERE x.p_partkey = p.p_partkey AND v NOT IN (SELECT v FROM same s WHERE s.p_partkey = p.p_partkey)), '') AS first,
+           coalesce((SELECT string_agg(w, ' ' ORDER BY i) FROM y WHERE y.p_partkey = p.p_partkey AND w NOT IN (SELECT w FROM same s WHERE s.p_partkey = p.p_partkey)), '') AS second,
+           EXISTS (SELECT 1 FROM same s WHERE s.p_partkey = p.p_partkey) AS common
+    FROM part p
+    """,
+)
 def common_words(t: Tables) -> DataFrame:
     pair = fuzzy.without_common_column(F.col("p_name"), F.concat(F.lit("new "), "p_name"))
     return t.part.select("p_partkey", pair.alias("p")).select("p_partkey", "p.first", "p.second", "p.common")
