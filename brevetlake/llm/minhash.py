@@ -102,11 +102,12 @@ def values_of(sets: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, body in enumerate(batch.column("set")):
-                hashes = np.frombuffer(body.as_py(), np.uint64)
-                row = pa.repeat(batch.column("doc_id")[k], len(hashes))
-                same = pa.repeat(pa.scalar(int(hashes.sum(dtype=np.uint64).astype(np.int64))), len(hashes))
-                yield pa.record_batch([row, same, pa.repeat(batch.column("n")[k], len(hashes)), pa.array(hashes.view(np.int64))], ["id", "h1", "n", "value"])
+            if not batch.num_rows:
+                continue
+            hashes = [np.frombuffer(body.as_py(), np.uint64) for body in batch.column("set")]
+            owner = np.repeat(np.arange(len(hashes)), [len(x) for x in hashes])
+            same = np.array([x.sum(dtype=np.uint64) for x in hashes]).view(np.int64)
+            yield pa.record_batch([batch.column("doc_id").take(pa.array(owner)), pa.array(same[owner]), batch.column("n").take(pa.array(owner)), pa.array(np.concatenate(hashes).view(np.int64))], ["id", "h1", "n", "value"])
 
     kind = sets.schema["doc_id"].dataType.simpleString()
     return small_batches(sets.where("n > 0").select("doc_id", "n", "set")).mapInArrow(run, f"id {kind}, h1 long, n long, value long")
@@ -281,12 +282,15 @@ def link_classes(drawn: DataFrame, docs: DataFrame, links: DataFrame) -> DataFra
     long_ = cut(lists.where(F.col("size") > SHORT_LIST).select(F.col("id").alias("doc_id")).distinct())
     discard(lists, listed, heads)
     if long_.isEmpty():
+        discard(sets)
         return components(links)
     members = sets.join(long_, "doc_id", "left_semi")
     listed = prefixes(values_of(members), need(F.col("n")) - 1).select(F.explode("prefix").alias("value"), "id").distinct()
     lists = open_lists(listed, components(links))
     links = cut(links.unionByName(confirmed(estimated(pairs_across(lists), drawn), sets)))
-    return compare_blocks(lists.where(F.col("size") > SHORT_LIST).select("value", "id"), sets, links)[1]
+    joined = compare_blocks(lists.where(F.col("size") > SHORT_LIST).select("value", "id"), sets, links)[1]
+    discard(sets, lists)
+    return joined
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -300,6 +304,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     repeated = known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select("doc_id")
     of = known.select("doc_id", "h1", "h2", "n").join(repeated, "doc_id").join(classes, ["h1", "h2", "n"]).select(F.col("doc_id").alias("a"), F.col("id").alias("b"))
     joined = link_classes(drawn, docs, cut(of.where("a <> b").distinct()))
+    discard(drawn)
     members = cut(classes.join(joined, "id", "left").select("h1", "h2", "n", F.coalesce("component", "id").alias("component")))
     c = members.withColumnsRenamed({"h1": "c1", "h2": "c2", "n": "cn"})
     found = signed.join(c, (signed.h1 == c.c1) & (signed.h2 == c.c2) & (signed.n == c.cn), "left")

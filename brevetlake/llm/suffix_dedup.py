@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import scan
-from .store import cut, small_batches
+from .store import cut, discard, small_batches
 
 #: Bytes of a window, and of the q-gram that names its bucket.
 WINDOW, GRAM = 200, 40
@@ -337,6 +337,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, sm
     # 1. Buckets with more than one run.
     buckets = cut(every.groupBy("bucket").agg(F.count(F.lit(1)).alias("held")).where("held > 1").select("bucket"))
     found = cut(every.join(buckets, "bucket"))
+    discard(every, buckets)
     # 2. Their different runs, each with how often and with one place where it occurs.
     place = F.col("start") * 65536 + F.col("n")
     counted = found.groupBy("bucket", "span").agg(F.count(F.lit(1)).alias("held"), F.max("key").alias("key"), F.max_by(place, F.col("key")).alias("place"))
