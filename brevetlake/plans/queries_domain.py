@@ -401,14 +401,20 @@ def nice_names(t: Tables) -> DataFrame:
     return participants.nice_names(rows, "p_brand", "p_type", "p_name", "office")
 
 
-@query("q_classify")
+@query(
+    "q_classify",
+    """
+    SELECT c_name AS person_name, (c_custkey % 4 + 1)::BIGINT AS invt_seq_nr, 'pp' AS type FROM customer
+    UNION ALL SELECT s_name, 0, CASE WHEN s_suppkey % 5 = 0 THEN 'pp' ELSE 'pm' END FROM supplier
+    """,
+)
 def classify(t: Tables) -> DataFrame:
-    """Customers and suppliers told apart by their names, like persons and organisations."""
-    rows = t.customer.select(F.col("c_name").alias("person_name"), (F.col("c_custkey") % 4 + 1).alias("invt_seq_nr"), F.lit(1.0).alias("label"))
-    rows = rows.unionByName(t.supplier.select(F.col("s_name").alias("person_name"), F.lit(0).cast("long").alias("invt_seq_nr"), F.lit(0.0).alias("label")))
-    model = participants.classifier(rows, "label", ["person_name"])
-    known = rows.where("label = 0").select("person_name", F.lit("pm").alias("type"))
-    return participants.classify(rows.drop("label"), model, known, ["person_name"])
+    """Customers and suppliers told apart by their names, like persons and organisations: learned from one half, predicted for both, unless the name's type is known."""
+    rows = t.customer.select(F.col("c_custkey").alias("key"), F.col("c_name").alias("person_name"), (F.col("c_custkey") % 4 + 1).cast("long").alias("invt_seq_nr"), F.lit(1.0).alias("label"))
+    rows = rows.unionByName(t.supplier.select(F.col("s_suppkey").alias("key"), F.col("s_name").alias("person_name"), F.lit(0).cast("long").alias("invt_seq_nr"), F.lit(0.0).alias("label")))
+    model = participants.classifier(rows.where("key % 2 = 0"), "label", ["person_name"])
+    known = rows.where("label = 0 and key % 5 = 0").select("person_name", F.lit("pp").alias("type"))
+    return participants.classify(rows.select("person_name", "invt_seq_nr"), model, known, ["person_name"]).drop("probability")
 
 
 @query(

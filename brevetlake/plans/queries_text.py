@@ -270,6 +270,26 @@ def status(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", dates.status(start, F.date_add(start, 30), F.lit("1998-06-01").cast("date")).alias("status"), dates.yes_no(F.col("o_orderstatus") == "F").alias("granted"), dates.id_text(F.col("o_custkey")).alias("id"))
 
 
+_DIRTY = "CASE c_custkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN 'abc' WHEN 3 THEN '0' WHEN 4 THEN '1' WHEN 5 THEN '99999999999' ELSE '2015-02' END"
+
+
+@query(
+    "q_dirty_values",
+    f"""
+    WITH d AS (SELECT c_custkey, {_DIRTY} AS v FROM customer)
+    SELECT c_custkey, TRY_CAST(nullif(left(v, 4), '') AS INT) AS year, CASE v WHEN '1' THEN 'oui' WHEN '0' THEN 'non' END AS yes_no, CASE v WHEN '0' THEN '' ELSE v END AS id,
+           CASE v WHEN '0' THEN '0' WHEN '1' THEN '1' WHEN '2015-02' THEN '2,2015' WHEN '' THEN '' WHEN 'abc' THEN '' WHEN '99999999999' THEN '' END AS numbers
+    FROM d
+    """,
+)
+def dirty_values(t: Tables) -> DataFrame:
+    """Texts that are no years, flags, ids or house numbers: none of them stops a query."""
+    key = F.col("c_custkey") % 7
+    v = F.when(key == 0, F.lit(None).cast("string")).when(key == 1, "").when(key == 2, "abc").when(key == 3, "0").when(key == 4, "1").when(key == 5, "99999999999").otherwise("2015-02")
+    numbers = F.array_join(F.transform(text.house_range(F.col("v")), lambda n: n.cast("string")), ",")
+    return t.customer.select("c_custkey", v.alias("v")).select("c_custkey", dates.year_of(F.col("v")).alias("year"), dates.yes_no(F.col("v")).alias("yes_no"), dates.id_text(F.col("v")).alias("id"), numbers.alias("numbers"))
+
+
 @query(
     "q_valid_dates",
     "SELECT o_orderkey, o_orderkey % 3 <> 2 AS valid FROM orders",

@@ -1,5 +1,7 @@
 """The stages on small source tables."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +123,20 @@ def test_classifier(spark):
     assert out["person a martin"] == "pp" and out["company b ltd"] == "pm" and out["company a ltd"] == "pp"
 
 
+def test_classifier_on_names_it_has_not_seen(spark):
+    """Names made of parts, held out by their last part: nine of ten right at least."""
+    rng = random.Random(3)
+    given, family = "jean marie anna pierre luc sophie karl ines paul eva hugo lena".split(), [a + b for a in "du mar le ber gar mo lam".split() for b in "pont tin roux nard nier rel bert".split()]
+    things, forms = [a + b for a in "aero bio chem electro geo hydro micro".split() for b in "tech plast metal soft gen nics".split()], "sa ltd gmbh inc corp sas".split()
+    persons = [(f"{f}, {rng.choice(given)}", 1, 1.0, k % 3) for k, f in enumerate(family)]
+    companies = [(f"{t} {rng.choice(forms)}", 0, 0.0, k % 3) for k, t in enumerate(things)]
+    df = spark.createDataFrame(persons + companies, "person_name string, invt_seq_nr int, label double, fold int").withColumn("invt_seq_nr", F.lit(1))
+    model = participants.classifier(df.where("fold > 0").drop("fold"), "label", ["person_name"])
+    known = spark.createDataFrame([], "person_name string, type string")
+    out = participants.classify(df.where("fold = 0").select("person_name", "invt_seq_nr", "label"), model, known, ["person_name"]).collect()
+    assert sum((r.type == "pp") == (r.label == 1) for r in out) > 0.9 * len(out)
+
+
 def test_identify(spark):
     df = spark.createDataFrame([("k1", "p1", "Acmé", 1, "x"), ("k2", "p2", "Beta", 1, "x"), ("k3", "p9", "Gamma", 9, "y"), ("k4", "p9", "Delta", 9, "z")], "key string, publn string, name_corrected string, fam int, address string")
     register = spark.createDataFrame([("p1", "ACME", "111", 5), ("p8", "beta", "222", 1)], "publn string, nom string, siren string, fam int")
