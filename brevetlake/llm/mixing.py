@@ -37,9 +37,10 @@ CELLS = 4096
 
 
 def sizes(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size in words of every document."""
+    """doc_id, name (by which it is shuffled: the doc_id, or the text's hash without one), source, size in words of every document."""
     words = F.regexp_count(F.coalesce(F.col("text"), F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+"))
-    return docs.select("doc_id", "source", words.cast("long").alias("size"))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("without "), F.hex(F.xxhash64("text"))))
+    return docs.select("doc_id", name.alias("name"), "source", words.cast("long").alias("size"))
 
 
 def targets(sized: DataFrame, weights: tuple[int, ...] = (5, 2, 1), share: float = 1.5, most: int = 2) -> DataFrame:
@@ -104,8 +105,8 @@ def complete_schedule(goals: DataFrame, total: float, block: int) -> DataFrame:
 
 def offsets(sized: DataFrame) -> DataFrame:
     """`sized` with `offset`: the tokens of its source's documents that stand before it in the shuffle."""
-    # The shuffle orders a source's documents by a digest of their id, whose first digits are the bucket.
-    place = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    # The shuffle orders a source's documents by a digest of their name, whose first digits are the bucket.
+    place = F.md5(F.col("name").cast("binary"))
     placed = sized.withColumn("place", place).withColumn("bucket", F.substring("place", 1, BUCKET_DIGITS))
     sums = placed.groupBy("source", "bucket").agg(F.sum("size").alias("n"))
     before = F.sum("n").over(Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))

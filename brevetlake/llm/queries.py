@@ -142,7 +142,7 @@ ORACLES: dict[str, str] = {
     "op9_mixing": r"""
         WITH sized AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
-                   md5(coalesce(doc_id::VARCHAR, '')) AS place
+                   md5(doc_id::VARCHAR) AS place
             FROM documents),
         by_source AS (
             SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS number

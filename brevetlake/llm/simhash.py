@@ -143,6 +143,20 @@ def neighbours(prints: DataFrame, queries: DataFrame, radius: int = 3, chunk: in
     return asked.join(chunks, ["k", "key"]).select("q0", "q1", found.alias("found")).where(F.size("found") > 0)
 
 
+def _edited_prints(dealt: DataFrame, heads: DataFrame) -> DataFrame:
+    """key, row, n_chars, edited_sha256, f0, f1 (of the text), e0, e1 (of the edited text) of `dealt` (key, row, text), which are partitioned by key or row."""
+    n_chars = F.length("text").cast("long")
+    kept = F.substring(F.col("text"), F.lit(1), (n_chars - F.floor(n_chars / 3)).cast("int"))
+    replaced = F.substring(F.coalesce("head", F.lit("")), F.lit(1), F.floor(n_chars / 3).cast("int"))
+    both = dealt.join(heads, dealt.key == F.col("head_for"), "left")
+    both = both.select("key", "row", n_chars.alias("n_chars"), "text", F.concat(kept, replaced).alias("edited"))
+    both = both.select("key", "row", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.explode(F.array(F.struct(F.lit(False).alias("is_edited"), "text"), F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text")))).alias("one"))
+    both = both.select("key", "row", "n_chars", "edited_sha256", "one.is_edited", "one.text")
+    prints = fingerprints(both, ["key", "row", "n_chars", "edited_sha256", "is_edited"], "text")
+    own = lambda edited, c: F.max(F.when(F.col("is_edited") == edited, F.col(c)))
+    return prints.groupBy("key", "row", "n_chars", "edited_sha256").agg(own(False, "f0").alias("f0"), own(False, "f1").alias("f1"), own(True, "f0").alias("e0"), own(True, "f1").alias("e1"))
+
+
 def compare_with_edits(docs: DataFrame, radius: int = 3, query_every: int = 100) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, n_near of every row of `docs`.
 
@@ -163,20 +177,12 @@ def compare_with_edits(docs: DataFrame, radius: int = 3, query_every: int = 100)
     links = following.select(F.col("doc_id").alias("for_key"), F.col("next_id").alias("next_key")).unionByName(top.select(F.lit(NO_ID).alias("for_key"), "next_key"))
     asked = cut(asking.join(links, "for_key").join(chosen, "next_key"))
 
-    # Text is dealt out once, by a key that is never null, and read for both joins.
-    dealt = whole.repartition("key")
-    found = dealt.join(asked, (dealt.key == asked.next_key) & (dealt.row - asked.next_row == 0))
+    # Text is dealt out once, by its key, and read for both joins.  Rows without a key, which can be very many, are dealt out by their hash; the one head that they all need goes to every task.
+    known = whole.where(F.col("key") != NO_ID).repartition("key")
+    found = known.join(asked, (known.key == asked.next_key) & (known.row - asked.next_row == 0))
     heads = found.select(F.col("for_key").alias("head_for"), F.expr("substring(text, 1, n)").alias("head"))
-    n_chars = F.length("text").cast("long")
-    kept = F.substring(F.col("text"), F.lit(1), (n_chars - F.floor(n_chars / 3)).cast("int"))
-    replaced = F.substring(F.coalesce("head", F.lit("")), F.lit(1), F.floor(n_chars / 3).cast("int"))
-    both = dealt.join(heads, dealt.key == F.col("head_for"), "left")
-    both = both.select("key", "row", n_chars.alias("n_chars"), "text", F.concat(kept, replaced).alias("edited"))
-    both = both.select("key", "row", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), F.explode(F.array(F.struct(F.lit(False).alias("is_edited"), "text"), F.struct(F.lit(True).alias("is_edited"), F.col("edited").alias("text")))).alias("one"))
-    both = both.select("key", "row", "n_chars", "edited_sha256", "one.is_edited", "one.text")
-    prints = fingerprints(both, ["key", "row", "n_chars", "edited_sha256", "is_edited"], "text")
-    own = lambda edited, c: F.max(F.when(F.col("is_edited") == edited, F.col(c)))
-    prints = prints.groupBy("key", "row", "n_chars", "edited_sha256").agg(own(False, "f0").alias("f0"), own(False, "f1").alias("f1"), own(True, "f0").alias("e0"), own(True, "f1").alias("e1"))
+    unknown = whole.where(F.col("key") == NO_ID).repartition("row")
+    prints = _edited_prints(known, heads.where(F.col("head_for") != NO_ID)).unionByName(_edited_prints(unknown, F.broadcast(heads.where(F.col("head_for") == NO_ID))))
     prints = cut(prints)
 
     next_print = prints.select(F.col("key").alias("next_key"), F.col("row").alias("next_row"), F.col("f0").alias("n0"), F.col("f1").alias("n1"))

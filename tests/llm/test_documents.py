@@ -232,6 +232,15 @@ def test_simhash_of_repeated_ids(spark):
     assert sorted((r.doc_id or 0, r.n_chars) for r in df.collect()) == [(0, 5), (5, 5), (5, 5), (7, 0)]
 
 
+def test_simhash_of_rows_without_id(spark):
+    """They are followed by the largest doc_id, each on its own."""
+    rows = [(None, "one two three four five six"), (None, "a b c"), (None, "a b c"), (None, None), (3, "last words"), (9, "xyz words of the largest id")]
+    found = sorted(((r.n_chars, r.edited_sha256) for r in simhash.compare_with_edits(frame(spark, rows)).collect() if r.doc_id is None))
+    edit = lambda t: t[: len(t) - len(t) // 3] + rows[-1][1][: len(t) // 3]
+    assert found == sorted((len(t or ""), brute.sha(edit(t or ""))) for _, t in rows[:4])
+    assert len(simhash.compare_with_edits(frame(spark, rows[:4])).collect()) == 4
+
+
 def test_next_ids_over_gaps(spark):
     ids = [0, 1, 2, 5000, 5_000_000, 5_000_001, 9_000_000_000]
     found = dict(simhash.next_ids(spark.createDataFrame([(i,) for i in ids], "doc_id long")).collect())
@@ -320,9 +329,10 @@ def test_language_id(spark):
 def test_mixing(spark):
     rng = random.Random(5)
     rows = [(k, words(rng, rng.randrange(0, 60)), rng.choice(["a", "a", "a", "a", "b", "c", "é", None])) for k in range(800)] + [(900, None, "a"), (901, "", "empty")]
+    rows += [(None, words(rng, 20 + k % 3), "a") for k in range(30)]
     df = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"))
     found = df.collect()
-    assert {r.doc_id: r["size"] for r in found} == {d: len((t or "").split()) for d, t, _ in rows}
+    assert sorted((r.doc_id or -1, r["size"]) for r in found) == sorted((d or -1, len((t or "").split())) for d, t, _ in rows)
     total = sum(r["size"] for r in found)
     by = {}
     for r in found:
