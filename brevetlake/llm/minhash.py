@@ -226,8 +226,17 @@ def forest(links: np.ndarray, left: list, right: list) -> list[tuple]:
     return [(x, root(x)) for x in label if root(x) != x]
 
 
-def compare_blocks(members: DataFrame, sets: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """`links` (a, b) with more, so that they join all that is near within the lists of `members` (value, id); and their components."""
+def with_more(links: DataFrame, joined: DataFrame, more: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`links` (a, b) and `more`, and the components of all, which are `joined` still if there are no more."""
+    more = cut(more)
+    if more.isEmpty():
+        return links, joined
+    links = cut(links.unionByName(more))
+    return links, components(links)
+
+
+def compare_blocks(members: DataFrame, sets: DataFrame, links: DataFrame, joined: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """`links` (a, b) with more, so that they join all that is near within the lists of `members` (value, id), and their components; `joined` are those of `links`."""
     kind = members.schema["id"].dataType
 
     def compare(table: pa.Table) -> pa.Table:
@@ -242,7 +251,6 @@ def compare_blocks(members: DataFrame, sets: DataFrame, links: DataFrame) -> tup
         t = table.schema.field("id").type
         return pa.table([pa.array([x for x, _ in found], t), pa.array([y for _, y in found], t)], ["a", "b"])
 
-    joined = components(links)
     rest, round_ = members, 0
     while True:
         # All members are in `rest` until they have been pivots.  Those outside a list's largest component must still be pivots.
@@ -261,8 +269,7 @@ def compare_blocks(members: DataFrame, sets: DataFrame, links: DataFrame) -> tup
         as_member = rest.select("value", draw(-1, F.col("chunks")).alias("chunk"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), "id", F.lit(False).alias("pivot"))
         as_pivot = rest.where("chosen").select("value", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("chunk"), F.col("turn").alias("block"), "id", F.lit(True).alias("pivot"))
         rows = as_member.unionByName(as_pivot).join(sets.select(F.col("doc_id").alias("id"), "set"), "id").select("value", "chunk", "block", "id", "pivot", "set")
-        links = cut(links.unionByName(rows.groupBy("value", "chunk", "block").applyInArrow(compare, f"a {kind.simpleString()}, b {kind.simpleString()}")))
-        joined = components(links)
+        links, joined = with_more(links, joined, rows.groupBy("value", "chunk", "block").applyInArrow(compare, f"a {kind.simpleString()}, b {kind.simpleString()}"))
         rest, round_ = rest.where("not chosen"), round_ + 1
 
 
@@ -277,18 +284,19 @@ def link_classes(drawn: DataFrame, docs: DataFrame, links: DataFrame) -> DataFra
     stars = heads.select(F.col("id").alias("a"), F.explode(F.array_distinct(F.array(F.element_at("prefix", 1), F.element_at("prefix", -1)))).alias("value"))
     stars = stars.join(least, "value").where("a <> b").select("a", "b").distinct()
     links = cut(links.unionByName(confirmed(estimated(stars, drawn), sets)))
-    lists = open_lists(listed, components(links))
-    links = cut(links.unionByName(confirmed(estimated(pairs_across(lists), drawn), sets)))
+    joined = components(links)
+    lists = open_lists(listed, joined)
+    links, joined = with_more(links, joined, confirmed(estimated(pairs_across(lists), drawn), sets))
     long_ = cut(lists.where(F.col("size") > SHORT_LIST).select(F.col("id").alias("doc_id")).distinct())
     discard(lists, listed, heads)
     if long_.isEmpty():
         discard(sets)
-        return components(links)
+        return joined
     members = sets.join(long_, "doc_id", "left_semi")
     listed = prefixes(values_of(members), need(F.col("n")) - 1).select(F.explode("prefix").alias("value"), "id").distinct()
-    lists = open_lists(listed, components(links))
-    links = cut(links.unionByName(confirmed(estimated(pairs_across(lists), drawn), sets)))
-    joined = compare_blocks(lists.where(F.col("size") > SHORT_LIST).select("value", "id"), sets, links)[1]
+    lists = open_lists(listed, joined)
+    links, joined = with_more(links, joined, confirmed(estimated(pairs_across(lists), drawn), sets))
+    joined = compare_blocks(lists.where(F.col("size") > SHORT_LIST).select("value", "id"), sets, links, joined)[1]
     discard(sets, lists)
     return joined
 
