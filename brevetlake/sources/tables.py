@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -14,6 +15,10 @@ from pyspark.sql import types as T
 from ..schemas import SOURCES
 
 
+#: Folders of this process's sessions, deleted at its end.
+_folders: set[str] = set()
+
+
 def shared_path(spark: SparkSession) -> str:
     """A new path below spark.checkpoint.dir, which driver and executors share; where that is unset, in local mode only, below a temporary folder."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
@@ -21,7 +26,19 @@ def shared_path(spark: SparkSession) -> str:
         if spark.sparkContext.master.partition("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = os.path.join(tempfile.gettempdir(), "tables")
-    return f"{root}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    own = f"{root}/tables-{spark.sparkContext.applicationId}"
+    if own not in _folders:
+        _folders.add(own)
+        atexit.register(_remove, spark, own)
+    return f"{own}/{uuid.uuid4().hex}"
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session may have ended before
+        pass
 
 
 def written(df: DataFrame) -> DataFrame:
