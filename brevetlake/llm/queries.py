@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, html_main, langid, line_dedup, minhash, mixing, secrets, simhash, suffix_dedup, url_filter
+from . import decontaminate, html_main, langid, line_dedup, minhash, mixing, resample, secrets, simhash, suffix_dedup, trie, url_filter, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +66,18 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs.select("doc_id", "held_out", "text"), profiles).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(*trie.rebuild(trie.turns_of(spark.read.parquet(f"{sf_dir}/conversations.parquet"))))
+
+
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.near_copies(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(spark.read.parquet(f"{sf_dir}/documents.parquet"), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -77,8 +89,15 @@ QUERIES: dict[str, Query] = {
     "op8_secrets": op8_secrets,
     "op9_mixing": op9_mixing,
     "op10_langid": op10_langid,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_embedding_dedup": op12_embedding_dedup,
+    "op13_resample": op13_resample,
 }
 
+#: CRC-32 of a text in SQL: a table of 256 remainders, and a fold over the text's bytes.
+CRC_TABLE = """SELECT list(list_reduce(range(9), lambda a, k: CASE WHEN k = 0 THEN a WHEN a % 2 = 1 THEN xor(a // 2, 3988292384) ELSE a // 2 END, i) ORDER BY i) AS crc FROM range(256) AS r(i)"""
+CRC = """xor(4294967295, list_reduce(list_transform(range(1, octet_length(encode({0})) + 1), lambda i: ('0x' || substr(hex(encode({0})), 2 * i - 1, 2))::BIGINT), lambda a, b: xor(a // 256, crc[xor(a % 256, b) + 1]), 4294967295))"""
+
 ORACLES: dict[str, str] = {
     "op1_line_dedup": r"""
         WITH line AS (
@@ -192,4 +211,80 @@ ORACLES: dict[str, str] = {
                CASE WHEN m.taken > 0 THEN coalesce(d.slot, (m.first_late + m.rank)::BIGINT) END AS first_slot
         FROM mixed m LEFT JOIN drawn d ON d.number = m.number AND d.rank = m.rank
     """,
+    "op11_prefix_trie": rf"""
+        WITH turns AS (
+            SELECT conv_id, md5(length(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS content,
+                   len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS words, turn
+            FROM conversations WHERE conv_id IS NOT NULL),
+        own AS (SELECT conv_id, content, words, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, content) AS at FROM turns),
+        lengths AS (SELECT conv_id, count(*) AS n FROM own GROUP BY conv_id),
+        crc_table AS ({CRC_TABLE}),
+        plan AS (
+            SELECT l.conv_id, l.n, l.conv_id - l.conv_id % 20 AS base, {CRC.format("l.conv_id::VARCHAR")} % 4 AS h, coalesce(b.n, 0) AS n_base
+            FROM lengths l LEFT JOIN lengths b ON b.conv_id = l.conv_id - l.conv_id % 20, crc_table),
+        rebuilt AS (
+            SELECT p.conv_id, o.at AS depth, o.content, o.words FROM plan p JOIN own o ON o.conv_id = p.base AND o.at <= p.h
+            UNION ALL
+            SELECT p.conv_id, o.at - p.h + least(p.h, n_base), o.content, o.words FROM plan p JOIN own o ON o.conv_id = p.conv_id AND o.at > p.h),
+        prefix AS (
+            SELECT conv_id, depth, words, string_agg(content, ',') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM rebuilt
+            UNION ALL SELECT conv_id, 0, 0, '' FROM plan),
+        ends AS (SELECT conv_id, max(depth) AS depth FROM prefix GROUP BY conv_id),
+        node AS (
+            SELECT path, p.depth, min(p.conv_id) AS conv_id, count(*) AS n_convs, max(words) AS words,
+                   coalesce(string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) FILTER (WHERE e.depth = p.depth), '') AS ends
+            FROM prefix p JOIN ends e ON e.conv_id = p.conv_id GROUP BY path, p.depth),
+        child AS (
+            SELECT n.*, p.conv_id AS parent_conv_id FROM node n LEFT JOIN node p
+            ON p.depth = n.depth - 1 AND p.path = CASE WHEN n.depth = 1 THEN '' ELSE left(n.path, length(n.path) - 33) END),
+        children AS (SELECT parent_conv_id AS conv_id, depth - 1 AS depth, count(*) AS n FROM child WHERE depth > 0 GROUP BY ALL),
+        below AS (
+            SELECT a.path, a.depth, sum((n.n_convs - 1) * n.words) AS saved, count(*) FILTER (WHERE c.n IS NULL) AS leaves
+            FROM node n JOIN prefix a ON a.conv_id = n.conv_id AND a.depth <= n.depth
+            LEFT JOIN children c ON c.conv_id = n.conv_id AND c.depth = n.depth
+            GROUP BY a.path, a.depth)
+        SELECT k.conv_id, k.depth::BIGINT AS depth, k.parent_conv_id, k.n_convs, coalesce(c.n, 0) AS n_children, b.leaves AS n_leaves,
+               b.saved::BIGINT AS saved_tokens, sha256(k.ends) AS ends_sha256
+        FROM child k JOIN below b ON b.path = k.path AND b.depth = k.depth LEFT JOIN children c ON c.conv_id = k.conv_id AND c.depth = k.depth
+    """,
+    "op12_embedding_dedup": """
+        WITH RECURSIVE vector AS (
+            SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+            WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        link AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM vector a JOIN vector b ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+            WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+        reached AS (SELECT a AS id, b AS other FROM link UNION SELECT r.id, l.b FROM reached r JOIN link l ON l.a = r.other),
+        component AS (SELECT id, least(id, min(other)) AS component_id FROM reached GROUP BY id),
+        degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+        SELECT e.vec_id, coalesce(d.n, 0) AS n_links, coalesce(c.component_id, e.vec_id) AS component_id, coalesce(c.component_id, e.vec_id) = e.vec_id AS kept
+        FROM embeddings e LEFT JOIN degree d ON d.a = e.vec_id LEFT JOIN component c ON c.id = e.vec_id
+    """,
+    "op13_resample": rf"""
+        WITH lowered AS (
+            SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'b', NULL, text FROM benchmark),
+        listed AS (
+            SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+            FROM lowered),
+        gram AS (
+            SELECT side, id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]),
+                                                list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) AS g
+            FROM listed),
+        grams AS (SELECT side, id, g, count(*) AS n FROM gram GROUP BY ALL),
+        crc_table AS ({CRC_TABLE}),
+        hashed AS (SELECT g, {CRC.format("g")} % 10000 AS bucket FROM (SELECT DISTINCT g FROM grams), crc_table),
+        counted AS (SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 'd'), 0) AS s, coalesce(sum(n) FILTER (WHERE side = 'b'), 0) AS t FROM grams JOIN hashed USING (g) GROUP BY bucket),
+        whole AS (SELECT coalesce(sum(s), 0) AS s_all, coalesce(sum(t), 0) AS t_all FROM counted),
+        gain AS (
+            SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (s_all + 10000)::DOUBLE / ((s + 1)::DOUBLE * (t_all + 10000)::DOUBLE)))::BIGINT AS gain
+            FROM counted, whole),
+        weight AS (SELECT id, sum(n * gain)::BIGINT AS weight, sum(n)::BIGINT AS n FROM grams JOIN hashed USING (g) JOIN gain USING (bucket) WHERE side = 'd' GROUP BY id),
+        scored AS (
+            SELECT id AS doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS fit,
+                   coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || left(sha256('42:' || id::VARCHAR), 8))::BIGINT::DOUBLE + 0.5) / 4294967296.0::DOUBLE)))::BIGINT AS score
+            FROM listed LEFT JOIN weight USING (id) WHERE side = 'd'),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id) AS place, (SELECT floor(5 * count(*) / 100) FROM scored WHERE fit) AS quota FROM scored)
+        SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= quota THEN place END AS rank FROM ranked
+    """,
 }
