@@ -5,7 +5,8 @@ is not a letter.  A document's 1- to 3-grams are ranked by frequency; the langua
 out-of-place distance to that ranking is predicted.  Profiles come from a bounded sample of labelled documents.
 
 Defined cases: a text that is null or has no letters is `und` with score 0; without any profile, too.  Equal distances
-go to the first language by code point.  Labels are read in training only.  Repeated rows are judged alike.
+go to the first language by code point.  Labels are read in training only.  Repeated rows are judged alike, and learned from once;
+rows without a doc_id are told apart by their text.  Very long texts are taken whole, in parts cut at spaces.  Extra columns are passed on.
 """
 
 from __future__ import annotations
@@ -14,10 +15,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import scan
+from . import draws, scan
 from .store import small_batches
 
 #: Ranks of a profile, which is also the distance of an n-gram that a profile lacks.
@@ -116,16 +117,15 @@ def top_ranks(doc: np.ndarray, gram: np.ndarray, count: np.ndarray, n: int) -> t
 def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS, ranks: int = RANKS) -> dict[str, list[int]]:
     """The profile of each label of `docs` (text, lang): its most frequent n-grams in order.
 
-    About `train_docs` documents of each label are used, chosen by the hash of doc_id; sums and ranks are Spark's.
+    About `train_docs` different documents of each label are used, each once, chosen by a hash of doc_id and text; sums and ranks are Spark's.
     """
     labelled = docs.where("lang is not null")
     # One row for each label comes to the driver; text is filtered where it is read.
-    sizes = {r[0]: r[1] for r in labelled.groupBy("lang").agg(F.count(F.lit(1))).collect()}
+    sizes = {r[0]: r[1] for r in labelled.groupBy("lang").agg(draws.number()).collect()}
     if not sizes:
         return {}
     share = F.element_at(F.create_map(*[F.lit(x) for lang in sorted(sizes) for x in (lang, train_docs / sizes[lang])]), F.col("lang"))
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) / float(1 << 30)
-    sample = labelled.where(draw < share).select("lang", "text")
+    sample = labelled.where(draws.draw() < share).withColumn("of", draws.identity()).dropDuplicates(["lang", "of"]).select("lang", "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,12 +138,11 @@ def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS, ranks: int = RANKS) ->
                     found = np.flatnonzero(sums)
                     yield pa.record_batch([pa.array([lang] * len(found), pa.string()), pa.array(found.astype(np.int32)), pa.array(sums[found])], ["lang", "gram", "n"])
 
-    sums = small_batches(sample).mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist()
-    try:
-        # Bounded: `ranks` rows for each label come to the driver.
-        return {lang: [r[0] for r in sums.where(F.col("lang") == lang).orderBy(F.col("n").desc(), "gram").limit(ranks).select("gram").collect()] for lang in sorted(sizes)}
-    finally:
-        sums.unpersist()
+    sums = small_batches(sample).mapInArrow(count, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "gram"))
+    # Bounded: `ranks` rows for each label come to the driver.
+    best = sums.withColumn("rank", rank).where(F.col("rank") <= ranks).orderBy("lang", "rank").collect()
+    return {lang: [r["gram"] for r in best if r["lang"] == lang] for lang in sorted(sizes)}
 
 
 def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

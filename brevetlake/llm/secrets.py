@@ -1,12 +1,13 @@
 """Secret scans: patterns of known kinds, and character Markov models for random strings of any other.
 
 Two first-order models, one of random strings and one of ordinary identifiers, are trained from labelled samples: strings
-generated at random, and identifiers made of a list of words, to which come words that several documents of a bounded sample
+generated at random, and identifiers made of a list of words, to which come words that three different texts of a bounded sample
 share, as no random string does.  What the patterns leave of a token, if it has 12 characters or more, is reported as
 `markov` where its log-likelihood ratio for each character exceeds a threshold.  Shorter strings hold too little to tell.
 
 Defined cases: a null text is the empty text; repeated rows are scanned alike; a match never crosses documents.  Offsets
-count code points, the end is exclusive.
+count code points, the end is exclusive.  An empty table gives no row; very long texts are scanned whole; other columns are not read, whatever
+their names.  Rows without a doc_id are told apart by their text in training.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import scan
+from . import draws, scan
 from .store import small_batches
 
 KINDS = ("assign", "access", "hex", "markov")
@@ -31,6 +32,8 @@ MIN_ASSIGN, MIN_ACCESS, MIN_HEX = 12, 18, 16
 MIN_TOKEN, THRESHOLD = MIN_ASSIGN, 1.0
 #: Distinct words of the corpus that the model of ordinary identifiers is trained on at most, and documents they come from, about (documented bounds on training only).
 TRAIN_WORDS, TRAIN_DOCS = 20_000, 500
+#: Different texts that hold a word which counts as ordinary.
+LEAST_TEXTS = 3
 #: Pairs that the characters' own frequencies count for behind each character.
 PRIOR = 5.0
 #: The labelled sample of ordinary identifiers is made of these words.
@@ -113,11 +116,12 @@ def ordinary_samples(words: list[str], seed: int = 6) -> list[str]:
 
 
 def train(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_words: int = TRAIN_WORDS) -> Models:
-    """Models from the labelled samples, and from words that different texts of a bounded sample of `docs` share."""
-    n = docs.count()
-    draw = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(1 << 30)) / float(1 << 30)
-    sample = docs.where(draw * n < train_docs).select(F.xxhash64("text").alias("of"), F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("word"))
-    shared = sample.where("length(word) between 2 and 30").groupBy("word").agg(F.min("of").alias("low"), F.max("of").alias("high")).where("low <> high")
+    """Models from the labelled samples, and from words that at least `LEAST_TEXTS` different texts of a bounded sample of `docs` share."""
+    # One number comes to the driver.
+    n = docs.agg(draws.number()).first()[0]
+    drawn = docs.where(draws.draw() * n < train_docs).select("text", draws.identity().alias("id")).dropDuplicates(["id"])
+    sample = drawn.select(F.xxhash64("text").alias("of"), F.explode(F.array_distinct(F.split("text", "[^A-Za-z]+"))).alias("word"))
+    shared = sample.where("length(word) between 2 and 30").groupBy("word").agg(F.count_distinct("of").alias("texts")).where(F.col("texts") >= LEAST_TEXTS)
     words = shared.select("word").orderBy(F.xxhash64("word"), "word").limit(train_words)
     return Models(random_samples(), ordinary_samples([r[0] for r in words.collect()]))
 

@@ -411,3 +411,34 @@ def test_all_null(spark, name):
 def test_every_operator_has_a_query():
     assert sorted(queries.QUERIES, key=lambda q: int(q[2:].split("_")[0]))[:1] + [q for q in queries.QUERIES if q.startswith("op10_")] == ["op1_line_dedup", "op10_langid"]
     assert {int(q[2:].split("_")[0]) for q in queries.QUERIES} == set(range(1, 11))
+
+
+@pytest.mark.parametrize("n", [11_000, 100_000])
+def test_language_profiles_of_rows_without_id(spark, n):
+    """However many rows have no doc_id, they are drawn by their text; a third of them are copies of one."""
+    rng = np.random.default_rng(n)
+    word = lambda letters: F.concat_ws(" ", *(F.translate(F.conv(F.substring(F.md5((F.col("id") * 7 + k).cast("string")), 1, 6), 16, 10), "0123456789", letters) for k in range(6)))
+    ids = spark.range(n).withColumn("id", F.when(F.col("id") % 3 == 0, F.lit(int(rng.integers(n)))).otherwise(F.col("id")))
+    docs = ids.select(F.lit("aa").alias("lang"), word("abcdefghij").alias("text")).unionByName(ids.select(F.lit("bb").alias("lang"), word("qrstuvwxyz").alias("text"))).withColumn("doc_id", F.lit(None).cast("long"))
+    profiles = langid.learn(docs)
+    assert {k: len(v) for k, v in profiles.items()} == {"aa": langid.RANKS, "bb": langid.RANKS}
+    assert langid.predict(docs.select("doc_id", "lang", "text"), profiles).where("lang_pred <> lang").count() == 0
+
+
+def test_draws(spark):
+    """About as many different documents as asked for, with and without ids, whatever the copies."""
+    from brevetlake.llm import draws
+
+    ids = spark.range(20_000)
+    for docs in (ids.select(F.col("id").alias("doc_id"), F.lit("same").alias("text")), ids.select(F.lit(None).cast("long").alias("doc_id"), F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("text"))):
+        n = docs.agg(draws.number()).first()[0]
+        assert abs(n - docs.distinct().count()) < 0.1 * n
+        drawn = docs.where(draws.draw() * n < 500).withColumn("of", draws.identity()).dropDuplicates(["of"]).count()
+        assert 400 < drawn < 600
+
+
+def test_words_of_copied_secrets_are_not_ordinary(spark):
+    secret = "qzxkvwjhqzpfmgkd"
+    docs = spark.createDataFrame([(k, f"{secret} and common words {k}") for k in range(2)] + [(k, f"common words of text {k}") for k in range(2, 40)], "doc_id long, text string")
+    found = secrets.find_secrets(docs, secrets.train(docs)).collect()
+    assert {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in found if r.spans} == {k: [("markov", 0, len(secret))] for k in range(2)}
