@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,14 +53,16 @@ def group_filter(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def pick_first(df: DataFrame, keys: Sequence[str], *order: Column) -> DataFrame:
-    """The first row of each group."""
+    """The first row of each group.  Spark limits such a window before its exchange, too: a hot key moves one row for each task."""
     return df.withColumn("__at", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("__at = 1").drop("__at")
 
 
 def keep_best(df: DataFrame, keys: Sequence[str], score: Column, largest: bool = False) -> DataFrame:
-    """All rows at the group's best score: the smallest, or the largest."""
-    best = (F.max if largest else F.min)("__score").over(Window.partitionBy(*keys))
-    return df.withColumn("__score", score).withColumn("__best", best).where("__score = __best").drop("__score", "__best")
+    """All rows at the group's best score: the smallest, or the largest.  The best scores are aggregated before they are joined, so a hot key is combined, and split like any skewed join.  Keys that are null are a group."""
+    scored = df.withColumn("__score", score)
+    best = scored.groupBy(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys))).agg((F.max if largest else F.min)("__score").alias("__best"))
+    same = [F.col(k).eqNullSafe(F.col(f"__k{i}")) for i, k in enumerate(keys)]
+    return scored.join(best, reduce(lambda a, b: a & b, same) & (F.col("__score") == F.col("__best"))).select(*df.columns)
 
 
 def fill_forward(df: DataFrame, value: Column, name: str, partition_by: Sequence[str], *order: Column) -> DataFrame:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text
-from ..operators.gates import cascade, keep_best, propagate_unique_together, single_candidate
+from ..operators.gates import cascade, keep_best, propagate_unique_together, single_candidate, unique_values
+from ..operators.similar import within_distance
 from ..sources.tables import written
 
 # Thresholds of a geocoder's answers.
@@ -25,6 +26,29 @@ def same_house(a: Column, b: Column) -> Column:
     return F.size(F.array_intersect(x, y)) > 0
 
 
+def _with_columns(df: DataFrame, *names: str) -> DataFrame:
+    return df.select(*(F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in names))
+
+
+def _letters(c: str) -> Column:
+    return text.letters_only(text.to_ascii(F.col(c)))
+
+
+def _numbers(house: str) -> Column:
+    """The house numbers that a text stands for."""
+    return F.explode(F.array_distinct(text.house_range(F.col(house))))
+
+
+def candidates_by(rest: DataFrame, keys: Sequence[str], table: DataFrame, on: Sequence[str], value: str = "siren") -> DataFrame:
+    """keys and candidates for `value` from the rows of `table` that agree in `on`.
+
+    The table is first reduced to the smallest and the largest value of each group, which is all that uniqueness asks for, so
+    a name that very many rows share makes two candidates for each of them and no more.
+    """
+    ends = table.where(F.col(value).isNotNull()).groupBy(*on).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
+    return rest.select(*keys, *on).join(ends, list(on)).select(*keys, F.explode(F.array_distinct(F.array("__low", "__high"))).alias(value))
+
+
 def identify(rows: DataFrame, keys: Sequence[str], register: DataFrame, gazette: DataFrame, solved: DataFrame, family: str) -> DataFrame:
     """key, siren, rung: what the first rung finds that knows just one number.
 
@@ -33,41 +57,132 @@ def identify(rows: DataFrame, keys: Sequence[str], register: DataFrame, gazette:
     address, or by name, city and a house number in common; the gazette's entries by name and postcode, and by name; the name alone
     solved before.  Names are compared by their letters.  A column that a table lacks makes the rungs that need it find nothing.
     """
-    def with_columns(df: DataFrame, *names: str) -> DataFrame:
-        return df.select(*(F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in names))
-
-    letters = lambda c: text.letters_only(text.to_ascii(F.col(c)))
-    plain = rows.withColumn("__name", letters("name_corrected"))
     # Transcribed once, and written, as every rung reads them.
-    asked = with_columns(plain, *keys, "publn", "sequence", family, "name_corrected", "__name", "address", "house", "city", "postcode").transform(written)
-    entries = with_columns(register.withColumn("__entry", letters("nom")), "publn", "sequence", family, "__entry", "siren").transform(written)
-    notices = with_columns(gazette.withColumn("__name", letters("nom")), "__name", "postcode", "siren").transform(written)
-
-    def at_publication(rest: DataFrame) -> DataFrame:
-        pairs = rest.select(*keys, "publn", "__name", F.col("sequence").alias("__sequence")).join(entries.drop(family), "publn")
-        return pairs.withColumns({"distance": F.levenshtein("__name", "__entry"), "same_place": F.coalesce(F.col("sequence").cast("string") == F.col("__sequence").cast("string"), F.lit(False))})
-
-    def solved_by(*on: str):
-        return lambda rest: rest.select(*keys, *on).join(with_columns(solved, *on, "siren"), list(on))
-
-    def at_house(rest: DataFrame) -> DataFrame:
-        pairs = rest.select(*keys, "name_corrected", "city", F.col("house").alias("__house")).join(with_columns(solved, "name_corrected", "city", "house", "siren"), ["name_corrected", "city"])
-        return pairs.where(same_house(F.col("house"), F.col("__house")))
-
+    asked = _with_columns(rows.withColumn("__name", _letters("name_corrected")), *keys, "publn", "sequence", family, "name_corrected", "__name", "address", "house", "city", "postcode").transform(written)
+    entries = _with_columns(register.withColumn("__entry", _letters("nom")), "publn", "sequence", family, "__entry", "siren").transform(written)
+    notices = _with_columns(gazette.withColumn("__name", _letters("nom")), "__name", "postcode", "siren").transform(written)
+    # Three rungs read the pairs of a publication.
+    pairs = _at_publication(asked, keys, entries.drop(family)).transform(written)
+    at_publication = lambda rest: pairs.join(rest.select(*keys), list(keys), "left_semi")
+    known = _with_columns(solved, "name_corrected", "address", "house", "city", "siren")
     rungs = [
         ("register", lambda rest: at_publication(rest).where("distance = 0 or same_place")),
         ("register_both", lambda rest: at_publication(rest).where("distance = 0 and same_place")),
         ("register_nearest", lambda rest: keep_best(at_publication(rest), keys, F.col("distance")).where(F.col("distance") <= NEAR_NAME)),
-        ("family", lambda rest: rest.select(*keys, family, "__name").join(entries, family).where(F.col("__name") == F.col("__entry"))),
-        ("address", solved_by("name_corrected", "address")),
-        ("house", at_house),
-        ("gazette_postcode", lambda rest: rest.select(*keys, "__name", "postcode").join(notices, ["__name", "postcode"])),
-        ("gazette", lambda rest: rest.select(*keys, "__name").join(notices.drop("postcode"), "__name")),
-        ("name", solved_by("name_corrected")),
+        ("family", lambda rest: candidates_by(rest, keys, entries.withColumnRenamed("__entry", "__name"), [family, "__name"])),
+        ("address", lambda rest: candidates_by(rest, keys, known, ["name_corrected", "address"])),
+        ("house", lambda rest: _by_house(rest, keys, known)),
+        ("gazette_postcode", lambda rest: candidates_by(rest, keys, notices, ["__name", "postcode"])),
+        ("gazette", lambda rest: candidates_by(rest, keys, notices, ["__name"])),
+        ("name", lambda rest: candidates_by(rest, keys, known, ["name_corrected"])),
     ]
     return cascade(asked, keys, "siren", rungs)
 
 
+def _at_publication(rest: DataFrame, keys: Sequence[str], entries: DataFrame) -> DataFrame:
+    """keys, siren, distance and same_place of all entries of a row's publication, which are as many as it has participants."""
+    pairs = rest.select(*keys, "publn", "__name", F.col("sequence").alias("__sequence")).join(entries, "publn")
+    same = F.coalesce(F.col("sequence").cast("string") == F.col("__sequence").cast("string"), F.lit(False))
+    return pairs.select(*keys, "siren", F.levenshtein("__name", "__entry").alias("distance"), same.alias("same_place"))
+
+
+def _by_house(rest: DataFrame, keys: Sequence[str], known: DataFrame) -> DataFrame:
+    """Candidates by name, city and a house number in common: an equality join on single numbers."""
+    of = lambda df, *c: df.select(*c, "name_corrected", "city", _numbers("house").alias("__number"))
+    return candidates_by(of(rest, *keys), keys, of(known, "siren"), ["name_corrected", "city", "__number"])
+
+
+#: Rungs that match against what is known so far, in the order of their evidence.
+FEEDBACK = ("address", "house", "name")
+# Fixed value: the gazette number of an entry that was not published.
+NOT_PUBLISHED = "N/P"
+
+
+def identify_with_feedback(rows: DataFrame, keys: Sequence[str], registers: Mapping[str, DataFrame], gazette: DataFrame, solved: DataFrame, family: str) -> DataFrame:
+    """key, siren, rung and round: a cascade over registers of several authorities, whose finds help to find others.
+
+    `rows` have `authority`, and each authority's register answers its own rows: one with `siren` by the equal name or the same
+    sequence number at the publication; one without, which has only names, houses, gazette numbers and dates of change, through the
+    gazette's notices of the name and house of the last published entry with that sequence number, then of the family's
+    entries with the equal name.  What is left asks the gazette by name and postcode, by name and city, and by the nearest
+    name within NEAR_NAME slips at the postcode.  All that is round 0.
+
+    Then rows are matched by name and address, by name, city and house, and by name alone against what was solved before
+    and all that has been found so far; finds count from the next rung on.  Rounds of these three rungs go on until one finds nothing.  Only
+    rows that share a value with something found since a rung's last turn are asked again: a group that was ambiguous stays so.
+    Rungs are disjoint by key, and a row whose candidates disagree is left to later rungs.
+    """
+    asked = _with_columns(rows.withColumn("__name", _letters("name_corrected")), *keys, "authority", "publn", "sequence", family, "name_corrected", "__name", "address", "house", "city", "postcode").transform(written)
+    notices = _with_columns(gazette.withColumn("__name", _letters("nom")), "__name", "postcode", "city", "house", "siren").transform(written)
+    at_number = notices.select("__name", _numbers("house").alias("__number"), "siren").transform(written)
+    rungs = []
+    for authority, register in registers.items():
+        rungs += _register_rungs(authority, register, keys, family, at_number)
+    rungs += [
+        ("gazette_postcode", lambda rest: candidates_by(rest, keys, notices, ["__name", "postcode"])),
+        ("gazette_city", lambda rest: candidates_by(rest, keys, notices, ["__name", "city"])),
+        ("gazette_nearest", lambda rest: _nearest_notice(rest, keys, notices)),
+    ]
+    found = cascade(asked, keys, "siren", rungs).withColumn("round", F.lit(0))
+    facts = _with_columns(solved, "name_corrected", "address", "house", "city", "siren").transform(written)
+    as_facts = lambda matched: asked.join(matched, list(keys)).select("name_corrected", "address", "house", "city", "siren")
+    rest = written(asked.join(found, list(keys), "left_anti"))
+    new = written(as_facts(found))
+    facts = written(facts.unionByName(new))
+    match = {"address": lambda df, known: candidates_by(df, keys, known, ["name_corrected", "address"]), "house": lambda df, known: _by_house(df, keys, known), "name": lambda df, known: candidates_by(df, keys, known, ["name_corrected"])}
+    since = dict.fromkeys(FEEDBACK, facts)
+    turn = 0
+    while True:
+        turn, any_found = turn + 1, False
+        for rung in FEEDBACK:
+            # All three need the equal name, so a row can only have got a candidate if its name has.
+            touched = rest.join(since[rung].select("name_corrected").distinct(), "name_corrected", "left_semi")
+            matched = written(unique_values(match[rung](touched, facts), keys, "siren").select(*keys, "siren").withColumns({"rung": F.lit(rung), "round": F.lit(turn)}))
+            new = written(as_facts(matched))
+            since = {r: new if r == rung else df.unionByName(new) for r, df in since.items()}
+            if matched.isEmpty():
+                continue
+            any_found = True
+            found = found.unionByName(matched)
+            facts = written(facts.unionByName(new))
+            rest = written(rest.join(matched, list(keys), "left_anti"))
+        if not any_found:
+            return found
+
+
+def _register_rungs(authority: str, register: DataFrame, keys: Sequence[str], family: str, at_number: DataFrame) -> list[tuple[str, Callable[[DataFrame], DataFrame]]]:
+    own = lambda rest: rest.where(F.col("authority") == authority)
+    entries = register.withColumn("__entry", _letters("nom"))
+    if "siren" in register.columns:
+        entries = _with_columns(entries, "publn", "sequence", "__entry", "siren").transform(written)
+        return [(f"{authority}_register", lambda rest: _at_publication(own(rest), keys, entries).where("distance = 0 or same_place"))]
+    entries = _with_columns(entries, "publn", "sequence", family, "__entry", "house", "gazette", "changed").where(F.col("gazette") != NOT_PUBLISHED).transform(written)
+
+    def at_sequence(rest: DataFrame) -> DataFrame:
+        pairs = own(rest).select(*keys, "publn", "sequence").join(entries.drop(family), ["publn", "sequence"])
+        return by_notice(keep_best(pairs, keys, F.col("changed"), largest=True))
+
+    def by_notice(pairs: DataFrame) -> DataFrame:
+        return candidates_by(pairs.select(*keys, F.col("__entry").alias("__name"), _numbers("house").alias("__number")), keys, at_number, ["__name", "__number"])
+
+    def in_family(rest: DataFrame) -> DataFrame:
+        houses = entries.select(family, F.col("__entry").alias("__name"), _numbers("house").alias("__number")).distinct()
+        # The numbers of an entry's houses first, so that a row meets one or two candidates for each of them.
+        return candidates_by(own(rest), keys, houses.join(at_number, ["__name", "__number"]), [family, "__name"])
+
+    return [(f"{authority}_register", at_sequence), (f"{authority}_family", in_family)]
+
+
+def _nearest_notice(rest: DataFrame, keys: Sequence[str], notices: DataFrame) -> DataFrame:
+    """Candidates by the nearest name at the same postcode, NEAR_NAME slips away at most."""
+    near = within_distance(rest.select(F.col("__name").alias("text")), notices.select(F.col("__name").alias("text")), NEAR_NAME)
+    names = rest.select("__name", "postcode").distinct().join(near.withColumnRenamed("a", "__name"), "__name")
+    at = names.join(notices.select(F.col("__name").alias("b"), "postcode").distinct(), ["b", "postcode"])
+    best = keep_best(at, ["__name", "postcode"], F.col("distance"))
+    found = best.select("__name", "postcode", "b").join(notices.select(F.col("__name").alias("b"), "postcode", "siren"), ["b", "postcode"])
+    return candidates_by(rest, keys, found, ["__name", "postcode"])
+
+
 def geocode(rows: DataFrame, snapshot: DataFrame, keys: Sequence[str], districts: DataFrame, family: str) -> DataFrame:
     """Rows with city, department and region: the best answer of the geocoder if it names one commune, the district's own commune for the three cities that have them, then spread in the family by registry number and by name where unique."""
     answers = rows.select(*keys, "address").join(snapshot.withColumnRenamed("input_address", "address"), "address").where(F.col("score") >= LEAST_SCORE)

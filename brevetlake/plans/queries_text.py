@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, fuzzy, rules, text
-from ..operators import gates
+from ..operators import similar
 from . import families
 from .registry import Tables, query
 
@@ -309,11 +309,10 @@ def valid_dates(t: Tables) -> DataFrame:
     """,
 )
 def levenshtein_best(t: Tables) -> DataFrame:
-    """The nearest category of each name; both sides are the few distinct values, matched within one group of all."""
-    names, kinds = t.part.select("p_name").distinct(), t.part.agg(F.collect_set("p_type").alias("kinds"))
-    pairs = names.withColumn("one", F.lit(1)).join(kinds.withColumn("one", F.lit(1)), "one").select("p_name", F.explode("kinds").alias("p_type"))
-    pairs = pairs.withColumn("distance", fuzzy.distance(F.col("p_name"), F.lower("p_type")))
-    return gates.keep_best(pairs, ["p_name"], F.col("distance"))
+    """The nearest category of each name, however far."""
+    near = similar.nearest(t.part.select(F.col("p_name").alias("text")), t.part.select(F.lower("p_type").alias("text")))
+    kinds = t.part.select(F.lower("p_type").alias("b"), "p_type").distinct()
+    return near.join(kinds, "b").select(F.col("a").alias("p_name"), "p_type", "distance")
 
 
 def ratio_sql(a: str, b: str) -> str:

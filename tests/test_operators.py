@@ -1,10 +1,15 @@
 """Relational operators on the rows where their null rules show."""
 
+import random
+import time
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
 from brevetlake.operators import cluster, gates, nulls, reshape
 from brevetlake.operators import rules as rule_table
+from brevetlake.operators.reach import Members
 
 
 def rows(df):
@@ -98,3 +103,46 @@ def test_organisations_cluster_by_spelling(spark):
     df = spark.createDataFrame([("f", 0, "ACME Industries SA"), ("f", 1, "Acme Industrie S.A."), ("f", 2, "Other Works")], "fam string, row int, name string")
     out = {r.row: r.cluster for r in cluster.cluster_names(df, "fam", "name", "row", persons=False).collect()}
     assert out[0] == out[1] != out[2]
+
+
+def plain_clusters(names, score):
+    """Every name scored against every member of every cluster."""
+    return cluster.clusters(names, score)
+
+
+FIRST = ["jean", "john", "marie", "anne", "j", "m", "a", "pierre", "jean pierre", "andré", "constantinopoulos", "maximiliano"]
+LAST = ["dupont", "dupond", "durand", "martin", "de la tour", "o'neil", "ben ali", "van den berg", "schwarzenbergerstein", "schwarzenbergestein", "lee", "li"]
+
+
+def random_name(rng):
+    name = f"{rng.choice(FIRST)} {rng.choice(LAST)}"
+    if rng.random() < 0.3:
+        name = " ".join(reversed(name.split()))
+    if rng.random() < 0.3:
+        at = rng.randrange(len(name))
+        name = name[:at] + rng.choice(["", "x", name[at] * 2, " "]) + name[at + 1 :]
+    return rng.choice(["", "", "", "Dr ", "1), ", "2), ", "Mme "]) + (name.upper() if rng.random() < 0.1 else name) + rng.choice(["", "", "", ", Paris, FR", "; " + rng.choice(LAST) + "; " + rng.choice(FIRST), ", " + rng.choice(FIRST) + ", " + rng.choice(LAST)])
+
+
+@pytest.mark.parametrize("kind", ["persons", "organisations", "containment"])
+def test_index_finds_all_that_can_join(kind):
+    """With the index the clusters are those of the plain loop, on random families with slips, initials, titles and lists of names."""
+    rng = random.Random(kind)
+    score = {"persons": cluster.person_score, "organisations": cluster.organisation_score, "containment": partial(cluster.person_score, containment=True)}[kind]
+    reach = partial(Members, percent=cluster.JOINS, persons=kind != "organisations", containment=kind == "containment")
+    for _ in range(25):
+        names = [(random_name(rng), k) for k in range(rng.randrange(1, 90))]
+        names += [(n, k) for k, n in enumerate(["", " ", "x", "1),", "dr ", names[0][0]], 1000)]
+        assert cluster.clusters(names, score, reach) == plain_clusters(names, score)
+
+
+@pytest.mark.parametrize("persons", [True, False])
+def test_a_family_of_ten_thousand_names(persons):
+    rng = random.Random(persons)
+    word = lambda n: "".join(rng.choice("bcdfghjklmnprstvwz") + rng.choice("aeiouy") + rng.choice(["", "", "n", "r"]) for _ in range(n))
+    firsts = [word(2) for _ in range(300)]
+    names = [(f"{rng.choice(firsts)} {word(rng.randrange(2, 5))}", k) for k in range(10_000)]
+    began = time.time()
+    found = cluster.clusters(names, cluster.person_score if persons else cluster.organisation_score, partial(Members, percent=cluster.JOINS, persons=persons))
+    assert len(found) == 10_000
+    assert time.time() - began < 60
