@@ -14,6 +14,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import formulas
+from .scripts import transliterated
+
 #: The ASCII punctuation.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -260,9 +263,13 @@ def repaired_encoding(texts: pd.Series) -> pd.Series:
 _ASCII = str.maketrans({"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "ð": "d", "þ": "th", "ı": "i", "’": "'", "–": "-", "—": "-"})
 
 
+def to_ascii(c: Column) -> Column:
+    """Lower case in ASCII: letters of other scripts by their sounds, others as far as they decompose; what is left, as Chinese characters, goes."""
+    return _decomposed(transliterated(c))
+
+
 @F.pandas_udf(T.StringType())
-def to_ascii(texts: pd.Series) -> pd.Series:
-    """Lower case in ASCII as far as letters decompose; other characters go."""
+def _decomposed(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: unicodedata.normalize("NFKD", t.translate(_ASCII)).encode("ascii", "ignore").decode().lower(), na_action="ignore")
 
 
@@ -291,19 +298,10 @@ class _Flat(HTMLParser):
         self.out.append(data)
 
 
-#: Names of Greek letters in formulas, by Unicode's own names.
-_GREEK = {"\\" + n: unicodedata.lookup(f"GREEK SMALL LETTER {'LAMDA' if n == 'lambda' else n.upper()}") for n in "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi pi rho sigma tau upsilon phi chi psi omega".split()}
-_GREEK |= {"\\" + n: unicodedata.lookup(f"GREEK CAPITAL LETTER {'LAMDA' if n == 'Lambda' else n.upper()}") for n in "Gamma Delta Theta Lambda Xi Pi Sigma Upsilon Phi Psi Omega".split()}
-_GREEK |= {r"\times": "×", r"\gg": "≫", r"\ll": "≪", r"\pm": "±", r"\leq": "≤", r"\geq": "≥", r"\cdot": "·", r"\to": "→"}
-
-
-def _signs(t: str) -> str:
-    return re.sub(r"[{}]", "", re.sub(r"\\[A-Za-z]+", lambda m: _GREEK.get(m[0], ""), t)) if "\\" in t else t
-
-
 def plain_formula(t: str) -> str:
-    """Formulas without their markup: names of letters and signs become the signs, braces and other commands go."""
-    return _signs(re.sub(r"\$(.*?)\$", lambda m: _signs(m[1]), t))
+    """Formulas without their markup: those between dollar signs, and all commands anywhere."""
+    t = re.sub(r"\$(.*?)\$", lambda m: formulas.plain(m[1]), t)
+    return formulas.plain(t) if "\\" in t else t
 
 
 def scientific_text(t: str) -> str:

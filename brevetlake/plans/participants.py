@@ -73,11 +73,11 @@ def equal_position_families(rows: DataFrame, family: str, application: str, posi
 
 
 def latin_names(rows: DataFrame, family: str, application: str, positions: Sequence[str], name: str, latin: str) -> DataFrame:
-    """Names in other scripts replaced by the one Latin name at the same position of the family, if they share an initial of their transcriptions."""
+    """Names in other scripts replaced by the one Latin name at the same position of the family, if they share an initial of their transcriptions.  A name that has none, as one of Chinese characters, stays."""
     alike = rows.join(equal_position_families(rows, family, application, positions), family, "left_semi")
     donors = alike.where(F.col(latin)).groupBy(family, *positions).agg(F.count_distinct(name).alias("__n"), F.max(name).alias("__name")).where("__n = 1").drop("__n")
     joined = rows.join(donors, [family, *positions], "left")
-    first = lambda c: F.transform(F.split(text.to_ascii(c), " "), lambda w: F.substring(w, 1, 1))
+    first = lambda c: F.filter(F.transform(F.split(text.to_ascii(c), " "), lambda w: F.substring(w, 1, 1)), lambda x: x != "")
     shared = F.size(F.array_intersect(first(F.col(name)), first(F.col("__name")))) > 0
     return joined.withColumn(name, F.when(~F.col(latin) & F.col("__name").isNotNull() & shared, F.col("__name")).otherwise(F.col(name))).drop("__name")
 

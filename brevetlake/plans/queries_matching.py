@@ -1,12 +1,13 @@
-"""Identification that feeds back, names that are nearly equal, and places of free-text addresses."""
+"""Identification that feeds back, names that are nearly equal or in other scripts, places of free-text addresses, spoilt names and formulas."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import rules, scripts, text
 from ..operators import similar
-from . import addresses, identification
+from . import addresses, identification, participants
 from .registry import Tables, query
 
 _NAME_SQL = "regexp_extract(lower(text), '^[^a-z]*([a-z]+ [a-z]+)', 1)"
@@ -145,3 +146,72 @@ def address_text(t: Tables) -> DataFrame:
     asked = t.part.select("p_partkey", written_.alias("address"))
     found = addresses.places_of_texts(asked, known).select("address", "city_code", F.round("score", 9).alias("score"))
     return asked.join(found, "address").select("p_partkey", "city_code", "score")
+
+
+#: Latin letters and Cyrillic ones that sound like them, one by one.
+_LATIN, _CYRILLIC = "abcdefghiklmnoprstuvyz", "абцдефгхиклмнопрстувыз"
+
+
+@query(
+    "q_transliterate",
+    """
+    SELECT c_custkey, replace(replace(lower(c_mktsegment), 'c', 'ts'), 'g', 'gh') || ' ' || lower(c_name) || ' omega' AS name FROM customer
+    """,
+)
+def transliterate(t: Tables) -> DataFrame:
+    """Market segments written in Cyrillic letters (c as ц, g as г), and a Greek word, back in ASCII."""
+    spoilt = F.translate(F.lower("c_mktsegment"), _LATIN, _CYRILLIC)
+    return t.customer.select("c_custkey", scripts.transliterated(F.concat(spoilt, F.lit(" "), F.lower("c_name"), F.lit(" ωμέγα"))).alias("name"))
+
+
+@query(
+    "q_latin_scripts",
+    """
+    WITH r AS (SELECT l_orderkey AS app, l_linenumber AS pos, l_orderkey % 500 AS fam, CASE l_returnflag WHEN 'R' THEN 'Иванов' WHEN 'A' THEN '李 王' ELSE CASE WHEN l_orderkey % 2 = 0 THEN 'Ivanov' ELSE 'Ada  Lovelace' END END AS name, l_returnflag = 'N' AS latin FROM lineitem WHERE l_linenumber <= 3),
+         h AS (SELECT fam, app, max(pos) AS p FROM r GROUP BY fam, app), e AS (SELECT fam FROM h GROUP BY fam HAVING count(DISTINCT p) = 1),
+         d AS (SELECT fam, pos, max(name) AS donor FROM r WHERE latin AND fam IN (SELECT fam FROM e) GROUP BY fam, pos HAVING count(DISTINCT name) = 1)
+    SELECT app, pos, CASE WHEN name = 'Иванов' AND donor = 'Ivanov' THEN donor ELSE name END AS name FROM r LEFT JOIN d USING (fam, pos)
+    """,
+)
+def latin_scripts(t: Tables) -> DataFrame:
+    """Cyrillic names take the Latin one that begins with the same sound; Chinese ones have no letter to share, not even with a name of two spaces."""
+    latin = F.when(F.col("l_orderkey") % 2 == 0, "Ivanov").otherwise("Ada  Lovelace")
+    name = F.when(F.col("l_returnflag") == "R", "Иванов").when(F.col("l_returnflag") == "A", "李 王").otherwise(latin)
+    rows = t.lineitem.where("l_linenumber <= 3").select(F.col("l_orderkey").alias("app"), F.col("l_linenumber").alias("pos"), (F.col("l_orderkey") % 500).alias("fam"), name.alias("name"), (F.col("l_returnflag") == "N").alias("latin"))
+    return participants.latin_names(rows, "fam", "app", ["pos"], "name", "latin").select("app", "pos", "name")
+
+
+def _repairs_sql(column: str) -> str:
+    """All repairs as a chain of functions, one around the other."""
+    quote = lambda x: "'" + x.replace("'", "''") + "'"
+    for r in rules.sign_rules():
+        column = f"regexp_replace({column}, {quote(r.pattern)}, {quote(r.to)}, 'g')" if r.regex else f"replace({column}, {quote(r.pattern)}, {quote(r.to)})"
+    return column
+
+
+_SPOILT = ("{0}", ": {0} ;", "UNIVERSIT\u00c3\u00a9 {0}", "L¿{0} [FR]", "•{0} {{hacek over (o)}} _ “x”", "{0}\x92s ´ = §", "{0} .** 公司 }}")
+
+
+@query(
+    "q_sign_repairs",
+    f"SELECT p_partkey, {_repairs_sql('CASE p_partkey % 7 ' + ' '.join('WHEN ' + str(k) + ' THEN ' + chr(39) + s.format(chr(39) + ' || p_name || ' + chr(39)) + chr(39) for k, s in enumerate(_SPOILT)) + ' END')} AS name FROM part",
+)
+def sign_repairs(t: Tables) -> DataFrame:
+    """Names with spoilt signs; one of seven has none, and skips all repairs."""
+    spoilt = F.lit(None).cast("string")
+    for k, s in enumerate(_SPOILT):
+        before, after = s.split("{0}")
+        plain = lambda x: x.replace("{{", "{").replace("}}", "}")
+        spoilt = F.when(F.col("p_partkey") % 7 == k, F.concat(F.lit(plain(before)), "p_name", F.lit(plain(after)))).otherwise(spoilt)
+    return t.part.select("p_partkey", rules.repair_where_needed(spoilt, rules.sign_rules()).alias("name"))
+
+
+@query(
+    "q_formulas",
+    "SELECT p_partkey, p_size || '/√(' || p_name || ') in ' || p_type || '_' || p_size || ' ≥ ∂ x̂ {' || p_partkey || '}' AS title FROM part",
+)
+def formulas_(t: Tables) -> DataFrame:
+    """Titles with nested formulas."""
+    size, key = F.col("p_size").cast("string"), F.col("p_partkey").cast("string")
+    formula = F.concat(F.lit("$\\frac{"), size, F.lit("}{\\sqrt{\\text{"), F.col("p_name"), F.lit("}}}$ in \\mathbf{"), F.col("p_type"), F.lit("}_{"), size, F.lit("} \\geq{} {\\partial} \\hat{x} \\{"), key, F.lit("\\}"))
+    return t.part.select("p_partkey", text.clean_scientific(formula).alias("title"))

@@ -94,9 +94,12 @@ def test_copy_within_family(spark):
 
 def test_latin_names(spark):
     data = [(1, 10, 1, "Иванов", False), (1, 11, 1, "Ivanov", True), (2, 20, 1, "李 A", False), (2, 21, 1, "Ada", True)]
+    # Neither has an initial that the other's two spaces could share.
+    data += [(3, 30, 1, "李 王", False), (3, 31, 1, "Ada  Lovelace", True), (4, 40, 1, "Петров", False), (4, 41, 1, "Ivanov", True)]
     df = spark.createDataFrame(data, "fam int, app int, pos int, name string, latin boolean")
     out = rows(participants.latin_names(df, "fam", "app", ["pos"], "name", "latin").select("fam", "app", "name"))
-    assert (2, 20, "Ada") in out and (1, 10, "Иванов") in out
+    assert (2, 20, "Ada") in out and (1, 10, "Ivanov") in out
+    assert (3, 30, "李 王") in out and (4, 40, "Петров") in out
 
 
 def test_organisations(spark):

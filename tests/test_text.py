@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from brevetlake.functions import dates, fuzzy, rules, text
+from brevetlake.functions import dates, formulas, fuzzy, rules, scripts, text
 
 
 def column(spark, values, f, kind="string"):
@@ -36,7 +36,9 @@ CASES = [
     (text.clean_doi, ["DOI: 10.1/X", "https://doi.org/10.1/x", "* 10.1/?x"], ["10.1/x", "10.1/x", "10.1/x"]),
     (lambda c: F.array_join(text.house_range(c).cast("array<string>"), ","), ["3-7", "3 bis", "2-5", "x"], ["3,5,7", "3", "2,5", ""]),
     (text.repaired_encoding, ["FranÃ§ois", "plain\x00", "déjà"], ["François", "plain", "déjà"]),
-    (text.to_ascii, ["Straße Œuvre ø", "日本 a"], ["strasse oeuvre o", " a"]),
+    (text.to_ascii, ["Straße Œuvre ø", "日本 a", "Иванов", "Щербаков Юрий", "ΑΘΗΝΑ", "トヨタ さくら", None, ""], ["strasse oeuvre o", " a", "ivanov", "shcherbakov yurii", "athena", "toyota sakura", None, ""]),
+    (scripts.transliterated, ["Abc", "Ёлка é", None], ["Abc", "elka é", None]),
+    (text.clean_scientific, [r"$\frac{\partial u}{\sqrt{a+{b}}}$ in \mathbf{m}^{2}", r"a \frac{1}{2", r"50\% of \unknown{x} {y}", r"\hat{x} and \'e", "a {b} c"], ["∂ u/√(a+b) in m^2", "a 1/2", "50% of x y", "x̂ and é", "a {b} c"]),
     (text.clean_scientific, ["&amp;amp;lt;sub&amp;amp;gt;2&lt;/sub&gt; a%20b+c", "$\\alpha$x<p>y</p>", None, "a–b"], ["<sub>2</sub> a b+c", "α xy", None, "a-b"]),
     (lambda c: rules.repair(c, [rules.Rule("Ã", "É"), rules.Rule("Ã©", "é")]), ["Ã©"], ["É©"]),
     (lambda c: rules.repair(c, rules.LOOKALIKES), ["АBС", "АВС"], ["ABC", "АВС"]),
@@ -86,3 +88,47 @@ def test_token_ratios():
     assert fuzzy.token_set_ratio("", "a") == 0
     assert fuzzy.initials_score("a blanc", "michel blanc") == 0
     assert fuzzy.initials_score("m blanc", "michel blanc") == 100
+
+
+@pytest.mark.parametrize(
+    ("formula", "want"),
+    [
+        (r"\sqrt[3]{x}", "3√(x)"), (r"\frac12", "1/2"), (r"\frac{\frac{a}{b}}{c}", "a/b/c"), (r"{a{b}", "ab"), (r"a}b}", "ab"), (r"\frac{a", "a/"), (r"\frac", "/"), (r"\sqrt[3", "√([3)"), (r"\sqrt", "√()"), ("\\", ""), ("", ""),
+        (r"\begin{array}{cc}x\end{array}", "x"), (r"\left(\alpha\beta\right)", "(αβ)"), (r"a[b]c", "a[b]c"), (r"\{x\} \& y", "{x} & y"), (r"\sum_{i=1}^{n} i", "∑_i=1^n i"), (r"\bar y\vec{v}", "ȳv⃗"), (r"\c{c}\"o", "çö"),
+    ],
+)
+def test_formula(formula, want):
+    assert formulas.plain(formula) == want
+
+
+def test_deep_and_long_formulas():
+    assert formulas.plain("{" * 100_000 + "x" + "}" * 100_000) == "x"
+    assert formulas.plain(r"\frac{1}{" * 5_000 + "x" + "}" * 5_000) == "1/" * 5_000 + "x"
+    assert formulas.plain(r"\alpha " * 200_000) == "α " * 200_000
+    assert formulas.plain("{" * 50_000 + r"\frac" * 1_000) == "/" + "/" * 999
+
+
+def test_letters_of_scripts():
+    table = scripts.letters()
+    assert all(v.isascii() for v in table.values())
+    assert {table[c] for c in "жЖ"} == {"zh"} and table["ь"] == "" and table["я"] == "ya" and table["ё"] == table["е"] == "e"
+    assert (table["Ψ"], table["ή"], table["か"], table["ガ"]) == ("ps", "e", "ka", "ga")
+
+
+def test_sign_repairs(spark):
+    """The fold over a table behind its one scan gives what rule after rule gives, on names with and without spoilt signs."""
+    rng = random.Random(9)
+    parts = [p if not regex else rng.choice(["• ", ".**", ":", " ;", "03;", " [", "[FR]", "(FR)", "§", " }"]) for p, _, regex in rules.SIGN_REPAIRS] + ["Dupont", "LABO ", "é", " "]
+    names = ["".join(rng.choice(parts) for _ in range(rng.randrange(1, 6))) for _ in range(400)] + ["plain name", "", None, "SOCIÉTÉ: X", ": A ;", "a\\nb"]
+    table = rules.sign_rules()
+    plain = column(spark, names, lambda c: rules.repair(c, table))
+    assert column(spark, names, lambda c: rules.repair_where_needed(c, table)) == plain
+    assert plain[-6:] == ["plain name", "", None, "SOCIÉTÉ: X", "A", "ab"]
+
+
+def test_the_plan_does_not_grow_with_the_rules(spark):
+    plan = lambda n: spark.range(1).select(rules.repair_where_needed(F.col("id").cast("string"), [rules.Rule("a", "b")] * n))._jdf.queryExecution().analyzed().toString()
+    size = lambda n: sum(plan(n).count(x) for x in ("replace(", "CASE WHEN", "lambda", "struct"))
+    assert size(1) == size(500)
+    with pytest.raises(ValueError, match="conditional"):
+        rules.repair_where_needed(F.col("id"), rules.LOOKALIKES)
