@@ -119,6 +119,19 @@ def test_main_part_and_broken_pages():
     assert html_main.parse("</div></p>text<") == (False, ["text<"])
 
 
+def test_classes_have_a_vote_only():
+    """No page is emptied by the words of its classes, and an article beside the main part is not the text."""
+    text = "The whole text of the page stands in here, and nothing else does."
+    assert html_main.parse(f'<body><div class="post promo"><p>{text}</div>') == (False, [text])
+    assert html_main.parse(f'<body><h1>Title</h1><div class="social-policy"><p>{text}</div>') == (False, ["Title", text])
+    assert html_main.parse(f'<body><p>{text}</p><div class="social"><p>Share this</div>') == (False, [text])
+    assert html_main.parse(f"<main>{text}</main><article>teaser</article>") == (True, [text])
+    assert html_main.parse(f"<main><p>lead</p><article>{text}</article></main><article>teaser</article>") == (True, [text])
+    assert html_main.parse(f"<article>{text}</article><div hidden>{text}</div>") == (True, [text])
+    assert html_main.parse(f'<div hidden>{text}</div><p aria-hidden="true">{text}</p>') == (False, [])
+    assert html_main.parse(f'<article><p>{text}</p><div class="comments"><p>{text * 9}</div></article>') == (True, [text])
+
+
 def test_suffix_array():
     rng = random.Random(1)
     for n in (0, 1, 2, 50):
