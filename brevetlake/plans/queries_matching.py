@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rules, scripts, text
 from ..operators import similar
-from . import addresses, identification, participants
+from . import addresses, boosting, identification, participants
 from .registry import Tables, query
 
 _NAME_SQL = "regexp_extract(lower(text), '^[^a-z]*([a-z]+ [a-z]+)', 1)"
@@ -215,3 +215,18 @@ def formulas_(t: Tables) -> DataFrame:
     size, key = F.col("p_size").cast("string"), F.col("p_partkey").cast("string")
     formula = F.concat(F.lit("$\\frac{"), size, F.lit("}{\\sqrt{\\text{"), F.col("p_name"), F.lit("}}}$ in \\mathbf{"), F.col("p_type"), F.lit("}_{"), size, F.lit("} \\geq{} {\\partial} \\hat{x} \\{"), key, F.lit("\\}"))
     return t.part.select("p_partkey", text.clean_scientific(formula).alias("title"))
+
+
+@query(
+    "q_classify_categories",
+    """
+    SELECT c_custkey, CASE WHEN (c_nationkey % 2 = 0 AND c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE')) OR c_acctbal < 0 THEN 'pp' ELSE 'pm' END AS type FROM customer
+    """,
+)
+def classify_categories(t: Tables) -> DataFrame:
+    """Customers whose type follows from two categories together, or from a word of the name's end, but not from the name's beginning: learned from half of the rows, predicted for all."""
+    both = (F.col("c_nationkey") % 2 == 0) & F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "FURNITURE")
+    debtor = F.col("c_acctbal") < 0
+    rows = t.customer.select("c_custkey", F.concat("c_name", F.lit(" of the "), F.when(debtor, F.lit("estate")).otherwise(F.lit("firm"))).alias("name"), "c_nationkey", "c_mktsegment", (both | debtor).cast("double").alias("label"))
+    model = boosting.fit(rows.where("c_custkey % 2 = 0").drop("c_custkey"), "label", ["c_nationkey", "c_mktsegment"], "name", rounds=6)
+    return boosting.predict(rows.drop("label"), model).select("c_custkey", "type")

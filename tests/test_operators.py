@@ -1,5 +1,6 @@
 """Relational operators on the rows where their null rules show."""
 
+import json
 import random
 import time
 from functools import partial
@@ -7,7 +8,7 @@ from functools import partial
 import pytest
 from pyspark.sql import functions as F
 
-from brevetlake.operators import cluster, gates, nulls, reshape
+from brevetlake.operators import cluster, gates, nulls, reshape, walk
 from brevetlake.operators import rules as rule_table
 from brevetlake.operators.reach import Members
 
@@ -146,3 +147,36 @@ def test_a_family_of_ten_thousand_names(persons):
     found = cluster.clusters(names, cluster.person_score if persons else cluster.organisation_score, partial(Members, percent=cluster.JOINS, persons=persons))
     assert len(found) == 10_000
     assert time.time() - began < 60
+
+
+def json_leaves(x, path="$", key=None):
+    if isinstance(x, dict) and x:
+        for k, v in x.items():
+            name = k if k.replace("_", "a").isalnum() and k.isascii() else '"' + k.replace("\\", "\\\\").replace('"', '\\"') + '"'
+            yield from json_leaves(v, f"{path}.{name}", k)
+    elif isinstance(x, list) and x:
+        for i, v in enumerate(x):
+            yield from json_leaves(v, f"{path}[{i}]", key)
+    else:
+        kind = {dict: "object", list: "array", str: "string", bool: "boolean", type(None): "null"}.get(type(x), "number")
+        yield path, key, kind, None if kind in ("object", "array", "null") else str(x).lower() if kind == "boolean" else str(x)
+
+
+def test_leaves_of_json(spark):
+    """Documents whose fields differ by row, against a plain walk."""
+    rng = random.Random(4)
+
+    def made(depth):
+        kind = rng.randrange(8 if depth else 5)
+        if kind < 5:
+            return [rng.randrange(-5, 10**6), rng.choice(["", "x", 'q"uote', "é 🙂", "null"]), True, None, 2.5][kind]
+        if kind < 6:
+            return [made(depth - 1) for _ in range(rng.randrange(4))]
+        return {rng.choice(["a", "b", "name", "a b", 'k"', "é"]) + rng.choice(["", str(rng.randrange(3))]): made(depth - 1) for _ in range(rng.randrange(4))}
+
+    docs = [(k, json.dumps(made(5))) for k in range(120)] + [(500, None), (501, "{broken"), (502, "[]"), (503, "{}"), (504, "7"), (505, json.dumps([[[[[["deep"]]]]]]))]
+    found = walk.leaves(spark.createDataFrame(docs, "k int, doc string"), "k", "doc")
+    want = sorted(((k, *leaf) for k, d in docs if d and d[0] != "{" or d and d != "{broken" for leaf in json_leaves(json.loads(d))), key=str)
+    assert rows(found.select("k", "path", "key", "kind", "value")) == want
+    names = [(k, p, v) for k, p, key, kind, v in want if key == "name" and v is not None]
+    assert rows(walk.values_of(found, "k", "name")) == sorted(names, key=str)

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from brevetlake.plans import codes, export, families, identification, licensing, participants, pipeline, publications, scope
+from brevetlake.plans import boosting, codes, export, families, identification, licensing, participants, pipeline, publications, scope
 from brevetlake.schemas import SOURCES
 from brevetlake.sources import tables
 from brevetlake.streaming import events
@@ -254,3 +254,37 @@ def test_stream_equals_batch(spark, tmp_path):
     df.repartition(3).write.parquet(path)
     stream = events.windowed_counts(events.read_events(spark, path, 1))
     assert rows(events.run_to_memory(stream, "counts")) == rows(events.windowed_counts(spark.read.parquet(path)))
+
+
+def test_boosted_trees_beside_the_logistic_model(spark):
+    """Names whose first word says nothing: the class follows from a word anywhere and from office and city together; unseen words have no share.  Held out by row."""
+    rng = random.Random(5)
+    forms, given, places = "gmbh sarl holding institut".split(), "jean marie karl ines".split(), [f"city{k}" for k in range(40)]
+    data = []
+    for k in range(1200):
+        office, city, own = rng.choice("EP FR US WO".split()), rng.choice(places), f"own{rng.randrange(10**6)}"
+        sure = rng.random() < 0.5
+        person = rng.random() < 0.5 if sure else office in ("EP", "FR") and int(city[4:]) < 20
+        middle = [rng.choice(given if person else forms)] if sure else []
+        data.append((f"alpha {' '.join(rng.sample([own, *middle], 1 + len(middle)))} beta", office, city, 1, float(person), k % 3))
+    df = spark.createDataFrame(data, "person_name string, office string, city string, invt_seq_nr int, label double, fold int")
+    training, held = df.where("fold > 0").drop("fold"), df.where("fold = 0").drop("fold")
+    model = boosting.fit(training, "label", ["office", "city"], "person_name")
+    right = lambda out: sum((r.type == "pp") == (r.label == 1) for r in out.collect()) / held.count()
+    boosted = right(boosting.predict(held, model))
+    logistic = participants.classifier(training, "label", ["person_name"])
+    plain = right(participants.classify(held, logistic, spark.createDataFrame([], "person_name string, type string"), ["person_name"]))
+    assert boosted > 0.93 and boosted > plain + 0.05
+    odd = spark.createDataFrame([(None, None, None), ("new words only", "XX", "")], "person_name string, office string, city string")
+    assert boosting.predict(odd, model).count() == 2
+    with pytest.raises(ValueError, match="label"):
+        boosting.fit(training.withColumn("label", F.lit(None).cast("double")), "label", ["office"])
+
+
+def test_no_row_sees_its_own_label(spark):
+    """A category that every row has for itself says nothing: the trees don't learn it by heart."""
+    rng = random.Random(6)
+    df = spark.createDataFrame([(f"id{k}", float(rng.random() < 0.5)) for k in range(600)], "id string, label double")
+    model = boosting.fit(df, "label", ["id"], rounds=5)
+    out = boosting.predict(spark.createDataFrame([(f"new{k}",) for k in range(50)], "id string"), model).collect()
+    assert len({round(r.probability, 6) for r in out}) == 1
