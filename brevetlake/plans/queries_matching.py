@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import rules, scripts, text
-from ..operators import similar
-from . import addresses, boosting, identification, participants
+from ..operators import similar, walk
+from ..sources import fetch, publish, tables
+from . import addresses, boosting, identification, participants, scope
 from .registry import Tables, query
 
 _NAME_SQL = "regexp_extract(lower(text), '^[^a-z]*([a-z]+ [a-z]+)', 1)"
@@ -230,3 +231,86 @@ def classify_categories(t: Tables) -> DataFrame:
     rows = t.customer.select("c_custkey", F.concat("c_name", F.lit(" of the "), F.when(debtor, F.lit("estate")).otherwise(F.lit("firm"))).alias("name"), "c_nationkey", "c_mktsegment", (both | debtor).cast("double").alias("label"))
     model = boosting.fit(rows.where("c_custkey % 2 = 0").drop("c_custkey"), "label", ["c_nationkey", "c_mktsegment"], "name", rounds=6)
     return boosting.predict(rows.drop("label"), model).select("c_custkey", "type")
+
+
+@query(
+    "q_closure_upkeep",
+    """
+    WITH a AS (SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus IN ('F', 'O') AND year(o_orderdate) > 1992),
+         p AS (SELECT s_suppkey FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE n_regionkey = 3),
+         f AS (SELECT DISTINCT o_custkey FROM a WHERE EXISTS (
+                   SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_linenumber = 1 AND l_suppkey IN (SELECT s_suppkey FROM p)))
+    SELECT o_orderkey, o_custkey, o_orderstatus FROM orders WHERE o_custkey IN (SELECT o_custkey FROM f)
+    """,
+)
+def closure_upkeep(t: Tables) -> DataFrame:
+    """The closure of the whole tables, kept up from that of an older edition: in it some orders, lines and suppliers were not there yet, others were in other families or countries."""
+    nations = t.nation.where("n_regionkey = 3").select(F.col("n_nationkey").alias("s_nationkey"))
+    people = lambda suppliers: suppliers.join(nations, "s_nationkey", "left_semi").select(F.col("s_suppkey").alias("l_suppkey"))
+    roles = lambda lines: lines.where("l_linenumber = 1").select(F.col("l_orderkey").alias("o_orderkey"), "l_suppkey")
+    scoped = lambda orders: orders.where(F.col("o_orderstatus").isin("F", "O") & (F.year("o_orderdate") > 1992))
+    orders = t.orders.where("o_orderkey % 19 <> 0").withColumn("o_custkey", F.when(F.col("o_orderkey") % 23 == 0, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")))
+    lines = t.lineitem.where("l_orderkey % 17 <> 0").withColumn("l_suppkey", F.when(F.col("l_orderkey") % 13 == 0, F.col("l_suppkey") + 1).otherwise(F.col("l_suppkey")))
+    suppliers = t.supplier.withColumn("s_nationkey", F.when(F.col("s_suppkey") % 11 == 0, 3).otherwise(F.col("s_nationkey")).cast("int"))
+    names = ("o_orderkey", "l_suppkey", "o_custkey")
+    kept = tables.written(scope.supports(scoped(orders), roles(lines), people(suppliers), *names))
+    narrow = lambda df: df.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    changed = [scope.changed_keys(narrow(orders), narrow(t.orders), "o_orderkey"), scope.changed_keys(roles(lines), roles(t.lineitem), "o_orderkey")]
+    moved = scope.changed_keys(people(suppliers), people(t.supplier), "l_suppkey")
+    new = scope.refreshed(kept, changed, moved, scoped(t.orders), roles(t.lineitem), people(t.supplier), *names)
+    return t.orders.join(new.select("o_custkey").distinct(), "o_custkey", "left_semi").select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+@query(
+    "q_json_walk",
+    """
+    WITH d AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN '{"name": "' || p_name || '", "of": {"brand": "' || p_brand || '", "sizes": [' || p_size || ', ' || (p_size + 1) || ']}}'
+                      WHEN 1 THEN '[{"of": [{"name": "' || p_type || '", "x": null}], "empty": {}}, ' || p_size || ']' ELSE '{"deep": {"er": {"still": [[["' || p_name || '"], []], true]}}}' END AS doc FROM part)
+    SELECT p_partkey, fullkey AS path, CASE type WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' ELSE 'number' END AS kind,
+           CASE WHEN type NOT IN ('NULL', 'OBJECT', 'ARRAY') THEN atom ->> '$' END AS value
+    FROM d, json_tree(d.doc) WHERE type NOT IN ('OBJECT', 'ARRAY') OR value::VARCHAR IN ('{}', '[]')
+    """,
+)
+def json_walk(t: Tables) -> DataFrame:
+    """Documents of three shapes, taken apart to what holds nothing else."""
+    size = F.col("p_size").cast("string")
+    first = F.concat(F.lit('{"name": "'), "p_name", F.lit('", "of": {"brand": "'), "p_brand", F.lit('", "sizes": ['), size, F.lit(", "), (F.col("p_size") + 1).cast("string"), F.lit("]}}"))
+    second = F.concat(F.lit('[{"of": [{"name": "'), "p_type", F.lit('", "x": null}], "empty": {}}, '), size, F.lit("]"))
+    third = F.concat(F.lit('{"deep": {"er": {"still": [[["'), "p_name", F.lit('"], []], true]}}}'))
+    kind = F.col("p_partkey") % 3
+    docs = t.part.select("p_partkey", F.when(kind == 0, first).when(kind == 1, second).otherwise(third).alias("doc"))
+    return walk.leaves(docs, "p_partkey", "doc").select("p_partkey", "path", "kind", "value")
+
+
+@query("q_publish", "SELECT p_partkey, CASE WHEN p_size < 25 THEN p_brand ELSE p_type END AS label, p_size FROM part WHERE p_size >= 10")
+def publish_(t: Tables) -> DataFrame:
+    """A published table: written whole, then its partitions of small sizes anew, then one of them taken out."""
+    path = tables.shared_path(t.spark)
+    publish.publish(t.part.select("p_partkey", F.col("p_type").alias("label"), "p_size"), path, ["p_size"])
+    publish.publish_partitions(t.part.where("p_size < 25").select("p_partkey", F.col("p_brand").alias("label"), "p_size"), path, ["p_size"])
+    publish.publish(publish.published(t.spark, path).where("p_size >= 10"), path, ["p_size"])
+    return publish.published(t.spark, path).select("p_partkey", "label", F.col("p_size").cast("int"))
+
+
+@query(
+    "q_fetch_cache",
+    """
+    SELECT DISTINCT '10.1/' || (p_partkey % 400) AS doi, CASE WHEN p_partkey % 400 % 7 = 0 THEN NULL WHEN p_partkey % 400 < 40 THEN 'known' ELSE 'answer 10.1/' || (p_partkey % 400) END AS answer FROM part
+    WHERE p_partkey % 400 % 11 <> 3 OR (p_partkey % 400 < 40 AND p_partkey % 400 % 7 <> 0)
+    """,
+)
+def fetch_cache(t: Tables) -> DataFrame:
+    """A cache of answers by DOI that had some, completed by a service that does not know each seventh key and fails for others."""
+    number = F.col("p_partkey") % 400
+    doi = F.concat(F.lit("10.1/"), number.cast("string")).alias("doi")
+    path = tables.shared_path(t.spark)
+    known = t.part.where((number < 40) & (number % 7 != 0)).select(doi, F.lit("known").alias("answer")).distinct()
+    publish.publish(known, path)
+
+    def ask(asked):
+        if any(int(k[5:]) % 11 == 3 for k in asked):
+            raise OSError("refused")
+        return {k: f"answer {k}" for k in asked if int(k[5:]) % 7}
+
+    fetch.refresh(t.spark, t.part.select(doi), "doi", path, ask, most_failed=0.5, wait=0, attempts=1)
+    return publish.published(t.spark, path).select("doi", "answer")

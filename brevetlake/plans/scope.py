@@ -30,6 +30,41 @@ def closure(scoped: DataFrame, roles: DataFrame, people: DataFrame, everything:
     return everything.join(applied.select(family).where(F.col(family).isNotNull()).distinct(), family, "left_semi")
 
 
+def supports(scoped: DataFrame, roles: DataFrame, people: DataFrame, application: str, person: str, family: str) -> DataFrame:
+    """application and family of the applications that bring their family into the closure: the state that `refreshed` keeps up."""
+    applied = scoped.join(roles.select(application, person).join(people.select(person), person, "left_semi"), application, "left_semi")
+    return applied.select(application, family).where(F.col(family).isNotNull()).distinct()
+
+
+def changed_keys(before: DataFrame, after: DataFrame, key: str) -> DataFrame:
+    """Keys whose rows are not the same in two editions of a table, with as many copies of each."""
+    columns = before.columns
+    both = before.select(*columns, F.lit(-1).alias("__n")).unionByName(after.select(*columns, F.lit(1).alias("__n")))
+    return both.groupBy(*columns).agg(F.sum("__n").alias("__n")).where("__n <> 0").select(key).where(F.col(key).isNotNull()).distinct()
+
+
+def refreshed(kept: DataFrame, changed: Sequence[DataFrame], changed_people: DataFrame, scoped: DataFrame, roles: DataFrame, people: DataFrame, application: str, person: str, family: str) -> DataFrame:
+    """`supports` of the new edition from those of the old one (`kept`), with only the changed applications looked at again.
+
+    `changed` are keys of applications that came, went or changed, or whose roles did, and `changed_people` those of persons, whose
+    applications are found in the new roles; an application that lost a role is among those whose roles changed.  The new tables
+    are filtered by these keys before anything is joined.
+    """
+    keys = roles.join(changed_people.select(person), person, "left_semi").select(application)
+    for more in changed:
+        keys = keys.unionByName(more.select(application))
+    keys = keys.distinct()
+    again = supports(scoped.join(keys, application, "left_semi"), roles.join(keys, application, "left_semi"), people, application, person, family)
+    return kept.join(keys, application, "left_anti").unionByName(again)
+
+
+def moved_families(kept: DataFrame, new: DataFrame, family: str) -> DataFrame:
+    """family and `change` (in or out) of the families that one edition's closure has and the other's has not: what to add to a table of the closure, and what to delete."""
+    sides = kept.select(family, F.lit(1).alias("__old"), F.lit(0).alias("__new")).unionByName(new.select(family, F.lit(0).alias("__old"), F.lit(1).alias("__new")))
+    seen = sides.groupBy(family).agg(F.max("__old").alias("__old"), F.max("__new").alias("__new"))
+    return seen.where("__old <> __new").select(family, F.when(F.col("__new") == 1, "in").otherwise("out").alias("change"))
+
+
 def patent_scope(application: DataFrame, person: DataFrame, person_appln: DataFrame, countries: Sequence[str] = COUNTRIES, after: int = 2009) -> DataFrame:
     """Applications of the families in which a person of the countries is an applicant, each with its natural key."""
     people = person.where(F.col("person_ctry_code").isin(*countries))

@@ -134,6 +134,7 @@ def write_documents(df: DataFrame, path: str, nulls: bool = True, compression: s
 
 def write_arrays(df: DataFrame, path: str, rows: int = 10_000) -> None:
     """Texts that are one JSON array each, of about `rows` records; null fields stay."""
+    df = written(df)
     n = max(1, -(-df.count() // rows))
     record = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
     parts = df.select(F.pmod(F.xxhash64(*df.columns), F.lit(n)).alias("part"), record.alias("record")).groupBy("part")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brevetlake.plans import boosting, codes, export, families, identification, licensing, participants, pipeline, publications, scope
 from brevetlake.schemas import SOURCES
-from brevetlake.sources import tables
+from brevetlake.sources import fetch, publish, tables
 from brevetlake.streaming import events
 
 
@@ -288,3 +288,99 @@ def test_no_row_sees_its_own_label(spark):
     model = boosting.fit(df, "label", ["id"], rounds=5)
     out = boosting.predict(spark.createDataFrame([(f"new{k}",) for k in range(50)], "id string"), model).collect()
     assert len({round(r.probability, 6) for r in out}) == 1
+
+
+def test_a_closure_is_kept_up_from_changes(spark):
+    """Over editions with random changes of applications, roles and persons: the same supports and families as from the whole tables."""
+    rng = random.Random(8)
+    names = ("app", "person", "family")
+    frames = lambda e: (spark.createDataFrame(sorted(e[0].items()), "app int, family int"), spark.createDataFrame(sorted(e[1]), "app int, person int"), spark.createDataFrame([(p,) for p in sorted(e[2])], "person int"))
+    now = ({a: rng.choice([None, *range(12)]) for a in range(60)}, {(rng.randrange(60), rng.randrange(25)) for _ in range(90)}, set(range(0, 25, 3)))
+    kept = scope.supports(*frames(now), *names)
+    for _ in range(4):
+        old = now
+        apps = {a: f for a, f in old[0].items() if rng.random() > 0.1} | {rng.randrange(70): rng.randrange(12) for _ in range(6)}
+        now = (apps, {r for r in old[1] if rng.random() > 0.1} | {(rng.randrange(70), rng.randrange(25)) for _ in range(8)}, set(rng.sample(range(25), 8)))
+        (a0, r0, p0), (a1, r1, p1) = frames(old), frames(now)
+        new = scope.refreshed(kept, [scope.changed_keys(a0, a1, "app"), scope.changed_keys(r0, r1, "app")], scope.changed_keys(p0, p1, "person"), a1, r1, p1, *names)
+        whole = scope.supports(a1, r1, p1, *names)
+        assert rows(new) == rows(whole)
+        families = lambda df: {r.family for r in df.collect()}
+        moved = {(r.family, r.change) for r in scope.moved_families(kept, new, "family").collect()}
+        assert moved == {(f, "in") for f in families(whole) - families(kept)} | {(f, "out") for f in families(kept) - families(whole)}
+        kept = tables.written(new)
+
+
+def test_readers_see_whole_versions_only(spark, tmp_path):
+    path = f"file://{tmp_path}/table"
+    with pytest.raises(FileNotFoundError):
+        publish.published(spark, path)
+    publish.publish(spark.range(10).withColumn("part", F.col("id") % 2), path, ["part"])
+    before = publish.published(spark, path)
+    failing = spark.range(20).withColumn("part", F.when(F.col("id") == 19, F.raise_error(F.lit("no"))).otherwise(F.col("id") % 2).cast("long"))
+    with pytest.raises(Exception, match="no"):
+        publish.publish(failing, path, ["part"], attempts=2, wait=0)
+    assert publish.published(spark, path).count() == before.count() == 10 and len(publish.versions(spark, path)) == 1
+    # Its own rows, partly, and a partition anew; who has begun with the first version still reads it.
+    publish.publish_partitions(spark.createDataFrame([(100, 1)], "id long, part long"), path, ["part"])
+    assert rows(publish.published(spark, path).select("id", "part")) == sorted([*((i, 0) for i in range(0, 10, 2)), (100, 1)], key=str)
+    assert before.count() == 10
+    publish.publish(publish.published(spark, path).where("id < 4"), path)
+    assert rows(publish.published(spark, path).select("id")) == [(0,), (2,)]
+    assert len(publish.versions(spark, path)) == 2 and not [p for p in (tmp_path / "table").iterdir() if p.name.startswith("draft")]
+
+
+def test_a_failed_write_is_tried_again(spark, tmp_path):
+    path, tries = f"file://{tmp_path}/table", []
+
+    def write(folder):
+        tries.append(folder)
+        if len(tries) < 3:
+            raise OSError("busy")
+        spark.range(3).write.parquet(folder)
+
+    publish._publish(spark, path, write, 3, 0, 2)
+    assert len(tries) == 3 and publish.published(spark, path).count() == 3
+
+
+def test_fetching_what_a_cache_lacks(spark, tmp_path):
+    """Every key ends in the cache or among the failed ones; a bad key does not cost its batch; nothing known is asked for again."""
+    path = f"file://{tmp_path}/cache"
+
+    def ask(asked):
+        if "7" in asked:
+            raise OSError("bad key")
+        return {k: f"answer {k}" for k in asked if k != "5"}
+
+    wanted = spark.createDataFrame([(k,) for k in [*range(120), 3, 3]] + [(None,)], "doi int")
+    failed = fetch.refresh(spark, wanted, "doi", path, ask, wait=0, workers=2)
+    assert [tuple(r) for r in failed.collect()] == [("7", "OSError: bad key")]
+    cache = {r.doi: r.answer for r in publish.published(spark, path).collect()}
+    assert cache == {str(k): None if k == 5 else f"answer {k}" for k in range(120) if k != 7}
+
+    def nothing_known(asked):
+        assert set(asked) <= {"7", "500"}
+        return {"500": "new"}
+
+    fetch.refresh(spark, wanted.union(spark.createDataFrame([(500,)], "doi int")), "doi", path, nothing_known, wait=0)
+    assert publish.published(spark, path).count() == 121
+
+    def down(asked):
+        raise TimeoutError("down")
+
+    with pytest.raises(fetch.TooManyFailures, match="2 of 2"):
+        fetch.refresh(spark, spark.createDataFrame([(900,), (901,), (1,)], "doi int"), "doi", path, down, wait=0)
+    assert publish.published(spark, path).count() == 121
+
+
+def test_answers_are_saved_before_failures_stop_the_job(spark, tmp_path):
+    path = f"file://{tmp_path}/cache"
+
+    def half(asked):
+        if any(int(k) % 2 for k in asked):
+            raise OSError("odd")
+        return dict.fromkeys(asked, "even")
+
+    with pytest.raises(fetch.TooManyFailures, match="10 of 20"):
+        fetch.refresh(spark, spark.range(20).withColumnRenamed("id", "doi"), "doi", path, half, wait=0, attempts=1)
+    assert {r.doi for r in publish.published(spark, path).collect()} == {str(k) for k in range(0, 20, 2)}
