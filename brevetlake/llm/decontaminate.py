@@ -12,7 +12,7 @@ sets of items, so a prompt that thousands of items share is one window for each
 
 Defined cases: a null or empty text has no words and is clean; an item without words matches nothing; repeated
 items count by their id; an item without an id makes hits, but is in no list of items; repeated documents are judged
-alike; an empty benchmark leaves all documents clean.
+alike; an empty benchmark leaves all documents clean; very long texts are scanned whole; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

@@ -14,7 +14,8 @@ rows is spread over its buckets and blocks.  Only what has one row for each sour
 Only DataFrame functions run here; there is no Python on the executors.
 
 Defined cases: a null text has size 0 and takes nothing; a null source is a source of its own, the last.  Rows
-that repeat a doc_id are documents of their own.  A table without words takes nothing anywhere.
+that repeat a doc_id are documents of their own.  A table without words takes nothing anywhere.  Very long texts count whole, and are
+taken in pieces of several blocks; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations

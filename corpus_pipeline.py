@@ -1,4 +1,9 @@
-"""From raw documents to a training mix: five stages, each on all that the one before has kept."""
+"""From raw documents to a training mix: five stages, each on all that the one before has kept.
+
+Defined cases: documents without a text or without letters go in the first stage.  Rows without a doc_id, and rows that repeat one, are documents
+of their own in the stages on languages, lines, leaks and mixing; among near copies they are taken by their id, so of two
+rows with one id both stay or both go, and rows without one stay.  Other columns than those of documents are not read, whatever their names.
+"""
 
 from __future__ import annotations
 
