@@ -221,16 +221,17 @@ def formulas_(t: Tables) -> DataFrame:
 @query(
     "q_classify_categories",
     """
-    SELECT c_custkey, CASE WHEN (c_nationkey % 2 = 0 AND c_mktsegment IN ('BUILDING', 'MACHINERY', 'FURNITURE')) OR c_acctbal < 0 THEN 'pp' ELSE 'pm' END AS type FROM customer
+    SELECT o_orderkey, CASE WHEN (o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus <> 'P') OR o_totalprice < 60000 THEN 'pp' ELSE 'pm' END AS type FROM orders
     """,
 )
 def classify_categories(t: Tables) -> DataFrame:
-    """Customers whose type follows from two categories together, or from a word of the name's end, but not from the name's beginning: learned from half of the rows, predicted for all."""
-    both = (F.col("c_nationkey") % 2 == 0) & F.col("c_mktsegment").isin("BUILDING", "MACHINERY", "FURNITURE")
-    debtor = F.col("c_acctbal") < 0
-    rows = t.customer.select("c_custkey", F.concat("c_name", F.lit(" of the "), F.when(debtor, F.lit("estate")).otherwise(F.lit("firm"))).alias("name"), "c_nationkey", "c_mktsegment", (both | debtor).cast("double").alias("label"))
-    model = boosting.fit(rows.where("c_custkey % 2 = 0").drop("c_custkey"), "label", ["c_nationkey", "c_mktsegment"], "name", rounds=6)
-    return boosting.predict(rows.drop("label"), model).select("c_custkey", "type")
+    """Orders whose type follows from two categories together, or from a word of a name's end, but not from its beginning: learned from half of the rows, predicted for all."""
+    both = F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (F.col("o_orderstatus") != "P")
+    small = F.col("o_totalprice") < 60000
+    name = F.concat(F.lit("Order "), F.col("o_orderkey").cast("string"), F.lit(" of the "), F.when(small, F.lit("estate")).otherwise(F.lit("firm")))
+    rows = t.orders.select("o_orderkey", name.alias("name"), "o_orderpriority", "o_orderstatus", (both | small).cast("double").alias("label"))
+    model = boosting.fit(rows.where("o_orderkey % 2 = 0").drop("o_orderkey"), "label", ["o_orderpriority", "o_orderstatus"], "name", rounds=6)
+    return boosting.predict(rows.drop("label"), model).select("o_orderkey", "type")
 
 
 @query(
