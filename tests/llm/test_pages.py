@@ -173,3 +173,28 @@ def test_repeats_are_counted_over_the_whole_host(spark, shard_pages):
 def test_repeated_rows_are_one_page(spark, copies):
     pages = spark.createDataFrame([(1, "http://h.org/", "<p>only these few words stand here</p>")] * copies, "page_id long, url string, html string")
     assert [r.text for r in html_main.extract(pages).collect()] == ["only these few words stand here"] * copies
+
+
+def test_stretch_is_the_best_of_all():
+    rng = random.Random(4)
+    for _ in range(300):
+        scores = [rng.randint(-6, 6) or 1 for _ in range(rng.randrange(9))]
+        worth = lambda i, j, s=scores: sum(s[i:j]) - (j - i - 1)
+        first, last = html_main.stretch(scores)
+        best = max((worth(i, j) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)), default=0)
+        assert (worth(first, last) == best) if best > 0 else (first, last) == (0, 0)
+
+
+@pytest.mark.parametrize("shard_pages", [1000, 8])
+def test_runs_cross_blocks(spark, shard_pages):
+    """Menus of one-word blocks are runs; a sentence that articles share stays inside them; a host without repeats keeps every block."""
+    menu = "".join(f"<div>{w}</div>" for w in ("Home", "News", "About", "Contact", "Help"))
+    shared = "As every reader of ours knows by now"
+    own = lambda k, name: " ".join(f"{name}{k}w{i}" for i in range(12))
+    page = lambda k: f"{menu}<p>{own(k, 'first')}</p><p>{shared}</p><p>{own(k, 'last')}</p><div>Imprint</div><div>Privacy</div><div>Terms</div>"
+    rows = [(k, "http://one.org/", page(k)) for k in range(20)]
+    rows += [(100 + k, f"http://h{k}.org/", f"<h1>Title</h1>{page(k)}") for k in range(2)]
+    found = {r.page_id: r.text for r in html_main.extract(spark.createDataFrame(rows, "page_id long, url string, html string"), shard_pages=shard_pages).collect()}
+    for k in range(20):
+        assert found[k] == f"{own(k, 'first')}\n\n{shared}\n\n{own(k, 'last')}"
+    assert all(found[100 + k].startswith("Title\n\nHome\n\nNews") and found[100 + k].endswith("Terms") for k in range(2))
