@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import schema
-from ..sources import tables
+from ..sources import sheets, tables
 from . import codes
 from .registry import Tables, query
 
@@ -106,3 +106,13 @@ def scheme_files(t: Tables) -> DataFrame:
     item = F.concat(F.lit('<scheme><classification-item level="4" sort-key="A'), F.lpad(number.cast("string"), 2, "0"), F.lit('"><class-title><title-part><text>title</text></title-part><title-part><text scheme="x">'), number.cast("string"), F.lit("</text></title-part></class-title></classification-item></scheme>"))
     t.part.select(item.alias("value")).distinct().repartition(10, "value").write.option("maxRecordsPerFile", 1).text(path)
     return codes.scheme(t.spark.read.text(path, wholetext=True), "value").select("symbol", "level", "text")
+
+
+@query("q_sheets", f"SELECT c_custkey, {_NOTES} AS note, c_acctbal::DOUBLE AS c_acctbal, c_acctbal < 0 AS debt, DATE '1990-01-01' + (c_custkey % 9000)::INT AS since, NULL::VARCHAR AS lacking FROM customer WHERE c_custkey % 7 <> 0")
+def sheet_rows(t: Tables) -> DataFrame:
+    """Workbooks with texts, numbers, dates, booleans and empty cells, of which some columns are read, and one that they lack."""
+    path = tables.shared_path(t.spark)
+    since = F.date_add(F.lit("1990-01-01").cast("date"), (F.col("c_custkey") % 9000).cast("int"))
+    sheets.write_sheets(t.customer.select("c_name", "c_custkey", _notes().alias("note"), F.col("c_acctbal").cast("double"), (F.col("c_acctbal") < 0).alias("debt"), since.alias("since")), path, rows=5_000)
+    read = sheets.read_sheets(t.spark, path, schema("c_custkey:L note:S c_acctbal:F debt:B since:D lacking:S"))
+    return read.where("c_custkey % 7 <> 0")
