@@ -194,8 +194,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
     # The items of each set: of one of its windows.
     shown = windows.groupBy("set").agg(F.min(F.struct(*name)).alias("w")).select("set", "w.*")
     members = held.where("item_id is not null").join(shown, name).select("set", "item_id").distinct()
-    items = spots.select("row", "set").distinct().join(members, "set").groupBy("row").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
-    found = hits.join(items, "row", "left").withColumnRenamed("row", "of_row")
+    # Documents that hold the same sets hold the same items: each combination is taken apart once, however many documents share it.
+    combined = cut(spots.groupBy("row").agg(F.sort_array(F.collect_set("set")).alias("sets")))
+    apart = combined.select("sets").distinct().select("sets", F.explode("sets").alias("set"))
+    items = apart.join(members, "set").groupBy("sets").agg(F.sort_array(F.collect_set("item_id")).alias("items"))
+    found = hits.join(combined.join(items, "sets").select("row", "items"), "row", "left").withColumnRenamed("row", "of_row")
     out = scanned.select("doc_id", "row", "n_words").join(found, scanned.row == found.of_row, "left")
     longest = F.coalesce(F.array_max(F.transform("matches", lambda m: m["words"])), F.lit(0))
     none = F.array().cast("array<string>")
