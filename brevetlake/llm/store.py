@@ -5,10 +5,14 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+#: What `cut` has written within each open `passing`, the innermost last.
+_open: list[list[str]] = []
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -38,6 +42,8 @@ def _remove(spark: SparkSession, folder: str) -> None:
 def cut(df: DataFrame) -> DataFrame:
     """`df` written as a table in the shared folder and read again: its lineage ends there, so a lost executor costs no recomputation of what came before."""
     path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    for written in _open[-1:]:
+        written.append(path)
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._cut_path = path
@@ -50,6 +56,17 @@ def discard(*tables: DataFrame) -> None:
         _delete(df.sparkSession, df._cut_path)
 
 
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end all that `cut` has written inside, for a block that leaves nothing unread: its result is written elsewhere."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            _delete(spark, path)
+
+
 def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
     """`df`, for a Python stage whose rows hold whole texts: from now on the session sends at most `rows` of them in one Arrow batch, on either side of the pipe."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

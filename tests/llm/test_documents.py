@@ -1,13 +1,14 @@
 """Operators on documents against their brute-force versions, on texts made to be awkward."""
 
 import random
+from pathlib import Path
 
 import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brevetlake.llm import components, decontaminate, langid, line_dedup, minhash, mixing, queries, secrets, simhash, suffix_dedup
+from brevetlake.llm import components, decontaminate, langid, line_dedup, minhash, mixing, queries, secrets, simhash, store, suffix_dedup
 
 #: Every extra column has a name that an operator uses inside.
 EXTRA = "lang string, source string, n_chars long, key long, row long, n int, held long, text_hash long, spans string, word string, value long, pivot boolean, span long, bucket long, size long, target double"
@@ -442,3 +443,33 @@ def test_words_of_copied_secrets_are_not_ordinary(spark):
     docs = spark.createDataFrame([(k, f"{secret} and common words {k}") for k in range(2)] + [(k, f"common words of text {k}") for k in range(2, 40)], "doc_id long, text string")
     found = secrets.find_secrets(docs, secrets.train(docs)).collect()
     assert {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in found if r.spans} == {k: [("markov", 0, len(secret))] for k in range(2)}
+
+
+def test_tables_of_a_block_go_at_its_end(spark):
+    """What is cut within a block is deleted when it ends, or fails; tables from outside and results written elsewhere stay."""
+    left = lambda df: Path(df._cut_path.removeprefix("file://")).exists()
+    before = store.cut(spark.range(3))
+    inside = []
+    for fails in (False, True):
+        try:
+            with store.passing(spark):
+                inside += [store.cut(before), store.cut(before)]
+                store.discard(inside[-1])
+                assert left(inside[-2])
+                if fails:
+                    raise KeyError
+        except KeyError:
+            pass
+    assert before.count() == 3 and left(before) and not any(map(left, inside))
+
+
+def test_documents_that_share_many_items(spark):
+    """Combinations of sets are taken apart once: rows of equal and of different combinations get their own items."""
+    items = [(k, f"item{k} " + " ".join(f"w{k}x{i}" for i in range(9))) for k in range(30)]
+    prompt = " ".join(t for _, t in items)
+    rows = [(k, prompt + f" tail{k}") for k in range(60)] + [(100 + k, items[k][1]) for k in range(30)] + [(200, "none of these"), (None, prompt), (None, items[3][1])]
+    leaks = decontaminate.find_leaks(frame(spark, rows), frame(spark, items).withColumnRenamed("doc_id", "item_id"))
+    found = [(r.doc_id, r["items"]) for r in leaks.collect()]
+    every = sorted(str(k) for k in range(30))
+    want = [(k, every) for k in range(60)] + [(100 + k, [str(k)]) for k in range(30)] + [(200, []), (None, every), (None, ["3"])]
+    assert sorted(found, key=str) == sorted(want, key=str)
