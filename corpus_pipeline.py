@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brevetlake.llm import decontaminate, langid, line_dedup, minhash, mixing
-from brevetlake.llm.store import shared_folder
+from brevetlake.llm.store import passing, shared_folder
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -68,10 +68,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages on the documents; each result is written as a table in the shared folder and read again."""
+    """All stages on the documents; each result is written as a table in the shared folder and read again.  What a stage wrote on its way goes when its result stands."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with passing(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
