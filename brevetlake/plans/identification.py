@@ -185,9 +185,12 @@ def _nearest_notice(rest: DataFrame, keys: Sequence[str], notices: DataFrame) ->
 
 def geocode(rows: DataFrame, snapshot: DataFrame, keys: Sequence[str], districts: DataFrame, family: str) -> DataFrame:
     """Rows with city, department and region: the best answer of the geocoder if it names one commune, the district's own commune for the three cities that have them, then spread in the family by registry number and by name where unique."""
-    answers = rows.select(*keys, "address").join(snapshot.withColumnRenamed("input_address", "address"), "address").where(F.col("score") >= LEAST_SCORE)
-    best = keep_best(answers, keys, F.col("score"), largest=True)
-    one = best.groupBy(*keys).agg(F.count_distinct("city_code").alias("__n"), F.max("city_code").alias("city_code"), F.max("city").alias("city"), F.max("post_code").alias("post_code"), F.max("context").alias("context")).where("__n = 1").drop("__n")
+    # An address has its best answers wherever it stands, so they are put together before any row asks for them: one row for each address.
+    answers = snapshot.withColumnRenamed("input_address", "address").where(F.col("score") >= LEAST_SCORE)
+    ends = [F.min("city_code").alias("__low"), *(F.max(c).alias(c) for c in ("city_code", "city", "post_code", "context"))]
+    answers = keep_best(answers, ["address"], F.col("score"), largest=True).groupBy("address").agg(F.max("score").alias("score"), *ends)
+    best = keep_best(rows.select(*keys, "address").join(answers, "address"), keys, F.col("score"), largest=True)
+    one = best.groupBy(*keys).agg(F.min("__low").alias("__low"), *ends[1:]).where("__low = city_code").drop("__low")
     own = districts.select("post_code", F.col("city_code").alias("__code"), F.col("city").alias("__city"))
     one = one.join(own, "post_code", "left").withColumns({"city_code": F.coalesce("__code", "city_code"), "city": F.coalesce("__city", "city")}).drop("__code", "__city")
     parts = F.split("context", r",\s*")
