@@ -27,6 +27,8 @@ def same_house(a: Column, b: Column) -> Column:
 
 
 def _with_columns(df: DataFrame, *names: str) -> DataFrame:
+    """These columns, null where `df` lacks one; sequence numbers as texts, whatever their type."""
+    df = df.withColumn("sequence", F.col("sequence").cast("string")) if "sequence" in df.columns else df
     return df.select(*(F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in names))
 
 
@@ -39,6 +41,12 @@ def _numbers(house: str) -> Column:
     return F.explode(F.array_distinct(text.house_range(F.col(house))))
 
 
+def candidates_of(table: DataFrame, on: Sequence[str], value: str = "siren") -> DataFrame:
+    """on and the smallest and the largest `value` of each group, a row for either."""
+    ends = table.where(F.col(value).isNotNull()).groupBy(*on).agg(F.min(value).alias("__low"), F.max(value).alias("__high"))
+    return ends.select(*on, F.explode(F.array_distinct(F.array("__low", "__high"))).alias(value))
+
+
 def candidates_by(rest: DataFrame, keys: Sequence[str], table: DataFrame, on: Sequence[str], value: str = "siren") -> DataFrame:
     """keys and candidates for `value` from the rows of `table` that agree in `on`.
 
@@ -59,17 +67,14 @@ def identify(rows: DataFrame, keys: Sequence[str], register: DataFrame, gazette:
     """
     # Transcribed once, and written, as every rung reads them.
     asked = _with_columns(rows.withColumn("__name", _letters("name_corrected")), *keys, "publn", "sequence", family, "name_corrected", "__name", "address", "house", "city", "postcode").transform(written)
-    entries = _with_columns(register.withColumn("__entry", _letters("nom")), "publn", "sequence", family, "__entry", "siren").transform(written)
+    entries = _with_columns(register.withColumn("__name", _letters("nom")), "publn", "sequence", family, "__name", "siren").transform(written)
     notices = _with_columns(gazette.withColumn("__name", _letters("nom")), "__name", "postcode", "siren").transform(written)
-    # Three rungs read the pairs of a publication.
-    pairs = _at_publication(asked, keys, entries.drop(family)).transform(written)
-    at_publication = lambda rest: pairs.join(rest.select(*keys), list(keys), "left_semi")
     known = _with_columns(solved, "name_corrected", "address", "house", "city", "siren")
     rungs = [
-        ("register", lambda rest: at_publication(rest).where("distance = 0 or same_place")),
-        ("register_both", lambda rest: at_publication(rest).where("distance = 0 and same_place")),
-        ("register_nearest", lambda rest: keep_best(at_publication(rest), keys, F.col("distance")).where(F.col("distance") <= NEAR_NAME)),
-        ("family", lambda rest: candidates_by(rest, keys, entries.withColumnRenamed("__entry", "__name"), [family, "__name"])),
+        ("register", lambda rest: _at_publication(rest, keys, entries)),
+        ("register_both", lambda rest: candidates_by(rest, keys, entries, ["publn", "__name", "sequence"])),
+        ("register_nearest", lambda rest: _nearest_name(rest, keys, entries, "publn", _near_at_publication(rest, entries))),
+        ("family", lambda rest: candidates_by(rest, keys, entries, [family, "__name"])),
         ("address", lambda rest: candidates_by(rest, keys, known, ["name_corrected", "address"])),
         ("house", lambda rest: _by_house(rest, keys, known)),
         ("gazette_postcode", lambda rest: candidates_by(rest, keys, notices, ["__name", "postcode"])),
@@ -80,10 +85,29 @@ def identify(rows: DataFrame, keys: Sequence[str], register: DataFrame, gazette:
 
 
 def _at_publication(rest: DataFrame, keys: Sequence[str], entries: DataFrame) -> DataFrame:
-    """keys, siren, distance and same_place of all entries of a row's publication, which are as many as it has participants."""
-    pairs = rest.select(*keys, "publn", "__name", F.col("sequence").alias("__sequence")).join(entries, "publn")
-    same = F.coalesce(F.col("sequence").cast("string") == F.col("__sequence").cast("string"), F.lit(False))
-    return pairs.select(*keys, "siren", F.levenshtein("__name", "__entry").alias("distance"), same.alias("same_place"))
+    """Candidates of the entries of a row's publication with the equal name, and of those with the same sequence number."""
+    return candidates_by(rest, keys, entries, ["publn", "__name"]).unionByName(candidates_by(rest, keys, entries, ["publn", "sequence"]))
+
+
+def _nearest_name(rest: DataFrame, keys: Sequence[str], table: DataFrame, place: str, near: DataFrame) -> DataFrame:
+    """Candidates by the nearest name at the same `place`, of the pairs `near` (__name, `place`, b, distance); the nearest counts even where its rows have no number."""
+    known = candidates_of(table.withColumnRenamed("__name", "b"), ["b", place])
+    found = near.join(known, ["b", place], "left").groupBy("__name", place, "distance").agg(F.min("siren").alias("__low"), F.max("siren").alias("__high"))
+    best = keep_best(rest.select(*keys, "__name", place).join(found, ["__name", place]), keys, F.col("distance"))
+    return best.select(*keys, F.explode(F.array("__low", "__high")).alias("siren"))
+
+
+def _near_at_publication(rest: DataFrame, entries: DataFrame) -> DataFrame:
+    """Pairs of the different names of a publication, however many rows and entries have them."""
+    names = rest.select("__name", "publn").distinct().join(entries.select(F.col("__name").alias("b"), "publn").distinct(), "publn")
+    return names.withColumn("distance", F.levenshtein("__name", "b", NEAR_NAME)).where("distance >= 0")
+
+
+def _near_at_postcode(rest: DataFrame, notices: DataFrame) -> DataFrame:
+    """Pairs of names at a postcode, which may have very many different ones."""
+    near = within_distance(rest.select(F.col("__name").alias("text")), notices.select(F.col("__name").alias("text")), NEAR_NAME)
+    names = rest.select("__name", "postcode").distinct().join(near.withColumnRenamed("a", "__name"), "__name")
+    return names.join(notices.select(F.col("__name").alias("b"), "postcode").distinct(), ["b", "postcode"])
 
 
 def _by_house(rest: DataFrame, keys: Sequence[str], known: DataFrame) -> DataFrame:
@@ -114,18 +138,19 @@ def identify_with_feedback(rows: DataFrame, keys: Sequence[str], registers: Mapp
     """
     asked = _with_columns(rows.withColumn("__name", _letters("name_corrected")), *keys, "authority", "publn", "sequence", family, "name_corrected", "__name", "address", "house", "city", "postcode").transform(written)
     notices = _with_columns(gazette.withColumn("__name", _letters("nom")), "__name", "postcode", "city", "house", "siren").transform(written)
-    at_number = notices.select("__name", _numbers("house").alias("__number"), "siren").transform(written)
+    # The ends of a name's and number's range of candidates, which is all that uniqueness asks for.
+    at_number = candidates_of(notices.select("__name", _numbers("house").alias("__number"), "siren"), ["__name", "__number"]).transform(written)
     rungs = []
     for authority, register in registers.items():
         rungs += _register_rungs(authority, register, keys, family, at_number)
     rungs += [
         ("gazette_postcode", lambda rest: candidates_by(rest, keys, notices, ["__name", "postcode"])),
         ("gazette_city", lambda rest: candidates_by(rest, keys, notices, ["__name", "city"])),
-        ("gazette_nearest", lambda rest: _nearest_notice(rest, keys, notices)),
+        ("gazette_nearest", lambda rest: _nearest_name(rest, keys, notices, "postcode", _near_at_postcode(rest, notices))),
     ]
     found = cascade(asked, keys, "siren", rungs).withColumn("round", F.lit(0))
     facts = _with_columns(solved, "name_corrected", "address", "house", "city", "siren").transform(written)
-    as_facts = lambda matched: asked.join(matched, list(keys)).select("name_corrected", "address", "house", "city", "siren")
+    as_facts = lambda matched: asked.join(matched, list(keys)).select("name_corrected", "address", "house", "city", "siren").distinct()
     rest = written(asked.join(found, list(keys), "left_anti"))
     new = written(as_facts(found))
     facts = written(facts.unionByName(new))
@@ -152,35 +177,21 @@ def identify_with_feedback(rows: DataFrame, keys: Sequence[str], registers: Mapp
 
 def _register_rungs(authority: str, register: DataFrame, keys: Sequence[str], family: str, at_number: DataFrame) -> list[tuple[str, Callable[[DataFrame], DataFrame]]]:
     own = lambda rest: rest.where(F.col("authority") == authority)
-    entries = register.withColumn("__entry", _letters("nom"))
+    entries = register.withColumn("__name", _letters("nom"))
     if "siren" in register.columns:
-        entries = _with_columns(entries, "publn", "sequence", "__entry", "siren").transform(written)
-        return [(f"{authority}_register", lambda rest: _at_publication(own(rest), keys, entries).where("distance = 0 or same_place"))]
-    entries = _with_columns(entries, "publn", "sequence", family, "__entry", "house", "gazette", "changed").where(F.col("gazette") != NOT_PUBLISHED).transform(written)
-
-    def at_sequence(rest: DataFrame) -> DataFrame:
-        pairs = own(rest).select(*keys, "publn", "sequence").join(entries.drop(family), ["publn", "sequence"])
-        return by_notice(keep_best(pairs, keys, F.col("changed"), largest=True))
-
-    def by_notice(pairs: DataFrame) -> DataFrame:
-        return candidates_by(pairs.select(*keys, F.col("__entry").alias("__name"), _numbers("house").alias("__number")), keys, at_number, ["__name", "__number"])
-
-    def in_family(rest: DataFrame) -> DataFrame:
-        houses = entries.select(family, F.col("__entry").alias("__name"), _numbers("house").alias("__number")).distinct()
-        # The numbers of an entry's houses first, so that a row meets one or two candidates for each of them.
-        return candidates_by(own(rest), keys, houses.join(at_number, ["__name", "__number"]), [family, "__name"])
-
-    return [(f"{authority}_register", at_sequence), (f"{authority}_family", in_family)]
-
-
-def _nearest_notice(rest: DataFrame, keys: Sequence[str], notices: DataFrame) -> DataFrame:
-    """Candidates by the nearest name at the same postcode, NEAR_NAME slips away at most."""
-    near = within_distance(rest.select(F.col("__name").alias("text")), notices.select(F.col("__name").alias("text")), NEAR_NAME)
-    names = rest.select("__name", "postcode").distinct().join(near.withColumnRenamed("a", "__name"), "__name")
-    at = names.join(notices.select(F.col("__name").alias("b"), "postcode").distinct(), ["b", "postcode"])
-    best = keep_best(at, ["__name", "postcode"], F.col("distance"))
-    found = best.select("__name", "postcode", "b").join(notices.select(F.col("__name").alias("b"), "postcode", "siren"), ["b", "postcode"])
-    return candidates_by(rest, keys, found, ["__name", "postcode"])
+        entries = _with_columns(entries, "publn", "sequence", "__name", "siren").transform(written)
+        return [(f"{authority}_register", lambda rest: _at_publication(own(rest), keys, entries))]
+    entries = _with_columns(entries, "publn", "sequence", family, "__name", "house", "gazette", "changed").where(F.col("gazette") != NOT_PUBLISHED).transform(written)
+
+    def by_notice(on: Sequence[str], found: DataFrame) -> Callable[[DataFrame], DataFrame]:
+        # The numbers of the entries' houses first, so that a row meets two candidates at most.
+        houses = found.select(*on, *(["__name"] if "__name" not in on else []), _numbers("house").alias("__number")).distinct()
+        known = written(candidates_of(houses.join(at_number, ["__name", "__number"]), on))
+        return lambda rest: candidates_by(own(rest), keys, known, on)
+
+    # The last entries at a place are the same for every row that asks there.
+    last = keep_best(entries.where("publn is not null and sequence is not null"), ["publn", "sequence"], F.col("changed"), largest=True)
+    return [(f"{authority}_register", by_notice(["publn", "sequence"], last)), (f"{authority}_family", by_notice([family, "__name"], entries))]
 
 
 def geocode(rows: DataFrame, snapshot: DataFrame, keys: Sequence[str], districts: DataFrame, family: str) -> DataFrame:

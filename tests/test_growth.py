@@ -19,3 +19,17 @@ def test_geocode_of_an_address_with_many_rows_and_answers(spark):
     # Rows of both addresses have two communes at the best score.
     assert {r.key: r.city_code for r in got} == {k: None if k < 2 else "C1" for k in range(1000)}
     assert {r.dep_id for r in got if r.key > 1} == {"D001"} and most < 10_000
+
+
+def test_identification_where_many_rows_share_a_publication(spark):
+    """A thousand rows, entries and notices of one publication, with few names: no rung makes a row for each two of them."""
+    rows = spark.range(1000).select(F.col("id").alias("key"), F.lit("P").alias("publn"), (F.col("id") % 4).alias("sequence"), F.lit(1).alias("fam"), F.when(F.col("id") % 2 == 0, "acme").otherwise("acmeee").alias("name_corrected"), F.lit("Z").alias("postcode"))
+    register = spark.range(1000).select(F.lit("P").alias("publn"), F.lit(9).alias("sequence"), F.lit(2).alias("fam"), F.when(F.col("id") < 5, "acmes").otherwise("bolt").alias("nom"), F.when(F.col("id") < 5, "S1").otherwise("S2").alias("siren"))
+    solved = spark.createDataFrame([], "name_corrected string, address string, house string, city string, siren string")
+    gazette = spark.range(1000).select(F.lit("acmes").alias("nom"), F.lit("Z").alias("postcode"), F.lit("C").alias("city"), F.lit("1").alias("house"), F.lit("S3").alias("siren"))
+    got, most = most_rows(spark, lambda: identification.identify(rows, ["key"], register, gazette, solved, "fam").collect())
+    assert {(r.key, r.siren, r.rung) for r in got} == {(k, "S1", "register_nearest") for k in range(1000)} and most < 20_000
+    houses = spark.range(1000).select(F.lit("P").alias("publn"), (F.col("id") % 4).cast("int").alias("sequence"), F.lit(1).alias("fam"), F.lit("acmes").alias("nom"), F.lit("1").alias("house"), F.lit("G").alias("gazette"), F.lit(1).alias("changed"))
+    asked = rows.withColumn("authority", F.when(F.col("key") < 500, "FR").otherwise("EP"))
+    got, most = most_rows(spark, lambda: identification.identify_with_feedback(asked, ["key"], {"FR": register, "EP": houses}, gazette, solved, "fam").collect())
+    assert {(r.key, r.siren, r.rung) for r in got} == {(k, "S3", "gazette_nearest" if k < 500 else "EP_register") for k in range(1000)} and most < 20_000
