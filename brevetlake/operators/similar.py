@@ -2,61 +2,99 @@
 
 A slip changes at most `q` of a text's q-grams.  So of two texts at most `most` slips apart, each keeps one of any `most * q + 1`
 of its q-grams, and the rarest that both keep is among the `most * q + 1` rarest of either, no more than `most`
-places away.  Texts meet by those grams and by bands of length, and only pairs that meet are measured.  Texts so short that
-they need not keep a gram meet by single letters, and those of `most` letters and fewer are all that near to each other.
+places away.  Texts meet by those grams and by bands of length, and only pairs that meet are measured.  Two texts so short that
+they need not keep a gram are compared in blocks, by length and by which letters they have once or twice, before they are measured.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import written
 
 
-def _grams(texts: DataFrame, most: int, q: int, kind: str) -> DataFrame:
-    """text, n (its letters), kind, gram and at of all padded q-grams of each text, of the letters of short ones, and a mark of very short ones."""
+#: Different texts of a block.
+BLOCK = 2048
+
+
+def _longest_short(most: int, q: int) -> int:
+    """Letters of the longest text whose q-grams `most` slips can all change."""
+    return q * (most - 1) + 1
+
+
+def _grams(texts: DataFrame, q: int) -> DataFrame:
+    """text, n (its letters), gram and at of all padded q-grams of each text."""
     n = F.length("text")
     padded = F.concat(F.lit("\u0001" * (q - 1)), F.col("text"), F.lit("\u0002" * (q - 1)))
-    row = lambda kind, gram, at: F.struct(F.lit(kind).alias("kind"), gram.alias("gram"), at.cast("int").alias("at"))
-    if kind == "gram":
-        found = F.transform(F.sequence(F.lit(1), n + q - 1), lambda i: row("gram", padded.substr(i, F.lit(q)), i))
-        return texts.select("text", n.alias("n"), F.inline(found))
-    letters = F.when(n > 0, F.transform(F.sequence(F.lit(1), n), lambda i: row("letter", F.col("text").substr(i, F.lit(1)), i))).otherwise(F.array().cast("array<struct<kind:string,gram:string,at:int>>"))
-    tiny = F.when(n <= most, F.array(row("tiny", F.lit(""), F.lit(0))))
-    return texts.where(n <= q * (most - 1) + 1).select("text", n.alias("n"), F.inline(F.concat(letters, F.coalesce(tiny, F.array().cast("array<struct<kind:string,gram:string,at:int>>")))))
+    found = F.transform(F.sequence(F.lit(1), n + q - 1), lambda i: F.struct(padded.substr(i, F.lit(q)).alias("gram"), i.cast("int").alias("at")))
+    # Of a gram of no letter there is nothing to see: with q of 1 an empty text has none.
+    return texts.where(n + q > 1).select("text", n.alias("n"), F.inline(found))
 
 
 def _prefixes(left: DataFrame, right: DataFrame, most: int, q: int) -> tuple[DataFrame, DataFrame]:
-    """For both sides: text, n, kind, gram and at by which a text is met."""
-    every = _grams(left, most, q, "gram").withColumn("side", F.lit(0)).unionByName(_grams(right, most, q, "gram").withColumn("side", F.lit(1)))
+    """For both sides: text, n, gram and at by which a text is met."""
+    every = _grams(left, q).withColumn("side", F.lit(0)).unionByName(_grams(right, q).withColumn("side", F.lit(1)))
     every = written(every)
     often = every.groupBy("gram").agg(F.count(F.lit(1)).alias("often"))
     # Both sides in one order: the rarest grams first.
     rank = F.row_number().over(Window.partitionBy("side", "text").orderBy("often", "gram", "at"))
-    kept = written(every.join(often, "gram").withColumn("rank", rank).where(F.col("rank") <= q * most + 1).select("side", "text", "n", "kind", "gram", "at"))
-    of = lambda side, texts: kept.where(F.col("side") == side).drop("side").unionByName(_grams(texts, most, q, "short"))
-    return of(0, left), of(1, right)
+    kept = written(every.join(often, "gram").withColumn("rank", rank).where(F.col("rank") <= q * most + 1).select("side", "text", "n", "gram", "at"))
+    of = lambda side: kept.where(F.col("side") == side).drop("side")
+    return of(0), of(1)
 
 
 def candidates(left: DataFrame, right: DataFrame, most: int, q: int = 3) -> DataFrame:
-    """a and b, texts of either side that meet; a pair may be there more than once."""
+    """a and b, texts of either side that meet by a gram, one of them at least too long to be short; a pair may be there more than once."""
     x, y = _prefixes(left, right, most, q)
     # Lengths differ by `most` at most, so a text meets its own band of lengths and the two beside it.
     width = most + 1
     bands = F.sequence(F.floor((F.greatest(F.col("n") - most, F.lit(0))) / width), F.floor((F.col("n") + most) / width))
-    x = x.select(F.col("text").alias("a"), F.col("n").alias("n_a"), "kind", "gram", F.col("at").alias("at_a"), F.explode(bands).alias("band"))
-    y = y.select(F.col("text").alias("b"), F.col("n").alias("n_b"), "kind", "gram", F.col("at").alias("at_b"), F.floor(F.col("n") / width).alias("band"))
-    met = x.join(y, ["kind", "gram", "band"])
+    short = F.col("n") <= _longest_short(most, q)
+    x = x.select(F.col("text").alias("a"), F.col("n").alias("n_a"), "gram", F.col("at").alias("at_a"), F.explode(F.when(short, F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("short"), F.col("n"))
+    x = x.select("a", "n_a", "gram", "at_a", "short", F.explode(bands).alias("band"))
+    y = y.select(F.col("text").alias("b"), F.col("n").alias("n_b"), "gram", F.col("at").alias("at_b"), short.alias("short"), F.floor(F.col("n") / width).alias("band"))
+    met = x.join(y, ["gram", "short", "band"])
     return met.where((F.abs(F.col("n_a") - F.col("n_b")) <= most) & (F.abs(F.col("at_a") - F.col("at_b")) <= most)).select("a", "b")
 
 
+def _letters(text: str) -> Column:
+    """Bits for letters: one of 32 for a letter's first occurrence, another for its next ones."""
+    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(c), F.lit(32)).cast("int"))
+    seen = lambda bits, c: F.when(bits.bitwiseAND(bit(c)) == 0, bits.bitwiseOR(bit(c))).otherwise(bits.bitwiseOR(F.shiftleft(bit(c), 32)))
+    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0).cast("long"), seen)
+
+
+def _short_pairs(left: DataFrame, right: DataFrame, most: int, q: int) -> DataFrame:
+    """a, b and distance of the texts, each once on either side, that are short and `most` slips apart at most.
+
+    Each two blocks of the sides' texts meet, a length at a time, so tasks have bounded work and memory.  A slip adds and takes one letter at most, so pairs
+    that lack more of each other's letters are not measured.
+    """
+    n = F.length("text")
+    cut = lambda df, name: written(df.where(n <= _longest_short(most, q)).select(F.col("text").alias(name), n.cast("int").alias(f"n_{name}"), _letters("text").alias(f"bits_{name}")))
+    x, y = cut(left, "a"), cut(right, "b")
+    blocks_x, blocks_y = (max(1, -(-df.count() // BLOCK)) for df in (x, y))
+    block = lambda c, blocks: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
+    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    x = x.withColumns({"block_x": block("a", blocks_x), "n": F.explode(F.sequence(F.greatest(F.col("n_a") - most, F.lit(0)), F.col("n_a") + most))}).withColumn("block_y", every(blocks_y))
+    y = y.withColumns({"block_y": block("b", blocks_y), "n": F.col("n_b")}).withColumn("block_x", every(blocks_x))
+    # A number of partitions of its own: little data is much work here, so partitions must not be put together by their size.
+    key = ["block_x", "block_y", "n"]
+    parts = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(2000, 4 * blocks_x * blocks_y))
+    met = x.repartition(parts, *key).hint("merge").join(y.repartition(parts, *key), key)
+    lacks = lambda p, q: F.bit_count(F.col(p).bitwiseAND(F.bitwise_not(F.col(q)))) <= most
+    near = met.where(lacks("bits_a", "bits_b") & lacks("bits_b", "bits_a") & (F.levenshtein("a", "b", most) >= 0))
+    return near.select("a", "b", F.levenshtein("a", "b", most).alias("distance"))
+
+
 def within_distance(left: DataFrame, right: DataFrame, most: int, q: int = 3) -> DataFrame:
     """a, b and distance of the texts of `left` (text) and `right` (text) that are at most `most` slips apart, each pair once.  Null is near nothing."""
     known = lambda df: df.select("text").where("text is not null").distinct()
-    met = candidates(known(left), known(right), most, q)
+    left, right = written(known(left)), written(known(right))
+    met = candidates(left, right, most, q)
     near = met.withColumn("distance", F.levenshtein("a", "b", most))
-    return near.where("distance >= 0").distinct()
+    return near.where("distance >= 0").distinct().unionByName(_short_pairs(left, right, most, q))
 
 
 def nearest(left: DataFrame, right: DataFrame, first: int = 2, most: int | None = None) -> DataFrame:

@@ -1,8 +1,11 @@
 """Steps whose rows must grow with the input, not with the square of a group."""
 
+import random
+
 from pyspark.sql import functions as F
 from work import most_rows
 
+from brevetlake.operators import similar
 from brevetlake.plans import identification
 
 PLACE = identification.PLACE
@@ -33,3 +36,11 @@ def test_identification_where_many_rows_share_a_publication(spark):
     asked = rows.withColumn("authority", F.when(F.col("key") < 500, "FR").otherwise("EP"))
     got, most = most_rows(spark, lambda: identification.identify_with_feedback(asked, ["key"], {"FR": register, "EP": houses}, gazette, solved, "fam").collect())
     assert {(r.key, r.siren, r.rung) for r in got} == {(k, "S3", "gazette_nearest" if k < 500 else "EP_register") for k in range(1000)} and most < 20_000
+
+
+def test_short_names_are_not_all_measured(spark):
+    """Short names with letters in common: no step makes as many rows as half of all pairs."""
+    rng = random.Random(2)
+    left, right = ([("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(8)),) for _ in range(400)] for _ in range(2))
+    near, most = most_rows(spark, lambda: similar.within_distance(spark.createDataFrame(left, "text string"), spark.createDataFrame(right + left[:3], "text string"), 4).collect())
+    assert {(a, a, 0) for (a,) in left[:3]} <= {tuple(r) for r in near} and most < 80_000
