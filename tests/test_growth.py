@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from work import most_rows
 
 from brevetlake.operators import similar
-from brevetlake.plans import identification
+from brevetlake.plans import addresses, identification
 
 PLACE = identification.PLACE
 
@@ -44,3 +44,14 @@ def test_short_names_are_not_all_measured(spark):
     left, right = ([("".join(rng.choice("abcdefghijklmnopqrst") for _ in range(8)),) for _ in range(400)] for _ in range(2))
     near, most = most_rows(spark, lambda: similar.within_distance(spark.createDataFrame(left, "text string"), spark.createDataFrame(right + left[:3], "text string"), 4).collect())
     assert {(a, a, 0) for (a,) in left[:3]} <= {tuple(r) for r in near} and most < 80_000
+
+
+def test_addresses_that_share_places_and_sizes(spark):
+    """Streets and numbers of one town, asked for without the number or with words that nobody knows: no step makes a row for each two addresses."""
+    place = [f"'x' AS {c}" for c in PLACE if c != "city_code"]
+    known = spark.range(900).selectExpr("concat(id % 30, ' rue lieu', translate(id div 30, '0123456789', 'abcdefghij'), ' 75001 ville') AS address", "concat('C', id div 30) AS city_code", *place)
+    asked = known.selectExpr("concat('chez personne', monotonically_increasing_id(), 'a ', address) AS address").unionByName(known.select("address"))
+    found, most = most_rows(spark, lambda: addresses.places_of_texts(asked, known).select("address", "city_code").collect())
+    right = {r.address: r.city_code for r in known.collect()}
+    assert len(found) == 1800 and all(right[r.address.split(" ", 2)[2] if r.address.startswith("chez") else r.address] == r.city_code for r in found)
+    assert most < 100_000
