@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -69,7 +70,9 @@ def organisations(rows: DataFrame, register: DataFrame, family: str = "inpadoc_f
 def equal_position_families(rows: DataFrame, family: str, application: str, positions: Sequence[str]) -> DataFrame:
     """Families whose applications all have the same highest positions: their participants stand in the same order."""
     highest = rows.groupBy(family, application).agg(*(F.max(c).alias(c) for c in positions))
-    return highest.groupBy(family).agg(F.count_distinct(F.struct(*positions)).alias("__n")).where("__n = 1").select(family)
+    # All applications have the same value, or all have none: smallest, largest and number, which need no set of values.
+    same = [(F.count(c) == 0) | (F.count(c) == F.count(F.lit(1))) & (F.min(c) == F.max(c)) for c in positions]
+    return highest.groupBy(family).agg(reduce(lambda a, b: a & b, same).alias("__same")).where("__same").select(family)
 
 
 def latin_names(rows: DataFrame, family: str, application: str, positions: Sequence[str], name: str, latin: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from work import most_rows
 
 from brevetlake.operators import similar
-from brevetlake.plans import addresses, identification
+from brevetlake.plans import addresses, identification, participants
 
 PLACE = identification.PLACE
 
@@ -55,3 +55,12 @@ def test_addresses_that_share_places_and_sizes(spark):
     right = {r.address: r.city_code for r in known.collect()}
     assert len(found) == 1800 and all(right[r.address.split(" ", 2)[2] if r.address.startswith("chez") else r.address] == r.city_code for r in found)
     assert most < 100_000
+
+
+def test_equal_positions_need_no_sets(spark):
+    """Equal highest positions, nulls being a value, without a row for each different one of a family."""
+    rows = spark.range(2000).selectExpr("id % 2 AS family", "id AS application", "IF(id % 2 = 0, id, 1L) AS a", "CAST(NULL AS long) AS b")
+    more = spark.createDataFrame([(2, 1, 5, None), (2, 2, 5, 1), (3, 1, 5, None), (3, 1, 4, 2), (3, 2, 5, 2)], "family long, application long, a long, b long")
+    found = participants.equal_position_families(rows.unionByName(more), "family", "application", ["a", "b"])
+    assert sorted(r.family for r in found.collect()) == [1, 3]
+    assert "distinct" not in found._jdf.queryExecution().optimizedPlan().toString()
