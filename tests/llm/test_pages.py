@@ -198,3 +198,23 @@ def test_runs_cross_blocks(spark, shard_pages):
     for k in range(20):
         assert found[k] == f"{own(k, 'first')}\n\n{shared}\n\n{own(k, 'last')}"
     assert all(found[100 + k].startswith("Title\n\nHome\n\nNews") and found[100 + k].endswith("Terms") for k in range(2))
+
+
+@pytest.mark.parametrize("shard_pages", [1000, 8])
+def test_declared_pages_are_pages_of_the_host(spark, shard_pages):
+    """Runs of pages that declare their article count for one that does not; a declared part that the host repeats whole is no article where other text is, and is one where there is none."""
+    menu, notice = "<div>Home About Contact us today</div>", "<main><p>We use cookies on all our pages</p></main>"
+    own = lambda k: f"own{k} words{k} of{k} the{k} page{k} number{k} stand{k} here{k}"
+    rows = [(k, "http://one.org/", f"{menu}<article><p>{own(k)}</p><p>Printed by our own press</p></article>") for k in range(40)]
+    rows += [(100, "http://one.org/", f"{menu}<div>{own(100)}</div>")]
+    rows += [(200 + k, "http://two.org/", f"{notice}<div>{own(200 + k)}</div>") for k in range(30)]
+    rows += [(300 + k, "http://two.org/", f"{notice}<div>{k}</div>") for k in range(3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r.page_id: r.text for r in html_main.extract(pages, shard_pages=shard_pages).collect()}
+    want = {k: f"{own(k)}\n\nPrinted by our own press" for k in range(40)} | {k: own(k) for k in (100, *range(200, 230))}
+    assert found == want | {300 + k: "We use cookies on all our pages" for k in range(3)}
+
+
+def test_packed_blocks():
+    blocks = [(True, "a\ud800é"), (False, "+b"), (False, "-")]
+    assert html_main.unpacked(html_main.packed(blocks)) == blocks
