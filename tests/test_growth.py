@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from work import most_rows
 
 from brevetlake.operators import similar
-from brevetlake.plans import addresses, identification, participants
+from brevetlake.plans import addresses, boosting, identification, participants
 
 PLACE = identification.PLACE
 
@@ -64,3 +64,22 @@ def test_equal_positions_need_no_sets(spark):
     found = participants.equal_position_families(rows.unionByName(more), "family", "application", ["a", "b"])
     assert sorted(r.family for r in found.collect()) == [1, 3]
     assert "distinct" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_of_all_rows_meet_their_shares_once(spark):
+    """Words that every row has and words of one row: a step makes no row for each fold of a value, and what all tasks are sent are the frequent ones."""
+    rows = spark.range(2000).selectExpr("concat('order ', id, ' of the ', IF(id % 3 = 0, 'estate', 'firm')) AS name", "cast(id % 2 AS string) AS office", "double(id % 3 = 0) AS label")
+    act = lambda: boosting.predict(rows.drop("label"), boosting.fit(rows, "label", ["office"], "name", rounds=1)).collect()
+    got, most = most_rows(spark, act)
+    assert all((r.type == "pp") == ("estate" in r.name) for r in got) and len(got) == 2000
+    assert most < 20_000
+
+
+def test_leaving_out_a_fold(spark):
+    """A value's rows by fold, frequent or not, and what is left of it for a row of each fold."""
+    values = spark.range(3000).selectExpr("id AS __row", "cast(id % 5 AS int) AS __fold", "double(id % 2) AS __label", "'w' AS of", "IF(id % 3 = 0, 'all', cast(id div 6 AS string)) AS value")
+    found = {r.value: r for r in boosting._table(values).collect()}
+    assert (found["all"].n, found["all"].ones, found["all"].fold_n) == (1000, 500.0, [200] * 5) and len(found) == 501
+    for rows in (1, 3000, 10**9):
+        met = boosting._met(values, boosting._table(values), rows).collect()
+        assert sorted(r["__row"] for r in met) == list(range(3000)) and all(r.n == found[r.value].n for r in met)
