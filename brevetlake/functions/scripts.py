@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -45,6 +46,16 @@ def letters() -> dict[str, str]:
     return out
 
 
+def beyond_ascii(members: str) -> str:
+    """A pattern for one of these characters, none of them in ASCII, or with ^ before them for any other outside ASCII: most characters are told by the first range, and long lists are not read for them."""
+    return rf"[\x{{80}}-\x{{10FFFF}}&&[{members}]]"
+
+
+def once(c: Column, step: Callable[[Column], Column]) -> Column:
+    """`step` of a column that it names more than once, worked out once."""
+    return F.get(F.transform(F.array(c), step), 0)
+
+
 def transliterated(c: Column) -> Column:
     """The text with letters of the scripts written in ASCII, lower case; all else stays.
 
@@ -54,5 +65,5 @@ def transliterated(c: Column) -> Column:
     c = F.translate(c, "".join(single), "".join(letters()[k] for k in single))
     several = {k: v for k, v in letters().items() if len(v) > 1}
     table = F.from_json(F.lit(json.dumps(several)), "map<string, string>")
-    by_letter = F.array_join(F.transform(F.split(c, ""), lambda x: F.when(x.rlike(r"^[\x00-\x7F]"), x).otherwise(F.coalesce(F.element_at(table, x), x))), "")
-    return F.when(c.rlike(f"[{''.join(sorted(several))}]"), by_letter).otherwise(c)
+    by_letter = lambda c: F.array_join(F.transform(F.split(c, ""), lambda x: F.when(x.rlike(r"^[\x00-\x7F]"), x).otherwise(F.coalesce(F.element_at(table, x), x))), "")
+    return once(c, lambda x: F.when(x.rlike(beyond_ascii("".join(sorted(several)))), by_letter(x)).otherwise(x))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import html
+import json
 import re
 import unicodedata
 from collections.abc import Sequence
+from functools import lru_cache
 from html.parser import HTMLParser
 from urllib.parse import unquote
 
@@ -14,7 +16,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import formulas
+from . import formulas, scripts
 from .scripts import transliterated
 
 #: The ASCII punctuation.
@@ -263,14 +265,34 @@ def repaired_encoding(texts: pd.Series) -> pd.Series:
 _ASCII = str.maketrans({"ß": "ss", "æ": "ae", "Æ": "AE", "œ": "oe", "Œ": "OE", "ø": "o", "Ø": "O", "đ": "d", "Đ": "D", "ł": "l", "Ł": "L", "ð": "d", "þ": "th", "ı": "i", "’": "'", "–": "-", "—": "-"})
 
 
-def to_ascii(c: Column) -> Column:
-    """Lower case in ASCII: letters of other scripts by their sounds, others as far as they decompose; what is left, as Chinese characters, goes."""
-    return _decomposed(transliterated(c))
+@lru_cache(1)
+def _ascii_letters() -> dict[str, str]:
+    """What each character outside ASCII that decomposes becomes there, in lower case; all others go."""
+    out = {}
+    for x in map(chr, [*range(0x80, 0xD800), *range(0xE000, 0x110000)]):
+        if ord(x) in _ASCII or unicodedata.decomposition(x):
+            found = unicodedata.normalize("NFKD", x.translate(_ASCII)).encode("ascii", "ignore").decode().lower()
+            if found:
+                out[x] = found
+    return out
 
 
-@F.pandas_udf(T.StringType())
-def _decomposed(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: unicodedata.normalize("NFKD", t.translate(_ASCII)).encode("ascii", "ignore").decode().lower(), na_action="ignore")
+def to_ascii(c: Column) -> Column:
+    """Lower case in ASCII: letters of other scripts by their sounds, others as far as they decompose; what is left, as Chinese characters, goes.
+
+    Characters that become one are translated in one step; a text that holds any that become more is cut at these only.
+    """
+    letters = _ascii_letters()
+    single = [k for k, v in letters.items() if len(v) == 1]
+    several = {k: v for k, v in letters.items() if len(v) > 1}
+    sign, cut = r"[^\x00-\x7F]", "\x80"
+    table = F.from_json(F.lit(json.dumps(several)), "map<string, string>")
+    c = F.translate(transliterated(c), "".join(single), "".join(letters[k] for k in single))
+    c = F.regexp_replace(c, rf"{scripts.beyond_ascii('^' + ''.join(several))}+", "")
+    # What is left holds no other sign outside ASCII, so one of them marks where it is cut.
+    parts = lambda x: F.split(F.regexp_replace(x, f"({sign})", f"{cut}$1{cut}"), cut)
+    written = lambda x: F.array_join(F.transform(parts(x), lambda p: F.when(p.rlike(f"^{sign}"), F.element_at(table, p)).otherwise(p)), "")
+    return F.lower(scripts.once(c, lambda x: F.when(x.rlike(sign), written(x)).otherwise(x)))
 
 
 class _Flat(HTMLParser):

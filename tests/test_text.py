@@ -1,6 +1,7 @@
 """Functions on hand-written rows."""
 
 import random
+import unicodedata
 
 import pytest
 from pyspark.sql import functions as F
@@ -132,3 +133,15 @@ def test_the_plan_does_not_grow_with_the_rules(spark):
     assert size(1) == size(500)
     with pytest.raises(ValueError, match="conditional"):
         rules.repair_where_needed(F.col("id"), rules.LOOKALIKES)
+
+
+def test_ascii_of_every_character(spark):
+    """All characters, alone among letters and beside each other, as Python decomposes them; no text goes to a Python worker."""
+    points = [chr(k) for k in range(1, 0x110000) if not 0xD800 <= k < 0xE000]
+    texts = [sep.join(points[k : k + 200]) for sep in ("", "aB") for k in range(0, len(points), 200)]
+    letters = scripts.letters()
+    want = lambda t: unicodedata.normalize("NFKD", "".join(letters.get(x, x) for x in t).translate(text._ASCII)).encode("ascii", "ignore").decode().lower()
+    found = spark.createDataFrame(list(enumerate(texts)), "k int, t string").select("k", text.to_ascii(F.col("t")).alias("t"))
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    found = dict(found.collect())
+    assert [k for k, t in enumerate(texts) if found[k] != want(t)] == []
