@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,18 +66,30 @@ def earliest_known(rows: DataFrame, keys: Sequence[str], columns: Sequence[str],
     return rows.groupBy(*keys).agg(*(first_known(c, *order).alias(c) for c in columns))
 
 
+def _symbols(codes: DataFrame, family: str, symbol: str) -> DataFrame:
+    return codes.where(F.col(symbol).isNotNull()).select(family, F.regexp_replace(F.col(symbol), " ", "").alias("code"))
+
+
+def _levels(symbols: DataFrame, family: str) -> DataFrame:
+    """family, level, code of the symbols (family, code), each once.
+
+    A family's symbols are dealt out before equal ones go, so that no task gathers those of a whole part of a table; shorter prefixes come from the different longer ones.
+    """
+    whole, *rest = zip(LEVELS, (None, 4, 3, 1), strict=True)
+    # By number, so that adaptive plans do not put partitions together: codes repeat so much that few bytes are very many rows.
+    each = symbols.repartition(int(symbols.sparkSession.conf.get("spark.sql.shuffle.partitions")), family).distinct()
+    longest = each.select(family, F.substring("code", 1, rest[0][1]).alias("code")).distinct()
+    prefixes = F.array(*(F.struct(F.lit(level).alias("level"), F.substring("code", 1, n).alias("code")) for level, n in rest))
+    return each.select(family, F.lit(whole[0]).alias("level"), "code").unionByName(longest.select(family, F.inline(prefixes)).distinct())
+
+
 def code_levels(codes: DataFrame, family: str, symbol: str) -> DataFrame:
     """family, level, code: a symbol without spaces, and its prefixes of 4, 3 and 1 characters."""
-    bare = F.regexp_replace(F.col(symbol), " ", "")
-    levels = F.array(*(F.struct(F.lit(level).alias("level"), (bare if n is None else F.substring(bare, 1, n)).alias("code")) for level, n in zip(LEVELS, (None, 4, 3, 1), strict=True)))
-    return codes.where(F.col(symbol).isNotNull()).select(family, F.inline(levels)).distinct()
+    return _levels(_symbols(codes, family, symbol), family)
 
 
 def technologies(applications: DataFrame, application_codes: Sequence[tuple[DataFrame, str]], family_codes: Sequence[tuple[DataFrame, str]], labels: DataFrame, family: str = "docdb_family_id") -> DataFrame:
     """family, level, code, libelle from codes of applications (lifted to their family) and of families, each once."""
-    out = None
     lifted = [(codes.join(applications.select("appln_id", family), "appln_id"), symbol) for codes, symbol in application_codes]
-    for codes, symbol in [*lifted, *family_codes]:
-        one = code_levels(codes, family, symbol)
-        out = one if out is None else out.unionByName(one)
-    return out.distinct().join(labels.select("code", "libelle"), "code", "left").select(family, "level", "code", F.coalesce("libelle", F.lit(UNKNOWN_LABEL)).alias("libelle"))
+    symbols = reduce(DataFrame.unionByName, (_symbols(codes, family, symbol) for codes, symbol in [*lifted, *family_codes]))
+    return _levels(symbols, family).join(labels.select("code", "libelle"), "code", "left").select(family, "level", "code", F.coalesce("libelle", F.lit(UNKNOWN_LABEL)).alias("libelle"))

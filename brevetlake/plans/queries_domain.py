@@ -39,7 +39,7 @@ def family_rollup(t: Tables) -> DataFrame:
 )
 def technologies(t: Tables) -> DataFrame:
     applications = t.orders.select(F.col("o_orderkey").alias("appln_id"), F.col("o_custkey").alias("docdb_family_id"))
-    symbols = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("appln_id"), "p_type").distinct()
+    symbols = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(F.col("l_orderkey").alias("appln_id"), "p_type")
     own = t.customer.select(F.col("c_custkey").alias("docdb_family_id"), "c_mktsegment")
     labels = t.part.select(F.upper(F.substring("p_type", 1, 3)).alias("code"), F.concat(F.lit("label "), F.substring("p_type", 1, 3)).alias("libelle")).distinct()
     return families.technologies(applications, [(symbols, "p_type")], [(own, "c_mktsegment")], labels)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from work import most_rows
 
 from brevetlake.operators import similar
-from brevetlake.plans import addresses, boosting, identification, participants
+from brevetlake.plans import addresses, boosting, families, identification, participants
 
 PLACE = identification.PLACE
 
@@ -83,3 +83,14 @@ def test_leaving_out_a_fold(spark):
     for rows in (1, 3000, 10**9):
         met = boosting._met(values, boosting._table(values), rows).collect()
         assert sorted(r["__row"] for r in met) == list(range(3000)) and all(r.n == found[r.value].n for r in met)
+
+
+def test_equal_symbols_go_before_they_have_levels(spark):
+    """Four thousand applications of ten families with five symbols: no step makes a row for each level of each of them."""
+    applications = spark.range(4000).selectExpr("id AS appln_id", "id % 10 AS docdb_family_id")
+    codes = applications.selectExpr("appln_id", "concat('A61', char(65 + appln_id div 10 % 5), ' 1') AS symbol")
+    own, labels = spark.createDataFrame([(3, "B"), (99, None)], "docdb_family_id long, symbol string"), spark.createDataFrame([("A61", "x")], "code string, libelle string")
+    got, most = most_rows(spark, lambda: families.technologies(applications, [(codes, "symbol")], [(own, "symbol")], labels).collect())
+    one = [("groupe", f"A61{x}1", "non disponible") for x in "ABCDE"] + [("ss_classe", f"A61{x}", "non disponible") for x in "ABCDE"] + [("classe", "A61", "x"), ("section", "A", "non disponible")]
+    want = [(k, *x) for k in range(10) for x in one] + [(3, level, "B", "non disponible") for level in families.LEVELS]
+    assert sorted(tuple(r) for r in got) == sorted(want) and most < 5000
