@@ -3,24 +3,28 @@
 A slip changes at most `q` of a text's q-grams.  So of two texts at most `most` slips apart, each keeps one of any `most * q + 1`
 of its q-grams, and the rarest that both keep is among the `most * q + 1` rarest of either, no more than `most`
 places away.  Texts meet by those grams and by bands of length, and only pairs that meet are measured.  Two texts so short that
-they need not keep a gram are compared in blocks, by length and by which letters they have once or twice, before they are measured.
+they need not keep a gram, or only ones that very many texts have, are compared in blocks (`blocks`), by their letters, before they are measured.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.tables import written
+from . import blocks
 
-
-#: Different texts of a block.
-BLOCK = 2048
+#: Different texts of a block, and their letters on average at most; tasks that compare blocks at most.
+BLOCK, LETTERS, TASKS = 8192, 64, 2000
 
 
 def _longest_short(most: int, q: int) -> int:
-    """Letters of the longest text whose q-grams `most` slips can all change."""
-    return q * (most - 1) + 1
+    """Letters of the longest text that is compared in blocks: twice as many as the q-grams that `most` slips can change, and 32 at least."""
+    return max(2 * q * most, 32) if most else 0
 
 
 def _grams(texts: DataFrame, q: int) -> DataFrame:
@@ -58,43 +62,51 @@ def candidates(left: DataFrame, right: DataFrame, most: int, q: int = 3) -> Data
     return met.where((F.abs(F.col("n_a") - F.col("n_b")) <= most) & (F.abs(F.col("at_a") - F.col("at_b")) <= most)).select("a", "b")
 
 
-def _letters(text: str) -> Column:
-    """Bits for letters: one of 32 for a letter's first occurrence, another for its next ones."""
-    bit = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.ascii(c), F.lit(32)).cast("int"))
-    seen = lambda bits, c: F.when(bits.bitwiseAND(bit(c)) == 0, bits.bitwiseOR(bit(c))).otherwise(bits.bitwiseOR(F.shiftleft(bit(c), 32)))
-    return F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0).cast("long"), seen)
-
+def _short_pairs(left: DataFrame, right: DataFrame, most: int, q: int, best: bool = False) -> DataFrame:
+    """a, b and distance of the texts, each once on either side, that are short and `most` slips apart at most; with `best`, for a text of the left the nearest ones of a block only.
 
-def _short_pairs(left: DataFrame, right: DataFrame, most: int, q: int) -> DataFrame:
-    """a, b and distance of the texts, each once on either side, that are short and `most` slips apart at most.
+    Each block of the left meets each block of the right, a row for both, so tasks have bounded work and memory; no row is made for a pair that is not near.
+    """
 
-    Each two blocks of the sides' texts meet, a length at a time, so tasks have bounded work and memory.  A slip adds and takes one letter at most, so pairs
-    that lack more of each other's letters are not measured.
+    def cut(df: DataFrame, name: str, size: int) -> tuple[DataFrame, int]:
+        short = written(df.where(F.length("text") <= _longest_short(most, q)).select("text"))
+        n, letters = short.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("text")), F.lit(0))).first()
+        parts = max(1, -(-n // size), -(-letters // (size * LETTERS)))
+        return written(short.groupBy(F.pmod(F.xxhash64("text"), F.lit(parts)).cast("int").alias(f"block_{name}")).agg(F.collect_list("text").alias(name))), parts
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The distances that earlier blocks of the right have given: what is farther is not asked for.
+        at, least = None, None
+        for batch in batches:
+            for row in range(batch.num_rows):
+                block, texts_a, texts_b = batch["block_a"][row].as_py(), batch["a"][row].values, batch["b"][row].values
+                if best and block != at:
+                    at, least = block, np.full(len(texts_a), most, np.int64)
+                for i, j, d in blocks.near(texts_a.to_pylist(), texts_b.to_pylist(), most, least):
+                    if len(d):
+                        yield pa.RecordBatch.from_arrays([texts_a.take(pa.array(i)), texts_b.take(pa.array(j)), pa.array(d.astype(np.int32))], ["a", "b", "distance"])
+
+    (x, blocks_x), (y, blocks_y) = cut(left, "a", BLOCK // 4 if best else BLOCK), cut(right, "b", BLOCK)
+    # Little data is much work here, so pairs of blocks are dealt out by their number; those of a block of the left to one task, if it has to know what it found.
+    number = F.col("block_a") if best else F.col("block_a") * blocks_y + F.col("block_b")
+    parts = min(TASKS, blocks_x if best else blocks_x * blocks_y)
+    met = x.crossJoin(y).repartitionById(parts, F.pmod(number, F.lit(parts)).cast("int"))
+    return met.select("block_a", "a", "b").mapInArrow(run, "a string, b string, distance int")
+
+
+def within_distance(left: DataFrame, right: DataFrame, most: int, q: int = 3, best: bool = False) -> DataFrame:
+    """a, b and distance of the texts of `left` (text) and `right` (text) that are at most `most` slips apart, each pair once.  Null is near nothing.
+
+    With `best`, pairs may be left out that are not the nearest ones of a.
     """
-    n = F.length("text")
-    cut = lambda df, name: written(df.where(n <= _longest_short(most, q)).select(F.col("text").alias(name), n.cast("int").alias(f"n_{name}"), _letters("text").alias(f"bits_{name}")))
-    x, y = cut(left, "a"), cut(right, "b")
-    blocks_x, blocks_y = (max(1, -(-df.count() // BLOCK)) for df in (x, y))
-    block = lambda c, blocks: F.pmod(F.xxhash64(c), F.lit(blocks)).cast("int")
-    every = lambda blocks: F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    x = x.withColumns({"block_x": block("a", blocks_x), "n": F.explode(F.sequence(F.greatest(F.col("n_a") - most, F.lit(0)), F.col("n_a") + most))}).withColumn("block_y", every(blocks_y))
-    y = y.withColumns({"block_y": block("b", blocks_y), "n": F.col("n_b")}).withColumn("block_x", every(blocks_x))
-    # A number of partitions of its own: little data is much work here, so partitions must not be put together by their size.
-    key = ["block_x", "block_y", "n"]
-    parts = max(int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(2000, 4 * blocks_x * blocks_y))
-    met = x.repartition(parts, *key).hint("merge").join(y.repartition(parts, *key), key)
-    lacks = lambda p, q: F.bit_count(F.col(p).bitwiseAND(F.bitwise_not(F.col(q)))) <= most
-    near = met.where(lacks("bits_a", "bits_b") & lacks("bits_b", "bits_a") & (F.levenshtein("a", "b", most) >= 0))
-    return near.select("a", "b", F.levenshtein("a", "b", most).alias("distance"))
-
-
-def within_distance(left: DataFrame, right: DataFrame, most: int, q: int = 3) -> DataFrame:
-    """a, b and distance of the texts of `left` (text) and `right` (text) that are at most `most` slips apart, each pair once.  Null is near nothing."""
     known = lambda df: df.select("text").where("text is not null").distinct()
     left, right = written(known(left)), written(known(right))
-    met = candidates(left, right, most, q)
-    near = met.withColumn("distance", F.levenshtein("a", "b", most))
-    return near.where("distance >= 0").distinct().unionByName(_short_pairs(left, right, most, q))
+    if not most:
+        return left.join(right, "text").select(F.col("text").alias("a"), F.col("text").alias("b"), F.lit(0).alias("distance"))
+    # A text that is shorter by more than the slips is not near one that is not short.
+    long = F.length("text") > _longest_short(most, q) - most
+    near = candidates(left.where(long), right.where(long), most, q).withColumn("distance", F.levenshtein("a", "b", most))
+    return near.where("distance >= 0").distinct().unionByName(_short_pairs(left, right, most, q, best))
 
 
 def nearest(left: DataFrame, right: DataFrame, first: int = 2, most: int | None = None) -> DataFrame:

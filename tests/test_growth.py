@@ -46,6 +46,15 @@ def test_short_names_are_not_all_measured(spark):
     assert {(a, a, 0) for (a,) in left[:3]} <= {tuple(r) for r in near} and most < 80_000
 
 
+def test_names_of_common_syllables_are_not_all_measured(spark):
+    """Names too long to lose all grams, whose grams very many names have: no step makes a row for each two that share one."""
+    rng = random.Random(4)
+    name = lambda: " ".join("".join(rng.choice(["the", "in", "er", "and"]) for _ in range(3)) for _ in range(2))
+    left, right = ([(name(),) for _ in range(500)] for _ in range(2))
+    near, most = most_rows(spark, lambda: similar.within_distance(spark.createDataFrame(left, "text string"), spark.createDataFrame(right + left[:3], "text string"), 2).collect())
+    assert {(a, a, 0) for (a,) in left[:3]} <= {tuple(r) for r in near} and most < 10_000
+
+
 def test_addresses_that_share_places_and_sizes(spark):
     """Streets and numbers of one town, asked for without the number or with words that nobody knows: no step makes a row for each two addresses."""
     place = [f"'x' AS {c}" for c in PLACE if c != "city_code"]

@@ -4,10 +4,11 @@ import math
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from brevetlake.operators import similar
+from brevetlake.operators import blocks, similar
 from brevetlake.plans import addresses, identification
 
 
@@ -45,6 +46,32 @@ def test_within_distance(spark, most, q):
     assert len(got) == len(set(got)) and set(got) == want
 
 
+@pytest.mark.parametrize(("alphabet", "longest"), [("aabcdé🙂", 14), ("ab", 70), ("abcdefgh ", 200), ("".join(map(chr, range(0x4E00, 0x4F00))), 30)])
+@pytest.mark.parametrize("most", [0, 3, 300])
+def test_blocks(alphabet, longest, most):
+    """All pairs of two blocks, and the nearest ones alone, for texts of one and of several words of bits and for very many letters."""
+    left, right = (names(random.Random(seed), 30, alphabet, longest)[:-1] for seed in (1, 2))
+    right += [a[:2] + a[3:] for a in left[:10]]
+    far = {(i, j): distance(a, b) for i, a in enumerate(left) for j, b in enumerate(right)}
+    pairs = lambda found: [(int(i), int(j), int(d)) for x, y, z in found for i, j, d in zip(x, y, z, strict=True)]
+    got = pairs(blocks.near(left, right, most))
+    assert sorted(got) == sorted((i, j, d) for (i, j), d in far.items() if d <= most)
+    best = np.full(len(left), most)
+    got, least = pairs(blocks.near(left, right, most, best)), [min(far[i, j] for j in range(len(right))) for i in range(len(left))]
+    assert sorted(got) == sorted((i, j, d) for (i, j), d in far.items() if d == least[i] <= most) and best.tolist() == [min(d, most) for d in least]
+
+
+def test_names_about_as_long_as_short_ones_may_be(spark, monkeypatch):
+    """Pairs of short, of long, and of both kinds, in several blocks of either side."""
+    monkeypatch.setattr(similar, "BLOCK", 16)
+    rng = random.Random(6)
+    left = ["".join(rng.choice("abcde") for _ in range(rng.randrange(27, 38))) for _ in range(60)]
+    right = [a[:k] + "x" * rng.randrange(3) + a[k + rng.randrange(3) :] for a in left for k in (3, 20)]
+    want = {(a, b, d) for a in left for b in right if (d := distance(a, b)) <= 4}
+    got = [tuple(r) for r in similar.within_distance(texts(spark, left), texts(spark, right), 4).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and len(want) >= 100
+
+
 def test_few_candidates(spark):
     """Names that all begin and end alike meet by what they do not share: far fewer pairs than all."""
     rng = random.Random(1)
