@@ -112,19 +112,21 @@ def within_distance(left: DataFrame, right: DataFrame, most: int, q: int = 3, be
 def nearest(left: DataFrame, right: DataFrame, first: int = 2, most: int | None = None) -> DataFrame:
     """a, b and distance of the nearest texts of `right` for each text of `left`, ties included.
 
-    The distance doubles from `first` on, for the texts that have nothing so near, up to `most`; without it, until every text has one.
+    Equal texts come first.  Then the distance doubles from `first` on, for the texts that have nothing so near, up to `most`; without it, until every text has one.
     """
-    rest = left.select("text").where("text is not null").distinct()
+    rest, right = (written(df.select("text").where("text is not null").distinct()) for df in (left, right))
     length = lambda df: df.agg(F.max(F.length("text"))).first()[0] or 0
     # No two texts are farther apart than the longer one is long.
     limit = max(length(rest), length(right), 1) if most is None else most
-    found, reach = None, min(first, limit)
+    found, reach = None, 0
     while True:
-        near = within_distance(rest, right, reach)
-        best = near.groupBy("a").agg(F.min("distance").alias("distance"))
-        near = written(near.join(best, ["a", "distance"]).select("a", "b", "distance"))
+        near = within_distance(rest, right, reach, best=True)
+        if reach:
+            near = written(near)
+            near = near.join(near.groupBy("a").agg(F.min("distance").alias("distance")), ["a", "distance"]).select("a", "b", "distance")
+        near = written(near)
         found = near if found is None else found.unionByName(near)
         rest = written(rest.join(near.select(F.col("a").alias("text")), "text", "left_anti"))
         if reach >= limit or rest.isEmpty():
             return found
-        reach = min(2 * reach, limit)
+        reach = min(2 * reach or first, limit)

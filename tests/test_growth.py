@@ -55,6 +55,15 @@ def test_names_of_common_syllables_are_not_all_measured(spark):
     assert {(a, a, 0) for (a,) in left[:3]} <= {tuple(r) for r in near} and most < 10_000
 
 
+def test_nearest_names_that_are_far(spark):
+    """Names with nothing near: no step makes a row for each two of them, however far the nearest is."""
+    rng = random.Random(5)
+    name = lambda letters: ("".join(rng.choice(letters) for _ in range(12)),)
+    left, right = [name("abcdefghij") for _ in range(400)], [name("ijklmnopqr") for _ in range(400)]
+    near, most = most_rows(spark, lambda: similar.nearest(spark.createDataFrame(left, "text string"), spark.createDataFrame(right, "text string")).collect())
+    assert {r.a for r in near} == {a for (a,) in left} and most < 80_000
+
+
 def test_addresses_that_share_places_and_sizes(spark):
     """Streets and numbers of one town, asked for without the number or with words that nobody knows: no step makes a row for each two addresses."""
     place = [f"'x' AS {c}" for c in PLACE if c != "city_code"]
