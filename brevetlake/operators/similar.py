@@ -1,4 +1,4 @@
-"""Joins of short texts by edit distance, which never compare all pairs.
+"""Joins of short texts by edit distance, which never measure all pairs.
 
 A slip changes at most `q` of a text's q-grams.  So of two texts at most `most` slips apart, each keeps one of any `most * q + 1`
 of its q-grams, and the rarest that both keep is among the `most * q + 1` rarest of either, no more than `most`
